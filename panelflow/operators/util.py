@@ -1,0 +1,20 @@
+"""Small shared helpers for operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Above this many rows a side is never broadcast; joins fall back to a
+# shuffled join that AQE may still convert from measured sizes.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded job); beyond the
+    bound the frame is returned as is and the planner shuffles instead.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
