@@ -21,9 +21,19 @@ from panelflow.operators.control import (
     gate_passed, invalid_status_codes, is_holiday, latest_status, prerequisite_status)
 from panelflow.operators.keys import new_keys, newest, valid_dates
 from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
+from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, with_day
+from panelflow.plans.run_control import run_control
+from panelflow.plans.snapshot import snapshot_refresh
+from panelflow.plans.usage_load import usage_load
 from panelflow.schemas import EVENTS, STAMP_DAY, UNDERSCORE_DAY
 from panelflow.session import staging_path
+from panelflow.sinks.tables import (
+    append_new, append_table, load_dates, replace_table, update_table)
+from panelflow.sources.files import expected_files, list_files
+from panelflow.sources.header import read_compliance, read_snapshot
+from panelflow.sources.sql import query_df
 from panelflow.sources.usage import raw_lines, read_usage
+from panelflow.streaming.ingest import ingest_new_files
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 IMPORT_DAY = _dt.date(2024, 2, 1)
@@ -195,6 +205,204 @@ def q_invalid_status_codes(spark, sf_dir):
     return invalid_status_codes(req).select("n_nationkey", "invalid")
 
 
+# --- S3 / S4 / S7 / S8 -------------------------------------------------------
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+def _write_header_file(df: DataFrame, path: str, sep: str) -> str:
+    df.write.options(sep=sep, header="true", escape='"').csv(path)
+    return path
+
+
+def q_snapshot_read(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    path = _write_header_file(c, staging_path(spark, "snapshot"), "\t")
+    return read_snapshot(spark, path).select(*CUSTOMER_COLS)
+
+
+def q_compliance_read(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    path = _write_header_file(c, staging_path(spark, "compliance"), ",")
+    return read_compliance(spark, path).select(*CUSTOMER_COLS)
+
+
+def q_expected_files(spark, sf_dir):
+    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d"))
+    return expected_files(spark, days, EVENTS)
+
+
+def q_query_df(spark, sf_dir):
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return query_df(spark, "SELECT o_orderpriority, count(*) AS n FROM orders "
+                           "WHERE o_orderstatus = :status GROUP BY o_orderpriority", {"status": "F"})
+
+
+# --- Q1 … Q4 and D1 ----------------------------------------------------------
+
+def _bad_days(ev: DataFrame) -> DataFrame:
+    """Days that are delivered empty (or not at all) in the gate bindings."""
+    return (ev.filter((F.col("event_type") == "error") & (F.col("value") > 200))
+            .select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct())
+
+
+def _mark_empty(path: str):
+    """Executor-side writer of empty deliveries: zero bytes on even days,
+    a lone UTF-8 byte-order mark on odd days."""
+    import pandas as pd
+
+    def run(batches):
+        from pyarrow import fs as pafs
+        root = path[len("file:"):] if path.startswith("file:") else path
+        fsys, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        for pdf in batches:
+            for day in pdf["day"]:
+                fsys.create_dir(f"{base}/day={day}", recursive=True)
+                with fsys.open_output_stream(f"{base}/day={day}/part-empty.csv") as out:
+                    out.write(b"" if int(day[-2:]) % 2 == 0 else b"\xef\xbb\xbf")
+            yield pd.DataFrame({"day": pdf["day"]})
+    return run
+
+
+def stage_events_with_gaps(spark, sf_dir, how: str = "empty") -> str:
+    """``events`` delivered with its bad days empty (``how='empty'``) or
+    left out (``how='missing'``)."""
+    ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
+    bad = _bad_days(ev)
+    good = ev.join(bad, F.date_format("ts", "yyyy-MM-dd") == F.col("day"), "left_anti")
+    path = write_delivery(good, staging_path(spark, f"events-{how}"))
+    if how == "empty":
+        bad.mapInPandas(_mark_empty(path), "day string").write.format("noop").mode("overwrite").save()
+    return path
+
+
+def q_empty_feeds(spark, sf_dir):
+    path = stage_events_with_gaps(spark, sf_dir, "empty")
+    return empty_feeds(spark, path, EVENTS).select("ref_date")
+
+
+def q_missing_feeds(spark, sf_dir):
+    path = stage_events_with_gaps(spark, sf_dir, "missing")
+    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d"))
+    expected = expected_files(spark, days, EVENTS)
+    listed = with_day(list_files(spark, path), EVENTS)
+    return missing_feeds(expected, listed).select("ref_date")
+
+
+def _plan(spark, sf_dir, policy):
+    path = stage_events_with_gaps(spark, sf_dir, "empty")
+    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d"))
+    expected = expected_files(spark, days, EVENTS)
+    return load_plan(expected.select("ref_date"), empty_feeds(spark, path, EVENTS).select("ref_date"), policy)
+
+
+def q_load_plan(spark, sf_dir):
+    return _plan(spark, sf_dir, "skip_empty")
+
+
+def q_load_plan_all_or_nothing(spark, sf_dir):
+    return _plan(spark, sf_dir, "all_or_nothing")
+
+
+def _event_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d"))
+
+
+def q_run_outcome(spark, sf_dir):
+    path = stage_events_with_gaps(spark, sf_dir, "empty")
+    target = staging_path(spark, "events-loaded")
+    res = usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
+                     import_day=IMPORT_DAY)
+    return res.outcome.select("status", "loaded_dates", "skipped_dates", "n_rows", "all_matched")
+
+
+def q_usage_load(spark, sf_dir):
+    path = stage_events(spark, sf_dir)
+    target = staging_path(spark, "events-loaded")
+    for _ in range(2):   # a repeated day list must not duplicate rows
+        usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
+                   import_day=IMPORT_DAY)
+    return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
+
+
+# --- K1 … K6, T1 ----------------------------------------------------------------
+
+def q_append_table(spark, sf_dir):
+    df = read_usage(spark, stage_events(spark, sf_dir), EVENTS).select(*EVENT_COLS)
+    target = staging_path(spark, "append")
+    append_table(df, target)
+    return spark.read.parquet(target)
+
+
+def q_replace_table(spark, sf_dir):
+    df = read_usage(spark, stage_events(spark, sf_dir), EVENTS).select(*EVENT_COLS)
+    target = staging_path(spark, "replace")
+    append_table(df, target)
+    replace_table(df, target)      # the refresh leaves one copy, not two
+    return spark.read.parquet(target)
+
+
+def q_load_dates(spark, sf_dir):
+    df = read_usage(spark, stage_events(spark, sf_dir), EVENTS).select("ref_date", *EVENT_COLS)
+    target = staging_path(spark, "by-date")
+    load_dates(df, target, "ref_date")
+    load_dates(df, target, "ref_date")    # repeat: replaced, not appended
+    return spark.read.parquet(target).select(*EVENT_COLS)
+
+
+def _frozen(spark, sf_dir) -> str:
+    c = table(spark, sf_dir, "customer")
+    target = staging_path(spark, "frozen")
+    (c.filter(F.col("c_custkey") < 1000)
+     .select("c_custkey", F.lit("FROZEN").alias("c_mktsegment")).write.parquet(target))
+    return target
+
+
+def q_append_new(spark, sf_dir):
+    target = _frozen(spark, sf_dir)
+    src = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    append_new(src, target, "c_custkey")
+    return spark.read.parquet(target)
+
+
+def q_update_where(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    target = staging_path(spark, "update")
+    c.write.parquet(target)
+    update_table(spark, target, F.col("c_acctbal") < 0, {"c_mktsegment": "DEBT"})
+    return spark.read.parquet(target).select("c_custkey", "c_mktsegment")
+
+
+def q_ingest_new_files(spark, sf_dir):
+    landing = stage_events(spark, sf_dir)
+    target = staging_path(spark, "ingested")
+    ckpt = staging_path(spark, "ingest-checkpoint")
+    for _ in range(2):   # the second run finds no new file
+        ingest_new_files(spark, landing, EVENTS, target, ckpt, import_day=IMPORT_DAY)
+    return spark.read.parquet(target).select(*EVENT_COLS)
+
+
+# --- D2 / D4 ------------------------------------------------------------------
+
+def q_snapshot_refresh(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    landing = staging_path(spark, "snapshot-landing")
+    _write_header_file(c, f"{landing}/panelist-export-1", "\t")
+    frozen = _frozen(spark, sf_dir)
+    snapshot_refresh(spark, landing, "part-", staging_path(spark, "snapshot"), frozen,
+                     key="c_custkey", date_col=None,
+                     now=_dt.datetime(2024, 2, 1, 13, 15, 0))
+    return spark.read.parquet(frozen).select("c_custkey", "c_mktsegment")
+
+
+def q_run_control(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    req = c.select(F.col("c_nationkey").alias("gate_id"), F.col("c_custkey").alias("task_id"),
+                   F.array(F.lit(1), F.lit(3)).alias("allowed"))
+    cal = spark.createDataFrame([(h,) for h in HOLIDAYS], "holiday string")
+    return run_control(run_log(spark, sf_dir), req, "1996-12-31", calendar=cal, include_weekend=1)
+
+
 QUERIES = {
     "usage_read": q_usage_read,
     "usage_read_utf16": q_usage_read_utf16,
@@ -214,9 +422,33 @@ QUERIES = {
     "newest": q_newest,
     "valid_dates": q_valid_dates,
     "invalid_status_codes": q_invalid_status_codes,
+    "snapshot_read": q_snapshot_read,
+    "compliance_read": q_compliance_read,
+    "expected_files": q_expected_files,
+    "query_df": q_query_df,
+    "empty_feeds": q_empty_feeds,
+    "missing_feeds": q_missing_feeds,
+    "load_plan": q_load_plan,
+    "load_plan_all_or_nothing": q_load_plan_all_or_nothing,
+    "run_outcome": q_run_outcome,
+    "usage_load": q_usage_load,
+    "append_table": q_append_table,
+    "replace_table": q_replace_table,
+    "load_dates": q_load_dates,
+    "append_new": q_append_new,
+    "update_where": q_update_where,
+    "ingest_new_files": q_ingest_new_files,
+    "snapshot_refresh": q_snapshot_refresh,
+    "run_control": q_run_control,
 }
 
 _USAGE = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+_CUSTOMER = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+             "c_mktsegment FROM customer")
+_BAD = "SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'error' AND value > 200"
+_GOOD = f"SELECT DISTINCT CAST(ts AS DATE) AS d FROM events EXCEPT {_BAD}"
+_FROZEN = ("SELECT c_custkey, CASE WHEN c_custkey < 1000 THEN 'FROZEN' ELSE c_mktsegment END "
+           "AS c_mktsegment FROM customer")
 
 ORACLE_SQL = {
     "usage_read": _USAGE,
@@ -265,4 +497,41 @@ ORACLE_SQL = {
     "invalid_status_codes":
         "SELECT n_nationkey, array_to_string(list_sort(list_distinct(list_filter([n_regionkey, "
         "n_nationkey - 20], lambda x: x NOT IN (-1, 1, 2, 3)))), ',') AS invalid FROM nation",
+    "snapshot_read": _CUSTOMER,
+    "compliance_read": _CUSTOMER,
+    "expected_files":
+        "SELECT DISTINCT CAST(ts AS DATE) AS ref_date, 'usage-' || strftime(CAST(ts AS DATE), '%Y%m%dT000000Z') "
+        "|| '-' || strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y%m%dT000000Z') || '.zip' AS archive_name, "
+        "'events_' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '.txt' AS file_name FROM events",
+    "query_df":
+        "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority",
+    "empty_feeds": f"SELECT d AS ref_date FROM ({_BAD}) b",
+    "missing_feeds": f"SELECT d AS ref_date FROM ({_BAD}) b",
+    "load_plan": f"SELECT d AS ref_date FROM ({_GOOD}) g",
+    "load_plan_all_or_nothing":
+        f"SELECT d AS ref_date FROM ({_GOOD}) g WHERE NOT EXISTS (SELECT 1 FROM ({_BAD}) b)",
+    "run_outcome":
+        f"WITH b AS ({_BAD}), g AS ({_GOOD}) SELECT CASE WHEN (SELECT count(*) FROM b) > 0 THEN 'WARNING' "
+        "ELSE 'OK' END AS status, (SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) FROM g) "
+        "AS loaded_dates, (SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) FROM b) AS skipped_dates, "
+        "(SELECT count(*) FROM events WHERE CAST(ts AS DATE) IN (SELECT d FROM g)) AS n_rows, "
+        "true AS all_matched",
+    "usage_load":
+        "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, ts, user_id, "
+        "event_type, value, props FROM events",
+    "append_table": _USAGE,
+    "replace_table": _USAGE,
+    "load_dates": _USAGE,
+    "append_new": _FROZEN,
+    "update_where":
+        "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment "
+        "FROM customer",
+    "ingest_new_files": _USAGE,
+    "snapshot_refresh": _FROZEN,
+    "run_control":
+        "WITH l AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS s FROM orders "
+        "WHERE o_orderdate < TIMESTAMP '1997-01-01' GROUP BY 1) SELECT c_nationkey AS gate_id, "
+        "DATE '1996-12-31' AS d, bool_and(COALESCE(s IN ('F','P'), false)) AS passed, false AS is_holiday, "
+        "bool_and(COALESCE(s IN ('F','P'), false)) AS may_run FROM customer LEFT JOIN l ON c_custkey = o_custkey "
+        "GROUP BY 1",
 }

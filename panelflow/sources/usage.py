@@ -32,32 +32,44 @@ def reader_options(f: Feed) -> dict:
     return opts
 
 
+def read_schema(f: Feed) -> T.StructType:
+    """The feed's schema as read: for UTF-16 the last column is text, so a
+    ``\r`` left by CRLF line ends can be stripped before it is typed."""
+    last = f.schema.fields[-1]
+    if f.is_utf16 and not isinstance(last.dataType, T.StringType):
+        return T.StructType(f.schema.fields[:-1] + [T.StructField(last.name, T.StringType())])
+    return f.schema
+
+
+def finish_read(df: DataFrame, f: Feed, ref_from_path: bool = True) -> DataFrame:
+    """File path, typed last column and reference date on a raw feed read."""
+    df = df.select("*", F.col("_metadata.file_path").alias(FILE_COL))
+    if f.is_utf16:
+        last = f.schema.fields[-1]
+        cleaned = F.nullif(F.regexp_replace(F.col(last.name), "\r$", ""), F.lit(""))
+        if not isinstance(last.dataType, T.StringType):
+            cleaned = cleaned.try_cast(last.dataType)
+        df = df.withColumn(last.name, cleaned)
+    if ref_from_path and f.ref_col:
+        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
+    return df
+
+
 def read_usage(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str,
                *, ref_from_path: bool = True) -> DataFrame:
     """S1 + S2: headerless, positional read with the feed's fixed schema.
 
     PERMISSIVE (Spark's default): a field that does not parse is NULL, a
     short row is NULL-padded, extra fields are dropped. For UTF-16 the last
-    column is read as text, its ``\\r`` (CRLF files) stripped and then cast,
+    column is read as text, its ``\r`` (CRLF files) stripped and then cast,
     so CRLF and LF deliveries give the same values. With ``ref_from_path``
     the feed's reference-date column is taken from the file path, so one read
     covers every delivered day at once.
     """
     f = _feed(feed)
-    schema = f.schema
-    last = schema.fields[-1]
-    fix_last = f.is_utf16 and not isinstance(last.dataType, T.StringType)
-    read_schema = (T.StructType(schema.fields[:-1] + [T.StructField(last.name, T.StringType())])
-                   if fix_last else schema)
-    df = (spark.read.schema(read_schema).options(**reader_options(f))
+    df = (spark.read.schema(read_schema(f)).options(**reader_options(f))
           .option("recursiveFileLookup", "true").csv(_paths(paths)))
-    df = df.select("*", F.col("_metadata.file_path").alias(FILE_COL))
-    if f.is_utf16:
-        cleaned = F.nullif(F.regexp_replace(F.col(last.name), "\r$", ""), F.lit(""))
-        df = df.withColumn(last.name, cleaned.try_cast(last.dataType) if fix_last else cleaned)
-    if ref_from_path and f.ref_col:
-        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
-    return df
+    return finish_read(df, f, ref_from_path)
 
 
 def raw_lines(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str) -> DataFrame:
