@@ -25,7 +25,9 @@ def new_keys(src: DataFrame, target: DataFrame, key: str,
         F.when(F.count(F.lit(1)) == 0, F.lit(0))
         .when(F.max(F.col("__tk").isNull()), F.lit(2))
         .otherwise(F.lit(1)).alias("s")).scalar()
-    keep = (state == 0) | ((state == 1) & F.col(key).isNotNull())
+    # the rule for each target state, picked with a single use of the
+    # scalar so the target is aggregated once
+    keep = F.array(F.lit(True), F.col(key).isNotNull(), F.lit(False))[state]
     keys = tk.filter(F.col("__tk").isNotNull()).distinct()
     return (src.filter(keep)
             .join(keys, F.col(key) == F.col("__tk"), "left_anti"))

@@ -69,7 +69,10 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     empty = empty_feeds(spark, landing, f, glob, listing=listed)
     plan = load_plan(expected, empty.select("ref_date"), f.policy)
     to_read = listed.join(plan, "ref_date", "left_semi").join(empty.select("path"), "path", "left_anti")
-    files = [r.path for r in to_read.select("path").collect()]   # one per delivered day
+    # one row per delivered file: bounded by the request, like a file listing
+    picked = to_read.select("path", "ref_date").collect()
+    files = [r.path for r in picked]
+    days = sorted({r.ref_date for r in picked})
     if not files:
         recon = spark.createDataFrame([], "ref_date date, count_df bigint, count_raw bigint, matched boolean")
         return LoadResult(run_outcome(spark, plan, recon, empty=empty.select("ref_date")), recon, [])
@@ -79,9 +82,8 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
         loaded = df
     elif mode == "replace":
         load_dates(df, target, f.ref_col)
-        # counted from what landed: partition-pruned, no column decoded
-        loaded = (spark.read.parquet(target)
-                  .join(plan.withColumnRenamed("ref_date", f.ref_col), f.ref_col, "left_semi"))
+        # counted from what landed: static partition pruning, no column decoded
+        loaded = spark.read.parquet(target).filter(F.col(f.ref_col).isin(days))
     elif mode == "append":
         append_table(df, target, partition_by=[f.ref_col])
         loaded = df
