@@ -20,6 +20,8 @@ from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, run
 from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
 from panelflow.schemas import Feed, feed as _feed
 from panelflow.sinks.tables import append_table, load_dates
+from panelflow.session import staging_path
+from panelflow.sources.archive import OUT_SCHEMA, archive_members
 from panelflow.sources.files import expected_files, list_files
 from panelflow.sources.header import read_header_file
 from panelflow.sources.usage import FILE_COL, raw_lines, read_usage
@@ -44,38 +46,73 @@ def _stamped(spark: SparkSession, paths: list[str], f: Feed, import_day) -> Data
     return place_columns(df, [f.ref_col, f.import_col], 0)
 
 
+RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolean"
+
+
+def delivered_files(spark: SparkSession, landing: str, f: Feed, expected: DataFrame,
+                    match: str = "name", glob: str | None = None) -> DataFrame:
+    """The listed files that belong to the request, with their day.
+
+    ``match="name"``: a file belongs when its name is an expected file
+    name (several feeds may share one landing folder). ``match="day"``: any
+    file under ``landing`` (narrowed by ``glob``) whose path carries an
+    expected day, e.g. ``ref_date=<day>/part-…`` folders with many files
+    per day.
+    """
+    if match == "name":
+        lst = list_files(spark, landing, glob or f"{f.file_prefix}*{f.file_suffix}")
+        return lst.join(expected.select("file_name", "ref_date"), "file_name")
+    if match == "day":
+        return with_day(list_files(spark, landing, glob), f).join(
+            expected.select("ref_date"), "ref_date", "left_semi")
+    raise ValueError(f"unknown match {match!r}")
+
+
+def empty_days(listed: DataFrame, empty: DataFrame) -> DataFrame:
+    """Days all of whose delivered files are empty (one file per day in
+    the reference's layout; a part-file folder is empty only if every
+    part is)."""
+    flag = empty.select("path", F.lit(True).alias("__e"))
+    return (listed.join(flag, "path", "left")
+            .groupBy("ref_date").agg(F.bool_and(F.coalesce(F.col("__e"), F.lit(False))).alias("__all"))
+            .filter(F.col("__all")).select("ref_date"))
+
+
 def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
                target: str | None = None, mode: str = "replace", jdbc: Mapping | None = None,
                import_day: _dt.date | None = None, today: _dt.date | None = None,
-               glob: str | None = None) -> LoadResult:
+               match: str = "name", glob: str | None = None) -> LoadResult:
     """Load the requested days of a feed from a landing folder.
 
     ``days``: DataFrame / list / ``(first, last)`` / None (see S7).
     ``mode``: ``replace`` (K4, safe to repeat), ``append`` (K1) or JDBC
     append when ``jdbc`` is given. The feed's ``policy`` decides what an
     empty file does (Q3). A missing delivery ends the run as ``ERROR``
-    without loading anything, as in the reference.
+    without loading anything, as in the reference. ``match``: see
+    :func:`delivered_files`.
     """
     f = _feed(feed)
     expected = expected_files(spark, days, f, today=today)
-    listing = list_files(spark, landing, glob)
-    listed = with_day(listing, f).join(expected.select("ref_date"), "ref_date", "left_semi")
+    listed = delivered_files(spark, landing, f, expected, match, glob)
     missing = missing_feeds(expected, listed)
     if missing.limit(1).count():
-        empty_none = spark.createDataFrame([], "ref_date date")
-        recon = spark.createDataFrame([], "ref_date date, count_df bigint, count_raw bigint, matched boolean")
-        out = run_outcome(spark, empty_none, recon, missing=missing, error="missing delivery")
+        none = spark.createDataFrame([], "ref_date date")
+        recon = spark.createDataFrame([], RECON_SCHEMA)
+        out = run_outcome(spark, none, recon, missing=missing, error="missing delivery")
         return LoadResult(out, recon, [])
+    if match == "name" and glob is None:
+        glob = f"{f.file_prefix}*{f.file_suffix}"
     empty = empty_feeds(spark, landing, f, glob, listing=listed)
-    plan = load_plan(expected, empty.select("ref_date"), f.policy)
+    skipped = empty_days(listed, empty)
+    plan = load_plan(expected.select("ref_date"), skipped, f.policy)
     to_read = listed.join(plan, "ref_date", "left_semi").join(empty.select("path"), "path", "left_anti")
     # one row per delivered file: bounded by the request, like a file listing
     picked = to_read.select("path", "ref_date").collect()
     files = [r.path for r in picked]
     days = sorted({r.ref_date for r in picked})
     if not files:
-        recon = spark.createDataFrame([], "ref_date date, count_df bigint, count_raw bigint, matched boolean")
-        return LoadResult(run_outcome(spark, plan, recon, empty=empty.select("ref_date")), recon, [])
+        recon = spark.createDataFrame([], RECON_SCHEMA)
+        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, [])
     df = _stamped(spark, files, f, import_day)
     if jdbc is not None:
         append_table(df, jdbc=jdbc)
@@ -92,4 +129,51 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     parsed = parsed_count(loaded, f.ref_col).withColumnRenamed(f.ref_col, "ref_date")
     raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
     recon = reconcile(parsed, raw, "ref_date")
-    return LoadResult(run_outcome(spark, plan, recon, empty=empty.select("ref_date")), recon, files)
+    return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
+
+
+def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
+                       out_dir: str | None = None, today: _dt.date | None = None) -> DataFrame:
+    """S7 → Q2 → S6 for archived deliveries: one row per expected day with
+    ``archive_found``, ``member_found`` and the extracted file's path.
+
+    Only the expected archives are opened; each is read by one task and
+    its member streamed to ``out_dir`` (default: a fresh folder in the
+    shared folder).
+    """
+    f = _feed(feed)
+    out_dir = out_dir or staging_path(spark, f"{f.name}-extracted")
+    expected = expected_files(spark, days, f, today=today)
+    lst = list_files(spark, archives, "*.zip").select("path", F.col("file_name").alias("archive_name"))
+    present = expected.join(lst, "archive_name", "left")
+    paths = [r.path for r in present.filter(F.col("path").isNotNull()).select("path").collect()]
+    if paths:
+        got = archive_members(spark, paths, f.archive_member, out_dir, f)
+    else:
+        got = spark.createDataFrame([], OUT_SCHEMA)
+    key = F.regexp_replace(F.col("path"), r"^file:/+", "file:/")
+    got = got.select(F.regexp_replace("archive", r"^file:/+", "file:/").alias("__a"), "found", "out_path")
+    return (present.join(got, key == F.col("__a"), "left")
+            .select("ref_date", "archive_name", "file_name",
+                    F.col("path").isNotNull().alias("archive_found"),
+                    F.coalesce(F.col("found"), F.lit(False)).alias("member_found"),
+                    "out_path", F.lit(out_dir).alias("out_dir")))
+
+
+def daily_load(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
+               target: str | None = None, work_dir: str | None = None, **kw) -> LoadResult:
+    """D1 / D3 from archives: extract the expected members, then
+    :func:`usage_load` the extracted files. A missing archive or member
+    ends the run as ``ERROR`` before anything is loaded."""
+    f = _feed(feed)
+    work_dir = work_dir or staging_path(spark, f"{f.name}-extracted")
+    ex = extract_deliveries(spark, archives, f, days, out_dir=work_dir,
+                            today=kw.get("today")).collect()   # one row per requested day
+    bad = sorted(r.ref_date for r in ex if not r.member_found)
+    if bad:
+        none = spark.createDataFrame([], "ref_date date")
+        missing = spark.createDataFrame([(d,) for d in bad], "ref_date date")
+        recon = spark.createDataFrame([], RECON_SCHEMA)
+        what = "missing archive or member"
+        return LoadResult(run_outcome(spark, none, recon, missing=missing, error=what), recon, [])
+    return usage_load(spark, work_dir, f, days, target=target, **kw)

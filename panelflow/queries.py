@@ -312,7 +312,7 @@ def q_run_outcome(spark, sf_dir):
     path = stage_events_with_gaps(spark, sf_dir, "empty")
     target = staging_path(spark, "events-loaded")
     res = usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
-                     import_day=IMPORT_DAY)
+                     import_day=IMPORT_DAY, match="day")
     return res.outcome.select("status", "loaded_dates", "skipped_dates", "n_rows", "all_matched")
 
 
@@ -321,7 +321,7 @@ def q_usage_load(spark, sf_dir):
     target = staging_path(spark, "events-loaded")
     for _ in range(2):   # a repeated day list must not duplicate rows
         usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
-                   import_day=IMPORT_DAY)
+                   import_day=IMPORT_DAY, match="day")
     return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
 
 

@@ -27,6 +27,7 @@ def _extract(member: str, out_dir: str, day_rx: str | None, name_tpl: str | None
     """
     import io
     import re
+    import uuid
     import zipfile
 
     from pyarrow import fs as pafs
@@ -52,11 +53,13 @@ def _extract(member: str, out_dir: str, day_rx: str | None, name_tpl: str | None
                 if m:
                     name = name_tpl.format(y=m.group(1), m=m.group(2), d=m.group(3))
                 target = f"{root}/{name}"
-                with zf.open(info) as src, filesystem.open_output_stream(target) as dst:
+                tmp = f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
+                with zf.open(info) as src, filesystem.open_output_stream(tmp) as dst:
                     n = 0
                     while chunk := src.read(1 << 20):
                         dst.write(chunk)
                         n += len(chunk)
+                filesystem.move(tmp, target)   # readers never see a half-written file
                 rows.append((path, member, True, target, n))
             yield pd.DataFrame(rows, columns=["archive", "member", "found", "out_path", "bytes"])
     return run

@@ -145,3 +145,63 @@ def test_ingest_new_files_once(spark, tmp_path):
     ingest_new_files(spark, str(land), f, target, ck)
     t = spark.read.parquet(target)
     assert t.count() == 3 and t.columns[0] == "import_date" and t.columns[-1] == "ref_date"
+
+
+def _zip(path, members):
+    import io
+    import zipfile
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for name, data in members:
+            z.writestr(name, data)
+    path.write_bytes(buf.getvalue())
+
+
+def _app_bytes(n):
+    line = "\t".join(APP_ROW) + "\r\n"
+    return b"\xff\xfe" + (line * n).encode("utf-16-le")
+
+
+def test_shared_landing_reads_only_the_feed(spark, tmp_path):
+    from panelflow.schemas import WEB
+    land = tmp_path / "land"
+    land.mkdir()
+    _app_file(land / "usage_app_2023-05-17.txt", 2)
+    web = ["x"] * 36
+    (land / "usage_web_2023-05-17.txt").write_bytes(b"\xff\xfe" + ("\t".join(web) + "\n").encode("utf-16-le"))
+    res = usage_load(spark, str(land), APP, ["2023-05-17"], target=str(tmp_path / "a"))
+    assert res.outcome.first().n_rows == 2 and len(res.loaded_files) == 1
+    res = usage_load(spark, str(land), WEB, ["2023-05-17"], target=str(tmp_path / "w"))
+    assert res.outcome.first().n_rows == 1
+    assert len(spark.read.parquet(str(tmp_path / "w")).columns) == 38
+
+
+def test_daily_load_from_archives(spark, tmp_path):
+    from panelflow.plans.usage_load import daily_load
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    _zip(arch / "usage-20230517T000000Z-20230518T000000Z.zip", [("x/web.txt", b""), ("x/app.txt", _app_bytes(3))])
+    _zip(arch / "usage-20230518T000000Z-20230519T000000Z.zip", [("x/app.txt", b"\xff\xfe")])
+    _zip(arch / "usage-20230519T000000Z-20230520T000000Z.zip", [("x/app.txt", _app_bytes(1))])
+    res = daily_load(spark, str(arch), APP, ("2023-05-17", "2023-05-19"), target=str(tmp_path / "t"),
+                     work_dir=str(tmp_path / "work"))
+    o = res.outcome.first()
+    assert (o.status, o.loaded_dates, o.skipped_dates, o.n_rows, o.all_matched) == \
+        ("WARNING", "2023-05-17,2023-05-19", "2023-05-18", 4, True)
+    res = daily_load(spark, str(arch), APP, ("2023-05-17", "2023-05-20"), target=str(tmp_path / "t"),
+                     work_dir=str(tmp_path / "work2"))
+    o = res.outcome.first()
+    assert o.status == "ERROR" and o.missing_dates == "2023-05-20"
+
+
+def test_compliance_from_archives(spark, tmp_path):
+    from panelflow.plans.usage_load import daily_load
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    _zip(arch / "compliance_2023_05_17.zip", [("daily_compliance.csv", b"PanelistId,Compliant\np1,1\n")])
+    _zip(arch / "compliance_2023_05_18.zip", [("other.csv", b"x"), ("daily_compliance.csv", b"")])
+    f = COMPLIANCE.with_(schema=_schema("PanelistId string, Compliant int"))
+    res = daily_load(spark, str(arch), f, ("2023-05-17", "2023-05-18"), target=str(tmp_path / "t"),
+                     work_dir=str(tmp_path / "work"))
+    o = res.outcome.first()
+    assert o.status == "WARNING" and o.loaded_dates == ""       # all or nothing
