@@ -49,6 +49,13 @@ def _stamped(spark: SparkSession, paths: list[str], f: Feed, import_day) -> Data
 RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolean"
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Materialise a control frame bounded by the request (one row per
+    requested day or delivered file) so later steps reuse it instead of
+    re-running its listing, decoding and joins."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def delivered_files(spark: SparkSession, landing: str, f: Feed, expected: DataFrame,
                     match: str = "name", glob: str | None = None) -> DataFrame:
     """The listed files that belong to the request, with their day.
@@ -93,7 +100,8 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     """
     f = _feed(feed)
     expected = expected_files(spark, days, f, today=today)
-    listed = delivered_files(spark, landing, f, expected, match, glob)
+    expected = _small(expected)
+    listed = _small(delivered_files(spark, landing, f, expected, match, glob))
     missing = missing_feeds(expected, listed)
     if missing.limit(1).count():
         none = spark.createDataFrame([], "ref_date date")
@@ -102,9 +110,9 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
         return LoadResult(out, recon, [])
     if match == "name" and glob is None:
         glob = f"{f.file_prefix}*{f.file_suffix}"
-    empty = empty_feeds(spark, landing, f, glob, listing=listed)
-    skipped = empty_days(listed, empty)
-    plan = load_plan(expected.select("ref_date"), skipped, f.policy)
+    empty = _small(empty_feeds(spark, landing, f, glob, listing=listed))
+    skipped = _small(empty_days(listed, empty))
+    plan = _small(load_plan(expected.select("ref_date"), skipped, f.policy))
     to_read = listed.join(plan, "ref_date", "left_semi").join(empty.select("path"), "path", "left_anti")
     # one row per delivered file: bounded by the request, like a file listing
     picked = to_read.select("path", "ref_date").collect()
@@ -128,7 +136,7 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
         raise ValueError(f"unknown mode {mode!r}")
     parsed = parsed_count(loaded, f.ref_col).withColumnRenamed(f.ref_col, "ref_date")
     raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
-    recon = reconcile(parsed, raw, "ref_date")
+    recon = _small(reconcile(parsed, raw, "ref_date"))   # one row per day
     return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
 
 

@@ -27,8 +27,10 @@ from panelflow.plans.snapshot import snapshot_refresh
 from panelflow.plans.usage_load import usage_load
 from panelflow.schemas import EVENTS, STAMP_DAY, UNDERSCORE_DAY
 from panelflow.session import staging_path
+from panelflow.sinks.runlog import append_events, current_runs
 from panelflow.sinks.tables import (
     append_new, append_table, load_dates, replace_table, update_table)
+from panelflow.sources.archive import archive_members
 from panelflow.sources.files import expected_files, list_files
 from panelflow.sources.header import read_compliance, read_snapshot
 from panelflow.sources.sql import query_df
@@ -382,6 +384,66 @@ def q_ingest_new_files(spark, sf_dir):
     return spark.read.parquet(target).select(*EVENT_COLS)
 
 
+def _zip_parts(path: str, out: str):
+    """Executor-side packer: each delivered part file becomes one archive
+    ``events-<day>-<n>.zip`` holding the member ``events.txt``."""
+    import pandas as pd
+
+    def run(batches):
+        import io
+        import re
+        import zipfile
+        from pyarrow import fs as pafs
+        root = out[len("file:"):] if out.startswith("file:") else out
+        fsys, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
+        fsys.create_dir(base, recursive=True)
+        names = []
+        for pdf in batches:
+            for p, content in zip(pdf["path"], pdf["content"]):
+                day = re.search(r"day=(\d{4}-\d{2}-\d{2})", p).group(1)
+                part = re.search(r"part-(\d+)-([0-9a-f]{8})", p)
+                name = f"events-{day}-{part.group(1)}-{part.group(2)}.zip"
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("readme.txt", b"other member")
+                    z.writestr("events.txt", content)
+                with fsys.open_output_stream(f"{base}/{name}") as o:
+                    o.write(buf.getvalue())
+                names.append(name)
+        yield pd.DataFrame({"name": names})
+    return run
+
+
+def q_archive_members(spark, sf_dir):
+    delivery = stage_events(spark, sf_dir)
+    archives = staging_path(spark, "events-archives")
+    (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+     .option("recursiveFileLookup", "true").load(delivery).select("path", "content")
+     .mapInPandas(_zip_parts(delivery, archives), "name string")
+     .write.format("noop").mode("overwrite").save())
+    out = staging_path(spark, "events-extracted")
+    res = archive_members(spark, archives, "events.txt", out).collect()   # one row per archive
+    if not all(r.found for r in res):
+        raise RuntimeError("member missing from an archive")
+    return read_usage(spark, out, EVENTS).select(*EVENT_COLS)
+
+
+def q_current_runs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    lid = F.col("o_orderkey").cast("string")
+    start = o.select(lid.alias("log_id"), F.col("o_custkey").cast("int").alias("task_id"),
+                     F.lit(2).alias("status"), F.col("o_orderdate").cast("timestamp").alias("log_time"),
+                     F.lit("task has started").alias("message"), F.lit(0).cast("bigint").alias("seq"))
+    end = o.select(lid.alias("log_id"), F.lit(None).cast("int").alias("task_id"),
+                   _status_code(F.col("o_orderstatus")).alias("status"),
+                   (F.col("o_orderdate") + F.expr("INTERVAL 1 HOUR")).cast("timestamp").alias("log_time"),
+                   F.lit("it's done").alias("message"), F.lit(1).cast("bigint").alias("seq"))
+    path = staging_path(spark, "run-log")
+    append_events(start, path)
+    append_events(end, path)
+    return current_runs(spark, path).select("log_id", "task_id", "status", "message")
+
+
 # --- D2 / D4 ------------------------------------------------------------------
 
 def q_snapshot_refresh(spark, sf_dir):
@@ -440,6 +502,8 @@ QUERIES = {
     "ingest_new_files": q_ingest_new_files,
     "snapshot_refresh": q_snapshot_refresh,
     "run_control": q_run_control,
+    "archive_members": q_archive_members,
+    "current_runs": q_current_runs,
 }
 
 _USAGE = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
@@ -534,4 +598,9 @@ ORACLE_SQL = {
         "DATE '1996-12-31' AS d, bool_and(COALESCE(s IN ('F','P'), false)) AS passed, false AS is_holiday, "
         "bool_and(COALESCE(s IN ('F','P'), false)) AS may_run FROM customer LEFT JOIN l ON c_custkey = o_custkey "
         "GROUP BY 1",
+    "archive_members": _USAGE,
+    "current_runs":
+        "SELECT CAST(o_orderkey AS VARCHAR) AS log_id, CAST(o_custkey AS INTEGER) AS task_id, "
+        "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS status, 'it''s done' AS message "
+        "FROM orders",
 }

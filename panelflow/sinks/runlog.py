@@ -45,6 +45,13 @@ def log_status(spark: SparkSession, path: str, log_id: str | None, status: int,
     _append(spark, path, (str(log_id), task_id, int(status), t, message, seq))
 
 
+def append_events(events: DataFrame, path: str) -> None:
+    """Append many run-log events at once (same columns as EVENT_SCHEMA);
+    e.g. when a scheduler's history is loaded in bulk."""
+    cols = [c.split()[0] for c in EVENT_SCHEMA.split(", ")]
+    events.select(*cols).write.mode("append").parquet(path)
+
+
 def current_runs(spark: SparkSession, path: str) -> DataFrame:
     """Each run's latest status and message, its task and start time."""
     ev = spark.read.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelflow.functions.columns import add_ref_date
 from panelflow.functions.dates import day_from_path
 from panelflow.schemas import Feed, feed as _feed
 
@@ -51,7 +52,7 @@ def finish_read(df: DataFrame, f: Feed, ref_from_path: bool = True) -> DataFrame
             cleaned = cleaned.try_cast(last.dataType)
         df = df.withColumn(last.name, cleaned)
     if ref_from_path and f.ref_col:
-        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
+        df = add_ref_date(df, day_from_path(F.col(FILE_COL), f.file_day_format), f.ref_col)
     return df
 
 
