@@ -2,7 +2,7 @@
 
 requirements checked (X2) → latest log status per required task (W1) →
 joined to the requirements (J2) → allowed? (F2) → all allowed per gate (A3),
-beside the holiday test (J3). One join for all tasks and gates at once.
+beside the holiday test (J3's rule, for the one reference day). One join for all tasks and gates at once.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelflow.operators.control import (
-    gate_passed, invalid_status_codes, is_holiday, latest_status, prerequisite_status)
+    gate_passed, invalid_status_codes, latest_status, prerequisite_status)
 
 
 def check_requirements(req: DataFrame, allowed_col: str = "allowed") -> None:
@@ -34,11 +34,15 @@ def run_control(log: DataFrame, req: DataFrame, ref_date, *, calendar: DataFrame
     latest = latest_status(log, ref_date, as_of=as_of)
     checked = prerequisite_status(req, latest)
     gates = gate_passed(checked, gate_col, "ok", gates=req)
-    day = gates.withColumn("d", F.lit(str(ref_date)).cast("date"))
+    if include_weekend not in (0, 1):
+        raise ValueError(f"include_weekend must be 0 or 1, got {include_weekend!r}")
+    d = F.lit(str(ref_date)).cast("date")
+    # one day for every gate: a scalar lookup in the calendar, not a join
+    hit = F.weekday(d) >= 5 if include_weekend else F.lit(False)
     if calendar is not None:
-        day = is_holiday(day, calendar, include_weekend)
-    else:
-        day = day.withColumn("is_holiday",
-                             (F.lit(include_weekend) == 1) & (F.weekday("d") >= 5))
+        in_cal = calendar.select(F.coalesce(F.max(F.col("holiday").cast("date") == d),
+                                            F.lit(False))).scalar()
+        hit = hit | in_cal
+    day = gates.withColumn("d", d).withColumn("is_holiday", hit)
     return day.select(gate_col, "d", "passed", "is_holiday",
                       (F.col("passed") & ~F.col("is_holiday")).alias("may_run"))

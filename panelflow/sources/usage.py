@@ -47,7 +47,10 @@ def finish_read(df: DataFrame, f: Feed, ref_from_path: bool = True) -> DataFrame
     df = df.select("*", F.col("_metadata.file_path").alias(FILE_COL))
     if f.is_utf16:
         last = f.schema.fields[-1]
-        cleaned = F.nullif(F.regexp_replace(F.col(last.name), "\r$", ""), F.lit(""))
+        c = F.col(last.name)
+        # only a field that ended in \r is touched; a lone \r was an empty field
+        cleaned = F.when(c.endswith("\r"),
+                         F.nullif(F.regexp_replace(c, "\r$", ""), F.lit(""))).otherwise(c)
         if not isinstance(last.dataType, T.StringType):
             cleaned = cleaned.try_cast(last.dataType)
         df = df.withColumn(last.name, cleaned)

@@ -51,10 +51,26 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
-def compare(spark, name, fn, sql, sf_dir, con=None):
+def plan_text(df) -> str:
+    """The physical plan as ``explain()`` prints it."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+# Plan nodes no bound query may contain: all-pairs joins, row-at-a-time Python.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+
+
+def compare(spark, name, fn, sql, sf_dir, con=None, plans=None):
     con = con or duck(sf_dir)
     t = time.time()
     df = fn(spark, sf_dir)
+    if plans is not None:
+        plans[name] = plan_text(df)
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     el = time.time() - t

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
-from tests.oracle import compare, duck
+from tests.oracle import FORBIDDEN, compare, duck
 
 SQL = entry.oracle_sql()
 
@@ -17,8 +17,11 @@ def con():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     assert name in SQL, f"{name} has no oracle SQL"
-    problems, _, _ = compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con)
+    plans = {}
+    problems, _, _ = compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con, plans)
     assert not problems, problems
+    bad = [n for n in FORBIDDEN if n in plans[name]]
+    assert not bad, f"{name} plan contains {bad}"
 
 
 def test_entry_runs(spark):
