@@ -205,3 +205,19 @@ def test_compliance_from_archives(spark, tmp_path):
                      work_dir=str(tmp_path / "work"))
     o = res.outcome.first()
     assert o.status == "WARNING" and o.loaded_dates == ""       # all or nothing
+
+
+def test_ingest_archives_processed_files(spark, tmp_path):
+    import os
+    f = Feed("s", _schema("a string, n int"), file_prefix="s_", import_col="import_date")
+    land, arch = tmp_path / "land", tmp_path / "archive"
+    land.mkdir()
+    target, ck = str(tmp_path / "t"), str(tmp_path / "ck")
+    for day in ("01", "02", "03"):
+        (land / f"s_2024-01-{day}.txt").write_text(f"x\t{day}\n")
+        ingest_new_files(spark, str(land), f, target, ck, archive_dir=str(arch),
+                         max_files_per_trigger=1)
+    assert spark.read.parquet(target).count() == 3
+    moved = [n for _, _, fs in os.walk(arch) for n in fs]
+    assert moved and set(moved) <= {"s_2024-01-01.txt", "s_2024-01-02.txt", "s_2024-01-03.txt"}
+    assert not set(moved) & set(os.listdir(land))
