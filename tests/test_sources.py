@@ -148,3 +148,22 @@ def test_query_rows_bounded(spark):
     with pytest.raises(ValueError):
         query_rows(spark, "SELECT * FROM five", max_rows=2)
     assert query_df(spark, "SELECT count(*) AS n FROM five").first().n == 5
+
+
+def test_utf16_split_across_many_tasks(spark, tmp_path):
+    """A large UTF-16 CRLF file cut into many splits keeps every row once."""
+    n = 20000
+    body = "".join(f"nam€{i}\t{i}\t2023-05-17 10:00:00\tt{i}\n" for i in range(n))
+    _utf16(tmp_path / "small_2023-05-17.txt", body, crlf=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = read_usage(spark, str(tmp_path), SMALL)
+        assert df.rdd.getNumPartitions() > 10
+        agg = df.agg(F.count("*").alias("c"), F.countDistinct("n").alias("d"), F.sum("n").alias("s"),
+                     F.count_if(F.col("tail").endswith("\r")).alias("cr")).first()
+        assert (agg.c, agg.d, agg.s, agg.cr) == (n, n, n * (n - 1) // 2, 0)
+        raw = raw_count(raw_lines(spark, str(tmp_path), SMALL)).first()
+        assert raw.count_raw == n
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
