@@ -4,4 +4,12 @@ Every operator takes and returns DataFrames; nothing loops over dates on the
 driver. See README.md for the operator map.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers (the archive extractor) travel with
+# the task, so executors need no installed copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
