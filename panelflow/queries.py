@@ -14,11 +14,13 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelflow.functions.columns import (
     add_import_date, date_key, null_out, parse_compact_date, place_columns)
 from panelflow.operators.control import (
-    gate_passed, invalid_status_codes, is_holiday, latest_status, prerequisite_status)
+    gate_passed, invalid_status_codes, is_holiday, latest_status, prerequisite_status,
+    status_allowed)
 from panelflow.operators.keys import new_keys, newest, valid_dates
 from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
 from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, with_day
@@ -92,10 +94,12 @@ def q_usage_read_utf16(spark, sf_dir):
 
 def q_permissive_read(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
+    # ``n`` as text: even ids whole, odd ids with '.5' (not an int → NULL);
+    # ``ts`` is written as a third field the two-column schema drops
     txt = ev.select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string"))
                     .otherwise(F.concat(F.col("event_id").cast("string"), F.lit(".5"))).alias("n"),
                     "ts")
-    f = EVENTS.with_(name="numbers", schema=EVENTS.schema.__class__.fromDDL("event_id bigint, n int"))
+    f = EVENTS.with_(name="numbers", schema=T.StructType.fromDDL("event_id bigint, n int"))
     path = write_delivery(txt, staging_path(spark, "numbers-delivery"), f)
     return read_usage(spark, path, f).select("event_id", "n")
 
@@ -176,8 +180,9 @@ def q_prerequisite_status(spark, sf_dir):
 def q_gate_passed(spark, sf_dir):
     log = run_log(spark, sf_dir)
     latest = latest_status(log, task_col=["task_id", "o_orderpriority"])
+    allowed = F.array(F.lit(1), F.lit(3))
     checked = latest.select(F.col("task_id").alias("gate_id"),
-                            F.col("status").isin(1, 3).alias("ok"))
+                            status_allowed("status", allowed).alias("ok"))
     return gate_passed(checked, "gate_id", "ok")
 
 
