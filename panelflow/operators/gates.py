@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelflow.functions.dates import day_from_path
 from panelflow.operators.keys import valid_dates
 from panelflow.schemas import Feed, feed as _feed
-from panelflow.sources.files import _key, list_files
+from panelflow.sources.files import _key, scan_files
 
 # A file this small may hold nothing but a byte-order mark (2–4 bytes).
 _MARK_MAX_BYTES = 4
@@ -23,21 +23,24 @@ def with_day(listing: DataFrame, feed: Feed | str, col: str = "ref_date") -> Dat
 
 
 def empty_feeds(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str,
-                glob: str | None = None, listing: DataFrame | None = None) -> DataFrame:
+                glob: str | None = None, listing: DataFrame | None = None,
+                relation: DataFrame | None = None) -> DataFrame:
     """Q1: delivered files that hold no characters.
 
     Empty means zero bytes, or nothing left once decoded in the feed's
     charset and stripped of a byte-order mark (a mark-only file). Only
     files of at most four bytes are decoded: the length filter is pushed
     into the ``binaryFile`` scan, so no other file's content is read.
+    Pass the ``relation`` of a :func:`scan_files` listing to reuse it.
     """
     f = _feed(feed)
-    lst = listing if listing is not None else list_files(spark, paths, glob)
-    plist = [paths] if isinstance(paths, str) else list(paths)
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    tiny = (r.load(plist).filter(F.col("length") <= _MARK_MAX_BYTES)
+    if relation is None:
+        scan = scan_files(spark, paths, glob)
+        relation = scan.relation
+        lst = listing if listing is not None else scan.files
+    else:
+        lst = listing
+    tiny = (relation.filter(F.col("length") <= _MARK_MAX_BYTES)
             .select(_key(F.col("path")).alias("__k"),
                     F.length(F.regexp_replace(F.decode("content", f.encoding), "﻿", ""))
                     .alias("__chars"))

@@ -22,7 +22,7 @@ from panelflow.schemas import Feed, feed as _feed
 from panelflow.sinks.tables import append_table, load_dates
 from panelflow.session import staging_path
 from panelflow.sources.archive import OUT_SCHEMA, archive_members
-from panelflow.sources.files import expected_files, list_files
+from panelflow.sources.files import expected_files, list_files, scan_files
 from panelflow.sources.header import read_header_file
 from panelflow.sources.usage import FILE_COL, raw_lines, read_usage
 from panelflow.functions.dates import day_from_path
@@ -66,12 +66,18 @@ def delivered_files(spark: SparkSession, landing: str, f: Feed, expected: DataFr
     expected day, e.g. ``ref_date=<day>/part-…`` folders with many files
     per day.
     """
+    return _match(scan_files(spark, landing, _glob(f, match, glob)).files, f, expected, match)
+
+
+def _glob(f: Feed, match: str, glob: str | None) -> str | None:
+    return glob or (f"{f.file_prefix}*{f.file_suffix}" if match == "name" else None)
+
+
+def _match(files: DataFrame, f: Feed, expected: DataFrame, match: str) -> DataFrame:
     if match == "name":
-        lst = list_files(spark, landing, glob or f"{f.file_prefix}*{f.file_suffix}")
-        return lst.join(expected.select("file_name", "ref_date"), "file_name")
+        return files.join(expected.select("file_name", "ref_date"), "file_name")
     if match == "day":
-        return with_day(list_files(spark, landing, glob), f).join(
-            expected.select("ref_date"), "ref_date", "left_semi")
+        return with_day(files, f).join(expected.select("ref_date"), "ref_date", "left_semi")
     raise ValueError(f"unknown match {match!r}")
 
 
@@ -101,16 +107,16 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     f = _feed(feed)
     expected = expected_files(spark, days, f, today=today)
     expected = _small(expected)
-    listed = _small(delivered_files(spark, landing, f, expected, match, glob))
+    glob = _glob(f, match, glob)
+    scan = scan_files(spark, landing, glob)      # one listing, reused below
+    listed = _small(_match(scan.files, f, expected, match))
     missing = missing_feeds(expected, listed)
     if missing.limit(1).count():
         none = spark.createDataFrame([], "ref_date date")
         recon = spark.createDataFrame([], RECON_SCHEMA)
         out = run_outcome(spark, none, recon, missing=missing, error="missing delivery")
         return LoadResult(out, recon, [])
-    if match == "name" and glob is None:
-        glob = f"{f.file_prefix}*{f.file_suffix}"
-    empty = _small(empty_feeds(spark, landing, f, glob, listing=listed))
+    empty = _small(empty_feeds(spark, landing, f, glob, listing=listed, relation=scan.relation))
     skipped = _small(empty_days(listed, empty))
     plan = _small(load_plan(expected.select("ref_date"), skipped, f.policy))
     to_read = listed.join(plan, "ref_date", "left_semi").join(empty.select("path"), "path", "left_anti")

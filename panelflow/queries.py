@@ -14,7 +14,6 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelflow.functions.columns import (
     add_import_date, date_key, null_out, parse_compact_date, place_columns)
@@ -27,7 +26,7 @@ from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, wit
 from panelflow.plans.run_control import run_control
 from panelflow.plans.snapshot import snapshot_refresh
 from panelflow.plans.usage_load import usage_load
-from panelflow.schemas import EVENTS, STAMP_DAY, UNDERSCORE_DAY
+from panelflow.schemas import EVENTS, STAMP_DAY, UNDERSCORE_DAY, Feed, _schema
 from panelflow.session import staging_path
 from panelflow.sinks.runlog import append_events, current_runs
 from panelflow.sinks.tables import (
@@ -63,14 +62,18 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_delivery(df: DataFrame, path: str, feed=EVENTS, day=None) -> str:
     """Write ``df`` as one headerless delimited file set per day.
 
-    ``day`` (a Column) names the folder each row lands in; the write is a
-    plain partitioned write, no shuffle: each task writes the days it holds.
+    ``day`` (a Column) names the folder each row lands in.
     """
     day = F.date_format(F.col("ts"), "yyyy-MM-dd") if day is None else day
     opts = {"sep": feed.sep, "header": "false", "encoding": feed.encoding, "lineSep": "\n"}
     opts.update(feed.options)
-    (df.withColumn("day", day).write.mode("overwrite").partitionBy("day")
-     .options(**opts).csv(path))
+    # day ranges spread over tasks, so each task writes a few day folders;
+    # the row hash splits a hot day over several tasks and stays the same
+    # on a retry
+    salt = F.xxhash64(*df.columns)
+    n = df.sparkSession.sparkContext.defaultParallelism
+    (df.withColumn("day", day).repartitionByRange(n, "day", salt)
+     .write.mode("overwrite").partitionBy("day").options(**opts).csv(path))
     return path
 
 
@@ -99,7 +102,7 @@ def q_permissive_read(spark, sf_dir):
     txt = ev.select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string"))
                     .otherwise(F.concat(F.col("event_id").cast("string"), F.lit(".5"))).alias("n"),
                     "ts")
-    f = EVENTS.with_(name="numbers", schema=T.StructType.fromDDL("event_id bigint, n int"))
+    f = EVENTS.with_(name="numbers", schema=_schema("event_id bigint, n int"))
     path = write_delivery(txt, staging_path(spark, "numbers-delivery"), f)
     return read_usage(spark, path, f).select("event_id", "n")
 
@@ -323,6 +326,29 @@ def q_run_outcome(spark, sf_dir):
     return res.outcome.select("status", "loaded_dates", "skipped_dates", "n_rows", "all_matched")
 
 
+LINEITEM = Feed("lineitem", _schema(
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz"),
+    encoding="UTF-16LE", file_prefix="lineitem_",
+    options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+
+
+def q_backfill_load(spark, sf_dir):
+    """D1 as a multi-year backfill: ``lineitem`` delivered as one UTF-16
+    file set per ship day (thousands of days), every day loaded by one plan."""
+    li = table(spark, sf_dir, "lineitem")
+    landing = write_delivery(li, staging_path(spark, "lineitem-delivery"), LINEITEM,
+                             day=F.date_format("l_shipdate", "yyyy-MM-dd"))
+    days = li.select(F.col("l_shipdate").cast("date").alias("d"))
+    target = staging_path(spark, "lineitem-loaded")
+    res = usage_load(spark, landing, LINEITEM, days, target=target, import_day=IMPORT_DAY, match="day")
+    if res.outcome.first().status != "OK":
+        raise RuntimeError("backfill did not load cleanly")
+    return spark.read.parquet(target).select("ref_date", "l_orderkey", "l_linenumber", "l_quantity",
+                                             "l_returnflag", "l_shipdate")
+
+
 def q_usage_load(spark, sf_dir):
     path = stage_events(spark, sf_dir)
     target = staging_path(spark, "events-loaded")
@@ -499,6 +525,7 @@ QUERIES = {
     "load_plan_all_or_nothing": q_load_plan_all_or_nothing,
     "run_outcome": q_run_outcome,
     "usage_load": q_usage_load,
+    "backfill_load": q_backfill_load,
     "append_table": q_append_table,
     "replace_table": q_replace_table,
     "load_dates": q_load_dates,
@@ -588,6 +615,9 @@ ORACLE_SQL = {
     "usage_load":
         "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, ts, user_id, "
         "event_type, value, props FROM events",
+    "backfill_load":
+        "SELECT CAST(l_shipdate AS DATE) AS ref_date, l_orderkey, l_linenumber, l_quantity, l_returnflag, "
+        "l_shipdate FROM lineitem",
     "append_table": _USAGE,
     "replace_table": _USAGE,
     "load_dates": _USAGE,

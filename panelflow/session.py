@@ -28,7 +28,13 @@ def get_session(master: str | None = None, app_name: str = "panelflow",
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    # Listing many day folders runs as a Spark job with one task per path up
+    # to this bound (default 10,000): size it to the cluster instead.
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(min(10_000, max(32, 4 * cores))))
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

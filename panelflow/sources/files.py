@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,14 @@ def _key(p: Column) -> Column:
     return F.regexp_replace(p, r"^file:/+", "file:/")
 
 
-def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+class Listing(NamedTuple):
+    """A listing and the ``binaryFile`` relation it came from; reusing the
+    relation (its file index) avoids listing the folders again."""
+    relation: DataFrame
+    files: DataFrame
+
+
+def scan_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> Listing:
     """Every file under ``paths`` with its size and modification time.
 
     ``binaryFile`` gives path, length and time without reading content
@@ -36,10 +44,17 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
                        F.col("length").cast("bigint").alias("length"),
                        F.col("modificationTime").alias("modified"))
     every = spark.createDataFrame([(p,) for p in rel.inputFiles()], "path string")
-    return (every.join(sized, _key(F.col("path")) == F.col("__k"), "left")
-            .select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
-                    F.coalesce(F.col("length"), F.lit(0)).cast("bigint").alias("length"),
-                    "modified"))
+    files = (every.join(sized, _key(F.col("path")) == F.col("__k"), "left")
+             .select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
+                     F.coalesce(F.col("length"), F.lit(0)).cast("bigint").alias("length"),
+                     "modified"))
+    return Listing(rel, files)
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """Files under ``paths``: ``path, file_name, length, modified`` (see
+    :func:`scan_files`)."""
+    return scan_files(spark, paths, glob).files
 
 
 def latest_file(spark: SparkSession, paths, contains: str, glob: str | None = None) -> str | None:

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "32")
          .getOrCreate())
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", ck)
