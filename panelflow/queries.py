@@ -59,21 +59,23 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderdate").alias("log_time"), "o_orderpriority")
 
 
-def write_delivery(df: DataFrame, path: str, feed=EVENTS, day=None) -> str:
+def write_delivery(df: DataFrame, path: str, feed=EVENTS, day=None, spread: bool = False) -> str:
     """Write ``df`` as one headerless delimited file set per day.
 
-    ``day`` (a Column) names the folder each row lands in.
+    ``day`` (a Column) names the folder each row lands in. Without
+    ``spread`` each task writes the days it holds (no shuffle). With
+    ``spread`` (thousands of days) day ranges go to separate tasks, so each
+    writes a few folders; the row hash splits a hot day over several tasks
+    and is the same on a retry.
     """
     day = F.date_format(F.col("ts"), "yyyy-MM-dd") if day is None else day
     opts = {"sep": feed.sep, "header": "false", "encoding": feed.encoding, "lineSep": "\n"}
     opts.update(feed.options)
-    # day ranges spread over tasks, so each task writes a few day folders;
-    # the row hash splits a hot day over several tasks and stays the same
-    # on a retry
-    salt = F.xxhash64(*df.columns)
-    n = df.sparkSession.sparkContext.defaultParallelism
-    (df.withColumn("day", day).repartitionByRange(n, "day", salt)
-     .write.mode("overwrite").partitionBy("day").options(**opts).csv(path))
+    out = df.withColumn("day", day)
+    if spread:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        out = out.repartitionByRange(n, "day", F.xxhash64(*df.columns))
+    out.write.mode("overwrite").partitionBy("day").options(**opts).csv(path)
     return path
 
 
@@ -339,7 +341,7 @@ def q_backfill_load(spark, sf_dir):
     file set per ship day (thousands of days), every day loaded by one plan."""
     li = table(spark, sf_dir, "lineitem")
     landing = write_delivery(li, staging_path(spark, "lineitem-delivery"), LINEITEM,
-                             day=F.date_format("l_shipdate", "yyyy-MM-dd"))
+                             day=F.date_format("l_shipdate", "yyyy-MM-dd"), spread=True)
     days = li.select(F.col("l_shipdate").cast("date").alias("d"))
     target = staging_path(spark, "lineitem-loaded")
     res = usage_load(spark, landing, LINEITEM, days, target=target, import_day=IMPORT_DAY, match="day")
