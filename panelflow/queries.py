@@ -264,14 +264,18 @@ def _mark_empty(path: str):
     import pandas as pd
 
     def run(batches):
+        import uuid
         from pyarrow import fs as pafs
         root = path[len("file:"):] if path.startswith("file:") else path
         fsys, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
         for pdf in batches:
             for day in pdf["day"]:
-                fsys.create_dir(f"{base}/day={day}", recursive=True)
-                with fsys.open_output_stream(f"{base}/day={day}/part-empty.csv") as out:
+                folder = f"{base}/day={day}"
+                fsys.create_dir(folder, recursive=True)
+                tmp = f"{folder}/.part-empty.{uuid.uuid4().hex}.tmp"
+                with fsys.open_output_stream(tmp) as out:
                     out.write(b"" if int(day[-2:]) % 2 == 0 else b"\xef\xbb\xbf")
+                fsys.move(tmp, f"{folder}/part-empty.csv")   # a retried task rewrites it whole
             yield pd.DataFrame({"day": pdf["day"]})
     return run
 
@@ -425,6 +429,7 @@ def _zip_parts(path: str, out: str):
     def run(batches):
         import io
         import re
+        import uuid
         import zipfile
         from pyarrow import fs as pafs
         root = out[len("file:"):] if out.startswith("file:") else out
@@ -440,8 +445,10 @@ def _zip_parts(path: str, out: str):
                 with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
                     z.writestr("readme.txt", b"other member")
                     z.writestr("events.txt", content)
-                with fsys.open_output_stream(f"{base}/{name}") as o:
+                tmp = f"{base}/.{name}.{uuid.uuid4().hex}.tmp"
+                with fsys.open_output_stream(tmp) as o:
                     o.write(buf.getvalue())
+                fsys.move(tmp, f"{base}/{name}")
                 names.append(name)
         yield pd.DataFrame({"name": names})
     return run
