@@ -84,8 +84,9 @@ def run_outcome(spark: SparkSession, plan: DataFrame, recon: DataFrame,
 
     ``ERROR`` on an exception or a missing delivery, ``WARNING`` when an
     expected file was empty (loaded or not, per policy), else ``OK``;
-    with loaded days, skipped days, rows loaded and whether every day's
-    parsed count equals its raw line count. Inputs are per-day frames
+    with loaded days, skipped days, rows loaded, whether every day's
+    parsed count equals its raw line count, and the per-day counts as
+    JSON (``checks``) for a reader to compare. Inputs are per-day frames
     (one row per requested day), so the lists stay small.
     """
     none = spark.createDataFrame([], f"{col} date")
@@ -102,4 +103,7 @@ def run_outcome(spark: SparkSession, plan: DataFrame, recon: DataFrame,
         _dates_text(missing, col).alias("missing_dates"),
         recon.select(F.coalesce(F.sum("count_df"), F.lit(0)).cast("bigint")).scalar().alias("n_rows"),
         recon.select(F.coalesce(F.bool_and("matched"), F.lit(True))).scalar().alias("all_matched"),
+        recon.select(F.to_json(F.sort_array(F.collect_list(F.struct(
+            F.date_format(col, "yyyy-MM-dd").alias(col), "count_df", "count_raw"))))).scalar()
+        .alias("checks"),
         F.lit(error).cast("string").alias("error"))

@@ -236,3 +236,5 @@ def test_reconcile_flags_a_mismatch(spark, tmp_path):
     assert rec == {17: (3, 2, False), 18: (2, 2, True)}
     out = res.outcome.first()
     assert out.status == "OK" and out.all_matched is False
+    assert out.checks == ('[{"ref_date":"2023-05-17","count_df":3,"count_raw":2},'
+                          '{"ref_date":"2023-05-18","count_df":2,"count_raw":2}]')
