@@ -607,7 +607,9 @@ ORACLE_SQL = {
     "expected_files":
         "SELECT DISTINCT CAST(ts AS DATE) AS ref_date, 'usage-' || strftime(CAST(ts AS DATE), '%Y%m%dT000000Z') "
         "|| '-' || strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y%m%dT000000Z') || '.zip' AS archive_name, "
-        "'events_' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '.txt' AS file_name FROM events",
+        "'events_' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '.txt' AS file_name, "
+        "strftime(CAST(ts AS DATE), '%Y%m%dT000000Z') AS start_key, "
+        "strftime(CAST(ts AS DATE) + INTERVAL 1 DAY, '%Y%m%dT000000Z') AS end_key FROM events",
     "query_df":
         "SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority",
     "empty_feeds": f"SELECT d AS ref_date FROM ({_BAD}) b",

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelflow.functions.columns import date_key
 from panelflow.schemas import ISO_DAY, STAMP_DAY, Feed, feed as _feed
 
 LISTING_SCHEMA = "path string, file_name string, length bigint, modified timestamp"
@@ -81,11 +82,11 @@ def _render(template: str, d: Column, day_format: str) -> Column:
             parts.append(F.lit(template[pos:m.start()]))
         key = m.group(1)
         if key == "start":
-            parts.append(F.date_format(d, STAMP_DAY))
+            parts.append(date_key(d, STAMP_DAY))
         elif key == "end":
-            parts.append(F.date_format(F.date_add(d, 1), STAMP_DAY))
+            parts.append(date_key(d, STAMP_DAY, days=1))
         else:
-            parts.append(F.date_format(d, day_format))
+            parts.append(date_key(d, day_format))
         pos = m.end()
     if pos < len(template):
         parts.append(F.lit(template[pos:]))
@@ -94,7 +95,8 @@ def _render(template: str, d: Column, day_format: str) -> Column:
 
 def expected_files(spark: SparkSession, days, feed: Feed | str, *,
                    today: _dt.date | None = None, col: str = "d") -> DataFrame:
-    """One row per expected delivery: day, archive name, file name.
+    """One row per expected delivery: day, archive name, file name and
+    the ``yyyyMMdd'T'000000'Z'`` start and end stamps of the day.
 
     ``days`` is a DataFrame with a date column ``col``, a list of days, a
     ``(first, last)`` pair (expanded by ``sequence``), or None for the
@@ -116,7 +118,9 @@ def expected_files(spark: SparkSession, days, feed: Feed | str, *,
     return (df.select(d.alias("ref_date")).distinct()
             .select("ref_date",
                     _render(f.archive_template, F.col("ref_date"), f.file_day_format).alias("archive_name"),
-                    _render(file_tpl, F.col("ref_date"), f.file_day_format).alias("file_name")))
+                    _render(file_tpl, F.col("ref_date"), f.file_day_format).alias("file_name"),
+                    date_key("ref_date", STAMP_DAY).alias("start_key"),
+                    date_key("ref_date", STAMP_DAY, days=1).alias("end_key")))
 
 
 def file_day(file_name: Column, feed: Feed | str) -> Column:

@@ -238,3 +238,19 @@ def test_reconcile_flags_a_mismatch(spark, tmp_path):
     assert out.status == "OK" and out.all_matched is False
     assert out.checks == ('[{"ref_date":"2023-05-17","count_df":3,"count_raw":2},'
                           '{"ref_date":"2023-05-18","count_df":2,"count_raw":2}]')
+
+
+def test_run_control_on_the_run_log(spark, tmp_path):
+    p = str(tmp_path / "log")
+    _, a = log_start(spark, p, 88, 2, "started", now=dt.datetime(2024, 1, 4, 9))
+    log_status(spark, p, a, 1, "done", now=dt.datetime(2024, 1, 4, 10))
+    _, b = log_start(spark, p, 89, 2, "started", now=dt.datetime(2024, 1, 4, 9))
+    log_start(spark, p, 89, 2, "started late", now=dt.datetime(2024, 1, 6, 9))   # after the day
+    runs = current_runs(spark, p).withColumnRenamed("started", "t").drop("log_time") \
+        .withColumnRenamed("t", "log_time")
+    req = spark.createDataFrame([("pld", 88, [1, 3]), ("pld", 89, [1]), ("chk", 89, [2])],
+                                "gate_id string, task_id int, allowed array<int>")
+    res = {r.gate_id: (r.passed, r.may_run) for r in run_control(runs, req, "2024-01-05").collect()}
+    assert res == {"pld": (False, False), "chk": (True, True)}
+    sat = {r.gate_id: (r.is_holiday, r.may_run) for r in run_control(runs, req, "2024-01-06").collect()}
+    assert sat["chk"] == (True, False)           # Saturday counts as holiday by default
