@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from panelflow.functions.columns import add_import_date, place_columns
 from panelflow.schemas import Feed, feed as _feed
+from panelflow.sinks.tables import append_table, load_dates
 from panelflow.sources.usage import FILE_COL, finish_read, read_schema, reader_options
 
 
@@ -28,25 +30,44 @@ def new_files_stream(spark: SparkSession, landing: str, feed: Feed | str,
     return finish_read(r.csv(landing), f)
 
 
-def ingest_new_files(spark: SparkSession, landing: str, feed: Feed | str, target: str,
+def ingest_new_files(spark: SparkSession, landing: str, feed: Feed | str, target: str | None,
                      checkpoint: str, *, import_day: _dt.date | None = None,
                      archive_dir: str | None = None,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Load every file not yet loaded into ``target`` (parquet,
-    partitioned by the reference date) and stop (``availableNow``).
+                     max_files_per_trigger: int | None = None,
+                     mode: str = "append", jdbc: Mapping | None = None) -> StreamingQuery:
+    """Load every file not yet loaded and stop (``availableNow``).
 
     Replaces the daily loop, the date list and the file moves: run it on a
     schedule; a re-run adds nothing, a late file is picked up by the next
     run. With ``archive_dir`` processed files are moved there by Spark
     (``cleanSource``). The checkpoint belongs in the shared folder.
+
+    ``mode``:
+
+    * ``append``: parquet sink partitioned by the reference date; the
+      sink's own log makes each file's rows appear exactly once.
+    * ``replace_days``: each micro-batch replaces the days it carries (K4
+      through ``foreachBatch``), so a retried batch, or a day delivered
+      again under a new file, leaves one copy of that day. Use it when a
+      day is one file.
+    * ``jdbc`` given: each micro-batch is appended to the JDBC table (K1);
+      a batch retried after a failure may be appended twice.
     """
     f = _feed(feed)
     df = new_files_stream(spark, landing, f, max_files_per_trigger, archive_dir)
     df = df.drop(FILE_COL)
     df = add_import_date(df, f.import_col, today=import_day)
     df = place_columns(df, [f.ref_col, f.import_col], 0)
-    q = (df.writeStream.format("parquet").option("path", target)
-         .option("checkpointLocation", checkpoint).partitionBy(f.ref_col)
-         .outputMode("append").trigger(availableNow=True).start())
+    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if jdbc is not None:
+        w = w.foreachBatch(lambda batch, _id: append_table(batch, jdbc=jdbc))
+    elif mode == "replace_days":
+        w = w.foreachBatch(lambda batch, _id: load_dates(batch, target, f.ref_col))
+    elif mode == "append":
+        w = (w.format("parquet").option("path", target).partitionBy(f.ref_col)
+             .outputMode("append"))
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    q = w.start()
     q.awaitTermination()
     return q

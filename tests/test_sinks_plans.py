@@ -254,3 +254,18 @@ def test_run_control_on_the_run_log(spark, tmp_path):
     assert res == {"pld": (False, False), "chk": (True, True)}
     sat = {r.gate_id: (r.is_holiday, r.may_run) for r in run_control(runs, req, "2024-01-06").collect()}
     assert sat["chk"] == (True, False)           # Saturday counts as holiday by default
+
+
+def test_ingest_replace_days_keeps_one_copy_per_day(spark, tmp_path):
+    f = Feed("s", _schema("a string, n int"), file_prefix="s_", import_col="import_date")
+    land = tmp_path / "land"
+    (land / "a").mkdir(parents=True)
+    (land / "a" / "s_2024-01-01.txt").write_text("x\t1\ny\t2\n")
+    (land / "a" / "s_2024-01-02.txt").write_text("z\t3\n")
+    target, ck = str(tmp_path / "t"), str(tmp_path / "ck")
+    ingest_new_files(spark, str(land), f, target, ck, mode="replace_days")
+    (land / "b").mkdir()
+    (land / "b" / "s_2024-01-01.txt").write_text("x2\t10\n")      # day 1 delivered again
+    ingest_new_files(spark, str(land), f, target, ck, mode="replace_days")
+    got = sorted((r.ref_date.day, r.a) for r in spark.read.parquet(target).collect())
+    assert got == [(1, "x2"), (2, "z")]
