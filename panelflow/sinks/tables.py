@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,9 +61,14 @@ def append_new(src: DataFrame, target: str, key: str, *, fmt: str = "parquet",
                spark: SparkSession | None = None) -> None:
     """K3: append the source rows whose key the target lacks (J1, ``NOT IN``);
     rows already in the target never change. Columns are written in the
-    target's order."""
+    target's order. A target that does not exist yet is created from all
+    source rows."""
     spark = spark or src.sparkSession
-    tgt = spark.read.format(fmt).load(target)
+    try:
+        tgt = spark.read.format(fmt).load(target)
+    except AnalysisException:   # no table yet: NOT IN an empty set keeps every row
+        src.write.format(fmt).save(target)
+        return
     new = new_keys(src, tgt, key).select(*tgt.columns)
     # computed from the target's listing taken now; the append adds files
     new.write.mode("append").format(fmt).save(target)
