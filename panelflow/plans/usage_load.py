@@ -191,3 +191,34 @@ def daily_load(spark: SparkSession, archives: str, feed: Feed | str, days=None,
         what = "missing archive or member"
         return LoadResult(run_outcome(spark, none, recon, missing=missing, error=what), recon, [])
     return usage_load(spark, work_dir, f, days, target=target, **kw)
+
+
+def daily_loads(spark: SparkSession, archives: str, feeds: list[Feed | str], days=None, *,
+                targets: Mapping[str, str], work_dir: str | None = None,
+                **kw) -> dict[str, LoadResult]:
+    """D1 for several feeds delivered in the same archives (App, Web and
+    Media come in one zip per day): every archive is opened once for all
+    members, then each feed is loaded from the shared extraction folder
+    (file names differ per feed). A feed whose member is missing ends as
+    ``ERROR``; the others still load."""
+    fs = [_feed(f) for f in feeds]
+    work_dir = work_dir or staging_path(spark, "usage-extracted")
+    expected = _small(expected_files(spark, days, fs[0], today=kw.get("today")))
+    lst = list_files(spark, archives, "*.zip").select("path", F.col("file_name").alias("archive_name"))
+    paths = [r.path for r in expected.join(lst, "archive_name").select("path").collect()]
+    got = (archive_members(spark, paths, [f.archive_member for f in fs], work_dir, fs).collect()
+           if paths else [])
+    n_days = expected.count()
+    out = {}
+    for f in fs:
+        found = {r.archive.rsplit("/", 1)[-1] for r in got if r.member == f.archive_member and r.found}
+        if len(found) < n_days:
+            none = spark.createDataFrame([], "ref_date date")
+            have = spark.createDataFrame([(a,) for a in sorted(found)], "archive_name string")
+            missing = expected.join(have, "archive_name", "left_anti").select("ref_date")
+            recon = spark.createDataFrame([], RECON_SCHEMA)
+            out[f.name] = LoadResult(run_outcome(spark, none, recon, missing=missing,
+                                                 error="missing archive or member"), recon, [])
+        else:
+            out[f.name] = usage_load(spark, work_dir, f, days, target=targets[f.name], **kw)
+    return out

@@ -19,11 +19,13 @@ def _uri(path: str) -> str:
     return path if "://" in path else "file://" + path
 
 
-def _extract(member: str, out_dir: str, day_rx: str | None, name_tpl: str | None):
-    """Per-partition extractor: streams the member to the shared folder.
+def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str):
+    """Per-partition extractor: streams each wanted member to the shared folder.
 
-    The output name is a function of the archive alone, so a retried task
-    rewrites the same file (safe under executor loss).
+    ``wanted``: (member, day regex, name template) triples; every archive
+    is opened once for all of them. Output names depend on the archive and
+    member only, so a retried task rewrites the same files (safe under
+    executor loss), each first written under a temporary name.
     """
     import io
     import re
@@ -41,26 +43,28 @@ def _extract(member: str, out_dir: str, day_rx: str | None, name_tpl: str | None
                 stem = path.rsplit("/", 1)[-1]
                 try:
                     zf = zipfile.ZipFile(io.BytesIO(content))
-                    info = next((i for i in zf.infolist() if i.filename.rsplit("/", 1)[-1] == member
-                                 or i.filename == member), None)
+                    infos = zf.infolist()
                 except zipfile.BadZipFile:
-                    info = None
-                if info is None:
-                    rows.append((path, member, False, None, None))
-                    continue
-                name = stem.rsplit(".", 1)[0] + "__" + member
-                m = re.search(day_rx, stem) if day_rx else None
-                if m:
-                    name = name_tpl.format(y=m.group(1), m=m.group(2), d=m.group(3))
-                target = f"{root}/{name}"
-                tmp = f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
-                with zf.open(info) as src, filesystem.open_output_stream(tmp) as dst:
-                    n = 0
-                    while chunk := src.read(1 << 20):
-                        dst.write(chunk)
-                        n += len(chunk)
-                filesystem.move(tmp, target)   # readers never see a half-written file
-                rows.append((path, member, True, target, n))
+                    zf, infos = None, []
+                for member, day_rx, name_tpl in wanted:
+                    info = next((i for i in infos if i.filename.rsplit("/", 1)[-1] == member
+                                 or i.filename == member), None)
+                    if info is None:
+                        rows.append((path, member, False, None, None))
+                        continue
+                    name = stem.rsplit(".", 1)[0] + "__" + member
+                    m = re.search(day_rx, stem) if day_rx else None
+                    if m:
+                        name = name_tpl.format(y=m.group(1), m=m.group(2), d=m.group(3))
+                    target = f"{root}/{name}"
+                    tmp = f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
+                    with zf.open(info) as src, filesystem.open_output_stream(tmp) as dst:
+                        n = 0
+                        while chunk := src.read(1 << 20):
+                            dst.write(chunk)
+                            n += len(chunk)
+                    filesystem.move(tmp, target)   # readers never see a half-written file
+                    rows.append((path, member, True, target, n))
             yield pd.DataFrame(rows, columns=["archive", "member", "found", "out_path", "bytes"])
     return run
 
@@ -75,18 +79,27 @@ def _day_pattern(f: Feed) -> tuple[str, str]:
     return r"(\d{4})[-_](\d{2})[-_](\d{2})", tpl
 
 
-def archive_members(spark: SparkSession, paths: str | Sequence[str], member: str, out_dir: str,
-                    feed: Feed | str | None = None, glob: str = "*.zip") -> DataFrame:
-    """Extract ``member`` from every archive under ``paths`` into ``out_dir``.
+def archive_members(spark: SparkSession, paths: str | Sequence[str],
+                    member: str | Sequence[str], out_dir: str,
+                    feed: Feed | str | Sequence[Feed | str] | None = None,
+                    glob: str = "*.zip") -> DataFrame:
+    """Extract ``member`` (one name or several) from every archive under
+    ``paths`` into ``out_dir``, reading each archive once.
 
-    Returns one row per archive (``found`` false when the member is absent;
-    every member of every archive is looked at, not only the first). With a
-    ``feed`` the extracted file is named ``<prefix><day><suffix>``, the day
-    read from the archive name, so the usage reader takes its reference
-    date from it. Lazy: run one action on the result.
+    Returns one row per archive and member (``found`` false when the member
+    is absent; every member of every archive is looked at, not only the
+    first). With ``feed`` (one per member) the extracted file is named
+    ``<prefix><day><suffix>``, the day read from the archive name, so the
+    usage reader takes its reference date from it. Lazy: run one action on
+    the result.
     """
     plist = [paths] if isinstance(paths, str) else list(paths)
-    day_rx, name_tpl = _day_pattern(_feed(feed)) if feed is not None else (None, None)
+    members = [member] if isinstance(member, str) else list(member)
+    feeds = feed if isinstance(feed, (list, tuple)) else [feed] * len(members)
+    wanted = []
+    for m, f in zip(members, feeds):
+        day_rx, name_tpl = _day_pattern(_feed(f)) if f is not None else (None, None)
+        wanted.append((m, day_rx, name_tpl))
     src = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
            .option("recursiveFileLookup", "true").load(plist).select("path", "content"))
-    return src.mapInPandas(_extract(member, out_dir, day_rx, name_tpl), OUT_SCHEMA)
+    return src.mapInPandas(_extract(wanted, out_dir), OUT_SCHEMA)

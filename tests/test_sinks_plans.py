@@ -269,3 +269,24 @@ def test_ingest_replace_days_keeps_one_copy_per_day(spark, tmp_path):
     ingest_new_files(spark, str(land), f, target, ck, mode="replace_days")
     got = sorted((r.ref_date.day, r.a) for r in spark.read.parquet(target).collect())
     assert got == [(1, "x2"), (2, "z")]
+
+
+def test_daily_loads_open_each_archive_once(spark, tmp_path):
+    from panelflow.plans.usage_load import daily_loads
+    from panelflow.schemas import WEB
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    web_line = ("\t".join(["w"] * 35) + "\t42\n").encode("utf-16-le")
+    _zip(arch / "usage-20230517T000000Z-20230518T000000Z.zip",
+         [("d/app.txt", _app_bytes(2)), ("d/web.txt", b"\xff\xfe" + web_line * 3)])
+    _zip(arch / "usage-20230518T000000Z-20230519T000000Z.zip", [("d/app.txt", _app_bytes(1))])
+    targets = {"app": str(tmp_path / "app"), "web": str(tmp_path / "web")}
+    res = daily_loads(spark, str(arch), [APP, WEB], ("2023-05-17", "2023-05-18"), targets=targets,
+                      work_dir=str(tmp_path / "work"))
+    a, w = res["app"].outcome.first(), res["web"].outcome.first()
+    assert (a.status, a.n_rows) == ("OK", 3)
+    assert w.status == "ERROR" and w.missing_dates == "2023-05-18"
+    res = daily_loads(spark, str(arch), [APP, WEB], ["2023-05-17"], targets=targets,
+                      work_dir=str(tmp_path / "work2"))
+    assert res["web"].outcome.first().n_rows == 3
+    assert spark.read.parquet(targets["web"]).first().AppClientKey == "42"
