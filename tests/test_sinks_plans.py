@@ -290,3 +290,18 @@ def test_daily_loads_open_each_archive_once(spark, tmp_path):
                       work_dir=str(tmp_path / "work2"))
     assert res["web"].outcome.first().n_rows == 3
     assert spark.read.parquet(targets["web"]).first().AppClientKey == "42"
+
+
+def test_command_line_daily_load(tmp_path):
+    import json
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    arch = tmp_path / "arch"
+    arch.mkdir()
+    _zip(arch / "usage-20230517T000000Z-20230518T000000Z.zip", [("d/app.txt", _app_bytes(2))])
+    r = subprocess.run([sys.executable, "-m", "panelflow", "--master", "local[2]", "usage", "--feed", "app",
+                        "--archives", str(arch), "--target", str(tmp_path / "t"), "--days", "2023-05-17"],
+                       cwd=ROOT, capture_output=True, text=True, timeout=600)
+    out = json.loads(r.stdout.strip().splitlines()[-1])
+    assert r.returncode == 0 and out["status"] == "OK" and out["n_rows"] == 2, r.stderr[-1500:]
