@@ -7,6 +7,7 @@ import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,12 @@ def scan_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    rel = r.load(paths)
+    try:
+        rel = r.load(paths)
+    except AnalysisException:   # folder absent: nothing delivered
+        rel = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, "
+                                        "content binary")
+        return Listing(rel, spark.createDataFrame([], LISTING_SCHEMA))
     sized = rel.select(_key(F.col("path")).alias("__k"),
                        F.col("length").cast("bigint").alias("length"),
                        F.col("modificationTime").alias("modified"))

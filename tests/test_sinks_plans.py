@@ -305,3 +305,12 @@ def test_command_line_daily_load(tmp_path):
                        cwd=ROOT, capture_output=True, text=True, timeout=600)
     out = json.loads(r.stdout.strip().splitlines()[-1])
     assert r.returncode == 0 and out["status"] == "OK" and out["n_rows"] == 2, r.stderr[-1500:]
+
+
+def test_absent_or_empty_landing_is_an_error_outcome(spark, tmp_path):
+    res = usage_load(spark, str(tmp_path / "nowhere"), APP, ("2023-05-17", "2023-05-18"), target=str(tmp_path / "t"))
+    o = res.outcome.first()
+    assert o.status == "ERROR" and o.missing_dates == "2023-05-17,2023-05-18"
+    (tmp_path / "empty").mkdir()
+    assert usage_load(spark, str(tmp_path / "empty"), APP, ["2023-05-17"],
+                      target=str(tmp_path / "t")).outcome.first().status == "ERROR"
