@@ -9,8 +9,9 @@ outcome (Q4). No loop over dates: the date is taken from each file path.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from collections import Counter
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +143,12 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
         raise ValueError(f"unknown mode {mode!r}")
     parsed = parsed_count(loaded, f.ref_col).withColumnRenamed(f.ref_col, "ref_date")
     raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
+    if f.header:   # every delivered file starts with one header line
+        n_files = Counter(r.ref_date for r in picked)
+        per_day = spark.createDataFrame(sorted(n_files.items()), "ref_date date, n_files bigint")
+        raw = (raw.join(per_day, "ref_date", "left")
+               .select("ref_date", (F.col("count_raw") - F.coalesce(F.col("n_files"), F.lit(0)))
+                       .alias("count_raw")))
     recon = _small(reconcile(parsed, raw, "ref_date"))   # one row per day
     return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
 
