@@ -26,7 +26,7 @@ from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, wit
 from panelflow.plans.run_control import run_control
 from panelflow.plans.snapshot import snapshot_refresh
 from panelflow.plans.usage_load import usage_load
-from panelflow.schemas import EVENTS, STAMP_DAY, UNDERSCORE_DAY, Feed, _schema
+from panelflow.schemas import COMPLIANCE, EVENTS, STAMP_DAY, UNDERSCORE_DAY, Feed, _schema
 from panelflow.session import staging_path
 from panelflow.sinks.runlog import append_events, current_runs
 from panelflow.sinks.tables import (
@@ -69,7 +69,10 @@ def write_delivery(df: DataFrame, path: str, feed=EVENTS, day=None, spread: bool
     and is the same on a retry.
     """
     day = F.date_format(F.col("ts"), "yyyy-MM-dd") if day is None else day
-    opts = {"sep": feed.sep, "header": "false", "encoding": feed.encoding, "lineSep": "\n"}
+    opts = {"sep": feed.sep, "header": str(feed.header).lower(), "encoding": feed.encoding,
+            "lineSep": "\n"}
+    if feed.header:
+        opts["escape"] = '"'          # header feeds follow common CSV quoting
     opts.update(feed.options)
     out = df.withColumn("day", day)
     if spread:
@@ -355,6 +358,21 @@ def q_backfill_load(spark, sf_dir):
                                              "l_returnflag", "l_shipdate")
 
 
+def q_compliance_load(spark, sf_dir):
+    """D3: ``events`` delivered as daily header CSV files (``yyyy_MM_dd``
+    days), types inferred as pandas would, all-or-nothing policy."""
+    f = COMPLIANCE.with_(options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
+    landing = write_delivery(ev, staging_path(spark, "compliance-delivery"), f,
+                             day=F.date_format("ts", "yyyy_MM_dd"))
+    target = staging_path(spark, "compliance-loaded")
+    res = usage_load(spark, landing, f, _event_days(spark, sf_dir), target=target,
+                     import_day=IMPORT_DAY, match="day")
+    if res.outcome.first().status != "OK":
+        raise RuntimeError("compliance load did not run cleanly")
+    return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
+
+
 def q_usage_load(spark, sf_dir):
     path = stage_events(spark, sf_dir)
     target = staging_path(spark, "events-loaded")
@@ -535,6 +553,7 @@ QUERIES = {
     "run_outcome": q_run_outcome,
     "usage_load": q_usage_load,
     "backfill_load": q_backfill_load,
+    "compliance_load": q_compliance_load,
     "append_table": q_append_table,
     "replace_table": q_replace_table,
     "load_dates": q_load_dates,
@@ -629,6 +648,9 @@ ORACLE_SQL = {
     "backfill_load":
         "SELECT CAST(l_shipdate AS DATE) AS ref_date, l_orderkey, l_linenumber, l_quantity, l_returnflag, "
         "l_shipdate FROM lineitem",
+    "compliance_load":
+        "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, "
+        "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events",
     "append_table": _USAGE,
     "replace_table": _USAGE,
     "load_dates": _USAGE,
