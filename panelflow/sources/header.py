@@ -20,6 +20,10 @@ BOOL_TEXT = ("True", "TRUE", "true", "False", "FALSE", "false")
 # ----------------------------------------------------------------------------
 
 
+# Java-style '1d' / '1f' parse as doubles in Spark, not in pandas.
+_JAVA_SUFFIX = r"^\s*[+-]?[0-9.]+([eE][+-]?[0-9]+)?[dDfF]\s*$"
+
+
 def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Cast text columns to the narrowest type every value fits.
 
@@ -39,7 +43,8 @@ def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
         nn = v.isNotNull()
         aggs += [F.count(v).alias(f"n{i}"),
                  F.count_if(nn & v.try_cast("bigint").isNull()).alias(f"l{i}"),
-                 F.count_if(nn & v.try_cast("double").isNull()).alias(f"d{i}"),
+                 F.count_if(nn & (v.try_cast("double").isNull() | v.rlike(_JAVA_SUFFIX)))
+                 .alias(f"d{i}"),
                  F.count_if(nn & ~v.isin(*BOOL_TEXT)).alias(f"b{i}")]
     r = df.agg(*aggs).first()
     types = {}
