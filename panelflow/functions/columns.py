@@ -62,10 +62,26 @@ def add_import_datetime(df: DataFrame, name: str = "Data_Import_Datetime",
     return place_columns(df.withColumn(name, val), [name], position)
 
 
+# --- fixed values: how pandas' to_datetime(format='%Y%m%d') reads a day ------
+# Python's strptime fields: %Y four digits, %m 1-12 with an optional leading
+# zero, %d 1-31 with an optional leading zero or space; whole text must match.
+PY_COMPACT_DAY = r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9]| [1-9])$"
+# the days a nanosecond pandas Timestamp can hold at midnight
+PANDAS_FIRST_DAY, PANDAS_LAST_DAY = "1677-09-22", "2262-04-11"
+# ----------------------------------------------------------------------------
+
+
 def parse_compact_date(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """P5: ``yyyyMMdd`` → date; unparsable (``bad``, ``20231301``,
-    ``20230517.0``) → NULL, like pandas' ``errors='coerce'``."""
-    return df.withColumn(out or col, parse_day(F.col(col).cast("string"), "yyyyMMdd"))
+    """P5: ``yyyyMMdd`` text → date as pandas' ``to_datetime(format='%Y%m%d',
+    errors='coerce')`` reads it: single-digit month or day accepted
+    (``2023517``), anything else (``bad``, ``20231301``, ``20230230``,
+    ``20230517.0``) or outside pandas' date range → NULL."""
+    t = F.col(col).cast("string")
+    part = [F.regexp_extract(t, PY_COMPACT_DAY, i) for i in (1, 2, 3)]
+    iso = F.concat_ws("-", part[0], F.lpad(part[1], 2, "0"), F.lpad(F.trim(part[2]), 2, "0"))
+    day = F.when(t.rlike(PY_COMPACT_DAY), parse_day(iso, "yyyy-MM-dd"))
+    inside = day.between(F.lit(PANDAS_FIRST_DAY).cast("date"), F.lit(PANDAS_LAST_DAY).cast("date"))
+    return df.withColumn(out or col, F.when(inside, day))
 
 
 def date_key(c: Column | str, to: str, frm: str | None = None,

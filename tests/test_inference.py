@@ -43,3 +43,13 @@ def test_types_and_values_match_pandas(spark, tmp_path_factory, cols, data):
                 assert (math.isinf(a) and math.isinf(b)) or a == b
             else:
                 assert a == (b.item() if hasattr(b, "item") else b)
+
+
+def test_compact_dates_like_pandas(spark):
+    from panelflow.functions.columns import parse_compact_date
+    vals = ["20230517", "2023517", "202305 7", "20230230", "20231301", "bad", "20230517.0", "19991231",
+            "2023-05-17", " 20230517", "202305170", "00010101", "22620411", "22620412", "16770922"]
+    want = pd.to_datetime(pd.Series(vals, dtype=object), format="%Y%m%d", errors="coerce")
+    df = spark.createDataFrame([(v,) for v in vals], "a string")
+    got = [r.d for r in parse_compact_date(df, "a", "d").collect()]
+    assert got == [None if pd.isna(w) else w.date() for w in want]
