@@ -15,8 +15,9 @@ def _paths(paths):
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-# --- fixed values: the spellings pandas' read_csv reads as booleans ---------
-BOOL_TEXT = ("True", "TRUE", "true", "False", "FALSE", "false")
+# --- fixed values: pandas' read_csv reads these as booleans, in any letter
+# case but without surrounding spaces --------------------------------------
+BOOL_TEXT = ("true", "false")
 # ----------------------------------------------------------------------------
 
 
@@ -28,7 +29,7 @@ def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     """Cast text columns to the narrowest type every value fits.
 
     Order as pandas reads it: ``bigint``, then ``double``, then ``boolean``
-    (only the spellings in ``BOOL_TEXT``), else ``string``. A column with no
+    (``true``/``false`` in any case, untrimmed), else ``string``. A column with no
     value at all becomes ``double`` (pandas' all-NaN column). One aggregate
     over the data decides every column at once; partial aggregates keep it
     a single map-side pass plus a one-row merge.
@@ -45,7 +46,7 @@ def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
                  F.count_if(nn & v.try_cast("bigint").isNull()).alias(f"l{i}"),
                  F.count_if(nn & (v.try_cast("double").isNull() | v.rlike(_JAVA_SUFFIX)))
                  .alias(f"d{i}"),
-                 F.count_if(nn & ~v.isin(*BOOL_TEXT)).alias(f"b{i}")]
+                 F.count_if(nn & ~F.lower(v).isin(*BOOL_TEXT)).alias(f"b{i}")]
     r = df.agg(*aggs).first()
     types = {}
     for i, c in enumerate(cols):

@@ -13,7 +13,7 @@ KINDS = {
     "int": st.sampled_from(["0", "7", "-3", "+5", "00012", "123456789"]),
     "float": st.sampled_from(["1.5", "-0.25", "2.0", ".5", "5.", "1e3", "inf"]),
     "bool": st.sampled_from(["True", "False", "TRUE", "false"]),
-    "text": st.sampled_from(["abc", "1d", "0x10", "1_000", "x y", "tRuE", "é"]),
+    "text": st.sampled_from(["abc", "1d", "0x10", "1_000", "x y", "tRuE", " true", "yes", "é"]),
 }
 PANDAS_TO_SPARK = {"int64": "bigint", "float64": "double", "bool": "boolean", "object": "string"}
 
