@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app_name: str = "panelflow",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Session with the settings every operator here assumes.
 
     UTC pins naive feed timestamps (the reference left the zone to the
@@ -28,6 +28,8 @@ def get_session(master: str | None = None, app_name: str = "panelflow",
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (conf or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     # Listing many day folders runs as a Spark job with one task per path up
     # to this bound (default 10,000): size it to the cluster instead.
