@@ -72,9 +72,12 @@ def load_plan(expected: DataFrame, empty: DataFrame, policy: str = "skip_empty",
     return days
 
 
-def _dates_text(df: DataFrame, col: str) -> Column:
-    return df.select(F.array_join(F.sort_array(F.collect_set(
-        F.date_format(F.col(col), "yyyy-MM-dd"))), ",")).scalar()
+def _days_summary(df: DataFrame, col: str) -> Column:
+    """One scalar per frame: how many days, and the days as sorted text."""
+    day = F.date_format(F.col(col), "yyyy-MM-dd")
+    return df.select(F.struct(F.countDistinct(col).alias("n"),
+                              F.array_join(F.sort_array(F.collect_set(day)), ",").alias("text"))
+                     ).scalar()
 
 
 def run_outcome(spark: SparkSession, plan: DataFrame, recon: DataFrame,
@@ -87,23 +90,27 @@ def run_outcome(spark: SparkSession, plan: DataFrame, recon: DataFrame,
     with loaded days, skipped days, rows loaded, whether every day's
     parsed count equals its raw line count, and the per-day counts as
     JSON (``checks``) for a reader to compare. Inputs are per-day frames
-    (one row per requested day), so the lists stay small.
+    (one row per requested day), so the lists stay small; each is
+    summarised by a single scalar subquery.
     """
     none = spark.createDataFrame([], f"{col} date")
-    missing = missing if missing is not None else none
-    empty = empty if empty is not None else none
-    n_missing = missing.select(F.count(F.lit(1))).scalar()
-    n_empty = empty.select(F.countDistinct(col)).scalar()
-    status = (F.when(F.lit(error is not None) | (n_missing > 0), F.lit("ERROR"))
-              .when(n_empty > 0, F.lit("WARNING")).otherwise(F.lit("OK")))
+    missing = _days_summary(missing if missing is not None else none, col)
+    empty = _days_summary(empty if empty is not None else none, col)
+    loaded = _days_summary(plan, col)
+    counts = recon.select(F.struct(
+        F.coalesce(F.sum("count_df"), F.lit(0)).cast("bigint").alias("rows"),
+        F.coalesce(F.bool_and("matched"), F.lit(True)).alias("matched"),
+        F.to_json(F.sort_array(F.collect_list(F.struct(
+            F.date_format(col, "yyyy-MM-dd").alias(col), "count_df", "count_raw")))).alias("checks"))
+    ).scalar()
+    status = (F.when(F.lit(error is not None) | (missing["n"] > 0), F.lit("ERROR"))
+              .when(empty["n"] > 0, F.lit("WARNING")).otherwise(F.lit("OK")))
     return spark.range(1).select(
         status.alias("status"),
-        _dates_text(plan, col).alias("loaded_dates"),
-        _dates_text(empty, col).alias("skipped_dates"),
-        _dates_text(missing, col).alias("missing_dates"),
-        recon.select(F.coalesce(F.sum("count_df"), F.lit(0)).cast("bigint")).scalar().alias("n_rows"),
-        recon.select(F.coalesce(F.bool_and("matched"), F.lit(True))).scalar().alias("all_matched"),
-        recon.select(F.to_json(F.sort_array(F.collect_list(F.struct(
-            F.date_format(col, "yyyy-MM-dd").alias(col), "count_df", "count_raw"))))).scalar()
-        .alias("checks"),
+        loaded["text"].alias("loaded_dates"),
+        empty["text"].alias("skipped_dates"),
+        missing["text"].alias("missing_dates"),
+        counts["rows"].alias("n_rows"),
+        counts["matched"].alias("all_matched"),
+        counts["checks"].alias("checks"),
         F.lit(error).cast("string").alias("error"))
