@@ -315,3 +315,15 @@ def test_absent_or_empty_landing_is_an_error_outcome(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     assert usage_load(spark, str(tmp_path / "empty"), APP, ["2023-05-17"],
                       target=str(tmp_path / "t")).outcome.first().status == "ERROR"
+
+
+def test_usage_load_append_mode(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    _app_file(land / "usage_app_2023-05-17.txt", 3)
+    target = str(tmp_path / "t")
+    for _ in range(2):
+        res = usage_load(spark, str(land), APP, ["2023-05-17"], target=target, mode="append")
+        o = res.outcome.first()
+        assert (o.status, o.n_rows, o.all_matched) == ("OK", 3, True)   # counted from this run's files
+    assert spark.read.parquet(target).count() == 6                     # append keeps both runs
