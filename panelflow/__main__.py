@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from panelflow.schemas import FEEDS
@@ -52,6 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--target-root")
     u.add_argument("--days")
     u.add_argument("--mode", default="replace", choices=["replace", "append"])
+    u.add_argument("--password-env", help="environment variable holding the archive password")
 
     s = sub.add_parser("snapshot", help="panelist snapshot refresh (D2)")
     s.add_argument("--landing", required=True)
@@ -89,11 +91,12 @@ def main(argv: list[str] | None = None) -> int:
             targets = {n: f"{root}/{n}" for n in names}
         else:
             targets = {names[0]: a.target}
+        pwd = os.environ.get(a.password_env) if a.password_env else None
         if a.archives and len(names) > 1:
-            res = daily_loads(spark, a.archives, names, days, targets=targets, mode=a.mode)
+            res = daily_loads(spark, a.archives, names, days, targets=targets, mode=a.mode, password=pwd)
         elif a.archives:
             res = {names[0]: daily_load(spark, a.archives, names[0], days, target=targets[names[0]],
-                                        mode=a.mode)}
+                                        mode=a.mode, password=pwd)}
         else:
             res = {n: usage_load(spark, a.landing, n, days, target=targets[n], mode=a.mode) for n in names}
         return max(_emit(n, r.outcome.first()) for n, r in res.items())

@@ -154,7 +154,8 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
 
 
 def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
-                       out_dir: str | None = None, today: _dt.date | None = None) -> DataFrame:
+                       out_dir: str | None = None, today: _dt.date | None = None,
+                       password: str | None = None) -> DataFrame:
     """S7 → Q2 → S6 for archived deliveries: one row per expected day with
     ``archive_found``, ``member_found`` and the extracted file's path.
 
@@ -169,7 +170,7 @@ def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, day
     present = expected.join(lst, "archive_name", "left")
     paths = [r.path for r in present.filter(F.col("path").isNotNull()).select("path").collect()]
     if paths:
-        got = archive_members(spark, paths, f.archive_member, out_dir, f)
+        got = archive_members(spark, paths, f.archive_member, out_dir, f, password=password)
     else:
         got = spark.createDataFrame([], OUT_SCHEMA)
     key = F.regexp_replace(F.col("path"), r"^file:/+", "file:/")
@@ -182,14 +183,15 @@ def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, day
 
 
 def daily_load(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
-               target: str | None = None, work_dir: str | None = None, **kw) -> LoadResult:
+               target: str | None = None, work_dir: str | None = None,
+               password: str | None = None, **kw) -> LoadResult:
     """D1 / D3 from archives: extract the expected members, then
     :func:`usage_load` the extracted files. A missing archive or member
     ends the run as ``ERROR`` before anything is loaded."""
     f = _feed(feed)
     work_dir = work_dir or staging_path(spark, f"{f.name}-extracted")
-    ex = extract_deliveries(spark, archives, f, days, out_dir=work_dir,
-                            today=kw.get("today")).collect()   # one row per requested day
+    ex = extract_deliveries(spark, archives, f, days, out_dir=work_dir, today=kw.get("today"),
+                            password=password).collect()   # one row per requested day
     bad = sorted(r.ref_date for r in ex if not r.member_found)
     if bad:
         none = spark.createDataFrame([], "ref_date date")
@@ -202,7 +204,7 @@ def daily_load(spark: SparkSession, archives: str, feed: Feed | str, days=None,
 
 def daily_loads(spark: SparkSession, archives: str, feeds: list[Feed | str], days=None, *,
                 targets: Mapping[str, str], work_dir: str | None = None,
-                **kw) -> dict[str, LoadResult]:
+                password: str | None = None, **kw) -> dict[str, LoadResult]:
     """D1 for several feeds delivered in the same archives (App, Web and
     Media come in one zip per day): every archive is opened once for all
     members, then each feed is loaded from the shared extraction folder
@@ -213,8 +215,8 @@ def daily_loads(spark: SparkSession, archives: str, feeds: list[Feed | str], day
     expected = _small(expected_files(spark, days, fs[0], today=kw.get("today")))
     lst = list_files(spark, archives, "*.zip").select("path", F.col("file_name").alias("archive_name"))
     paths = [r.path for r in expected.join(lst, "archive_name").select("path").collect()]
-    got = (archive_members(spark, paths, [f.archive_member for f in fs], work_dir, fs).collect()
-           if paths else [])
+    got = (archive_members(spark, paths, [f.archive_member for f in fs], work_dir, fs,
+                           password=password).collect() if paths else [])
     n_days = expected.count()
     out = {}
     for f in fs:

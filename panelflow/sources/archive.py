@@ -20,7 +20,23 @@ def _uri(path: str) -> str:
     return path if "://" in path else "file://" + path
 
 
-def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str):
+def _open_zip(raw, password: bytes | None):
+    """A zip reader; AES-encrypted entries need the optional ``pyzipper``."""
+    import zipfile
+    zf = zipfile.ZipFile(raw)
+    if password and any(i.compress_type == 99 for i in zf.infolist()):   # AES entries
+        try:
+            import pyzipper
+        except ImportError as e:
+            raise RuntimeError("AES-encrypted archive: install pyzipper on the executors") from e
+        zf = pyzipper.AESZipFile(raw)
+    if password:
+        zf.setpassword(password)
+    return zf
+
+
+def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str,
+             password: bytes | None = None):
     """Per-partition extractor: opens each archive by path (seekable, so
     only the zip directory and the wanted members are read) and streams
     every wanted member to the shared folder.
@@ -28,7 +44,9 @@ def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str):
     ``wanted``: (member, day regex, name template) triples; each archive is
     opened once for all of them. Output names depend on the archive and
     member only, so a retried task rewrites the same files (safe under
-    executor loss), each first written under a temporary name.
+    executor loss), each first written under a temporary name. With
+    ``password`` encrypted members (ZipCrypto; AES with ``pyzipper``) are
+    decrypted while streaming.
     """
     import re
     import uuid
@@ -46,7 +64,7 @@ def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str):
                 in_fs, in_path = pafs.FileSystem.from_uri(_uri(path))
                 with in_fs.open_input_file(in_path) as raw:
                     try:
-                        zf = zipfile.ZipFile(raw)
+                        zf = _open_zip(raw, password)
                         infos = zf.infolist()
                     except zipfile.BadZipFile:
                         zf, infos = None, []
@@ -86,7 +104,7 @@ def _day_pattern(f: Feed) -> tuple[str, str]:
 def archive_members(spark: SparkSession, paths: str | Sequence[str],
                     member: str | Sequence[str], out_dir: str,
                     feed: Feed | str | Sequence[Feed | str] | None = None,
-                    glob: str = "*.zip") -> DataFrame:
+                    glob: str = "*.zip", password: str | None = None) -> DataFrame:
     """Extract ``member`` (one name or several) from every archive under
     ``paths`` into ``out_dir``, reading each archive once.
 
@@ -96,8 +114,8 @@ def archive_members(spark: SparkSession, paths: str | Sequence[str],
     ``<prefix><day><suffix>``, the day read from the archive name, so the
     usage reader takes its reference date from it. Each task opens its
     archive by path with random access, so archive size is not bounded by
-    what one row or one Arrow batch can hold. Lazy: run one action on the
-    result.
+    what one row or one Arrow batch can hold. ``password`` opens encrypted
+    members. Lazy: run one action on the result.
     """
     members = [member] if isinstance(member, str) else list(member)
     feeds = feed if isinstance(feed, (list, tuple)) else [feed] * len(members)
@@ -111,4 +129,5 @@ def archive_members(spark: SparkSession, paths: str | Sequence[str],
     if not archives:
         return spark.createDataFrame([], OUT_SCHEMA)
     src = spark.createDataFrame([(a,) for a in archives], "path string").repartition(len(archives))
-    return src.mapInPandas(_extract(wanted, out_dir), OUT_SCHEMA)
+    pwd = password.encode("utf-8") if password else None
+    return src.mapInPandas(_extract(wanted, out_dir, pwd), OUT_SCHEMA)

@@ -167,3 +167,25 @@ def test_utf16_split_across_many_tasks(spark, tmp_path):
         assert raw.count_raw == n
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_password_protected_member(spark, tmp_path):
+    import shutil
+    import subprocess
+    if not shutil.which("zip"):
+        pytest.skip("no zip tool to build an encrypted fixture")
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "daily_compliance.csv").write_bytes(b"PanelistId,Compliant\np1,1\n")
+    land = tmp_path / "land"
+    land.mkdir()
+    subprocess.run(["zip", "-q", "-j", "-P", "s3cret", str(land / "compliance_2023_05_17.zip"),
+                    str(src / "daily_compliance.csv")], check=True)
+    from panelflow.schemas import COMPLIANCE
+    out = str(tmp_path / "out")
+    r = archive_members(spark, str(land), "daily_compliance.csv", out, COMPLIANCE, password="s3cret").first()
+    assert r.found and r.out_path.endswith("compliance_2023_05_17.csv")
+    assert (tmp_path / "out" / "compliance_2023_05_17.csv").read_bytes().startswith(b"PanelistId")
+    with pytest.raises(Exception):
+        archive_members(spark, str(land), "daily_compliance.csv", str(tmp_path / "o2"), COMPLIANCE,
+                        password="wrong").collect()
