@@ -14,9 +14,13 @@ OUT_SCHEMA = "archive string, member string, found boolean, out_path string, byt
 
 
 def _uri(path: str) -> str:
-    """A filesystem URI pyarrow understands (plain paths become file://)."""
+    """A filesystem URI pyarrow understands: plain paths become file://,
+    Hadoop's s3a:// / s3n:// become s3:// (hdfs:// needs libhdfs)."""
     if path.startswith("file:"):
         return "file:///" + path[len("file:"):].lstrip("/")
+    for hadoop in ("s3a://", "s3n://"):
+        if path.startswith(hadoop):
+            return "s3://" + path[len(hadoop):]
     return path if "://" in path else "file://" + path
 
 
