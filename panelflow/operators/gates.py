@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelflow.functions.dates import day_from_path
 from panelflow.operators.keys import valid_dates
 from panelflow.schemas import Feed, feed as _feed
-from panelflow.sources.files import _key, scan_files
+from panelflow.sources.files import path_key, scan_files
 
 # A file this small may hold nothing but a byte-order mark (2–4 bytes).
 _MARK_MAX_BYTES = 4
@@ -41,11 +41,11 @@ def empty_feeds(spark: SparkSession, paths: str | Sequence[str], feed: Feed | st
     else:
         lst = listing
     tiny = (relation.filter(F.col("length") <= _MARK_MAX_BYTES)
-            .select(_key(F.col("path")).alias("__k"),
-                    F.length(F.regexp_replace(F.decode("content", f.encoding), "﻿", ""))
+            .select(path_key(F.col("path")).alias("__k"),
+                    F.length(F.regexp_replace(F.decode("content", f.encoding), "\ufeff", ""))
                     .alias("__chars"))
             .filter(F.col("__chars") == 0))
-    marked = lst.join(tiny, _key(F.col("path")) == F.col("__k"), "left_semi")
+    marked = lst.join(tiny, path_key(F.col("path")) == F.col("__k"), "left_semi")
     zero = lst.filter(F.col("length") == 0)
     return with_day(zero.unionByName(marked), f)
 

@@ -23,7 +23,7 @@ from panelflow.schemas import Feed, feed as _feed
 from panelflow.sinks.tables import append_table, load_dates
 from panelflow.session import staging_path
 from panelflow.sources.archive import OUT_SCHEMA, archive_members
-from panelflow.sources.files import expected_files, list_files, scan_files
+from panelflow.sources.files import expected_files, list_files, path_key, scan_files
 from panelflow.sources.header import read_header_file
 from panelflow.sources.usage import FILE_COL, raw_lines, read_usage
 from panelflow.functions.dates import day_from_path
@@ -173,9 +173,8 @@ def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, day
         got = archive_members(spark, paths, f.archive_member, out_dir, f, password=password)
     else:
         got = spark.createDataFrame([], OUT_SCHEMA)
-    key = F.regexp_replace(F.col("path"), r"^file:/+", "file:/")
-    got = got.select(F.regexp_replace("archive", r"^file:/+", "file:/").alias("__a"), "found", "out_path")
-    return (present.join(got, key == F.col("__a"), "left")
+    got = got.select(path_key(F.col("archive")).alias("__a"), "found", "out_path")
+    return (present.join(got, path_key(F.col("path")) == F.col("__a"), "left")
             .select("ref_date", "archive_name", "file_name",
                     F.col("path").isNotNull().alias("archive_found"),
                     F.coalesce(F.col("found"), F.lit(False)).alias("member_found"),

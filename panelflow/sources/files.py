@@ -17,7 +17,7 @@ from panelflow.schemas import ISO_DAY, STAMP_DAY, Feed, feed as _feed
 LISTING_SCHEMA = "path string, file_name string, length bigint, modified timestamp"
 
 
-def _key(p: Column) -> Column:
+def path_key(p: Column) -> Column:
     """``file:/x`` and ``file:///x`` name the same file."""
     return F.regexp_replace(p, r"^file:/+", "file:/")
 
@@ -47,11 +47,11 @@ def scan_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
         rel = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, "
                                         "content binary")
         return Listing(rel, spark.createDataFrame([], LISTING_SCHEMA))
-    sized = rel.select(_key(F.col("path")).alias("__k"),
+    sized = rel.select(path_key(F.col("path")).alias("__k"),
                        F.col("length").cast("bigint").alias("length"),
                        F.col("modificationTime").alias("modified"))
     every = spark.createDataFrame([(p,) for p in rel.inputFiles()], "path string")
-    files = (every.join(sized, _key(F.col("path")) == F.col("__k"), "left")
+    files = (every.join(sized, path_key(F.col("path")) == F.col("__k"), "left")
              .select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
                      F.coalesce(F.col("length"), F.lit(0)).cast("bigint").alias("length"),
                      "modified"))
