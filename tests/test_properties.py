@@ -29,7 +29,7 @@ def test_new_keys_is_not_in(spark, src, tgt):
     assert got == want
 
 
-WS = ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", " ", "\x85", "\xa0", " ", "　", "​"]
+WS = ["\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", " ", "\x85", "\xa0", "\u2003", "\u3000", "\u200b"]
 
 
 @SETTINGS
