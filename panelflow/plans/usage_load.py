@@ -95,7 +95,7 @@ def empty_days(listed: DataFrame, empty: DataFrame) -> DataFrame:
 def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
                target: str | None = None, mode: str = "replace", jdbc: Mapping | None = None,
                import_day: _dt.date | None = None, today: _dt.date | None = None,
-               match: str = "name", glob: str | None = None) -> LoadResult:
+               match: str = "name", glob: str | None = None, check_raw: bool = True) -> LoadResult:
     """Load the requested days of a feed from a landing folder.
 
     ``days``: DataFrame / list / ``(first, last)`` / None (see S7).
@@ -103,7 +103,9 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     append when ``jdbc`` is given. The feed's ``policy`` decides what an
     empty file does (Q3). A missing delivery ends the run as ``ERROR``
     without loading anything, as in the reference. ``match``: see
-    :func:`delivered_files`.
+    :func:`delivered_files`. ``check_raw=False`` skips the independent raw
+    line scan (a second pass over every input byte, the reference's check);
+    ``count_raw`` and ``matched`` are then NULL.
     """
     f = _feed(feed)
     expected = expected_files(spark, days, f, today=today)
@@ -142,6 +144,11 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     else:
         raise ValueError(f"unknown mode {mode!r}")
     parsed = parsed_count(loaded, f.ref_col).withColumnRenamed(f.ref_col, "ref_date")
+    if not check_raw:
+        recon = _small(parsed.select("ref_date", F.col("count_df").cast("bigint"),
+                                     F.lit(None).cast("bigint").alias("count_raw"),
+                                     F.lit(None).cast("boolean").alias("matched")))
+        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
     raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
     if f.header:   # every delivered file starts with one header line
         n_files = Counter(r.ref_date for r in picked)

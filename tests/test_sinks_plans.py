@@ -327,3 +327,14 @@ def test_usage_load_append_mode(spark, tmp_path):
         o = res.outcome.first()
         assert (o.status, o.n_rows, o.all_matched) == ("OK", 3, True)   # counted from this run's files
     assert spark.read.parquet(target).count() == 6                     # append keeps both runs
+
+
+def test_usage_load_without_raw_check(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    _app_file(land / "usage_app_2023-05-17.txt", 3)
+    res = usage_load(spark, str(land), APP, ["2023-05-17"], target=str(tmp_path / "t"), check_raw=False)
+    r = res.reconcile.first()
+    assert (r.count_df, r.count_raw, r.matched) == (3, None, None)
+    o = res.outcome.first()
+    assert o.n_rows == 3 and o.all_matched is None
