@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--days")
     u.add_argument("--mode", default="replace", choices=["replace", "append"])
     u.add_argument("--password-env", help="environment variable holding the archive password")
+    u.add_argument("--no-raw-check", action="store_true",
+                   help="skip the independent raw line count (a second pass over the input)")
 
     s = sub.add_parser("snapshot", help="panelist snapshot refresh (D2)")
     s.add_argument("--landing", required=True)
@@ -92,13 +94,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             targets = {names[0]: a.target}
         pwd = os.environ.get(a.password_env) if a.password_env else None
+        kw = {"mode": a.mode, "check_raw": not a.no_raw_check}
         if a.archives and len(names) > 1:
-            res = daily_loads(spark, a.archives, names, days, targets=targets, mode=a.mode, password=pwd)
+            res = daily_loads(spark, a.archives, names, days, targets=targets, password=pwd, **kw)
         elif a.archives:
             res = {names[0]: daily_load(spark, a.archives, names[0], days, target=targets[names[0]],
-                                        mode=a.mode, password=pwd)}
+                                        password=pwd, **kw)}
         else:
-            res = {n: usage_load(spark, a.landing, n, days, target=targets[n], mode=a.mode) for n in names}
+            res = {n: usage_load(spark, a.landing, n, days, target=targets[n], **kw) for n in names}
         return max(_emit(n, r.outcome.first()) for n, r in res.items())
 
     if a.cmd == "snapshot":

@@ -338,3 +338,27 @@ def test_usage_load_without_raw_check(spark, tmp_path):
     assert (r.count_df, r.count_raw, r.matched) == (3, None, None)
     o = res.outcome.first()
     assert o.n_rows == 3 and o.all_matched is None
+
+
+def test_command_line_gate_and_snapshot(spark, tmp_path):
+    import json
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    log = str(tmp_path / "log")
+    _, lid = log_start(spark, log, 88, 2, "started", now=dt.datetime(2024, 1, 4, 9))
+    log_status(spark, log, lid, 1, "done", now=dt.datetime(2024, 1, 4, 10))
+    req = tmp_path / "req.json"
+    req.write_text(json.dumps([{"gate_id": "g", "task_id": 88, "allowed": [1, 3]}]))
+    r = subprocess.run([sys.executable, "-m", "panelflow", "--master", "local[2]", "gate", "--log", log,
+                        "--requirements", str(req), "--day", "2024-01-05"],
+                       cwd=ROOT, capture_output=True, text=True, timeout=600)
+    out = json.loads(r.stdout.strip().splitlines()[-1])
+    assert r.returncode == 0 and out["may_run"] is True, r.stderr[-1500:]
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "export-1.csv").write_text("RespondentID\tSGP_MD2_EndTIme\n1\t20230517\n")
+    r = subprocess.run([sys.executable, "-m", "panelflow", "--master", "local[2]", "snapshot", "--landing",
+                        str(land), "--contains", "export-", "--snapshot", str(tmp_path / "s"),
+                        "--frozen", str(tmp_path / "f")], cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0 and json.loads(r.stdout.strip().splitlines()[-1])["status"] == "OK", r.stderr[-1500:]
