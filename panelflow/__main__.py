@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--days")
     u.add_argument("--mode", default="replace", choices=["replace", "append"])
     u.add_argument("--password-env", help="environment variable holding the archive password")
+    u.add_argument("--archive-dir", help="move the request's delivered files here after the load")
     u.add_argument("--no-raw-check", action="store_true",
                    help="skip the independent raw line count (a second pass over the input)")
 
@@ -94,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             targets = {names[0]: a.target}
         pwd = os.environ.get(a.password_env) if a.password_env else None
-        kw = {"mode": a.mode, "check_raw": not a.no_raw_check}
+        kw = {"mode": a.mode, "check_raw": not a.no_raw_check, "archive_dir": a.archive_dir}
         if a.archives and len(names) > 1:
             res = daily_loads(spark, a.archives, names, days, targets=targets, password=pwd, **kw)
         elif a.archives:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections import Counter
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from panelflow.functions.columns import add_import_date, place_columns
 from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, run_outcome, with_day
 from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
 from panelflow.schemas import Feed, feed as _feed
+from panelflow.sinks.files import archive_files
 from panelflow.sinks.tables import append_table, load_dates
 from panelflow.session import staging_path
 from panelflow.sources.archive import OUT_SCHEMA, archive_members
@@ -34,6 +35,7 @@ class LoadResult:
     outcome: DataFrame      # one row: status, loaded/skipped/missing days, rows, matched
     reconcile: DataFrame    # per day: count_df, count_raw, matched
     loaded_files: list[str]
+    delivered_files: list[str] = field(default_factory=list)   # loaded or empty
 
 
 def _stamped(spark: SparkSession, paths: list[str], f: Feed, import_day) -> DataFrame:
@@ -92,7 +94,7 @@ def empty_days(listed: DataFrame, empty: DataFrame) -> DataFrame:
             .filter(F.col("__all")).select("ref_date"))
 
 
-def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
+def _usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
                target: str | None = None, mode: str = "replace", jdbc: Mapping | None = None,
                import_day: _dt.date | None = None, today: _dt.date | None = None,
                match: str = "name", glob: str | None = None, check_raw: bool = True) -> LoadResult:
@@ -105,7 +107,10 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     without loading anything, as in the reference. ``match``: see
     :func:`delivered_files`. ``check_raw=False`` skips the independent raw
     line scan (a second pass over every input byte, the reference's check);
-    ``count_raw`` and ``matched`` are then NULL.
+    ``count_raw`` and ``matched`` are then NULL. With ``archive_dir`` the
+    request's delivered files (loaded or empty) are moved there after a run
+    that did not fail, which keeps the landing folder, and its listing,
+    small.
     """
     f = _feed(feed)
     expected = expected_files(spark, days, f, today=today)
@@ -113,6 +118,7 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     glob = _glob(f, match, glob)
     scan = scan_files(spark, landing, glob)      # one listing, reused below
     listed = _small(_match(scan.files, f, expected, match))
+    delivered = [r.path for r in listed.select("path").collect()]
     missing = missing_feeds(expected, listed)
     if missing.limit(1).count():
         none = spark.createDataFrame([], "ref_date date")
@@ -129,7 +135,7 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     days = sorted({r.ref_date for r in picked})
     if not files:
         recon = spark.createDataFrame([], RECON_SCHEMA)
-        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, [])
+        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, [], delivered)
     df = _stamped(spark, files, f, import_day)
     if jdbc is not None:
         append_table(df, jdbc=jdbc)
@@ -148,7 +154,7 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
         recon = _small(parsed.select("ref_date", F.col("count_df").cast("bigint"),
                                      F.lit(None).cast("bigint").alias("count_raw"),
                                      F.lit(None).cast("boolean").alias("matched")))
-        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
+        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files, delivered)
     raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
     if f.header:   # every delivered file starts with one header line
         n_files = Counter(r.ref_date for r in picked)
@@ -157,7 +163,18 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
                .select("ref_date", (F.col("count_raw") - F.coalesce(F.col("n_files"), F.lit(0)))
                        .alias("count_raw")))
     recon = _small(reconcile(parsed, raw, "ref_date"))   # one row per day
-    return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files)
+    return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files, delivered)
+
+
+def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
+               archive_dir: str | None = None, **kw) -> LoadResult:
+    res = _usage_load(spark, landing, feed, days, **kw)
+    if archive_dir and res.delivered_files and res.outcome.first().status != "ERROR":
+        archive_files(spark, res.delivered_files, archive_dir).collect()
+    return res
+
+
+usage_load.__doc__ = _usage_load.__doc__
 
 
 def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,

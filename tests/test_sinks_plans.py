@@ -362,3 +362,18 @@ def test_command_line_gate_and_snapshot(spark, tmp_path):
                         str(land), "--contains", "export-", "--snapshot", str(tmp_path / "s"),
                         "--frozen", str(tmp_path / "f")], cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert r.returncode == 0 and json.loads(r.stdout.strip().splitlines()[-1])["status"] == "OK", r.stderr[-1500:]
+
+
+def test_usage_load_archives_processed_files(spark, tmp_path):
+    import os
+    land, arch = tmp_path / "land", tmp_path / "archived"
+    land.mkdir()
+    _app_file(land / "usage_app_2023-05-17.txt", 2)
+    (land / "usage_app_2023-05-18.txt").write_bytes(b"")
+    (land / "usage_web_2023-05-17.txt").write_bytes(b"\xff\xfe")          # another feed: stays
+    res = usage_load(spark, str(land), APP, ("2023-05-17", "2023-05-18"), target=str(tmp_path / "t"),
+                     archive_dir=str(arch))
+    assert res.outcome.first().status == "WARNING"
+    assert sorted(os.listdir(arch)) == ["usage_app_2023-05-17.txt", "usage_app_2023-05-18.txt"]
+    assert os.listdir(land) == ["usage_web_2023-05-17.txt"]
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
