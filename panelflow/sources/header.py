@@ -21,8 +21,12 @@ BOOL_TEXT = ("true", "false")
 # ----------------------------------------------------------------------------
 
 
-# Java-style '1d' / '1f' parse as doubles in Spark, not in pandas.
-_JAVA_SUFFIX = r"^\s*[+-]?[0-9.]+([eE][+-]?[0-9]+)?[dDfF]\s*$"
+# Text that pandas reads as an integer / a float. Casts run only on text
+# that matches (a failing cast is slow in Spark), and the float form leaves
+# out Java's '1d' / '1f', which Spark would accept and pandas does not.
+_INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+_FLOAT_TEXT = (r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?"
+               r"|(?i:inf|infinity|nan))\s*$")
 
 
 def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -42,10 +46,11 @@ def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     for i, c in enumerate(cols):
         v = F.col(c)
         nn = v.isNotNull()
+        is_int = v.rlike(_INT_TEXT) & v.try_cast("bigint").isNotNull()
+        is_float = v.rlike(_FLOAT_TEXT) & v.try_cast("double").isNotNull()
         aggs += [F.count(v).alias(f"n{i}"),
-                 F.count_if(nn & v.try_cast("bigint").isNull()).alias(f"l{i}"),
-                 F.count_if(nn & (v.try_cast("double").isNull() | v.rlike(_JAVA_SUFFIX)))
-                 .alias(f"d{i}"),
+                 F.count_if(nn & ~is_int).alias(f"l{i}"),
+                 F.count_if(nn & ~is_float).alias(f"d{i}"),
                  F.count_if(nn & ~F.lower(v).isin(*BOOL_TEXT)).alias(f"b{i}")]
     r = df.agg(*aggs).first()
     types = {}
