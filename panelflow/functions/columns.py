@@ -79,7 +79,10 @@ def parse_compact_date(df: DataFrame, col: str, out: str | None = None) -> DataF
     t = F.col(col).cast("string")
     part = [F.regexp_extract(t, PY_COMPACT_DAY, i) for i in (1, 2, 3)]
     iso = F.concat_ws("-", part[0], F.lpad(part[1], 2, "0"), F.lpad(F.trim(part[2]), 2, "0"))
-    day = F.when(t.rlike(PY_COMPACT_DAY), parse_day(iso, "yyyy-MM-dd"))
+    # eight digits can only split 4-2-2, so the plain pattern reads them
+    # the same way; the field-by-field path is for the shorter forms
+    day = (F.when(t.rlike(r"^[0-9]{8}$"), parse_day(t, "yyyyMMdd"))
+           .when(t.rlike(PY_COMPACT_DAY), parse_day(iso, "yyyy-MM-dd")))
     inside = day.between(F.lit(PANDAS_FIRST_DAY).cast("date"), F.lit(PANDAS_LAST_DAY).cast("date"))
     return df.withColumn(out or col, F.when(inside, day))
 
