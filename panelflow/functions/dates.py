@@ -42,4 +42,6 @@ def day_from_path(path: Column, fmt: str = "yyyy-MM-dd") -> Column:
     folders alike; evaluated per row but JVM-side, inside codegen.
     """
     rx = ".*(" + day_regex(fmt) + ")"
-    return parse_day(F.regexp_extract(path, rx, 1), fmt)
+    text = F.regexp_extract(path, rx, 1)
+    # no day in the path: NULL without attempting a (slow, failing) parse
+    return F.when(text != "", parse_day(text, fmt))
