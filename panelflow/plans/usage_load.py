@@ -113,8 +113,7 @@ def _usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None,
     small.
     """
     f = _feed(feed)
-    expected = expected_files(spark, days, f, today=today)
-    expected = _small(expected)
+    expected = _small(expected_files(spark, days, f, today=today))
     glob = _glob(f, match, glob)
     scan = scan_files(spark, landing, glob)      # one listing, reused below
     listed = _small(_match(scan.files, f, expected, match))
@@ -132,7 +131,7 @@ def _usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None,
     # one row per delivered file: bounded by the request, like a file listing
     picked = to_read.select("path", "ref_date").collect()
     files = [r.path for r in picked]
-    days = sorted({r.ref_date for r in picked})
+    loaded_days = sorted({r.ref_date for r in picked})
     if not files:
         recon = spark.createDataFrame([], RECON_SCHEMA)
         return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, [], delivered)
@@ -143,7 +142,7 @@ def _usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None,
     elif mode == "replace":
         load_dates(df, target, f.ref_col)
         # counted from what landed: static partition pruning, no column decoded
-        loaded = spark.read.parquet(target).filter(F.col(f.ref_col).isin(days))
+        loaded = spark.read.parquet(target).filter(F.col(f.ref_col).isin(loaded_days))
     elif mode == "append":
         append_table(df, target, partition_by=[f.ref_col])
         loaded = df
