@@ -64,6 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--snapshot", required=True)
     s.add_argument("--frozen", required=True)
     s.add_argument("--key", default="RespondentID")
+    s.add_argument("--archive-dir", help="move the processed file here, stamped with the run time")
 
     g = sub.add_parser("gate", help="may the gated tasks run (D4)")
     g.add_argument("--log", required=True, help="run log written by sinks.runlog")
@@ -108,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "snapshot":
         from panelflow.plans.snapshot import snapshot_refresh
         return _emit("snapshot", snapshot_refresh(spark, a.landing, a.contains, a.snapshot, a.frozen,
-                                                  key=a.key).first())
+                                                  key=a.key, archive_dir=a.archive_dir).first())
 
     if a.cmd == "gate":
         from pyspark.sql import functions as F

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelflow.functions.columns import add_import_datetime, parse_compact_date
+from panelflow.sinks.files import archive_files
 from panelflow.sinks.tables import append_new, replace_table
 from panelflow.sources.files import latest_file
 from panelflow.sources.header import read_snapshot
@@ -21,11 +22,12 @@ from panelflow.sources.header import read_snapshot
 def snapshot_refresh(spark: SparkSession, landing: str, contains: str, snapshot: str,
                      frozen: str, *, key: str = "RespondentID",
                      date_col: str | None = "SGP_MD2_EndTIme",
-                     now: _dt.datetime | None = None) -> DataFrame:
+                     now: _dt.datetime | None = None, archive_dir: str | None = None) -> DataFrame:
     """Refresh ``snapshot`` from the newest matching file, then add rows of
     respondents ``frozen`` has never held (frozen rows never change).
     The frozen table is created from the snapshot on the first run.
-    Returns a one-row outcome."""
+    With ``archive_dir`` the processed file is moved there with the run
+    time added to its name. Returns a one-row outcome."""
     path = latest_file(spark, landing, contains)
     if path is None:
         return spark.range(1).select(F.lit("ERROR").alias("status"), F.lit(None).cast("string").alias("file"),
@@ -36,5 +38,8 @@ def snapshot_refresh(spark: SparkSession, landing: str, contains: str, snapshot:
     df = add_import_datetime(df, "Data_Import_Datetime", now=now, position=1)
     replace_table(df, snapshot, spark=spark)
     append_new(spark.read.parquet(snapshot), frozen, key, spark=spark)
+    if archive_dir:   # the processed file, stamped with the run time
+        stamp = (now or _dt.datetime.now()).strftime("_%Y-%m-%d %H-%M-%S")
+        archive_files(spark, [path], archive_dir, suffix=stamp).collect()
     return spark.range(1).select(F.lit("OK").alias("status"), F.lit(path).alias("file"),
                                  F.lit(None).cast("string").alias("error"))

@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from panelflow.sources.archive import _uri
 
 
-def _mover(archive_dir: str):
+def _archived_name(name: str, suffix: str) -> str:
+    """``name.ext`` → ``name<suffix>.ext`` (the suffix before the extension)."""
+    if not suffix:
+        return name
+    stem, dot, ext = name.rpartition(".")
+    return f"{stem}{suffix}.{ext}" if dot else f"{name}{suffix}"
+
+
+def _mover(archive_dir: str, suffix: str = ""):
     """Executor-side mover: each file is moved (renamed where the filesystem
     allows) into ``archive_dir`` under its own name; a retried task finds
     the file already moved and reports it."""
@@ -23,7 +31,7 @@ def _mover(archive_dir: str):
             out = []
             for path in pdf["path"]:
                 src_fs, src = pafs.FileSystem.from_uri(_uri(path))
-                target = f"{root}/{path.rsplit('/', 1)[-1]}"
+                target = f"{root}/{_archived_name(path.rsplit('/', 1)[-1], suffix)}"
                 if src_fs.get_file_info(src).type != pafs.FileType.NotFound:
                     if type(src_fs) is type(dst_fs):
                         src_fs.move(src, target)
@@ -35,13 +43,15 @@ def _mover(archive_dir: str):
     return run
 
 
-def archive_files(spark: SparkSession, paths: Sequence[str], archive_dir: str) -> DataFrame:
+def archive_files(spark: SparkSession, paths: Sequence[str], archive_dir: str,
+                  suffix: str = "") -> DataFrame:
     """Move ``paths`` (a bounded list, e.g. one request's deliveries) into
-    ``archive_dir``; returns one row per file. Runs on executors, so it
-    works for any filesystem they reach."""
+    ``archive_dir``, optionally adding ``suffix`` before each extension (a
+    run stamp); returns one row per file. Runs on executors, so it works
+    for any filesystem they reach."""
     paths = list(paths)
     if not paths:
         return spark.createDataFrame([], "path string, archived_to string")
     src = spark.createDataFrame([(p,) for p in paths], "path string").repartition(
         min(len(paths), spark.sparkContext.defaultParallelism))
-    return src.mapInPandas(_mover(archive_dir), "path string, archived_to string")
+    return src.mapInPandas(_mover(archive_dir, suffix), "path string, archived_to string")

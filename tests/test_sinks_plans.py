@@ -377,3 +377,13 @@ def test_usage_load_archives_processed_files(spark, tmp_path):
     assert sorted(os.listdir(arch)) == ["usage_app_2023-05-17.txt", "usage_app_2023-05-18.txt"]
     assert os.listdir(land) == ["usage_web_2023-05-17.txt"]
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_snapshot_refresh_archives_the_file(spark, tmp_path):
+    import os
+    land, arch = tmp_path / "land", tmp_path / "arch"
+    land.mkdir()
+    (land / "export-7.csv").write_text("RespondentID\tSGP_MD2_EndTIme\n5\t20230517\n")
+    snapshot_refresh(spark, str(land), "export-", str(tmp_path / "s"), str(tmp_path / "f"),
+                     now=dt.datetime(2024, 3, 18, 13, 15, 2), archive_dir=str(arch))
+    assert os.listdir(arch) == ["export-7_2024-03-18 13-15-02.csv"] and os.listdir(land) == []
