@@ -45,7 +45,9 @@ def ingest_new_files(spark: SparkSession, landing: str, feed: Feed | str, target
     ``mode``:
 
     * ``append``: parquet sink partitioned by the reference date; the
-      sink's own log makes each file's rows appear exactly once.
+      sink's own log makes each file's rows appear exactly once. Readers
+      of the target then see only files in that log, so do not also load
+      the same target with batch writes.
     * ``replace_days``: each micro-batch replaces the days it carries (K4
       through ``foreachBatch``), so a retried batch, or a day delivered
       again under a new file, leaves one copy of that day. Use it when a
