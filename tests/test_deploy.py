@@ -27,3 +27,9 @@ def test_entry_and_python_worker_code_from_elsewhere(tmp_path):
     r = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env,
                        capture_output=True, text=True, timeout=600)
     assert r.stdout.strip().endswith("OK"), r.stderr[-2000:]
+
+
+def test_top_level_api_resolves():
+    import panelflow
+    assert all(callable(getattr(panelflow, name)) for name in panelflow._API)
+    assert set(panelflow._API) <= set(dir(panelflow))
