@@ -189,3 +189,12 @@ def test_password_protected_member(spark, tmp_path):
     with pytest.raises(Exception):
         archive_members(spark, str(land), "daily_compliance.csv", str(tmp_path / "o2"), COMPLIANCE,
                         password="wrong").collect()
+
+
+def test_utf16_big_endian(spark, tmp_path):
+    f = SMALL.with_(encoding="UTF-16BE")
+    body = "héllo\t1\t2023-05-17 10:00:00\tx\r\nwörld\t2\t2023-05-17 11:00:00\ty\r\n"
+    (tmp_path / "small_2023-05-17.txt").write_bytes(b"\xfe\xff" + body.encode("utf-16-be"))
+    rows = sorted(read_usage(spark, str(tmp_path), f).select("name", "n", "tail").collect())
+    assert [tuple(r) for r in rows] == [("héllo", 1, "x"), ("wörld", 2, "y")]
+    assert raw_count(raw_lines(spark, str(tmp_path), f)).first().count_raw == 2
