@@ -70,7 +70,9 @@ def latest_file(spark: SparkSession, paths, contains: str, glob: str | None = No
     after the pick, it may be the real newest delivery, so this raises
     rather than silently passing over it."""
     lst = list_files(spark, paths, glob).filter(F.col("file_name").contains(contains))
-    r = lst.agg(F.max_by("path", "modified").alias("p"), F.max_by("file_name", "modified").alias("n"),
+    # equal times (coarse clocks) fall back to the name: later stamps sort later
+    newest = F.when(F.col("modified").isNotNull(), F.struct("modified", "file_name"))
+    r = lst.agg(F.max_by("path", newest).alias("p"), F.max_by("file_name", newest).alias("n"),
                 F.max(F.when(F.col("length") == 0, F.col("file_name"))).alias("z")).first()
     if r["z"] is not None and (r["n"] is None or r["z"] > r["n"]):
         raise ValueError(f"newest matching file may be the empty file {r['z']}")

@@ -198,3 +198,11 @@ def test_utf16_big_endian(spark, tmp_path):
     rows = sorted(read_usage(spark, str(tmp_path), f).select("name", "n", "tail").collect())
     assert [tuple(r) for r in rows] == [("héllo", 1, "x"), ("wörld", 2, "y")]
     assert raw_count(raw_lines(spark, str(tmp_path), f)).first().count_raw == 2
+
+
+def test_latest_file_breaks_time_ties_by_name(spark, tmp_path):
+    import os
+    for name in ("export-2023110906550458.csv", "export-2023111006550458.csv", "export-2023110806550458.csv"):
+        (tmp_path / name).write_text("x\n")
+        os.utime(tmp_path / name, (1.7e9, 1.7e9))
+    assert latest_file(spark, str(tmp_path), "export-").endswith("export-2023111006550458.csv")
