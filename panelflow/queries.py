@@ -673,8 +673,9 @@ ORACLE_SQL = {
         f"SELECT d AS ref_date FROM ({_GOOD}) g WHERE NOT EXISTS (SELECT 1 FROM ({_BAD}) b)",
     "run_outcome":
         f"WITH b AS ({_BAD}), g AS ({_GOOD}) SELECT CASE WHEN (SELECT count(*) FROM b) > 0 THEN 'WARNING' "
-        "ELSE 'OK' END AS status, (SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) FROM g) "
-        "AS loaded_dates, (SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) FROM b) AS skipped_dates, "
+        "ELSE 'OK' END AS status, COALESCE((SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) "
+        "FROM g), '') AS loaded_dates, COALESCE((SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) "
+        "FROM b), '') AS skipped_dates, "
         "(SELECT count(*) FROM events WHERE CAST(ts AS DATE) IN (SELECT d FROM g)) AS n_rows, "
         "true AS all_matched",
     "usage_load":
