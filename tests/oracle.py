@@ -106,8 +106,10 @@ def main(argv):
             df = qs[n](spark, sf_dir)
             print(f"{n:28s} rows-only {df.count()}")
             continue
+        plans = {}
         try:
-            problems, rows, el = compare(spark, n, qs[n], sqls[n], sf_dir, con)
+            problems, rows, el = compare(spark, n, qs[n], sqls[n], sf_dir, con, plans)
+            problems += [f"plan has {node}" for node in FORBIDDEN if node in plans.get(n, "")]
         except Exception as ex:  # report and go on
             problems, rows, el = [f"{type(ex).__name__}: {str(ex)[:300]}"], -1, 0
         bad += bool(problems)
