@@ -206,3 +206,8 @@ def test_latest_file_breaks_time_ties_by_name(spark, tmp_path):
         (tmp_path / name).write_text("x\n")
         os.utime(tmp_path / name, (1.7e9, 1.7e9))
     assert latest_file(spark, str(tmp_path), "export-").endswith("export-2023111006550458.csv")
+
+
+def test_jdbc_push_down_refuses_spliced_parameters(spark):
+    with pytest.raises(ValueError):
+        query_df(spark, "SELECT * FROM t WHERE a = :a", {"a": 1}, jdbc={"url": "jdbc:none:"})
