@@ -559,46 +559,46 @@ def q_run_control(spark, sf_dir):
 
 
 QUERIES = {
-    "usage_read": q_usage_read,
-    "usage_read_utf16": q_usage_read_utf16,
-    "permissive_read": q_permissive_read,
-    "stamped": q_stamped,
-    "compact_date": q_compact_date,
-    "date_key": q_date_key,
-    "null_out": q_null_out,
-    "parsed_count": q_parsed_count,
-    "reconcile": q_reconcile,
-    "new_keys": q_new_keys,
-    "new_keys_null_target": q_new_keys_null_target,
-    "latest_status": q_latest_status,
-    "prerequisite_status": q_prerequisite_status,
-    "gate_passed": q_gate_passed,
-    "is_holiday": q_is_holiday,
-    "newest": q_newest,
-    "valid_dates": q_valid_dates,
-    "invalid_status_codes": q_invalid_status_codes,
-    "snapshot_read": q_snapshot_read,
-    "compliance_read": q_compliance_read,
-    "expected_files": q_expected_files,
-    "query_df": q_query_df,
-    "empty_feeds": q_empty_feeds,
-    "missing_feeds": q_missing_feeds,
-    "load_plan": q_load_plan,
-    "load_plan_all_or_nothing": q_load_plan_all_or_nothing,
-    "run_outcome": q_run_outcome,
-    "usage_load": q_usage_load,
-    "backfill_load": q_backfill_load,
-    "compliance_load": q_compliance_load,
-    "append_table": q_append_table,
-    "replace_table": q_replace_table,
-    "load_dates": q_load_dates,
-    "append_new": q_append_new,
-    "update_where": q_update_where,
-    "ingest_new_files": q_ingest_new_files,
-    "snapshot_refresh": q_snapshot_refresh,
-    "run_control": q_run_control,
-    "archive_members": q_archive_members,
-    "current_runs": q_current_runs,
+    "usage_read": q_usage_read,                         # S1
+    "usage_read_utf16": q_usage_read_utf16,             # S2
+    "permissive_read": q_permissive_read,               # S1 (PERMISSIVE)
+    "stamped": q_stamped,                               # P1 P2 P4
+    "compact_date": q_compact_date,                     # P5
+    "date_key": q_date_key,                             # P6
+    "null_out": q_null_out,                             # P7
+    "parsed_count": q_parsed_count,                     # A1
+    "reconcile": q_reconcile,                           # F1 A1 A2 J4 (flagship)
+    "new_keys": q_new_keys,                             # J1
+    "new_keys_null_target": q_new_keys_null_target,     # J1 (NULL in target)
+    "latest_status": q_latest_status,                   # W1
+    "prerequisite_status": q_prerequisite_status,       # W1 J2 F2
+    "gate_passed": q_gate_passed,                       # W1 F2 A3
+    "is_holiday": q_is_holiday,                         # J3
+    "newest": q_newest,                                 # O1
+    "valid_dates": q_valid_dates,                       # X1
+    "invalid_status_codes": q_invalid_status_codes,     # X2
+    "snapshot_read": q_snapshot_read,                   # S3 P7
+    "compliance_read": q_compliance_read,               # S4 P7
+    "expected_files": q_expected_files,                 # S7 P6
+    "query_df": q_query_df,                             # S8
+    "empty_feeds": q_empty_feeds,                       # Q1
+    "missing_feeds": q_missing_feeds,                   # Q2
+    "load_plan": q_load_plan,                           # Q3 skip_empty
+    "load_plan_all_or_nothing": q_load_plan_all_or_nothing,# Q3 all_or_nothing
+    "run_outcome": q_run_outcome,                       # Q4 (D1)
+    "usage_load": q_usage_load,                         # D1 K4, repeated
+    "backfill_load": q_backfill_load,                   # D1, 2,526 days
+    "compliance_load": q_compliance_load,               # D3
+    "append_table": q_append_table,                     # K1
+    "replace_table": q_replace_table,                   # K2
+    "load_dates": q_load_dates,                         # K4
+    "append_new": q_append_new,                         # K3
+    "update_where": q_update_where,                     # K6
+    "ingest_new_files": q_ingest_new_files,             # T1
+    "snapshot_refresh": q_snapshot_refresh,             # D2 S5 S3 P3 K2 K3
+    "run_control": q_run_control,                       # D4 X2 W1 J2 F2 A3 J3
+    "archive_members": q_archive_members,               # S6
+    "current_runs": q_current_runs,                     # K5
 }
 
 _USAGE = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
