@@ -8,11 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelflow.llm import bpe, decontaminate, simhash
+from panelflow.llm import bpe, decontaminate, simhash, toxicity
 from panelflow.llm.common import table
 from panelflow.session import staging_path
 
 
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.keep_one_of_each(docs)
@@ -29,6 +34,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxic_filter),
     ("near dedup", near_dedup),
     ("decontamination", decontamination),
     ("encoding", encoding),

@@ -111,9 +111,9 @@ class _Poly:
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             n = max(n, 1 << 16)
-            with np.errstate(over="ignore"):
-                self.up, self.down = (np.cumprod(np.concatenate([[1], np.full(n - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                                      for b in (np.uint64(self.base), np.uint64(self.inverse)))
+            steps = np.ones((2, n), np.uint64)
+            steps[0, 1:], steps[1, 1:] = self.base, self.inverse
+            self.up, self.down = np.cumprod(steps, axis=1, dtype=np.uint64)
         return self.up, self.down
 
     def sums(self, values: np.ndarray) -> np.ndarray:

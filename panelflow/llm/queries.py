@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflow.llm import bpe, decontaminate, simhash
+from panelflow.llm import bpe, decontaminate, simhash, substring, toxicity
 from panelflow.llm.common import table
 
 QUERIES: dict = {}
@@ -16,6 +16,16 @@ def query(f):
     return f
 
 
+@query
+def op2_substring_dedup(spark, d):
+    return substring.report(table(spark, d, "documents"))
+
+
+@query
+def op3_toxicity(spark, d):
+    return toxicity.report(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query
 def op4_decontaminate(spark, d):
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
