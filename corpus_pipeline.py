@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelflow.llm import bpe, decontaminate, simhash, toxicity
+from panelflow.llm import bpe, decontaminate, lines, simhash, toxicity
 from panelflow.llm.common import table
 from panelflow.session import staging_path
 
@@ -18,6 +18,11 @@ def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that match an earlier one."""
+    return lines.drop_later_matches(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.keep_one_of_each(docs)
@@ -35,6 +40,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", toxic_filter),
+    ("line dedup", line_dedup),
     ("near dedup", near_dedup),
     ("decontamination", decontamination),
     ("encoding", encoding),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflow.llm import bpe, decontaminate, simhash, substring, toxicity
+from panelflow.llm import bpe, decontaminate, lines, simhash, substring, toxicity
 from panelflow.llm.common import table
 
 QUERIES: dict = {}
@@ -16,6 +16,11 @@ def query(f):
     return f
 
 
+@query
+def op1_line_dedup(spark, d):
+    return lines.report(table(spark, d, "documents"))
+
+
 @query
 def op2_substring_dedup(spark, d):
     return substring.report(table(spark, d, "documents"))
