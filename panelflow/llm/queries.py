@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflow.llm import bpe, decontaminate, lines, simhash, substring, toxicity
+from panelflow.llm import bpe, decontaminate, lines, pii, quality, simhash, substring, toxicity
 from panelflow.llm.common import table
 
 QUERIES: dict = {}
@@ -36,6 +36,16 @@ def op4_decontaminate(spark, d):
     return decontaminate.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op5_quality(spark, d):
+    return quality.report(table(spark, d, "documents"))
+
+
+@query
+def op6_pii(spark, d):
+    return pii.report(table(spark, d, "documents"))
+
+
 @query
 def op8_bpe(spark, d):
     return bpe.round_trip(table(spark, d, "documents")).drop("ids")
