@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelflow.llm.common import id_and_text, slices, worker_cache
+from panelflow.llm.common import id_and_text, ragged, slices, worker_cache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)       # rank of a pair that does not merge
@@ -193,12 +193,6 @@ class Codec:
         return self.token_bytes[ragged(self.token_at[ids], self.token_at[ids + 1])].tobytes()
 
 
-def ragged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The positions start..end-1 of all spans, one span after another."""
-    size = ends - starts
-    return np.repeat(starts - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
-
-
 def codec(path: str, pattern: str) -> Codec:
     kept = worker_cache()
     if (path, pattern) not in kept:

@@ -75,9 +75,9 @@ class Store:
             shape, _, kind = np.lib.format.read_array_header_1_0(copy) if version == (1, 0) else np.lib.format.read_array_header_2_0(copy)
             return np.memmap(copy, kind, "r", copy.tell(), shape) if shape[0] else np.zeros(0, kind)
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(shard, position) of ascending ``keys``; position -1 where a key is not stored."""
-        shard = shard_of(keys, self.bits)
+    def find(self, keys: np.ndarray, shard: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(shard, position) of ``keys``, which ascend (within ``shard``, if given); position -1 where a key is not stored."""
+        shard = shard_of(keys, self.bits) if shard is None else shard
         at = np.full(len(keys), -1, np.int64)
         cuts = np.flatnonzero(np.diff(shard)) + 1
         for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
@@ -86,6 +86,15 @@ class Store:
                 at[i:j] = np.where(have[p] == keys[i:j], p, -1)
         return shard, at
 
+    def get(self, shard: np.ndarray, at: np.ndarray, field: str, kind=np.uint64) -> np.ndarray:
+        """The field at what ``find`` returned; 0 where a key is not stored."""
+        out, cuts = np.zeros(len(at), kind), np.flatnonzero(np.diff(shard)) + 1
+        for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)]):
+            rows = np.flatnonzero(at[i:j] >= 0) + i
+            if len(rows):
+                out[rows] = self.field(int(shard[i]), field)[at[rows]]
+        return out
+
 
 def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)

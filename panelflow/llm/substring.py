@@ -1,21 +1,23 @@
 """Substring dedup by seed and extend (operator 2).
 
-Seeds are winnowed anchors: of the 6-word grams in a 20-word window the one
-with the smallest hash (the leftmost of equal ones). Equal windows have the
-same anchor, and the windows of one anchor lie side by side, as a run.
-
-1. Anchors that occur twice or more are found by counting hashes alone and
-   kept as sorted arrays in the shared folder, which workers map.
-2. Only runs at such anchors go on. Documents are joined on (anchor, whole
-   run): an equal run is a match that extends over all its windows both
+Seeds are winnowed anchors: of the grams in a 20-word window the one with
+the smallest hash (the leftmost of equal ones). Equal windows have the same
+anchor, and the windows of one anchor lie side by side, as a run.
+
+1. Anchors that occur twice or more are found by counting hashes alone.
+2. Documents are joined on (anchor, whole run), for runs at such anchors
+   only. An equal run is a match that extends over all its windows both
    ways, so all but its first occurrence is repeated.
 3. Anchors with several different runs, where a match ends inside a run,
-   are extended window by window between the runs' first occurrences.
+   are extended window by window between the first occurrences of the runs.
 4. The repeated windows of a document, which overlap or touch within a
    maximal repeat, are cut out as word ranges.
 
-Every group is summed (smallest place, count), so a passage that a third of
-all documents share costs one row per task and never a list of pairs.
+What a step learns (hash, first place) is kept as sorted arrays in the
+shared folder, which the next scan of the documents maps and looks into, so
+no text is ever shuffled. Every group is summed (first place, count) before
+and after its shuffle: a passage that a third of all documents share costs
+one row per task and never a list of pairs.
 """
 
 from __future__ import annotations
@@ -24,14 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelflow.llm import hashstore
-from panelflow.llm.common import WORDS, mix, slices, text_bytes, word_hashes, word_spans
+from panelflow.llm.common import WORDS, mix, ragged, slices, text_bytes, word_hashes, word_spans
 from panelflow.session import staging_path
 
-WINDOW, GRAM = 20, 6
+WINDOW, GRAM = 20, 8
 SHARD_KEYS = 1 << 20        # anchors a shard is planned for
 FLUSH = 1 << 20             # anchors a task holds before it sends them
 
@@ -77,7 +80,7 @@ def _send_anchors(bits: int, window: int, gram: int):
         cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(keys)]
         pairs = [(i, j) for i, j in zip(cuts, cuts[1:]) if i < j]
         return pa.RecordBatch.from_arrays(
-            [pa.array([int(shard[i]) for i, _ in pairs], pa.int32()), pa.array([keys[i:j].tobytes() for i, j in pairs], pa.binary()),
+            [pa.array([int(shard[i]) for i, _ in pairs], pa.int64()), pa.array([keys[i:j].tobytes() for i, j in pairs], pa.binary()),
              pa.array([keys[i:j][count[i:j] > 1].tobytes() for i, j in pairs], pa.binary())], ["shard", "keys", "again"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,68 +106,121 @@ def _keep_repeated(uri: str):
     return run
 
 
-def _repeated_runs(uri: str, bits: int, window: int, gram: int):
+def _place(doc_id: np.ndarray, same: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """One number for a word of a text."""
+    x = mix(doc_id.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + same.astype(np.uint64))
+    return mix(x + start.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+class _Scan:
+    """The runs of one slice of documents, and what the stores say about them."""
+
+    def __init__(self, b: pa.RecordBatch, bits: int, window: int, gram: int):
+        self.window = window
+        self.text, self.at, self.size, self.anchor, run, self.sums, self.first = _runs(b.column("text"), window, gram)
+        top = np.uint64(((1 << bits) - 1) << (64 - bits))
+        self.key = (self.anchor & top) | (run >> np.uint64(bits))          # in the shard of its anchor
+        self.doc = pc.fill_null(b.column("doc_id"), 0).to_numpy(zero_copy_only=False)
+        self.same = b.column("same").to_numpy(zero_copy_only=False)
+        self.known = np.asarray(b.column("doc_id").is_valid())[self.text]     # rows without an id have no place
+
+    def keep(self, rows: np.ndarray) -> None:
+        for c in ("text", "at", "size", "anchor", "key", "known"):
+            setattr(self, c, getattr(self, c)[rows])
+
+    def place(self, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return _place(self.doc[text], self.same[text], at - self.first[text])
+
+    def look_up(self, store: hashstore.Store, keys: np.ndarray, *fields: str) -> list[np.ndarray]:
+        """Found or not, and the fields (0 where not found), in the order of ``keys``."""
+        keys, back = np.unique(keys, return_inverse=True)
+        shard, at = store.find(keys)
+        return [(at >= 0)[back], *[store.get(shard, at, f)[back] for f in fields]]
+
+    def windows(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, first word, hash) of all windows of some runs."""
+        at = ragged(self.at[rows], self.at[rows] + self.size[rows])
+        return np.repeat(self.text[rows], self.size[rows]), at, WORDS.spans(self.sums, at, at + self.window)
+
+    def rows(self, names: tuple[str, ...], columns: list[np.ndarray], text: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        columns = [c.view(np.int64) for c in columns] + [self.doc[text], self.same[text], (at - self.first[text]).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*names, "doc_id", "same", "start"])
+
+
+def _seeded_runs(anchors: str, bits: int, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = hashstore.opened(uri, bits)
+        store = hashstore.opened(anchors, bits)
         for b in slices(batches, "text"):
-            text, start, size, anchor, whole, sums, first = _runs(b.column("text"), window, gram)
-            keys, back = np.unique(anchor, return_inverse=True)
-            hit = np.flatnonzero((store.find(keys)[1] >= 0)[back]) if len(keys) else np.zeros(0, np.int64)
-            text, start, size = text[hit], start[hit], size[hit]
-            total = np.concatenate([[0], np.cumsum(size)])
-            w = np.repeat(start - total[:-1], size) + np.arange(total[-1])
-            hashes = WORDS.spans(sums, w, w + window).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[hit].view(np.int64)), pa.array(whole[hit].view(np.int64)),
-                 b.column("doc_id").take(pa.array(text)), b.column("same").take(pa.array(text)),
-                 pa.array((start - first[text]).astype(np.int32)), pa.array(size.astype(np.int32)),
-                 pa.array([hashes[8 * i:8 * j] for i, j in zip(total, total[1:])], pa.binary())],
-                ["anchor", "run", "doc_id", "same", "start", "size", "windows"])
+            scan = _Scan(b, bits, window, gram)
+            scan.keep(scan.look_up(store, scan.anchor)[0])
+            yield scan.rows(("key", "anchor"), [scan.key, scan.anchor], scan.text, scan.at)
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, "text"):
-        counts, removed, texts = [], [], []
-        for text, ranges in zip(b.column("text").to_pylist(), b.column("ranges").to_pylist()):
-            words = (text or "").encode().split()
-            step = np.zeros(len(words) + 1, np.int64)
-            for r in ranges or ():
-                step[r["s"]] += 1
-                step[r["e"]] -= 1
-            kept = np.flatnonzero(np.cumsum(step[:-1]) == 0).tolist() if ranges else range(len(words))
-            counts.append(len(words))
-            removed.append(len(words) - len(kept))
-            texts.append(b" ".join([words[i] for i in kept] if ranges else words).decode())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
-                                         ["doc_id", "n_words", "n_removed", "text"])
-
-
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(doc_id, same, s, e): word ranges of ``docs(doc_id, same, text)`` covered by windows that also start earlier."""
-    spark = docs.sparkSession
-    placed = docs.where("doc_id is not null and text is not null")
-    size = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = hashstore.bits_for(size / 40, SHARD_KEYS)
-    uri = staging_path(spark, "anchors")
-    placed.select("text").mapInArrow(_send_anchors(bits, window, gram), "shard int, keys binary, again binary") \
-        .groupBy("shard").applyInArrow(_keep_repeated(uri), "n long").agg(F.sum("n")).collect()
-    runs = placed.mapInArrow(_repeated_runs(uri, bits, window, gram),
-                             "anchor long, run long, doc_id long, same long, start int, size int, windows binary").checkpoint()
-    place = F.struct("doc_id", "same", "start")
-    whole = (runs.groupBy("anchor", "run").agg(F.min(place).alias("at"), F.count("*").alias("n"), F.first("size").alias("size"),
-                                               F.first("windows").alias("windows")).checkpoint())
-    later = (runs.drop("windows", "size").join(whole.where("n > 1").select("anchor", "run", "at", "size"), ["anchor", "run"]).where(place != F.col("at"))
-             .select("doc_id", "same", F.col("start").alias("s"), (F.col("start") + F.col("size") + window - 1).alias("e")))
-    several = whole.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1").select("anchor")
-    single = (whole.join(several, "anchor")
-              .select("at", F.posexplode(F.expr("transform(sequence(0, size - 1), i -> hex(substring(windows, 8 * i + 1, 8)))")).alias("i", "w"))
-              .select(F.expr("cast(conv(w, 16, -10) as bigint)").alias("w"),
-                      F.struct("at.doc_id", "at.same", (F.col("at.start") + F.col("i")).alias("start")).alias("at")))
-    first = single.groupBy("w").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    inside = (single.join(first, "w").where("at <> first")
-              .select("at.doc_id", "at.same", F.col("at.start").alias("s"), (F.col("at.start") + window).alias("e")))
-    return later.union(inside)
+def _open_windows(runs: str, bits: int, window: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = hashstore.opened(runs, bits)
+        for b in slices(batches, "text"):
+            scan = _Scan(b, bits, window, gram)
+            found, place, several = scan.look_up(store, scan.key, "place", "several")
+            text, at, hashes = scan.windows(found & (several > 0) & (place == scan.place(scan.text, scan.at)))
+            yield scan.rows(("key",), [hashes], text, at)
+    return run
+
+
+def _cut(runs: str, inner: str, bits: int, window: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, windows = hashstore.opened(runs, bits), hashstore.opened(inner, bits)
+        for b in slices(batches, "text"):
+            scan = _Scan(b, bits, window, gram)
+            scan.keep(scan.known)
+            found, place, several = scan.look_up(store, scan.key, "place", "several")
+            later = found & (place != scan.place(scan.text, scan.at))
+            text, at, hashes = scan.windows(found & ~later & (several > 0))
+            hit, place = scan.look_up(windows, hashes, "place")
+            hit &= place != scan.place(text, at)
+            step = np.zeros(scan.first[-1] + 1, np.int64)
+            np.add.at(step, np.concatenate([scan.at[later], at[hit]]), 1)
+            np.add.at(step, np.concatenate([(scan.at + scan.size)[later] - 1, at[hit]]) + window, -1)
+            gone = np.cumsum(step[:-1]) > 0
+            counts, removed, texts = np.diff(scan.first), [], []
+            for i, j, t in zip(scan.first.tolist(), scan.first[1:].tolist(), b.column("text").to_pylist()):
+                words = (t or "").encode().split()
+                out = gone[i:j]
+                removed.append(int(out.sum()))
+                texts.append(b" ".join([words[k] for k in np.flatnonzero(~out).tolist()] if removed[-1] else words).decode())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())],
+                                             ["doc_id", "n_words", "n_removed", "text"])
+    return run
+
+
+def _write_first(uri: str, bits: int, seeds: bool):
+    """Writes a shard's keys and first places; of runs also whether their anchor has several."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        col = lambda c: table.column(c).to_numpy()
+        keys = col("key").view(np.uint64)
+        order = np.argsort(keys)
+        keep = np.ones(len(keys), bool)
+        if seeds:
+            _, back, n = np.unique(col("anchor"), return_inverse=True, return_counts=True)
+            several = n[back] > 1
+            keep = several | (col("n") > 1)
+        order = order[keep[order]]
+        shard = key[0].as_py()
+        hashstore.write(uri, shard, "keys", keys[order])
+        hashstore.write(uri, shard, "place", _place(col("doc_id"), col("same"), col("start"))[order])
+        if seeds:
+            hashstore.write(uri, shard, "several", several[order].astype(np.uint8))
+        return pa.table({"n": pa.array([len(order)], pa.int64())})
+    return run
+
+
+def _store_first(rows: DataFrame, uri: str, bits: int, seeds: bool) -> None:
+    firsts = rows.groupBy("key", *(["anchor"] if seeds else [])).agg(F.min(F.struct("doc_id", "same", "start")).alias("at"), F.count("*").alias("n"))
+    if not seeds:
+        firsts = firsts.where("n > 1")
+    (firsts.select("key", *(["anchor"] if seeds else []), "at.*", "n", F.expr(f"shiftrightunsigned(key, {64 - bits})" if bits else "0L").alias("shard"))
+     .groupBy("shard").applyInArrow(_write_first(uri, bits, seeds), "n long").agg(F.sum("n")).collect())
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -176,15 +232,21 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     an id are ordered by the hash of their texts; equal rows are the same
     place, so neither removes the other. A row with a null id has no place
     in the order: it is kept whole and removes nothing. Empty input gives no
-    rows.
+    rows. Window, run and anchor are compared by 64 bits of hash.
     """
     if not 0 < gram < window:
         raise ValueError("gram must be shorter than window")
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("same"), docs[text_col].alias("text"))
-    ranges = (repeated_ranges(slim, window, gram).groupBy("doc_id", "same")
-              .agg(F.collect_set(F.struct("s", "e")).alias("ranges")))
-    return slim.join(ranges, ["doc_id", "same"], "left").select("doc_id", "text", "ranges") \
-        .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, text string")
+    placed = slim.where("doc_id is not null and text is not null")
+    size = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = hashstore.bits_for(size / 40, SHARD_KEYS)
+    anchors, runs, inner = (staging_path(docs.sparkSession, n) for n in ("anchors", "runs", "windows"))
+    (placed.select("text").mapInArrow(_send_anchors(bits, window, gram), "shard long, keys binary, again binary")
+     .groupBy("shard").applyInArrow(_keep_repeated(anchors), "n long").agg(F.sum("n")).collect())
+    place = "doc_id long, same long, start int"
+    _store_first(placed.mapInArrow(_seeded_runs(anchors, bits, window, gram), f"key long, anchor long, {place}"), runs, bits, True)
+    _store_first(placed.mapInArrow(_open_windows(runs, bits, window, gram), f"key long, {place}"), inner, bits, False)
+    return slim.mapInArrow(_cut(runs, inner, bits, window, gram), "doc_id long, n_words long, n_removed long, text string")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
