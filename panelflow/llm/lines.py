@@ -24,9 +24,12 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelflow.session import staging_path
+
 SIMILARITY = 0.8
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
+MARK_BITS = 20                  # a bit set has 2**20 bytes
 
 _GAPS = r"[ \t\x0B\f\r]+"       # white space inside a line
 
@@ -71,11 +74,33 @@ def _sets(lines: DataFrame, rarity: bytes) -> DataFrame:
             .withColumn("n", F.size("words")).withColumn("key", F.xxhash64("words")))
 
 
+def _marks(keys: DataFrame) -> bytes:
+    """A bit set of MARK_BYTES bytes with the bit of every ``keys(h)`` set: of fixed size, so it can go to every task."""
+    spark = keys.sparkSession
+    bits = (keys.select(F.expr(f"shiftrightunsigned(h, {64 - MARK_BITS})").alias("b"), F.expr("cast(shiftleft(1, cast(h & 7 as int)) as int)").alias("v"))
+            .groupBy("b").agg(F.bit_or("v").alias("v"))
+            .union(spark.range(1 << MARK_BITS).select("id", F.lit(0))).groupBy("b").agg(F.bit_or("v").alias("v")))
+    text = bits.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "v"))), lambda s: F.lpad(F.hex(s["v"]), 2, "0")), "")).first()[0]
+    return bytes.fromhex(text)
+
+
+def _marked(h: Column, marks: bytes) -> Column:
+    """May ``h`` be among the marked keys? Never false for one that is."""
+    byte = F.conv(F.hex(F.substr(F.lit(bytearray(marks)), (F.shiftrightunsigned(h, 64 - MARK_BITS) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, h.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Classes (key, at) and links (a, b) between them, over ``docs(doc_id, same, text)``.
+    """Classes (key, doc_id, same, line) at their first places, and links (a, b), over ``docs(doc_id, same, text)``.
 
-    ``at`` is a class's first place (doc_id, same, line). Each pair of
-    different classes whose Jaccard is ``similarity`` or more is one link.
+    Each pair of different classes whose Jaccard is ``similarity`` or more is one link.
     """
     t = Fraction(str(similarity))
     if not 0 < t <= 1:
@@ -85,28 +110,29 @@ def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Data
     lines = _lines(docs)
     sets = _sets(lines, _rarity(lines))
     signature = F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(w, 20) % 64).cast("int"))))
-    first = F.struct("doc_id", "same", "line")
     prefix = F.expr(f"transform(slice(words, 1, n - {_ceil('n', num, den)} + 1), w -> cast(w & 2147483647 as int))")
-    classes = (sets.select("key", first.alias("at"), F.struct("n", signature.alias("sig"), prefix.alias("prefix")).alias("body"))
-               .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")))
-    index = classes.select("key", "body.n", "body.sig", F.posexplode("body.prefix").alias("pos", "word"))
+    classes = _stored(sets.select("key", F.struct("doc_id", "same", "line").alias("at"), F.struct("n", signature.alias("sig"), prefix.alias("prefix")).alias("body"))
+                      .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")).select("key", "at.*", "body.*"), "line-classes")
+    # a set of n words has no different partner if even n of n + 1 words fall short
+    index = classes.where(f"n * {den} >= (n + 1) * {num}").select("key", "sig", F.posexplode("prefix").alias("pos", "word"), "n")
     x, y = index.alias("x"), index.alias("y")
-    pairs = (x.join(y, F.expr(f"""x.word = y.word and (y.n < x.n or y.n = x.n and y.key < x.key)
+    pairs = _stored(x.join(y, F.expr(f"""x.word = y.word and (y.n < x.n or y.n = x.n and y.key < x.key)
                  and y.n * {den} >= x.n * {num}
                  and y.pos <= y.n - {_ceil('y.n', 2 * num, num + den)}
-                 and 1 + least(x.n - x.pos, y.n - y.pos) - 1 >= {need}
+                 and least(x.n - x.pos, y.n - y.pos) >= {need}
                  and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""))
-             .selectExpr("x.key as a", "y.key as b", f"{need} as need").distinct())
+                    .selectExpr("x.key as a", "y.key as b", f"{need} as need").distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    places = (classes.join(wanted, "key").groupBy("at.doc_id", "at.same")
-              .agg(F.collect_list(F.struct("at.line", "key")).alias("lines")))
-    texts = (docs.join(places, ["doc_id", "same"]).select(F.split("text", "\n").alias("all"), F.explode("lines").alias("l"))
-             .select("l.key", _words(F.element_at("all", F.col("l.line") + 1)).alias("words"))
-             .groupBy("key").agg(F.array_distinct(F.first("words")).alias("words")))
-    links = (pairs.join(texts.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
-             .join(texts.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
-             .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"))
-    return classes.select("key", "at"), links
+    places = _stored(classes.select("key", "doc_id", "same", "line").join(wanted, "key"), "line-places")
+    here = F.xxhash64("doc_id", "same", "line")
+    texts = (docs.where("doc_id is not null").select("doc_id", "same", F.posexplode(F.split("text", "\n")).alias("line", "t"))
+             .where(_marked(here, _marks(places.select(here.alias("h")))))
+             .join(places, ["doc_id", "same", "line"]).groupBy("key").agg(F.first("t").alias("t")))
+    words = _stored(texts.select("key", F.array_distinct(_words(F.col("t"))).alias("words")), "line-words")
+    links = _stored(pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
+                    .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
+                    .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"), "line-links")
+    return classes.select("key", "doc_id", "same", "line"), links
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -125,26 +151,35 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document that loses every line keeps its row. ``rest`` holds the other
     columns, whatever their names. Empty input gives no rows.
     """
-    slim = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("same"), docs[text_col].alias("text"))
+    same = F.xxhash64(docs[text_col])
+    slim = docs.select(docs[id_col].cast("long").alias("doc_id"), same.alias("same"), docs[text_col].alias("text"))
     rest = F.struct(*[docs[c] for c in docs.columns if c not in (id_col, text_col)] or [F.lit(None).cast("int").alias("none")])
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), same.alias("same"), docs[text_col].alias("text"), rest.alias("rest"))
     classes, links = similar_lines(slim, similarity)
+    place = F.struct("doc_id", "same", "line")
     both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).union(links.select("b", "a"))
-    places = both.join(classes, "key").join(classes.select(F.col("key").alias("other"), F.col("at").alias("other_at")), "other")
-    linked = places.groupBy("key").agg(F.count("*").alias("links"), F.max(F.col("other_at") < F.col("at")).alias("later"))
-    kept = (classes.join(linked, "key", "left").groupBy("at.doc_id", "at.same")
-            .agg(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("at.line"))).alias("first"), F.sum("links").alias("links")))
-    every = F.expr("sequence(0, size(all) - 1)")
-    worded = F.filter(every, lambda i: F.regexp_like(F.element_at("all", i + 1), F.lit(r"[^ \t\x0B\f\r]")))
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("same"), docs[text_col].alias("text"), rest.alias("rest"))
-    return (rows.join(kept, ["doc_id", "same"], "left")
-            .withColumn("all", F.split("text", "\n")).withColumn("worded", worded)
-            .withColumn("gone", F.when(F.col("doc_id").isNull(), F.expr("array()").cast("array<int>"))
-                        .otherwise(F.array_except("worded", F.coalesce("first", F.expr("cast(array() as array<int>)")))))
-            .withColumn("stay", F.array_except(every, "gone"))
-            .select("doc_id", "same", F.coalesce(F.size("worded"), F.lit(0)).cast("long").alias("n_lines"),
-                    F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                    F.when(F.size("gone") == 0, F.col("text")).otherwise(
-                        F.array_join(F.transform("stay", lambda i: F.element_at("all", i + 1)), "\n")).alias("text"), "rest"))
+    linked = (both.join(classes.select("key", place.alias("at")), "key").join(classes.select(F.col("key").alias("other"), place.alias("other_at")), "other")
+              .groupBy("key").agg(F.count("*").alias("links"), F.max(F.col("other_at") < F.col("at")).alias("later")))
+    kept = _stored(classes.join(linked, "key", "left").groupBy("doc_id", "same")
+                   .agg(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("line"))).alias("first"), F.sum("links").alias("links")), "line-kept")
+    worded = F.filter(F.expr("sequence(0, size(all) - 1)"), lambda i: F.regexp_like(F.element_at("all", i + 1), F.lit(r"[^ \t\x0B\f\r]")))
+    cut = rows.withColumn("all", F.split("text", "\n")).withColumn("worded", worded)
+    # only documents that lose a line or hold a link meet their lists; the others are told apart by a bit set and pass
+    counts = cut.where("doc_id is not null").select("doc_id", "same", F.size("worded").alias("n")).distinct()
+    touched = counts.join(kept.select("doc_id", "same", F.size("first").alias("k"), "links"), ["doc_id", "same"], "left").where("n <> coalesce(k, 0) or links > 0")
+    here = F.xxhash64("doc_id", "same")
+    marks = _marks(touched.select(here.alias("h")))
+    maybe = F.coalesce(F.col("doc_id").isNotNull() & _marked(here, marks), F.lit(False))
+    none = F.lit(0).cast("long")
+    lines = F.coalesce(F.size("worded"), F.lit(0)).cast("long").alias("n_lines")
+    whole = cut.where(~maybe).select("doc_id", "same", lines, none.alias("n_removed"), none.alias("n_links"), "text", "rest")
+    parts = (rows.where(maybe).join(kept, ["doc_id", "same"], "left").withColumn("all", F.split("text", "\n")).withColumn("worded", worded)
+             .withColumn("gone", F.array_except("worded", F.coalesce("first", F.expr("cast(array() as array<int>)"))))
+             .withColumn("stay", F.array_except(F.expr("sequence(0, size(all) - 1)"), "gone"))
+             .select("doc_id", "same", lines, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+                     F.when(F.size("gone") == 0, F.col("text")).otherwise(
+                         F.array_join(F.transform("stay", lambda i: F.element_at("all", i + 1)), "\n")).alias("text"), "rest"))
+    return whole.union(parts)
 
 
 def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
