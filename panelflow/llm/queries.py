@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflow.llm import bpe, decontaminate, lines, pii, quality, simhash, substring, toxicity
+from panelflow.llm import bpe, decontaminate, html, lines, lm, pii, quality, simhash, substring, toxicity
 from panelflow.llm.common import table
 
 QUERIES: dict = {}
@@ -46,11 +46,21 @@ def op6_pii(spark, d):
     return pii.report(table(spark, d, "documents"))
 
 
+@query
+def op7_lm_score(spark, d):
+    return lm.report(table(spark, d, "documents"))
+
+
 @query
 def op8_bpe(spark, d):
     return bpe.round_trip(table(spark, d, "documents")).drop("ids")
 
 
+@query
+def op9_html(spark, d):
+    return html.extract_main_text(table(spark, d, "pages"))
+
+
 @query
 def op10_simhash(spark, d):
     return simhash.simhash_components(table(spark, d, "documents"))
