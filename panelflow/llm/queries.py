@@ -1,14 +1,12 @@
-"""Queries of the training-data operators over the given tables, and their SQL."""
+"""Queries of the training-data operators over the given tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from panelflow.llm import bpe, decontaminate, html, lines, lm, pii, quality, simhash, substring, toxicity
 from panelflow.llm.common import table
+from panelflow.llm.oracles import ORACLE_SQL  # noqa: F401
 
 QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(f):
