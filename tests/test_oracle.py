@@ -3,22 +3,21 @@
 import pytest
 
 import __spark_entry__ as entry
+from panelflow.queries import ORACLE_SQL as SQL, QUERIES
 from tests.conftest import SF_SMALL
 from tests.oracle import FORBIDDEN, compare, duck
 
-SQL = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     assert name in SQL, f"{name} has no oracle SQL"
     plans = {}
-    problems, _, _ = compare(spark, name, entry.queries()[name], SQL[name], SF_SMALL, con, plans)
+    problems, _, _ = compare(spark, name, QUERIES[name], SQL[name], SF_SMALL, con, plans)
     assert not problems, problems
     bad = [n for n in FORBIDDEN if n in plans[name]]
     assert not bad, f"{name} plan contains {bad}"
