@@ -13,12 +13,14 @@ its first occurrence. Between classes the join follows the prefix filter:
   signatures in bits) drop pairs that cannot reach t;
 - the words of the few classes left are fetched and the Jaccard verified.
 
-Words are compared by 55 bits of their hash, sets by 64 bits. Only the join
-of the prefix index with itself multiplies rows, and AQE splits its hot keys.
+Words are compared by their 64-bit hashes (55 bits where they make a class),
+sets by 64 bits. Only the join of the prefix index with itself multiplies
+rows, and AQE splits its hot keys.
 """
 
 from __future__ import annotations
 
+import gc
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +34,7 @@ BUCKETS = 1 << BUCKET_BITS
 MARK_BITS = 20                  # a bit set has 2**20 bytes
 
 _GAPS = r"[ \t\x0B\f\r]+"       # white space inside a line
+_A_WORD = r"[^ \t\x0B\f\r]"
 
 
 def _ceil(num: str, part: int, whole: int) -> str:
@@ -40,37 +43,35 @@ def _ceil(num: str, part: int, whole: int) -> str:
 
 
 def _words(line: Column) -> Column:
-    """Hashes of a line's words, repeats included."""
-    return F.array_remove(F.transform(F.split(line, _GAPS), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    """A line's words, repeats included (one empty word for a line without any)."""
+    return F.split(F.btrim(line, F.lit(" \t\x0B\f\r")), _GAPS)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, line, words): one row per line, words as hashes with repeats; wordless lines have none."""
-    return (docs.where("doc_id is not null and text is not null")
-            .select("doc_id", "same", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-            .select("doc_id", "same", "line", _words(F.col("t")).alias("words")))
+    """(doc_id, same, line, t): one row per line of the documents that have a place."""
+    return docs.where("doc_id is not null and text is not null").select("doc_id", "same", F.posexplode(F.split("text", "\n")).alias("line", "t"))
 
 
-def _rarity(lines: DataFrame) -> bytes:
-    """One byte per hash bucket: its rarity class (1 rarest, below 128), from the words of all lines."""
-    spark = lines.sparkSession
-    counts = (lines.select(F.explode("words").alias("w")).select(F.expr(f"shiftrightunsigned(w, {64 - BUCKET_BITS})").alias("b"))
+def _rarity(docs: DataFrame) -> Column:
+    """An array constant: for each hash bucket a rarity class (0 rarest, below 128), from the words of all lines."""
+    spark = docs.sparkSession
+    words = docs.where("doc_id is not null and text is not null").select(F.explode(F.split("text", r"[ \t\n\x0B\f\r]+")).alias("w"))
+    counts = (words.select(F.expr(f"shiftrightunsigned(xxhash64(w), {64 - BUCKET_BITS})").alias("b"))
               .groupBy("b").agg(F.count("*").alias("n"))
               .union(spark.range(BUCKETS).select("id", F.lit(0).cast("long"))).groupBy("b").agg(F.sum("n").alias("n")))
-    ranked = counts.select(F.struct("b", F.expr("char(1 + least(125, cast(floor(4 * log2(n + 1)) as int)))").alias("r")).alias("s"))
-    return ranked.agg(F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["r"]), "")).first()[0].encode()
+    ranked = counts.select(F.struct("b", F.expr("least(125, cast(floor(4 * log2(n + 1)) as int))").alias("r")).alias("s"))
+    text = ranked.agg(F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["r"].cast("string")), ",")).first()[0]
+    return F.split(F.lit(text), ",").cast("array<int>")         # folded to a constant when the plan is optimised
 
 
-def _sets(lines: DataFrame, rarity: bytes) -> DataFrame:
+def _sets(lines: DataFrame, rarity: Column) -> DataFrame:
     """(doc_id, same, line, key, n, words): the different words of each line that has any, rarest first."""
-    table = F.lit(bytearray(rarity))
-
     def code(w: Column) -> Column:
-        at = (F.shiftrightunsigned(w, 64 - BUCKET_BITS) + 1).cast("int")
-        return F.shiftleft(F.ascii(F.substr(table, at, F.lit(1)).cast("string")).cast("long"), 55).bitwiseOR(F.shiftrightunsigned(w, 9))
+        h = F.xxhash64(w)
+        return F.shiftleft(F.get(rarity, F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")).cast("long"), 55).bitwiseOR(F.shiftrightunsigned(h, 9))
 
-    return (lines.where(F.size("words") > 0)
-            .withColumn("words", F.sort_array(F.transform(F.array_distinct("words"), code)))
+    return (lines.where(F.regexp_like("t", F.lit(_A_WORD)))
+            .select("doc_id", "same", "line", F.sort_array(F.array_distinct(F.transform(_words(F.col("t")), code))).alias("words"))
             .withColumn("n", F.size("words")).withColumn("key", F.xxhash64("words")))
 
 
@@ -91,10 +92,18 @@ def _marked(h: Column, marks: bytes) -> Column:
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again."""
-    path = staging_path(df.sparkSession, name)
+    """``df`` written to the shared folder and read again.
+
+    Shuffle files stay on the executors' disks until the driver's garbage
+    collector finds their plan gone; a stage's are not needed once it is
+    written, so the collector is called here.
+    """
+    spark, path = df.sparkSession, staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.parquet(path)
 
 
 def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -107,28 +116,33 @@ def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Data
         raise ValueError("similarity must be in (0, 1]")
     num, den = t.numerator, t.denominator
     need = _ceil("x.n + y.n", num, num + den)
-    lines = _lines(docs)
-    sets = _sets(lines, _rarity(lines))
-    signature = F.aggregate("words", F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(w, 20) % 64).cast("int"))))
+    sets = _sets(_lines(docs), _rarity(docs))
+    # parities of the set in 64 bits, three times over other bits of the hashes
+    parity = [F.expr(f"aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(shiftrightunsigned(w, {k}) & 63 as int)))") for k in (20, 26, 14)]
     prefix = F.expr(f"transform(slice(words, 1, n - {_ceil('n', num, den)} + 1), w -> cast(w & 2147483647 as int))")
-    classes = _stored(sets.select("key", F.struct("doc_id", "same", "line").alias("at"), F.struct("n", signature.alias("sig"), prefix.alias("prefix")).alias("body"))
+    classes = _stored(sets.select("key", F.struct("doc_id", "same", "line").alias("at"),
+                                  F.struct("n", *[p.alias(c) for p, c in zip(parity, ("sig", "sig2", "sig3"))], prefix.alias("prefix")).alias("body"))
                       .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")).select("key", "at.*", "body.*"), "line-classes")
     # a set of n words has no different partner if even n of n + 1 words fall short
     index = classes.where(f"n * {den} >= (n + 1) * {num}").select("key", "sig", F.posexplode("prefix").alias("pos", "word"), "n")
     x, y = index.alias("x"), index.alias("y")
+    # both sides read one exchange: no condition is on one side alone
     pairs = _stored(x.join(y, F.expr(f"""x.word = y.word and (y.n < x.n or y.n = x.n and y.key < x.key)
                  and y.n * {den} >= x.n * {num}
-                 and y.pos <= y.n - {_ceil('y.n', 2 * num, num + den)}
                  and least(x.n - x.pos, y.n - y.pos) >= {need}
                  and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""))
-                    .selectExpr("x.key as a", "y.key as b", f"{need} as need").distinct(), "line-pairs")
+                    .selectExpr("x.key as a", "y.key as b", f"{need} as need", "x.n + y.n as both").distinct(), "line-pairs")
+    more = classes.select("key", "sig2", "sig3")
+    far = " and ".join(f"bit_count(x.{c} ^ y.{c}) <= both - 2 * need" for c in ("sig2", "sig3"))
+    pairs = _stored(pairs.join(more.alias("x"), F.col("a") == F.col("x.key")).join(more.alias("y"), F.col("b") == F.col("y.key"))
+                    .where(far).select("a", "b", "need"), "line-near-pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     places = _stored(classes.select("key", "doc_id", "same", "line").join(wanted, "key"), "line-places")
     here = F.xxhash64("doc_id", "same", "line")
-    texts = (docs.where("doc_id is not null").select("doc_id", "same", F.posexplode(F.split("text", "\n")).alias("line", "t"))
-             .where(_marked(here, _marks(places.select(here.alias("h")))))
-             .join(places, ["doc_id", "same", "line"]).groupBy("key").agg(F.first("t").alias("t")))
-    words = _stored(texts.select("key", F.array_distinct(_words(F.col("t"))).alias("words")), "line-words")
+    marked = _lines(docs).where(_marked(here, _marks(places.select(here.alias("h")))))
+    own = F.array_distinct(F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)))
+    words = _stored(marked.join(places, ["doc_id", "same", "line"]).select("key", own.alias("words"))
+                    .groupBy("key").agg(F.first("words").alias("words")), "line-words")
     links = _stored(pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
                     .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
                     .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"), "line-links")
@@ -162,7 +176,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .groupBy("key").agg(F.count("*").alias("links"), F.max(F.col("other_at") < F.col("at")).alias("later")))
     kept = _stored(classes.join(linked, "key", "left").groupBy("doc_id", "same")
                    .agg(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("line"))).alias("first"), F.sum("links").alias("links")), "line-kept")
-    worded = F.filter(F.expr("sequence(0, size(all) - 1)"), lambda i: F.regexp_like(F.element_at("all", i + 1), F.lit(r"[^ \t\x0B\f\r]")))
+    worded = F.filter(F.expr("sequence(0, size(all) - 1)"), lambda i: F.regexp_like(F.element_at("all", i + 1), F.lit(_A_WORD)))
     cut = rows.withColumn("all", F.split("text", "\n")).withColumn("worded", worded)
     # only documents that lose a line or hold a link meet their lists; the others are told apart by a bit set and pass
     counts = cut.where("doc_id is not null").select("doc_id", "same", F.size("worded").alias("n")).distinct()
