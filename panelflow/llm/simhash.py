@@ -95,7 +95,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = least.join(roots, least["fp"] == roots["node"]).select("fp", "first", "root")
     lowest = grouped.groupBy("root").agg(F.min("first").alias("low"))
     moved = grouped.join(lowest, "root").select("fp", "low")
-    named = least.join(moved, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"))
+    # written, so that the join below reads two plain exchanges and AQE can split a fingerprint with many copies
+    named = least.join(moved, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")).checkpoint()
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
