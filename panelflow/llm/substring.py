@@ -35,7 +35,7 @@ from panelflow.llm.common import WORDS, mix, ragged, slices, text_bytes, word_ha
 from panelflow.session import staging_path
 
 WINDOW, GRAM = 20, 8
-SHARD_KEYS = 1 << 20        # anchors a shard is planned for
+SHARD_KEYS = 1 << 17        # anchors a shard is planned for
 FLUSH = 1 << 20             # anchors a task holds before it sends them
 
 
