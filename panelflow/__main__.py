@@ -15,10 +15,9 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 import sys
 
-from panelflow.schemas import FEEDS
+from panelflow.schemas import FEEDS, SNAPSHOT_KEY
 
 _EXIT = {"OK": 0, "WARNING": 1, "ERROR": 2}
 
@@ -32,6 +31,14 @@ def _days(text: str | None):
     return [d for d in text.split(",") if d]
 
 
+def _options(path: str | None) -> dict | None:
+    """JDBC options from a JSON file."""
+    if path is None:
+        return None
+    with open(path) as fh:
+        return {k: str(v) for k, v in json.load(fh).items()}
+
+
 def _emit(name: str, row) -> int:
     d = row.asDict()
     d["feed"] = name
@@ -53,7 +60,10 @@ def main(argv: list[str] | None = None) -> int:
     u.add_argument("--target-root")
     u.add_argument("--days")
     u.add_argument("--mode", default="replace", choices=["replace", "append"])
-    u.add_argument("--password-env", help="environment variable holding the archive password")
+    u.add_argument("--jdbc", help="JSON file of JDBC options (url, dbtable, ...): append there instead of --target")
+    u.add_argument("--layout", help="with --landing: day folders below it, such as day={day}")
+    u.add_argument("--log", help="run log (sinks.runlog) to open and close the run in")
+    u.add_argument("--task-id", type=int, default=0, help="the run's task in --log")
     u.add_argument("--archive-dir", help="move the request's delivered files here after the load")
     u.add_argument("--no-raw-check", action="store_true",
                    help="skip the independent raw line count (a second pass over the input)")
@@ -61,9 +71,13 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("snapshot", help="panelist snapshot refresh (D2)")
     s.add_argument("--landing", required=True)
     s.add_argument("--contains", required=True)
-    s.add_argument("--snapshot", required=True)
-    s.add_argument("--frozen", required=True)
-    s.add_argument("--key", default="RespondentID")
+    s.add_argument("--snapshot")
+    s.add_argument("--frozen")
+    s.add_argument("--jdbc-snapshot", help="JSON file of JDBC options: the snapshot table is there")
+    s.add_argument("--jdbc-frozen", help="JSON file of JDBC options: the frozen table is there")
+    s.add_argument("--key", default=SNAPSHOT_KEY)
+    s.add_argument("--log", help="run log (sinks.runlog) to open and close the run in")
+    s.add_argument("--task-id", type=int, default=0, help="the run's task in --log")
     s.add_argument("--archive-dir", help="move the processed file here, stamped with the run time")
 
     g = sub.add_parser("gate", help="may the gated tasks run (D4)")
@@ -73,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--day", required=True)
     g.add_argument("--calendar", help="parquet table with a 'holiday' column")
     g.add_argument("--include-weekend", type=int, default=1)
+    g.add_argument("--as-of", action="store_true", help="take runs of earlier days too")
 
     i = sub.add_parser("ingest", help="load new files only (T1)")
     i.add_argument("--feed", required=True)
@@ -80,14 +95,15 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--target", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--archive-dir")
-    i.add_argument("--mode", default="append", choices=["append", "replace_days"])
+    i.add_argument("--mode", default="append", choices=["append", "replace_files"])
 
     a = p.parse_args(argv)
+    from panelflow.plans.outcome import RunLog
     from panelflow.session import get_session
     spark = get_session(a.master)
 
     if a.cmd == "usage":
-        from panelflow.plans.usage_load import daily_load, daily_loads, usage_load
+        from panelflow.plans.usage_load import daily_loads, usage_load
         names = a.feed.split(",")
         days = _days(a.days)
         if len(names) > 1 or a.target_root:
@@ -95,21 +111,21 @@ def main(argv: list[str] | None = None) -> int:
             targets = {n: f"{root}/{n}" for n in names}
         else:
             targets = {names[0]: a.target}
-        pwd = os.environ.get(a.password_env) if a.password_env else None
-        kw = {"mode": a.mode, "check_raw": not a.no_raw_check, "archive_dir": a.archive_dir}
-        if a.archives and len(names) > 1:
-            res = daily_loads(spark, a.archives, names, days, targets=targets, password=pwd, **kw)
-        elif a.archives:
-            res = {names[0]: daily_load(spark, a.archives, names[0], days, target=targets[names[0]],
-                                        password=pwd, **kw)}
+        kw = {"mode": a.mode, "check_raw": not a.no_raw_check, "archive_dir": a.archive_dir, "jdbc": _options(a.jdbc),
+              "log": RunLog(a.log, a.task_id) if a.log else None}
+        if a.archives:
+            res = daily_loads(spark, a.archives, names, days, targets=targets, **kw)
         else:
-            res = {n: usage_load(spark, a.landing, n, days, target=targets[n], **kw) for n in names}
+            res = {n: usage_load(spark, a.landing, n, days, target=targets[n], layout=a.layout,
+                                 match="day" if a.layout else "name", **kw) for n in names}
         return max(_emit(n, r.outcome.first()) for n, r in res.items())
 
     if a.cmd == "snapshot":
         from panelflow.plans.snapshot import snapshot_refresh
         return _emit("snapshot", snapshot_refresh(spark, a.landing, a.contains, a.snapshot, a.frozen,
-                                                  key=a.key, archive_dir=a.archive_dir).first())
+                                                  key=a.key, archive_dir=a.archive_dir,
+                                                  jdbc_snapshot=_options(a.jdbc_snapshot), jdbc_frozen=_options(a.jdbc_frozen),
+                                                  log=RunLog(a.log, a.task_id) if a.log else None).first())
 
     if a.cmd == "gate":
         from pyspark.sql import functions as F
@@ -120,16 +136,21 @@ def main(argv: list[str] | None = None) -> int:
             req = spark.createDataFrame(json.load(fh), "gate_id string, task_id int, allowed array<int>")
         log = current_runs(spark, a.log).drop("log_time").withColumn("log_time", F.col("started"))
         cal = spark.read.parquet(a.calendar) if a.calendar else None
-        rows = run_control(log, req, a.day, calendar=cal, include_weekend=a.include_weekend).collect()
+        rows = run_control(log, req, a.day, calendar=cal, include_weekend=a.include_weekend, as_of=a.as_of).collect()
         for r in rows:
             print(json.dumps(r.asDict(), default=str))
         return 0 if all(r.may_run for r in rows) else 1
 
     if a.cmd == "ingest":
         from panelflow.streaming.ingest import ingest_new_files
-        q = ingest_new_files(spark, a.landing, a.feed, a.target, a.checkpoint,
-                             archive_dir=a.archive_dir, mode=a.mode)
-        n = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+        from panelflow.sinks.paths import exists
+
+        def rows() -> int:   # counted in the target: a query's progress keeps its last batches only
+            return spark.read.parquet(a.target).count() if exists(spark, a.target) else 0
+        before = rows()
+        ingest_new_files(spark, a.landing, a.feed, a.target, a.checkpoint,
+                         archive_dir=a.archive_dir, mode=a.mode)
+        n = rows() - before
         print(json.dumps({"feed": a.feed, "status": "OK", "rows": n}))
         return 0
     return 2

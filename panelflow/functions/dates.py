@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +38,18 @@ def parse_day(text: Column, fmt: str) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt)).cast("date")
 
 
+def parse_path_day(path: str, fmt: str) -> _dt.date | None:
+    """:func:`day_from_path` for one path on the driver."""
+    found = re.findall(f"(?={'(' + day_regex(fmt) + ')'})", path)
+    if not found:
+        return None
+    plain = fmt.replace("yyyy", "%Y").replace("MM", "%m").replace("dd", "%d").replace("'", "")
+    try:
+        return _dt.datetime.strptime(found[-1], plain).date()
+    except ValueError:
+        return None
+
+
 def day_from_path(path: Column, fmt: str = "yyyy-MM-dd") -> Column:
     """The last day written in ``fmt`` anywhere in a path, as a date.
 

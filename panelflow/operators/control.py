@@ -7,17 +7,16 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelflow.operators.util import broadcast_if_small
 from panelflow.schemas import STATUS_CODES
 
 
-def latest_status(log: DataFrame, ref_date=None, *, as_of: bool = True,
+def latest_status(log: DataFrame, ref_date=None, *, as_of: bool = False,
                   task_col: str | list[str] = "task_id", time_col: str = "log_time",
                   id_col: str = "log_id", status_col: str = "status") -> DataFrame:
     """Each task's last log row (by time, then log id).
 
-    ``ref_date`` bounds the log: ``as_of=True`` takes rows on or before that
-    day, ``as_of=False`` rows on that day only. The pick is a ``max`` over a
+    ``ref_date`` bounds the log to rows on that day, or with ``as_of=True``
+    to rows on or before it. The pick is a ``max`` over a
     struct, i.e. a partial aggregate: a task with a third of all rows still
     reduces map-side instead of being sorted in one task.
     """
@@ -83,13 +82,13 @@ def is_holiday(dates: DataFrame, calendar: DataFrame, include_weekend: int,
     """A date is a holiday if the calendar has it, or, with
     ``include_weekend=1``, if it falls on Saturday or Sunday.
 
-    The calendar (one row per holiday) is broadcast only after its row
-    count is checked; otherwise the join shuffles.
+    How the calendar (one row per holiday) is joined is the planner's
+    choice, from sizes measured at run time.
     """
     if include_weekend not in (0, 1):
         raise ValueError(f"include_weekend must be 0 or 1, got {include_weekend!r}")
-    cal = broadcast_if_small(calendar.select(F.col(holiday_col).cast("date").alias("__h"))
-                             .filter(F.col("__h").isNotNull()).distinct())
+    cal = (calendar.select(F.col(holiday_col).cast("date").alias("__h"))
+           .filter(F.col("__h").isNotNull()).distinct())
     d = F.col(date_col).cast("date")
     hit = F.col("__h").isNotNull()
     if include_weekend:

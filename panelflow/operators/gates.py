@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,22 @@ from panelflow.operators.keys import valid_dates
 from panelflow.schemas import Feed, feed as _feed
 from panelflow.sources.files import path_key, scan_files
 
-# A file this small may hold nothing but a byte-order mark (2–4 bytes).
+# A byte-order mark has at most four bytes, so no longer file is mark-only.
 _MARK_MAX_BYTES = 4
 
 
+def mark_only(content: Column, encoding: str) -> Column:
+    """Does ``content`` hold no character beside one leading byte-order mark?
+
+    UTF-16 is decoded as its mark says, little-endian without one."""
+    if encoding.upper().replace("_", "-").startswith("UTF-16"):
+        big = F.hex(F.substring(content, 1, 2)) == "FEFF"
+        text = F.when(big, F.decode(content, "UTF-16BE")).otherwise(F.decode(content, "UTF-16LE"))
+    else:
+        text = F.decode(content, encoding)
+    return F.length(F.regexp_replace(text, "^\ufeff", "")) == 0
+
+
 def with_day(listing: DataFrame, feed: Feed | str, col: str = "ref_date") -> DataFrame:
     """Listing rows with the delivery day read from each path."""
     f = _feed(feed)
@@ -28,9 +41,9 @@ def empty_feeds(spark: SparkSession, paths: str | Sequence[str], feed: Feed | st
     """Q1: delivered files that hold no characters.
 
     Empty means zero bytes, or nothing left once decoded in the feed's
-    charset and stripped of a byte-order mark (a mark-only file). Only
-    files of at most four bytes are decoded: the length filter is pushed
-    into the ``binaryFile`` scan, so no other file's content is read.
+    charset and stripped of one byte-order mark. Only files that short are
+    decoded: the length filter is pushed into the ``binaryFile`` scan, so
+    no other file's content is read.
     Pass the ``relation`` of a :func:`scan_files` listing to reuse it.
     """
     f = _feed(feed)
@@ -41,10 +54,8 @@ def empty_feeds(spark: SparkSession, paths: str | Sequence[str], feed: Feed | st
     else:
         lst = listing
     tiny = (relation.filter(F.col("length") <= _MARK_MAX_BYTES)
-            .select(path_key(F.col("path")).alias("__k"),
-                    F.length(F.regexp_replace(F.decode("content", f.encoding), "\ufeff", ""))
-                    .alias("__chars"))
-            .filter(F.col("__chars") == 0))
+            .filter(mark_only(F.col("content"), f.encoding))
+            .select(path_key(F.col("path")).alias("__k")))
     marked = lst.join(tiny, path_key(F.col("path")) == F.col("__k"), "left_semi")
     zero = lst.filter(F.col("length") == 0)
     return with_day(zero.unionByName(marked), f)
@@ -72,46 +83,38 @@ def load_plan(expected: DataFrame, empty: DataFrame, policy: str = "skip_empty",
     return days
 
 
-def _days_summary(df: DataFrame, col: str) -> Column:
-    """One scalar per frame: how many days, and the days as sorted text."""
-    day = F.date_format(F.col(col), "yyyy-MM-dd")
-    return df.select(F.struct(F.countDistinct(col).alias("n"),
-                              F.array_join(F.sort_array(F.collect_set(day)), ",").alias("text"))
-                     ).scalar()
+OUTCOME_SCHEMA = ("status string, loaded_dates string, skipped_dates string, missing_dates string, "
+                  "n_rows bigint, all_matched boolean, checks string, error string")
+
+
+def _days(rows: DataFrame | Iterable | None, col: str) -> list[str]:
+    """Sorted days as text, of a per-day frame or a list of days."""
+    if isinstance(rows, DataFrame):
+        rows = [r[0] for r in rows.select(col).collect()]
+    return sorted({str(d) for d in rows or () if d is not None})
 
 
-def run_outcome(spark: SparkSession, plan: DataFrame, recon: DataFrame,
-                missing: DataFrame | None = None, empty: DataFrame | None = None,
-                error: str | None = None, col: str = "ref_date") -> DataFrame:
+def run_outcome(spark: SparkSession, plan: DataFrame | Iterable, recon: DataFrame | Iterable,
+                missing: DataFrame | Iterable | None = None, empty: DataFrame | Iterable | None = None,
+                error: str | None = None, col: str = "ref_date", n_rows: int | None = None) -> DataFrame:
     """Q4: one row per run in place of the reference's mails.
 
     ``ERROR`` on an exception or a missing delivery, ``WARNING`` when an
-    expected file was empty (loaded or not, per policy), else ``OK``;
-    with loaded days, skipped days, rows loaded, whether every day's
-    parsed count equals its raw line count, and the per-day counts as
-    JSON (``checks``) for a reader to compare. Inputs are per-day frames
-    (one row per requested day), so the lists stay small; each is
-    summarised by a single scalar subquery.
+    expected file was empty (loaded or not, per policy) or a day's counts
+    differ, else ``OK``; with loaded days, skipped days, rows loaded,
+    whether every day's parsed count equals its raw line count (unknown if
+    unchecked), and the per-day counts as JSON (``checks``) for a reader to
+    compare. Inputs have one row per requested day, as small frames or
+    lists; the row is put together from them without a job of its own.
     """
-    none = spark.createDataFrame([], f"{col} date")
-    missing = _days_summary(missing if missing is not None else none, col)
-    empty = _days_summary(empty if empty is not None else none, col)
-    loaded = _days_summary(plan, col)
-    counts = recon.select(F.struct(
-        F.coalesce(F.sum("count_df"), F.lit(0)).cast("bigint").alias("rows"),
-        # no day loaded: vacuously matched; unchecked days (NULL) leave it unknown
-        F.when(F.count(F.lit(1)) == 0, F.lit(True)).otherwise(F.bool_and("matched")).alias("matched"),
-        F.to_json(F.sort_array(F.collect_list(F.struct(
-            F.date_format(col, "yyyy-MM-dd").alias(col), "count_df", "count_raw")))).alias("checks"))
-    ).scalar()
-    status = (F.when(F.lit(error is not None) | (missing["n"] > 0), F.lit("ERROR"))
-              .when(empty["n"] > 0, F.lit("WARNING")).otherwise(F.lit("OK")))
-    return spark.range(1).select(
-        status.alias("status"),
-        loaded["text"].alias("loaded_dates"),
-        empty["text"].alias("skipped_dates"),
-        missing["text"].alias("missing_dates"),
-        counts["rows"].alias("n_rows"),
-        counts["matched"].alias("all_matched"),
-        counts["checks"].alias("checks"),
-        F.lit(error).cast("string").alias("error"))
+    if isinstance(recon, DataFrame):
+        recon = recon.select(col, "count_df", "count_raw", "matched").collect()
+    recon = sorted(tuple(r) for r in recon)
+    matched = [m for *_, m in recon]
+    all_matched = False if False in matched else None if None in matched else True
+    loaded, skipped, lacking = _days(plan, col), _days(empty, col), _days(missing, col)
+    status = "ERROR" if error is not None or lacking else "WARNING" if skipped or all_matched is False else "OK"
+    checks = [{k: v for k, v in ((col, str(d)), ("count_df", a), ("count_raw", b)) if v is not None} for d, a, b, _ in recon]
+    rows = sum(a for _, a, _, _ in recon) if n_rows is None else n_rows
+    return spark.createDataFrame([(status, ",".join(loaded), ",".join(skipped), ",".join(lacking), rows, all_matched,
+                                   json.dumps(checks, separators=(",", ":")), error)], OUTCOME_SCHEMA)

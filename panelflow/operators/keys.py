@@ -34,8 +34,12 @@ def new_keys(src: DataFrame, target: DataFrame, key: str,
 
 
 def valid_dates(requested: DataFrame, empty: DataFrame, col: str = "d") -> DataFrame:
-    """Distinct requested dates minus the empty ones, ascending."""
-    return (requested.select(col).subtract(empty.select(col))
+    """Distinct requested dates minus the empty ones, ascending.
+
+    Both sides are made distinct first: the anti join that ``subtract``
+    becomes then shuffles days, not rows, and a hot day is summed map-side.
+    """
+    return (requested.select(col).distinct().subtract(empty.select(col).distinct())
             .orderBy(col))
 
 

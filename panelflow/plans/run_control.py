@@ -14,23 +14,30 @@ from panelflow.operators.control import (
     gate_passed, invalid_status_codes, latest_status, prerequisite_status)
 
 
+def bad_requirements(req: DataFrame, allowed_col: str = "allowed") -> DataFrame:
+    """The requirements that allow an unknown status, with those codes."""
+    return invalid_status_codes(req, allowed_col).filter(F.col("invalid") != "")
+
+
 def check_requirements(req: DataFrame, allowed_col: str = "allowed") -> None:
     """X2 as a guard: raise if any requirement allows an unknown status."""
-    bad = (invalid_status_codes(req, allowed_col).filter(F.col("invalid") != "")
-           .limit(20).collect())
-    if bad:
-        raise ValueError(f"invalid allowed status codes: {[r.asDict() for r in bad]}")
+    n, codes = bad_requirements(req, allowed_col).agg(
+        F.count("*"), F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.split("invalid", ","))))), ",")).first()
+    if n:
+        raise ValueError(f"{n} requirements have invalid allowed status codes ({codes}); see bad_requirements()")
 
 
 def run_control(log: DataFrame, req: DataFrame, ref_date, *, calendar: DataFrame | None = None,
-                include_weekend: int = 1, gate_col: str = "gate_id", as_of: bool = True) -> DataFrame:
-    """Per gate: ``passed`` (every prerequisite's latest status as at
-    ``ref_date`` is allowed), ``is_holiday`` and ``may_run``.
+                include_weekend: int = 1, gate_col: str = "gate_id", as_of: bool = False) -> DataFrame:
+    """Per gate: ``passed`` (every prerequisite's latest status on
+    ``ref_date``, or up to it with ``as_of``, is allowed), ``is_holiday`` and ``may_run``.
 
     ``req``: ``gate_id, task_id, allowed array<int>``; ``log``:
     ``task_id, log_id, status, log_time``.
     """
     check_requirements(req)
+    # only the required tasks' rows of the log reach the aggregate
+    log = log.join(req.select("task_id").distinct(), "task_id", "left_semi")
     latest = latest_status(log, ref_date, as_of=as_of)
     checked = prerequisite_status(req, latest)
     gates = gate_passed(checked, gate_col, "ok", gates=req)

@@ -1,33 +1,41 @@
 """D1 (and D3): a day-list load of one feed, as a handful of Spark jobs.
 
-expected deliveries (S7) → missing (Q2) → empty (Q1) → plan (Q3) → read
-all planned files at once (S1/S2, or S4) → stamp (P1, P2, P4) → write
-(K4 per-date replace, K1 append, or JDBC) → reconcile (A1/A2/J4) →
-outcome (Q4). No loop over dates: the date is taken from each file path.
+expected deliveries (S7) → one listing of the requested files → missing
+(Q2), empty (Q1) and plan (Q3) from its per-day rows → read all planned
+files at once (S1/S2, or S4) → stamp (P1, P2, P4) → write (K4 per-date
+replace, K1 append, or JDBC) → reconcile (A1/A2/J4) → outcome (Q4). No loop
+over dates: the date is taken from each file path.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelflow.functions.columns import add_import_date, place_columns
-from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, run_outcome, with_day
-from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
+from panelflow.functions.dates import day_from_path, parse_path_day
+from panelflow.operators.gates import mark_only, run_outcome
+from panelflow.operators.reconcile import parsed_count, raw_count
+from panelflow.plans.outcome import RunLog, logged
 from panelflow.schemas import Feed, feed as _feed
-from panelflow.sinks.files import archive_files
-from panelflow.sinks.tables import append_table, load_dates
 from panelflow.session import staging_path
+from panelflow.sinks.files import archive_files
+from panelflow.sinks.paths import exists
+from panelflow.sinks.tables import append_table, load_dates, replace_table
 from panelflow.sources.archive import OUT_SCHEMA, archive_members
-from panelflow.sources.files import expected_files, list_files, path_key, scan_files
-from panelflow.sources.header import read_header_file
-from panelflow.sources.usage import FILE_COL, raw_lines, read_usage
-from panelflow.functions.dates import day_from_path
+from panelflow.sources.files import expected_files, list_files, literal, norm, path_key, run_day
+from panelflow.sources.header import header_records, narrowest_types, read_header_file, read_header_text, wider
+from panelflow.sources.usage import FILE_COL, raw_lines, read_usage, typed_lines, with_ref_date
+
+RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolean"
 
 
 @dataclass
@@ -38,147 +46,218 @@ class LoadResult:
     delivered_files: list[str] = field(default_factory=list)   # loaded or empty
 
 
-def _stamped(spark: SparkSession, paths: list[str], f: Feed, import_day) -> DataFrame:
-    if f.header:
-        df = read_header_file(spark, paths, f.sep, schema=f.schema, encoding=f.encoding,
-                              file_col=FILE_COL)
-        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
-    else:
-        df = read_usage(spark, paths, f)
-    df = add_import_date(df.drop(FILE_COL), f.import_col, today=import_day)
-    return place_columns(df, [f.ref_col, f.import_col], 0)
-
-
-RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolean"
+def _failed(spark: SparkSession, error: str, missing=(), delivered=()) -> LoadResult:
+    return LoadResult(run_outcome(spark, [], [], missing=missing, error=error),
+                      spark.createDataFrame([], RECON_SCHEMA), [], list(delivered))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Materialise a control frame bounded by the request (one row per
-    requested day or delivered file) so later steps reuse it instead of
-    re-running its listing, decoding and joins."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+def _load(spark: SparkSession, patterns: list[str], glob: str | None) -> DataFrame | None:
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        return (r.option("pathGlobFilter", glob) if glob else r).load(patterns)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def delivered_files(spark: SparkSession, landing: str, f: Feed, expected: DataFrame,
-                    match: str = "name", glob: str | None = None) -> DataFrame:
-    """The listed files that belong to the request, with their day.
+def deliveries(spark: SparkSession, landing: str, f: Feed, expected: dict[_dt.date, str], match: str = "name",
+               glob: str | None = None, layout: str | None = None,
+               exclude: str | None = None) -> dict[_dt.date, dict[str, bool]]:
+    """By expected day, the delivered files and whether each is empty (Q1).
 
-    ``match="name"``: a file belongs when its name is an expected file
-    name (several feeds may share one landing folder). ``match="day"``: any
-    file under ``landing`` (narrowed by ``glob``) whose path carries an
-    expected day, e.g. ``ref_date=<day>/part-…`` folders with many files
-    per day.
+    ``match="name"``: a file belongs when it lies in ``landing`` itself under
+    an expected name (several feeds may share one landing folder).
+    ``match="day"``: any file below ``landing`` (narrowed by ``glob``) whose
+    path carries an expected day; with ``layout``, such as ``day={day}``,
+    only the expected days' folders are listed. What lies below ``exclude``,
+    the archive, never belongs. The files are listed once; their content is
+    read only where a file is so short that it may be a lone byte-order mark.
     """
-    return _match(scan_files(spark, landing, _glob(f, match, glob)).files, f, expected, match)
-
-
-def _glob(f: Feed, match: str, glob: str | None) -> str | None:
-    return glob or (f"{f.file_prefix}*{f.file_suffix}" if match == "name" else None)
-
-
-def _match(files: DataFrame, f: Feed, expected: DataFrame, match: str) -> DataFrame:
+    root = literal(landing.rstrip("/"))
     if match == "name":
-        return files.join(expected.select("file_name", "ref_date"), "file_name")
-    if match == "day":
-        return with_day(files, f).join(expected.select("ref_date"), "ref_date", "left_semi")
-    raise ValueError(f"unknown match {match!r}")
-
-
-def empty_days(listed: DataFrame, empty: DataFrame) -> DataFrame:
-    """Days all of whose delivered files are empty (one file per day in
-    the reference's layout; a part-file folder is empty only if every
-    part is)."""
-    flag = empty.select("path", F.lit(True).alias("__e"))
-    return (listed.join(flag, "path", "left")
-            .groupBy("ref_date").agg(F.bool_and(F.coalesce(F.col("__e"), F.lit(False))).alias("__all"))
-            .filter(F.col("__all")).select("ref_date"))
-
+        names = {n: d for d, n in expected.items()}
+    elif match == "day":
+        names = {layout.replace("{day}", _format_day(d, f.file_day_format)): d for d in expected} if layout else None
+    else:
+        raise ValueError(f"unknown match {match!r}")
+    if names is not None and not names:
+        return {}
+    if names is None:
+        patterns = [root]
+    else:
+        some = [literal(n) for n in sorted(names)]
+        patterns = [f"{root}/{some[0]}" if len(some) == 1 else f"{root}/{{{','.join(some)}}}"]
+    rel = _load(spark, patterns, glob)
+    if rel is None:
+        return {}
+    below = norm(exclude).rstrip("/") + "/" if exclude else None
+    found: dict[_dt.date, dict[str, bool]] = defaultdict(dict)
+    for p in map(unquote, rel.inputFiles()):
+        if below and norm(p).startswith(below):
+            continue
+        d = names.get(p.rsplit("/", 1)[-1]) if match == "name" else parse_path_day(p, f.file_day_format)
+        if d in expected:
+            found[d][p] = False
+    # a zero-byte file has a name but no row; only days that lack a row are looked at file by file
+    key = F.regexp_extract("path", "([^/]*)$", 1) if match == "name" else day_from_path(F.col("path"), f.file_day_format)
+    if below:
+        rel = rel.filter(~path_key(F.col("path")).startswith(below))
+    rows = Counter(r.k for r in rel.select(key.alias("k")).collect())
+    short = [d for d, files in found.items() if rows.get(expected[d] if match == "name" else d, 0) < len(files)]
+    if short:
+        keys = [expected[d] for d in short] if match == "name" else short
+        full = {norm(r.path) for r in rel.filter(key.isin(keys)).select("path").toLocalIterator()}
+        for d in short:
+            found[d] = {p: norm(p) not in full for p in found[d]}
+    tiny = rel.filter((F.col("length") <= 4) & mark_only(F.col("content"), f.encoding)).select("path")
+    for r in tiny.collect():
+        for files in found.values():
+            for p in files:
+                if norm(p) == norm(r.path):
+                    files[p] = True
+    return dict(found)
+
+
+def _format_day(d: _dt.date, fmt: str) -> str:
+    text = fmt.replace("yyyy", f"{d:%Y}").replace("MM", f"{d:%m}").replace("dd", f"{d:%d}")
+    return text.replace("'", "")
+
+
+def conform(spark: SparkSession, df: DataFrame, target: str | None, cols: list[str]) -> DataFrame:
+    """Text columns ``cols`` in the target's types, so that every load of a table reads back with one schema.
+
+    A value that does not fit its column's type widens the column once, in
+    the table too (rewritten and swapped in); so does a new column. Without
+    a table yet, types are inferred; a column without a value is text until
+    one comes.
+    """
+    types = narrowest_types(df, cols)
+    if target is None or not exists(spark, target):
+        return df.select(*[F.col(c).try_cast(types[c] or "string").alias(c) if c in types else F.col(c) for c in df.columns])
+    table = spark.read.parquet(target)
+    have = {x.name: x.dataType.simpleString() for x in table.schema.fields}
+    want = {c: wider(have.get(c), types[c]) or "string" for c in types}
+    if any(have.get(c) != t for c, t in want.items()):
+        cast = [F.col(c).cast(want.get(c, have[c])).alias(c) for c in table.columns]
+        new = [F.lit(None).cast(t).alias(c) for c, t in want.items() if c not in have]
+        replace_table(table.select(*cast, *new), target, spark=spark)
+    lost = [F.lit(None).cast(have[c]).alias(c) for c in have if c not in df.columns]
+    out = df.select(*[F.col(c).try_cast(want[c]).alias(c) if c in want else F.col(c) for c in df.columns], *lost)
+    return out
 
-def _usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
-               target: str | None = None, mode: str = "replace", jdbc: Mapping | None = None,
-               import_day: _dt.date | None = None, today: _dt.date | None = None,
-               match: str = "name", glob: str | None = None, check_raw: bool = True) -> LoadResult:
-    """Load the requested days of a feed from a landing folder.
 
-    ``days``: DataFrame / list / ``(first, last)`` / None (see S7).
-    ``mode``: ``replace`` (K4, safe to repeat), ``append`` (K1) or JDBC
-    append when ``jdbc`` is given. The feed's ``policy`` decides what an
-    empty file does (Q3). A missing delivery ends the run as ``ERROR``
-    without loading anything, as in the reference. ``match``: see
-    :func:`delivered_files`. ``check_raw=False`` skips the independent raw
-    line scan (a second pass over every input byte, the reference's check);
-    ``count_raw`` and ``matched`` are then NULL. With ``archive_dir`` the
-    request's delivered files (loaded or empty) are moved there after a run
-    that did not fail, which keeps the landing folder, and its listing,
-    small.
-    """
-    f = _feed(feed)
-    expected = _small(expected_files(spark, days, f, today=today))
-    glob = _glob(f, match, glob)
-    scan = scan_files(spark, landing, glob)      # one listing, reused below
-    listed = _small(_match(scan.files, f, expected, match))
-    delivered = [r.path for r in listed.select("path").collect()]
-    missing = missing_feeds(expected, listed)
-    if missing.limit(1).count():
-        none = spark.createDataFrame([], "ref_date date")
-        recon = spark.createDataFrame([], RECON_SCHEMA)
-        out = run_outcome(spark, none, recon, missing=missing, error="missing delivery")
-        return LoadResult(out, recon, [])
-    empty = _small(empty_feeds(spark, landing, f, glob, listing=listed, relation=scan.relation))
-    skipped = _small(empty_days(listed, empty))
-    plan = _small(load_plan(expected.select("ref_date"), skipped, f.policy))
-    to_read = listed.join(plan, "ref_date", "left_semi").join(empty.select("path"), "path", "left_anti")
-    # one row per delivered file: bounded by the request, like a file listing
-    picked = to_read.select("path", "ref_date").collect()
-    files = [r.path for r in picked]
-    loaded_days = sorted({r.ref_date for r in picked})
+def _read(spark: SparkSession, paths: list[str], f: Feed, target: str | None) -> tuple[DataFrame, DataFrame]:
+    """The files' typed rows, with their reference date, and their raw lines or records."""
+    if f.header:
+        if f.schema is not None:
+            df = read_header_file(spark, paths, f.sep, schema=f.schema, encoding=f.encoding, file_col=FILE_COL)
+        else:
+            df = read_header_text(spark, paths, f.sep, encoding=f.encoding, file_col=FILE_COL)
+            df = conform(spark, df, target, [c for c in df.columns if c not in (FILE_COL, f.ref_col, f.import_col)])
+            df = df.drop(f.ref_col, f.import_col)
+        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
+        return df, header_records(spark, paths, f.sep, f.encoding)
+    lines = raw_lines(spark, paths, f)
+    if f.is_utf16:
+        return with_ref_date(typed_lines(lines, f), f), lines
+    return read_usage(spark, paths, f), lines
+
+
+def _counts(df: DataFrame, col: str, name: str) -> dict[_dt.date, int]:
+    return {r[col]: r[name] for r in df.collect() if r[col] is not None}
+
+
+def _loaded(spark: SparkSession, target: str, ref_col: str, days: list[_dt.date], schema) -> dict[_dt.date, int]:
+    """Rows of the loaded days in a table partitioned by day; no other day's folder is opened."""
+    try:
+        folders = f"{literal(target.rstrip('/'))}/{ref_col}={{{','.join(map(str, days))}}}"
+        df = spark.read.schema(schema).option("basePath", target).parquet(folders)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return _counts(parsed_count(df.withColumn(ref_col, F.col(ref_col).cast("date")), ref_col), ref_col, "count_df")
+
+
+def _usage_load(spark: SparkSession, landing: str, f: Feed, days, target, mode, jdbc, import_day, today,
+                match, glob, layout, check_raw, archive_dir) -> LoadResult:
+    today = today or run_day()
+    expected = {r.ref_date: r.file_name for r in expected_files(spark, days, f, today=today).collect()}
+    found = deliveries(spark, landing, f, expected, match, glob, layout, archive_dir)
+    delivered = sorted(p for files in found.values() for p in files)
+    missing = sorted(set(expected) - set(found))
+    if missing:
+        return _failed(spark, "missing delivery", missing, delivered)
+    empty = sorted(d for d, files in found.items() if all(files.values()))
+    plan = [] if empty and f.policy == "all_or_nothing" else sorted(set(expected) - set(empty))
+    files = sorted(p for d in plan for p, none in found[d].items() if not none)
     if not files:
-        recon = spark.createDataFrame([], RECON_SCHEMA)
-        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, [], delivered)
-    df = _stamped(spark, files, f, import_day)
+        if target is not None and mode == "replace" and jdbc is None and plan:
+            raise AssertionError("a planned day has a file that is not empty")
+        return LoadResult(run_outcome(spark, plan, [], empty=empty), spark.createDataFrame([], RECON_SCHEMA), [], delivered)
+    # whole day folders are read by their names, whatever the number of their files
+    where = files
+    if match == "day" and layout and not glob and all(not any(found[d].values()) for d in plan):
+        where = sorted({f"{landing.rstrip('/')}/{layout.replace('{day}', _format_day(d, f.file_day_format))}" for d in plan})
+    df, lines = _read(spark, where, f, target if jdbc is None else None)
+    df = place_columns(add_import_date(df.drop(FILE_COL), f.import_col, today=import_day or today), [f.ref_col, f.import_col], 0)
     if jdbc is not None:
         append_table(df, jdbc=jdbc)
-        loaded = df
+        parsed = _counts(parsed_count(df, f.ref_col), f.ref_col, "count_df")
     elif mode == "replace":
-        load_dates(df, target, f.ref_col)
-        # counted from what landed: static partition pruning, no column decoded
-        loaded = spark.read.parquet(target).filter(F.col(f.ref_col).isin(loaded_days))
+        load_dates(df, target, f.ref_col, days=plan)
+        parsed = _loaded(spark, target, f.ref_col, plan, df.schema)
     elif mode == "append":
         append_table(df, target, partition_by=[f.ref_col])
-        loaded = df
+        parsed = _counts(parsed_count(df, f.ref_col), f.ref_col, "count_df")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    parsed = parsed_count(loaded, f.ref_col).withColumnRenamed(f.ref_col, "ref_date")
-    if not check_raw:
-        recon = _small(parsed.select("ref_date", F.col("count_df").cast("bigint"),
-                                     F.lit(None).cast("bigint").alias("count_raw"),
-                                     F.lit(None).cast("boolean").alias("matched")))
-        return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files, delivered)
-    raw = raw_count(raw_lines(spark, files, f), f.file_day_format, "ref_date")
-    if f.header:   # every delivered file starts with one header line
-        n_files = Counter(r.ref_date for r in picked)
-        per_day = spark.createDataFrame(sorted(n_files.items()), "ref_date date, n_files bigint")
-        raw = (raw.join(per_day, "ref_date", "left")
-               .select("ref_date", (F.col("count_raw") - F.coalesce(F.col("n_files"), F.lit(0)))
-                       .alias("count_raw")))
-    recon = _small(reconcile(parsed, raw, "ref_date"))   # one row per day
-    return LoadResult(run_outcome(spark, plan, recon, empty=skipped), recon, files, delivered)
+    if check_raw:
+        if f.header:   # every delivered file starts with one header line
+            n = lines.groupBy(day_from_path(F.col(FILE_COL), f.file_day_format).alias("d")).agg(F.count("*").alias("n"))
+            raw = {d: k - sum(not none for none in found[d].values()) for d, k in _counts(n, "d", "n").items()}
+        else:
+            raw = _counts(raw_count(lines, f.file_day_format, "d"), "d", "count_raw")
+        recon = [(d, parsed.get(d, 0), raw.get(d, 0), parsed.get(d, 0) == raw.get(d, 0)) for d in sorted({*parsed, *raw, *plan})]
+    else:
+        recon = [(d, parsed.get(d, 0), None, None) for d in plan]
+    return LoadResult(run_outcome(spark, plan, recon, empty=empty), spark.createDataFrame(recon, RECON_SCHEMA), files, delivered)
 
 
 def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
-               archive_dir: str | None = None, **kw) -> LoadResult:
-    res = _usage_load(spark, landing, feed, days, **kw)
-    if archive_dir and res.delivered_files and res.outcome.first().status != "ERROR":
-        archive_files(spark, res.delivered_files, archive_dir).collect()
-    return res
+               target: str | None = None, mode: str = "replace", jdbc: Mapping | None = None,
+               import_day: _dt.date | None = None, today: _dt.date | None = None,
+               match: str = "name", glob: str | None = None, layout: str | None = None, check_raw: bool = True,
+               archive_dir: str | None = None, log: RunLog | None = None) -> LoadResult:
+    """Load the requested days of a feed from a landing folder.
 
+    ``days``: DataFrame / list / ``(first, last)`` / None (see S7).
+    ``mode``: ``replace`` (K4, safe to repeat; a day delivered without a row
+    is cleared), ``append`` (K1) or JDBC append when ``jdbc`` is given. The
+    feed's ``policy`` decides what an empty file does (Q3). A missing
+    delivery ends the run as ``ERROR`` without loading anything, as in the
+    reference; so does any exception, with its text. ``match``, ``glob`` and
+    ``layout``: see :func:`deliveries`. ``check_raw=False`` skips the
+    independent raw line scan (a second pass over every input byte, the
+    reference's check); ``count_raw`` and ``matched`` are then NULL. With
+    ``archive_dir`` the request's delivered files (loaded or empty) are
+    moved there after a run that did not fail, below the folders they lay
+    in. ``today`` is the run's day (UTC), for default days and for the
+    import date. With ``log`` the run is opened and closed in a run log.
+    """
+    f = _feed(feed)
 
-usage_load.__doc__ = _usage_load.__doc__
+    def run() -> LoadResult:
+        res = _usage_load(spark, landing, f, days, target, mode, jdbc, import_day, today, match, glob, layout, check_raw, archive_dir)
+        if archive_dir and res.delivered_files and res.outcome.first().status != "ERROR":
+            archive_files(spark, res.delivered_files, archive_dir, root=landing).collect()
+        return res
+    return logged(spark, log, f"load of {f.name}", run, lambda error: _failed(spark, error))
 
 
 def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
-                       out_dir: str | None = None, today: _dt.date | None = None,
-                       password: str | None = None) -> DataFrame:
+                       out_dir: str | None = None, today: _dt.date | None = None) -> DataFrame:
     """S7 → Q2 → S6 for archived deliveries: one row per expected day with
     ``archive_found``, ``member_found`` and the extracted file's path.
 
@@ -193,7 +272,7 @@ def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, day
     present = expected.join(lst, "archive_name", "left")
     paths = [r.path for r in present.filter(F.col("path").isNotNull()).select("path").collect()]
     if paths:
-        got = archive_members(spark, paths, f.archive_member, out_dir, f, password=password)
+        got = archive_members(spark, paths, f.archive_member, out_dir, f)
     else:
         got = spark.createDataFrame([], OUT_SCHEMA)
     got = got.select(path_key(F.col("archive")).alias("__a"), "found", "out_path")
@@ -205,51 +284,38 @@ def extract_deliveries(spark: SparkSession, archives: str, feed: Feed | str, day
 
 
 def daily_load(spark: SparkSession, archives: str, feed: Feed | str, days=None, *,
-               target: str | None = None, work_dir: str | None = None,
-               password: str | None = None, **kw) -> LoadResult:
+               target: str | None = None, work_dir: str | None = None, **kw) -> LoadResult:
     """D1 / D3 from archives: extract the expected members, then
     :func:`usage_load` the extracted files. A missing archive or member
     ends the run as ``ERROR`` before anything is loaded."""
     f = _feed(feed)
-    work_dir = work_dir or staging_path(spark, f"{f.name}-extracted")
-    ex = extract_deliveries(spark, archives, f, days, out_dir=work_dir, today=kw.get("today"),
-                            password=password).collect()   # one row per requested day
-    bad = sorted(r.ref_date for r in ex if not r.member_found)
-    if bad:
-        none = spark.createDataFrame([], "ref_date date")
-        missing = spark.createDataFrame([(d,) for d in bad], "ref_date date")
-        recon = spark.createDataFrame([], RECON_SCHEMA)
-        what = "missing archive or member"
-        return LoadResult(run_outcome(spark, none, recon, missing=missing, error=what), recon, [])
-    return usage_load(spark, work_dir, f, days, target=target, **kw)
+    return daily_loads(spark, archives, [f], days, targets={f.name: target}, work_dir=work_dir, **kw)[f.name]
 
 
 def daily_loads(spark: SparkSession, archives: str, feeds: list[Feed | str], days=None, *,
-                targets: Mapping[str, str], work_dir: str | None = None,
-                password: str | None = None, **kw) -> dict[str, LoadResult]:
+                targets: Mapping[str, str], work_dir: str | None = None, **kw) -> dict[str, LoadResult]:
     """D1 for several feeds delivered in the same archives (App, Web and
     Media come in one zip per day): every archive is opened once for all
     members, then each feed is loaded from the shared extraction folder
     (file names differ per feed). A feed whose member is missing ends as
     ``ERROR``; the others still load."""
     fs = [_feed(f) for f in feeds]
-    work_dir = work_dir or staging_path(spark, "usage-extracted")
-    expected = _small(expected_files(spark, days, fs[0], today=kw.get("today")))
-    lst = list_files(spark, archives, "*.zip").select("path", F.col("file_name").alias("archive_name"))
-    paths = [r.path for r in expected.join(lst, "archive_name").select("path").collect()]
-    got = (archive_members(spark, paths, [f.archive_member for f in fs], work_dir, fs,
-                           password=password).collect() if paths else [])
-    n_days = expected.count()
+    try:
+        work_dir = work_dir or staging_path(spark, "usage-extracted")
+        expected = expected_files(spark, days, fs[0], today=kw.get("today"))
+        by_archive = {r.archive_name: r.ref_date for r in expected.collect()}   # one row per requested day
+        lst = list_files(spark, archives, "*.zip").select("path", "file_name")
+        paths = [r.path for r in lst.filter(F.col("file_name").isin(list(by_archive))).collect()]
+        got = archive_members(spark, paths, [f.archive_member for f in fs], work_dir, fs).collect() if paths else []
+    except Exception as e:  # noqa: BLE001
+        text = f"{type(e).__name__}: {(str(e).splitlines() or [''])[0][:500]}"
+        return {f.name: _failed(spark, text) for f in fs}
     out = {}
     for f in fs:
-        found = {r.archive.rsplit("/", 1)[-1] for r in got if r.member == f.archive_member and r.found}
-        if len(found) < n_days:
-            none = spark.createDataFrame([], "ref_date date")
-            have = spark.createDataFrame([(a,) for a in sorted(found)], "archive_name string")
-            missing = expected.join(have, "archive_name", "left_anti").select("ref_date")
-            recon = spark.createDataFrame([], RECON_SCHEMA)
-            out[f.name] = LoadResult(run_outcome(spark, none, recon, missing=missing,
-                                                 error="missing archive or member"), recon, [])
+        have = {by_archive[re.sub("^.*/", "", unquote(r.archive))] for r in got if r.member == f.archive_member and r.found}
+        missing = sorted(set(by_archive.values()) - have)
+        if missing:
+            out[f.name] = _failed(spark, "missing archive or member", missing)
         else:
             out[f.name] = usage_load(spark, work_dir, f, days, target=targets[f.name], **kw)
     return out

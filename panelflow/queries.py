@@ -11,10 +11,12 @@ on what was written, so their work grows with the table.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelflow.fixtures import delivery, mark_empty, set_age, write_delivery, write_lines, zip_parts
 from panelflow.functions.columns import (
     add_import_date, date_key, null_out, parse_compact_date, place_columns)
 from panelflow.operators.control import (
@@ -26,15 +28,17 @@ from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, wit
 from panelflow.plans.run_control import run_control
 from panelflow.plans.snapshot import snapshot_refresh
 from panelflow.plans.usage_load import usage_load
-from panelflow.schemas import COMPLIANCE, EVENTS, STAMP_DAY, UNDERSCORE_DAY, Feed, _schema
+from panelflow.schemas import (
+    COMPLIANCE, EVENTS, SNAPSHOT_LOADED, STAMP_DAY, STATUS_CODES, UNDERSCORE_DAY, Feed, _schema)
 from panelflow.session import staging_path
+from panelflow.sinks.paths import folders, rename
 from panelflow.sinks.runlog import append_events, current_runs
 from panelflow.sinks.tables import (
     append_new, append_table, load_dates, replace_table, update_table)
 from panelflow.sources.archive import archive_members
 from panelflow.sources.files import expected_files, list_files
 from panelflow.sources.header import read_compliance, read_snapshot
-from panelflow.sources.sql import query_df
+from panelflow.sources.sql import query_df, query_rows
 from panelflow.sources.usage import raw_lines, read_usage
 from panelflow.streaming.ingest import ingest_new_files
 
@@ -59,58 +63,6 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderdate").alias("log_time"), "o_orderpriority")
 
 
-def write_delivery(df: DataFrame, path: str, feed=EVENTS, day=None, spread: bool = False) -> str:
-    """Write ``df`` as one headerless delimited file set per day.
-
-    ``day`` (a Column) names the folder each row lands in. Without
-    ``spread`` each task writes the days it holds (no shuffle). With
-    ``spread`` (thousands of days) day ranges go to separate tasks, so each
-    writes a few folders; the row hash splits a hot day over several tasks
-    and is the same on a retry.
-    """
-    day = F.date_format(F.col("ts"), "yyyy-MM-dd") if day is None else day
-    opts = {"sep": feed.sep, "header": str(feed.header).lower(), "encoding": feed.encoding,
-            "lineSep": "\n"}
-    if feed.header:
-        opts["escape"] = '"'          # header feeds follow common CSV quoting
-    opts.update(feed.options)
-    out = df.withColumn("day", day)
-    if spread:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        out = out.repartitionByRange(n, "day", F.xxhash64(*df.columns))
-    out.write.mode("overwrite").partitionBy("day").options(**opts).csv(path)
-    return path
-
-
-_DELIVERIES: dict[tuple, str] = {}
-
-
-def _file_info(path: str):
-    from pyarrow import fs as pafs
-    uri = path if "://" in path else "file://" + path.replace("file:", "", 1)
-    fsys, p = pafs.FileSystem.from_uri(uri)
-    return fsys.get_file_info(p)
-
-
-def delivery(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], key: tuple, build) -> str:
-    """A delivery derived from driver tables, written once per application.
-
-    ``build(path)`` writes it. Reused while the source tables are unchanged
-    (size and modification time) and the written folder still exists, so
-    the bound queries measure the operators reading a delivery, as they
-    would in production, rather than writing their own input each time.
-    """
-    from pyarrow import fs as pafs
-    stamp = tuple((i.size, i.mtime_ns) for i in
-                  (_file_info(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables))
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), key, stamp)
-    path = _DELIVERIES.get(k)
-    if path is None or _file_info(path).type == pafs.FileType.NotFound:
-        path = build(staging_path(spark, f"{key[0]}-delivery"))
-        _DELIVERIES[k] = path
-    return path
-
-
 def stage_events(spark: SparkSession, sf_dir: str, feed=EVENTS) -> str:
     def build(path):
         return write_delivery(table(spark, sf_dir, "events").select(*EVENT_COLS), path, feed)
@@ -125,8 +77,16 @@ def q_usage_read(spark, sf_dir):
 
 
 def q_usage_read_utf16(spark, sf_dir):
+    """Files of either byte order, marked or not, with line feeds or CRLF, in one delivery."""
     f = EVENTS.with_(encoding="UTF-16LE")
-    path = stage_events(spark, sf_dir, f)
+
+    def build(path):
+        ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
+        # Java's "UTF-16" writes big-endian with a mark; the other two carry none
+        for k, more in enumerate(({"encoding": "UTF-16"}, {"lineSep": "\r\n"}, {})):
+            write_delivery(ev.filter(F.col("event_id") % 3 == k), path, f, mode="append", **more)
+        return path
+    path = delivery(spark, sf_dir, ("events",), ("events-utf16-mixed",), build)
     return read_usage(spark, path, f).select(*EVENT_COLS)
 
 
@@ -186,6 +146,22 @@ def q_reconcile(spark, sf_dir):
     return reconcile(parsed, raw, "ref_date")
 
 
+def q_reconcile_broken(spark, sf_dir):
+    """A delivery with blank lines everywhere, and on every seventh day lines
+    of a lone no-break space: a row for the parser, blank to the raw count."""
+    def build(path):
+        ev = table(spark, sf_dir, "events")
+        day = F.date_format("ts", "yyyy-MM-dd").alias("day")
+        row = F.concat_ws("\t", F.col("event_id").cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                          F.col("user_id").cast("string"), "event_type", F.col("value").cast("string"))
+        odd = (F.dayofmonth("ts") % 7 == 0) & (F.col("event_id") % 5 == 0)
+        lines = F.array(row, F.when(F.col("event_id") % 3 == 0, F.lit("  ")), F.when(odd, F.lit("\u00a0")))
+        return write_lines(ev.select(day, F.explode(F.array_compact(lines)).alias("value")), path)
+    path = delivery(spark, sf_dir, ("events",), ("events-broken",), build)
+    parsed = parsed_count(read_usage(spark, path, EVENTS), "ref_date")
+    return reconcile(parsed, raw_count(raw_lines(spark, path, EVENTS), EVENTS.file_day_format, "ref_date"), "ref_date")
+
+
 # --- J1 / W1 / J2 / A3 / J3 / O1 / X1 / X2 ---------------------------------
 
 def q_new_keys(spark, sf_dir):
@@ -207,6 +183,13 @@ def q_latest_status(spark, sf_dir):
     return latest_status(log, "1996-12-31", as_of=True).select("task_id", "log_id", "status")
 
 
+def q_latest_status_on_day(spark, sf_dir):
+    """The last day of the log alone (``as_of=False``)."""
+    log = run_log(spark, sf_dir)
+    last = log.agg(F.max(F.col("log_time").cast("date"))).first()[0]
+    return latest_status(log, last).select("task_id", "log_id", "status")
+
+
 def q_prerequisite_status(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     req = c.select(F.col("c_custkey").alias("task_id"),
@@ -236,12 +219,14 @@ def q_newest(spark, sf_dir):
     return newest(ev, "ts", 10, "event_id")
 
 
+# Days that are delivered empty (or not at all) in the gate bindings.
+IS_BAD_DAY = "day(ts) % 5 = 0"
+
+
 def q_valid_dates(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     req = ev.select(F.col("ts").cast("date").alias("d"))
-    empty = ev.filter((F.col("event_type") == "error") & (F.col("value") > 200)).select(
-        F.col("ts").cast("date").alias("d"))
-    return valid_dates(req, empty, "d")
+    return valid_dates(req, ev.filter(IS_BAD_DAY).select(F.col("ts").cast("date").alias("d")), "d")
 
 
 def q_invalid_status_codes(spark, sf_dir):
@@ -260,14 +245,21 @@ def _write_header_file(df: DataFrame, path: str, sep: str) -> str:
     return path
 
 
+def _with_missing(c: DataFrame) -> DataFrame:
+    """The customer columns with missing-value texts in two of them."""
+    c = c.select(*CUSTOMER_COLS)
+    return (c.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit("N/A")).otherwise(F.col("c_mktsegment")))
+            .withColumn("c_acctbal", F.when(F.col("c_custkey") % 7 == 0, F.lit("null")).otherwise(F.col("c_acctbal").cast("string"))))
+
+
 def q_snapshot_read(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    c = _with_missing(table(spark, sf_dir, "customer"))
     path = delivery(spark, sf_dir, ("customer",), ("customer-tsv",), lambda p: _write_header_file(c, p, "\t"))
     return read_snapshot(spark, path).select(*CUSTOMER_COLS)
 
 
 def q_compliance_read(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    c = _with_missing(table(spark, sf_dir, "customer"))
     path = delivery(spark, sf_dir, ("customer",), ("customer-csv",), lambda p: _write_header_file(c, p, ","))
     return read_compliance(spark, path).select(*CUSTOMER_COLS)
 
@@ -283,36 +275,21 @@ def q_query_df(spark, sf_dir):
                            "WHERE o_orderstatus = :status GROUP BY o_orderpriority", {"status": "F"})
 
 
+def q_query_rows(spark, sf_dir):
+    """One row after another on the driver, as a control step reads them."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    rows = query_rows(spark, "SELECT o_orderpriority, CAST(count(*) AS INT) AS n FROM orders WHERE o_orderstatus <> :status "
+                             "GROUP BY o_orderpriority", {"status": "F"})
+    return spark.createDataFrame([tuple(r) for r in rows], "o_orderpriority string, n int")
+
+
 # --- Q1 … Q4 and D1 ----------------------------------------------------------
 
 def _bad_days(ev: DataFrame) -> DataFrame:
-    """Days that are delivered empty (or not at all) in the gate bindings."""
-    return (ev.filter((F.col("event_type") == "error") & (F.col("value") > 200))
+    return (ev.filter(IS_BAD_DAY)
             .select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct())
 
 
-def _mark_empty(path: str):
-    """Executor-side writer of empty deliveries: zero bytes on even days,
-    a lone UTF-8 byte-order mark on odd days."""
-    import pandas as pd
-
-    def run(batches):
-        import uuid
-        from pyarrow import fs as pafs
-        root = path[len("file:"):] if path.startswith("file:") else path
-        fsys, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
-        for pdf in batches:
-            for day in pdf["day"]:
-                folder = f"{base}/day={day}"
-                fsys.create_dir(folder, recursive=True)
-                tmp = f"{folder}/.part-empty.{uuid.uuid4().hex}.tmp"
-                with fsys.open_output_stream(tmp) as out:
-                    out.write(b"" if int(day[-2:]) % 2 == 0 else b"\xef\xbb\xbf")
-                fsys.move(tmp, f"{folder}/part-empty.csv")   # a retried task rewrites it whole
-            yield pd.DataFrame({"day": pdf["day"]})
-    return run
-
-
 def stage_events_with_gaps(spark, sf_dir, how: str = "empty") -> str:
     """``events`` delivered with its bad days empty (``how='empty'``) or
     left out (``how='missing'``)."""
@@ -322,7 +299,7 @@ def stage_events_with_gaps(spark, sf_dir, how: str = "empty") -> str:
         good = ev.join(bad, F.date_format("ts", "yyyy-MM-dd") == F.col("day"), "left_anti")
         write_delivery(good, path)
         if how == "empty":
-            bad.mapInPandas(_mark_empty(path), "day string").write.format("noop").mode("overwrite").save()
+            bad.mapInPandas(mark_empty(path), "day string").write.format("noop").mode("overwrite").save()
         return path
     return delivery(spark, sf_dir, ("events",), (f"events-{how}",), build)
 
@@ -340,11 +317,12 @@ def q_missing_feeds(spark, sf_dir):
     return missing_feeds(expected, listed).select("ref_date")
 
 
-def _plan(spark, sf_dir, policy):
+def _plan(spark, sf_dir, policy, days=None):
     path = stage_events_with_gaps(spark, sf_dir, "empty")
-    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("d"))
+    days = _event_days(spark, sf_dir) if days is None else days
     expected = expected_files(spark, days, EVENTS)
-    return load_plan(expected.select("ref_date"), empty_feeds(spark, path, EVENTS).select("ref_date"), policy)
+    empty = empty_feeds(spark, path, EVENTS).join(expected.select("ref_date"), "ref_date", "left_semi")
+    return load_plan(expected.select("ref_date"), empty.select("ref_date"), policy)
 
 
 def q_load_plan(spark, sf_dir):
@@ -352,7 +330,10 @@ def q_load_plan(spark, sf_dir):
 
 
 def q_load_plan_all_or_nothing(spark, sf_dir):
-    return _plan(spark, sf_dir, "all_or_nothing")
+    """Two requests: the first four days of the month, none of them empty, and all days."""
+    days = _event_days(spark, sf_dir)
+    some, every = (_plan(spark, sf_dir, "all_or_nothing", d) for d in (days.filter("day(d) < 5"), days))
+    return some.withColumn("request", F.lit("some")).union(every.withColumn("request", F.lit("every")))
 
 
 def _event_days(spark, sf_dir):
@@ -363,7 +344,7 @@ def q_run_outcome(spark, sf_dir):
     path = stage_events_with_gaps(spark, sf_dir, "empty")
     target = staging_path(spark, "events-loaded")
     res = usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
-                     import_day=IMPORT_DAY, match="day")
+                     import_day=IMPORT_DAY, match="day", layout="day={day}")
     return res.outcome.select("status", "loaded_dates", "skipped_dates", "n_rows", "all_matched")
 
 
@@ -383,7 +364,7 @@ def q_backfill_load(spark, sf_dir):
         li, path, LINEITEM, day=F.date_format("l_shipdate", "yyyy-MM-dd"), spread=True))
     days = li.select(F.col("l_shipdate").cast("date").alias("d"))
     target = staging_path(spark, "lineitem-loaded")
-    res = usage_load(spark, landing, LINEITEM, days, target=target, import_day=IMPORT_DAY, match="day")
+    res = usage_load(spark, landing, LINEITEM, days, target=target, import_day=IMPORT_DAY, match="day", layout="day={day}")
     if res.outcome.first().status != "OK":
         raise RuntimeError("backfill did not load cleanly")
     return spark.read.parquet(target).select("ref_date", "l_orderkey", "l_linenumber", "l_quantity",
@@ -392,16 +373,25 @@ def q_backfill_load(spark, sf_dir):
 
 def q_compliance_load(spark, sf_dir):
     """D3: ``events`` delivered as daily header CSV files (``yyyy_MM_dd``
-    days), types inferred as pandas would, all-or-nothing policy."""
+    days), types inferred as pandas would, all-or-nothing policy. Columns
+    come in another order on even days, and some values hold a line break."""
     f = COMPLIANCE.with_(options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
-    ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
-    landing = delivery(spark, sf_dir, ("events",), ("compliance",), lambda path: write_delivery(
-        ev, path, f, day=F.date_format("ts", "yyyy_MM_dd")))
+
+    def build(path):
+        ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
+        ev = ev.withColumn("event_type", F.when(F.col("event_id") % 11 == 0, F.lit('two\nlines, "quoted"')).otherwise(F.col("event_type")))
+        even = F.dayofmonth("ts") % 2 == 0
+        day = F.date_format("ts", "yyyy_MM_dd")
+        for part in (ev.filter(~even), ev.filter(even).select(*reversed(EVENT_COLS))):
+            write_delivery(part, path, f, day=day, mode="append")
+        return path
+    landing = delivery(spark, sf_dir, ("events",), ("compliance",), build)
     target = staging_path(spark, "compliance-loaded")
     res = usage_load(spark, landing, f, _event_days(spark, sf_dir), target=target,
-                     import_day=IMPORT_DAY, match="day")
-    if res.outcome.first().status != "OK":
-        raise RuntimeError("compliance load did not run cleanly")
+                     import_day=IMPORT_DAY, match="day", layout="day={day}")
+    r = res.outcome.first()
+    if r.status != "OK" or not r.all_matched:
+        raise RuntimeError(f"compliance load did not run cleanly: {r}")
     return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
 
 
@@ -410,7 +400,7 @@ def q_usage_load(spark, sf_dir):
     target = staging_path(spark, "events-loaded")
     for _ in range(2):   # a repeated day list must not duplicate rows
         usage_load(spark, path, EVENTS, _event_days(spark, sf_dir), target=target,
-                   import_day=IMPORT_DAY, match="day")
+                   import_day=IMPORT_DAY, match="day", layout="day={day}")
     return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
 
 
@@ -442,7 +432,7 @@ def q_load_dates(spark, sf_dir):
 def _frozen(spark, sf_dir) -> str:
     c = table(spark, sf_dir, "customer")
     target = staging_path(spark, "frozen")
-    (c.filter(F.col("c_custkey") < 1000)
+    (c.filter(F.col("c_custkey") % 3 == 0)
      .select("c_custkey", F.lit("FROZEN").alias("c_mktsegment")).write.parquet(target))
     return target
 
@@ -463,45 +453,37 @@ def q_update_where(spark, sf_dir):
 
 
 def q_ingest_new_files(spark, sf_dir):
-    landing = stage_events(spark, sf_dir)
+    """Two runs; in between comes a late delivery, ten days old by its time stamps."""
+    ev = table(spark, sf_dir, "events").select(*EVENT_COLS)
+    landing = staging_path(spark, "ingest-landing")
     target = staging_path(spark, "ingested")
     ckpt = staging_path(spark, "ingest-checkpoint")
-    for _ in range(2):   # the second run finds no new file
+    late = F.dayofmonth("ts") % 3 == 0
+    write_delivery(ev.filter(~late), landing)
+    ingest_new_files(spark, landing, EVENTS, target, ckpt, import_day=IMPORT_DAY)
+    outside = write_delivery(ev.filter(late), staging_path(spark, "ingest-late"))
+    set_age(spark, outside, 10)
+    for day in folders(spark, outside):
+        rename(spark, f"{outside}/{day}", f"{landing}/{day}")
+    for _ in range(2):   # the last run finds no new file
         ingest_new_files(spark, landing, EVENTS, target, ckpt, import_day=IMPORT_DAY)
     return spark.read.parquet(target).select(*EVENT_COLS)
 
 
-def _zip_parts(path: str, out: str):
-    """Executor-side packer: each delivered part file becomes one archive
-    ``events-<day>-<n>.zip`` holding the member ``events.txt``."""
-    import pandas as pd
-
-    def run(batches):
-        import io
-        import re
-        import uuid
-        import zipfile
-        from pyarrow import fs as pafs
-        root = out[len("file:"):] if out.startswith("file:") else out
-        fsys, base = pafs.FileSystem.from_uri(root if "://" in root else "file://" + root)
-        fsys.create_dir(base, recursive=True)
-        names = []
-        for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"]):
-                day = re.search(r"day=(\d{4}-\d{2}-\d{2})", p).group(1)
-                part = re.search(r"part-(\d+)-([0-9a-f]{8})", p)
-                name = f"events-{day}-{part.group(1)}-{part.group(2)}.zip"
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-                    z.writestr("readme.txt", b"other member")
-                    z.writestr("events.txt", content)
-                tmp = f"{base}/.{name}.{uuid.uuid4().hex}.tmp"
-                with fsys.open_output_stream(tmp) as o:
-                    o.write(buf.getvalue())
-                fsys.move(tmp, f"{base}/{name}")
-                names.append(name)
-        yield pd.DataFrame({"name": names})
-    return run
+def q_ingest_header_files(spark, sf_dir):
+    """A header feed, one file a batch; each day's files come in several batches and all stay."""
+    f = COMPLIANCE.with_(name="orders-by-day")
+    o = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    day = F.date_format("ts", "yyyy_MM_dd")
+    landing = staging_path(spark, "ingest-landing")
+    for k, cols in enumerate((["event_id", "event_type"], ["event_type", "event_id"])):
+        part = o.filter(F.dayofmonth("ts") <= 6).filter(F.col("event_id") % 2 == k)
+        write_delivery(part.select(*cols, "ts"), landing, f, day=day, mode="append")
+    target = staging_path(spark, "ingested")
+    ckpt = staging_path(spark, "ingest-checkpoint")
+    ingest_new_files(spark, landing, f, target, ckpt, import_day=IMPORT_DAY, mode="replace_files",
+                     max_files_per_trigger=4, types="event_id bigint, event_type string")
+    return spark.read.parquet(target).select("ref_date", "event_id", "event_type")
 
 
 def q_archive_members(spark, sf_dir):
@@ -510,7 +492,7 @@ def q_archive_members(spark, sf_dir):
     def pack(archives):
         (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
          .option("recursiveFileLookup", "true").load(days).select("path", "content")
-         .mapInPandas(_zip_parts(days, archives), "name string")
+         .mapInPandas(zip_parts(days, archives), "name string")
          .write.format("noop").mode("overwrite").save())
         return archives
     archives = delivery(spark, sf_dir, ("events",), ("events-archives",), pack)
@@ -540,22 +522,39 @@ def q_current_runs(spark, sf_dir):
 # --- D2 / D4 ------------------------------------------------------------------
 
 def q_snapshot_refresh(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    """D2 from a delivery of several part files; the frozen table keeps its rows and gets the others."""
+    c = table(spark, sf_dir, "customer")
+    joined = F.when(F.col("c_custkey") % 9 == 0, F.lit("soon")).otherwise(
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 60).cast("int")), "yyyyMMdd"))
+    src = c.select("c_custkey", joined.alias("joined"), "c_mktsegment")
     landing = delivery(spark, sf_dir, ("customer",), ("snapshot-landing",),
-                       lambda p: _write_header_file(c, f"{p}/panelist-export-1", "\t") and p)
-    frozen = _frozen(spark, sf_dir)
-    snapshot_refresh(spark, landing, "part-", staging_path(spark, "snapshot"), frozen,
-                     key="c_custkey", date_col=None,
-                     now=_dt.datetime(2024, 2, 1, 13, 15, 0))
-    return spark.read.parquet(frozen).select("c_custkey", "c_mktsegment")
+                       lambda p: _write_header_file(src.repartition(4, "c_custkey"), f"{p}/panelist-export-1", "\t") and p)
+    frozen = staging_path(spark, "frozen")
+    (c.filter(F.col("c_custkey") % 3 == 0)
+     .select("c_custkey", F.lit("2023-01-01 00:00:00").alias(SNAPSHOT_LOADED), F.lit("2000-01-01").cast("date").alias("joined"),
+             F.lit("FROZEN").alias("c_mktsegment")).write.parquet(frozen))
+    r = snapshot_refresh(spark, landing, "panelist-export", staging_path(spark, "snapshot"), frozen,
+                         key="c_custkey", date_col="joined", now=_dt.datetime(2024, 2, 1, 13, 15, 0)).first()
+    if r.status != "OK":
+        raise RuntimeError(f"snapshot refresh did not run cleanly: {r}")
+    return spark.read.parquet(frozen).select("c_custkey", F.col(SNAPSHOT_LOADED).alias("loaded"), "joined", "c_mktsegment")
+
+
+# Days asked for, whether weekends count, and whether the log is read up to the day.
+GATE_DAYS = [("1996-12-31", 1), ("1996-12-28", 0), ("1996-12-28", 1), ("1996-12-25", 0)]
+GATE_HOLIDAYS = ["1996-12-25", "1997-01-01"]
 
 
 def q_run_control(spark, sf_dir):
+    """Gates that pass (any status will do) and gates that fail, on a working day, a weekend and a holiday."""
     c = table(spark, sf_dir, "customer")
+    any_status = F.array(*[F.lit(k) for k in STATUS_CODES])
     req = c.select(F.col("c_nationkey").alias("gate_id"), F.col("c_custkey").alias("task_id"),
-                   F.array(F.lit(1), F.lit(3)).alias("allowed"))
-    cal = spark.createDataFrame([(h,) for h in HOLIDAYS], "holiday string")
-    return run_control(run_log(spark, sf_dir), req, "1996-12-31", calendar=cal, include_weekend=1)
+                   F.when(F.col("c_nationkey") % 2 == 0, any_status).otherwise(F.array(F.lit(1), F.lit(3))).alias("allowed"))
+    cal = spark.createDataFrame([(h,) for h in GATE_HOLIDAYS], "holiday string")
+    log = run_log(spark, sf_dir)
+    parts = [run_control(log, req, d, calendar=cal, include_weekend=w, as_of=True).withColumn("weekends", F.lit(w)) for d, w in GATE_DAYS]
+    return reduce(DataFrame.union, parts)
 
 
 QUERIES = {
@@ -567,6 +566,10 @@ QUERIES = {
     "date_key": q_date_key,                             # P6
     "null_out": q_null_out,                             # P7
     "parsed_count": q_parsed_count,                     # A1
+    "reconcile_broken": q_reconcile_broken,             # F1 A1 A2 J4 (counts that differ)
+    "latest_status_on_day": q_latest_status_on_day,     # W1 (that day alone)
+    "query_rows": q_query_rows,                         # S9
+    "ingest_header_files": q_ingest_header_files,       # T1 (header feed, by file)
     "reconcile": q_reconcile,                           # F1 A1 A2 J4 (flagship)
     "new_keys": q_new_keys,                             # J1
     "new_keys_null_target": q_new_keys_null_target,     # J1 (NULL in target)
@@ -602,11 +605,11 @@ QUERIES = {
 }
 
 _USAGE = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
-_CUSTOMER = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
-             "c_mktsegment FROM customer")
-_BAD = "SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'error' AND value > 200"
+_CUSTOMER = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, CASE WHEN c_custkey % 7 <> 0 "
+             "THEN c_acctbal END AS c_acctbal, CASE WHEN c_custkey % 10 <> 0 THEN c_mktsegment END AS c_mktsegment FROM customer")
+_BAD = "SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE day(ts) % 5 = 0"
 _GOOD = f"SELECT DISTINCT CAST(ts AS DATE) AS d FROM events EXCEPT {_BAD}"
-_FROZEN = ("SELECT c_custkey, CASE WHEN c_custkey < 1000 THEN 'FROZEN' ELSE c_mktsegment END "
+_FROZEN = ("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'FROZEN' ELSE c_mktsegment END "
            "AS c_mktsegment FROM customer")
 
 ORACLE_SQL = {
@@ -652,7 +655,7 @@ ORACLE_SQL = {
     "newest": "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id DESC LIMIT 10",
     "valid_dates":
         "SELECT CAST(ts AS DATE) AS d FROM events EXCEPT SELECT CAST(ts AS DATE) FROM events "
-        "WHERE event_type = 'error' AND value > 200",
+        "WHERE day(ts) % 5 = 0",
     "invalid_status_codes":
         "SELECT n_nationkey, array_to_string(list_sort(list_distinct(list_filter([n_regionkey, "
         "n_nationkey - 20], lambda x: x NOT IN (-1, 1, 2, 3)))), ',') AS invalid FROM nation",
@@ -670,7 +673,8 @@ ORACLE_SQL = {
     "missing_feeds": f"SELECT d AS ref_date FROM ({_BAD}) b",
     "load_plan": f"SELECT d AS ref_date FROM ({_GOOD}) g",
     "load_plan_all_or_nothing":
-        f"SELECT d AS ref_date FROM ({_GOOD}) g WHERE NOT EXISTS (SELECT 1 FROM ({_BAD}) b)",
+        f"SELECT DISTINCT CAST(ts AS DATE) AS ref_date, 'some' AS request FROM events WHERE day(ts) < 5 "
+        f"UNION ALL SELECT d, 'every' FROM ({_GOOD}) g WHERE NOT EXISTS (SELECT 1 FROM ({_BAD}) b)",
     "run_outcome":
         f"WITH b AS ({_BAD}), g AS ({_GOOD}) SELECT CASE WHEN (SELECT count(*) FROM b) > 0 THEN 'WARNING' "
         "ELSE 'OK' END AS status, COALESCE((SELECT string_agg(strftime(d, '%Y-%m-%d'), ',' ORDER BY d) "
@@ -686,7 +690,8 @@ ORACLE_SQL = {
         "l_shipdate FROM lineitem",
     "compliance_load":
         "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, "
-        "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events",
+        "strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, CASE WHEN event_id % 11 = 0 THEN 'two' || chr(10) || "
+        "'lines, \"quoted\"' ELSE event_type END AS event_type, value, props FROM events",
     "append_table": _USAGE,
     "replace_table": _USAGE,
     "load_dates": _USAGE,
@@ -695,13 +700,31 @@ ORACLE_SQL = {
         "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment "
         "FROM customer",
     "ingest_new_files": _USAGE,
-    "snapshot_refresh": _FROZEN,
+    "snapshot_refresh":
+        "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN '2023-01-01 00:00:00' ELSE '2024-02-01 13:15:00' END AS loaded, "
+        "CASE WHEN c_custkey % 3 = 0 THEN DATE '2000-01-01' WHEN c_custkey % 9 <> 0 THEN "
+        "CAST(DATE '2024-01-01' + CAST(c_custkey % 60 AS INTEGER) AS DATE) END AS joined, "
+        "CASE WHEN c_custkey % 3 = 0 THEN 'FROZEN' ELSE c_mktsegment END AS c_mktsegment FROM customer",
+    "reconcile_broken":
+        "SELECT CAST(ts AS DATE) AS ref_date, count(*) + count(*) FILTER (WHERE day(ts) % 7 = 0 AND event_id % 5 = 0) AS count_df, "
+        "count(*) AS count_raw, count(*) FILTER (WHERE day(ts) % 7 = 0 AND event_id % 5 = 0) = 0 AS matched FROM events GROUP BY 1",
+    "latest_status_on_day":
+        "SELECT o_custkey AS task_id, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS log_id, "
+        "arg_max(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END, (o_orderdate, o_orderkey)) AS status FROM orders "
+        "WHERE CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders) GROUP BY 1",
+    "query_rows":
+        "SELECT o_orderpriority, CAST(count(*) AS INTEGER) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderpriority",
+    "ingest_header_files":
+        "SELECT CAST(ts AS DATE) AS ref_date, event_id, event_type FROM events WHERE day(ts) <= 6",
     "run_control":
-        "WITH l AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS s FROM orders "
-        "WHERE o_orderdate < TIMESTAMP '1997-01-01' GROUP BY 1) SELECT c_nationkey AS gate_id, "
-        "DATE '1996-12-31' AS d, bool_and(COALESCE(s IN ('F','P'), false)) AS passed, false AS is_holiday, "
-        "bool_and(COALESCE(s IN ('F','P'), false)) AS may_run FROM customer LEFT JOIN l ON c_custkey = o_custkey "
-        "GROUP BY 1",
+        "WITH days AS (SELECT * FROM (VALUES (DATE '1996-12-31', 1, false), (DATE '1996-12-28', 0, false), "
+        "(DATE '1996-12-28', 1, true), (DATE '1996-12-25', 0, true)) v(d, weekends, holiday)), "
+        "l AS (SELECT d, weekends, o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS s FROM days JOIN orders "
+        "ON o_orderdate < d + INTERVAL 1 DAY GROUP BY ALL), "
+        "g AS (SELECT c_nationkey AS gate_id, days.d, days.weekends, holiday, bool_and(c_nationkey % 2 = 0 OR "
+        "COALESCE(s IN ('F','P'), false)) AS passed FROM customer CROSS JOIN days LEFT JOIN l ON c_custkey = o_custkey "
+        "AND l.d = days.d AND l.weekends = days.weekends GROUP BY ALL) "
+        "SELECT gate_id, d, passed, holiday AS is_holiday, passed AND NOT holiday AS may_run, weekends FROM g",
     "archive_members": _USAGE,
     "current_runs":
         "SELECT CAST(o_orderkey AS VARCHAR) AS log_id, CAST(o_custkey AS INTEGER) AS task_id, "

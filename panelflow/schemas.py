@@ -11,23 +11,14 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "timestamp_ntz": T.TimestampNTZType(),
-}
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+          "date": T.DateType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType()}
 
 
-def _schema(spec: str) -> T.StructType:
-    fields = []
-    for item in spec.split(","):
-        name, typ = item.split()
-        fields.append(T.StructField(name, _TYPES[typ], True))
-    return T.StructType(fields)
+def _schema(columns: str) -> T.StructType:
+    """A column list as a schema. ``StructType.fromDDL`` would need a running
+    session, and this module is imported before there is one."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (c.split() for c in columns.split(","))])
 
 
 # --- fixed values: delivered column layouts, in file order -----------------
@@ -65,6 +56,11 @@ Channel string, VisitTimeUtc timestamp, VisitTimeLocal timestamp,
 VisitDuration int, MediaDuration int, ProcessedDate timestamp
 """
 
+# Columns of the panelist snapshot that the load names.
+SNAPSHOT_KEY = "RespondentID"
+SNAPSHOT_DATE = "SGP_MD2_EndTIme"
+SNAPSHOT_LOADED = "Data_Import_Datetime"
+
 # Status codes a run-log row may carry.
 STATUS_CODES = (-1, 1, 2, 3)
 
@@ -126,7 +122,7 @@ COMPLIANCE = Feed("compliance", None, sep=",", header=True,
                   policy="all_or_nothing", day_offset=0)
 SNAPSHOT = Feed("snapshot", None, sep="\t", header=True,
                 file_prefix="panelist_snapshot-", file_suffix=".csv",
-                ref_col="", import_col="Data_Import_Datetime", day_offset=0)
+                ref_col="", import_col=SNAPSHOT_LOADED, day_offset=0)
 
 # The driver's ``events`` table written out as a usage delivery (test binding).
 EVENTS = Feed("events", _schema(

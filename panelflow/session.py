@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,13 +43,17 @@ def get_session(master: str | None = None, app_name: str = "panelflow",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (tests, a bare local
-    session) is a folder made here and registered as the checkpoint dir.
+    Read from the session. Only a local session without one (tests) gets a
+    folder made here; on a cluster a machine-local folder would lose rows,
+    so that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder every machine shares (master {master})")
         d = tempfile.mkdtemp(prefix="panelflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -13,12 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelflow.sinks.tables import replace_table
+
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 EVENT_SCHEMA = ("log_id string, task_id int, status int, log_time timestamp, "
                 "message string, seq bigint")
 
 
-def _now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+def _utc(t: _dt.datetime | None) -> _dt.datetime:
+    """A zone-aware time (now if none); a time without a zone is UTC. Naive
+    values would be read in the machine's zone."""
+    t = t or _dt.datetime.now(_dt.timezone.utc)
+    return t if t.tzinfo else t.replace(tzinfo=_dt.timezone.utc)
 
 
 def _append(spark: SparkSession, path: str, row: tuple) -> None:
@@ -29,8 +35,7 @@ def log_start(spark: SparkSession, path: str, task_id: int, status: int, message
               now: _dt.datetime | None = None) -> tuple[int, str]:
     """Open a run; returns ``(1, log_id)`` as the reference's insert did."""
     log_id = str(uuid.uuid4()).upper()
-    t = now or _now()
-    _append(spark, path, (log_id, int(task_id), int(status), t, message, 0))
+    _append(spark, path, (log_id, int(task_id), int(status), _utc(now), message, 0))
     return 1, log_id
 
 
@@ -40,8 +45,8 @@ def log_status(spark: SparkSession, path: str, log_id: str | None, status: int,
     is stored as data (no SQL text is built, so quotes need no escaping)."""
     if log_id is None or not str(log_id).strip():
         raise ValueError("log_id is blank")
-    t = now or _now()
-    seq = int(t.timestamp() * 1_000_000)
+    t = _utc(now)
+    seq = (t - _EPOCH) // _dt.timedelta(microseconds=1)
     _append(spark, path, (str(log_id), task_id, int(status), t, message, seq))
 
 
@@ -52,6 +57,13 @@ def append_events(events: DataFrame, path: str) -> None:
     events.select(*cols).write.mode("append").parquet(path)
 
 
+def compact_log(spark: SparkSession, path: str, files: int = 1) -> None:
+    """Rewrite the log's many one-event files as ``files`` larger ones (K2's
+    swap: the old log stays readable until the new one is whole). Run it
+    while no event is being written."""
+    replace_table(spark.read.schema(EVENT_SCHEMA).parquet(path).coalesce(files), path, spark=spark)
+
+
 def current_runs(spark: SparkSession, path: str) -> DataFrame:
     """Each run's latest status and message, its task and start time."""
     ev = spark.read.parquet(path)

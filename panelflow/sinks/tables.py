@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelflow.operators.keys import new_keys
 from panelflow.session import staging_path
+from panelflow.sinks.paths import delete, exists, folders, partition_columns, swap
 
 # JDBC write defaults: several connections, batched inserts.
 JDBC_WRITE = {"numPartitions": "8", "batchsize": "10000"}
@@ -37,52 +39,77 @@ def append_table(df: DataFrame, target: str | None = None, *, fmt: str = "parque
     w.save(target)
 
 
+def _beside(target: str) -> str:
+    """A fresh folder beside ``target``, so that a swap is a rename in one filesystem."""
+    return f"{target.rstrip('/')}.new-{uuid.uuid4().hex}"
+
+
 def replace_table(df: DataFrame, target: str | None = None, *, fmt: str = "parquet",
-                  jdbc: Mapping | None = None, spark: SparkSession | None = None) -> None:
+                  jdbc: Mapping | None = None, spark: SparkSession | None = None,
+                  partition_by: list[str] | None = None) -> None:
     """K2: full refresh.
 
     JDBC: ``overwrite`` with ``truncate`` keeps the table definition and
-    is one transaction per partition. Lake path: the new content is first
-    written to the shared staging folder and re-read from there, so a
-    failed computation never leaves the target empty and ``df`` may read
-    the target itself.
+    is one transaction per partition. Lake path: the new version is written
+    once, beside the table, and renamed into its place; the old table stays
+    readable until then, whatever fails, and no staged copy is left. ``df``
+    may read the target itself. A table keeps its partitioning unless
+    ``partition_by`` says otherwise.
     """
     if jdbc is not None:
         (df.write.format("jdbc").options(**_jdbc_opts(jdbc)).option("truncate", "true")
          .mode("overwrite").save())
         return
     spark = spark or df.sparkSession
-    stage = staging_path(spark, "replace")
-    df.write.format(fmt).save(stage)
-    spark.read.format(fmt).load(stage).write.mode("overwrite").format(fmt).save(target)
+    cols = partition_columns(spark, target) if partition_by is None else partition_by
+    new = _beside(target)
+    try:
+        w = df.write.format(fmt)
+        (w.partitionBy(*cols) if cols else w).save(new)
+        swap(spark, new, target)
+    except BaseException:
+        delete(spark, new)
+        raise
 
 
-def append_new(src: DataFrame, target: str, key: str, *, fmt: str = "parquet",
-               spark: SparkSession | None = None) -> None:
+def append_new(src: DataFrame, target: str | None, key: str, *, fmt: str = "parquet",
+               spark: SparkSession | None = None, jdbc: Mapping | None = None) -> None:
     """K3: append the source rows whose key the target lacks (J1, ``NOT IN``);
     rows already in the target never change. Columns are written in the
-    target's order. A target that does not exist yet is created from all
-    source rows."""
+    target's order. A target path that does not exist yet is created from
+    all source rows; a table that cannot be read is an error."""
     spark = spark or src.sparkSession
-    try:
-        tgt = spark.read.format(fmt).load(target)
-    except AnalysisException:   # no table yet: NOT IN an empty set keeps every row
+    if jdbc is not None:
+        tgt = spark.read.format("jdbc").options(**jdbc).load()
+        append_table(new_keys(src, tgt, key).select(*tgt.columns), jdbc=jdbc)
+        return
+    if not exists(spark, target):   # no table yet: NOT IN an empty set keeps every row
         src.write.format(fmt).save(target)
         return
+    tgt = spark.read.format(fmt).load(target)
     new = new_keys(src, tgt, key).select(*tgt.columns)
     # computed from the target's listing taken now; the append adds files
     new.write.mode("append").format(fmt).save(target)
 
 
-def load_dates(df: DataFrame, target: str, ref_col: str, *, fmt: str = "parquet") -> None:
+def load_dates(df: DataFrame, target: str, ref_col: str, *, fmt: str = "parquet",
+               days: Iterable | None = None) -> None:
     """K4: write the dates present in ``df``, replacing only those dates.
 
     Dynamic partition overwrite: a re-run of a day replaces it instead of
     appending it again. Each input file belongs to one day, so each task
-    writes one partition folder and no shuffle is needed.
+    writes one partition folder and no shuffle is needed. ``days`` are the
+    days asked for: one that ``df`` has no row of is cleared.
     """
+    spark = df.sparkSession
+    days = [str(d) for d in days or ()]
+    seen = Observation()
+    if days:   # the days that got rows are counted in the same pass
+        df = df.observe(seen, F.array_join(F.collect_set(F.col(ref_col).cast("string")), ",").alias("days"))
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(ref_col).format(fmt).save(target))
+    for d in sorted(set(days) - set((seen.get["days"] or "").split(","))) if days else ():
+        delete(spark, f"{target.rstrip('/')}/{ref_col}={d}")
 
 
 def update_where(df: DataFrame, cond: Column, values: Mapping[str, object]) -> DataFrame:
@@ -93,8 +120,32 @@ def update_where(df: DataFrame, cond: Column, values: Mapping[str, object]) -> D
         if c in sets else F.col(c) for c in df.columns])
 
 
-def update_table(spark: SparkSession, target: str, cond: Column, values: Mapping[str, object],
-                 *, fmt: str = "parquet") -> None:
-    """K6 on a lake path: the updated table is staged, then swapped in (K2)."""
-    updated = update_where(spark.read.format(fmt).load(target), cond, values)
-    replace_table(updated, target, fmt=fmt, spark=spark)
+def update_table(spark: SparkSession, target: str | None, cond: Column, values: Mapping[str, object],
+                 *, fmt: str = "parquet", jdbc: Mapping | None = None) -> None:
+    """K6 on a table.
+
+    A partitioned lake table keeps its folders, and only those that hold a
+    matching row are written again; any other table is rewritten and
+    swapped in (K2). A JDBC table is read, staged and replaced.
+    """
+    if jdbc is not None:
+        stage = staging_path(spark, "update")
+        update_where(spark.read.format("jdbc").options(**jdbc).load(), cond, values).write.parquet(stage)
+        replace_table(spark.read.parquet(stage), jdbc=jdbc)
+        delete(spark, stage)
+        return
+    cols = partition_columns(spark, target)
+    df = spark.read.format(fmt).load(target)
+    if not cols or set(cols) & set(values):   # a new partition value moves rows between folders
+        replace_table(update_where(df, cond, values), target, fmt=fmt, spark=spark)
+        return
+    touched = df.filter(cond).select(*cols).distinct()
+    same = [df[c].eqNullSafe(touched[c]) for c in cols]
+    stage = staging_path(spark, "update")
+    try:
+        update_where(df.join(touched, reduce(Column.__and__, same), "left_semi"), cond, values).write.partitionBy(*cols).format(fmt).save(stage)
+        if folders(spark, stage):
+            (spark.read.format(fmt).schema(df.schema).load(stage).select(*df.columns).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*cols).format(fmt).save(target))
+    finally:
+        delete(spark, stage)

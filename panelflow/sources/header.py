@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelflow.functions.columns import PANDAS_NA_VALUES, null_out
+from panelflow.sources.files import literal
 
 
 def _paths(paths):
@@ -29,66 +32,142 @@ _FLOAT_TEXT = (r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[
                r"|(?i:inf|infinity|nan))\s*$")
 
 
-def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Cast text columns to the narrowest type every value fits.
+def narrowest_types(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, str | None]:
+    """The narrowest type every value of a text column fits (None: no value at all).
 
-    Order as pandas reads it: ``bigint``, then ``double``, then ``boolean``
-    (``true``/``false`` in any case, untrimmed), else ``string``. A column with no
-    value at all becomes ``double`` (pandas' all-NaN column). One aggregate
-    over the data decides every column at once; partial aggregates keep it
-    a single map-side pass plus a one-row merge.
+    ``bigint``, then ``double``, then ``boolean`` (``true``/``false`` in any
+    case, untrimmed), else ``string``. Whole numbers too long for ``bigint``
+    stay text: as ``double`` they would lose digits. One aggregate over the
+    data decides every column at once; partial aggregates keep it a single
+    map-side pass plus a one-row merge.
     """
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     cols = [c for c in strings if columns is None or c in set(columns)]
     if not cols:
-        return df
+        return {}
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c)
         nn = v.isNotNull()
-        is_int = v.rlike(_INT_TEXT) & v.try_cast("bigint").isNotNull()
+        whole = v.rlike(_INT_TEXT)
         is_float = v.rlike(_FLOAT_TEXT) & v.try_cast("double").isNotNull()
         aggs += [F.count(v).alias(f"n{i}"),
-                 F.count_if(nn & ~is_int).alias(f"l{i}"),
+                 F.count_if(nn & ~whole).alias(f"w{i}"),
+                 F.count_if(whole & v.try_cast("bigint").isNull()).alias(f"l{i}"),
                  F.count_if(nn & ~is_float).alias(f"d{i}"),
                  F.count_if(nn & ~F.lower(v).isin(*BOOL_TEXT)).alias(f"b{i}")]
     r = df.agg(*aggs).first()
     types = {}
     for i, c in enumerate(cols):
         if r[f"n{i}"] == 0:
-            types[c] = "double"
-        elif r[f"l{i}"] == 0:
-            types[c] = "bigint"
+            types[c] = None
+        elif r[f"w{i}"] == 0:
+            types[c] = "string" if r[f"l{i}"] else "bigint"
         elif r[f"d{i}"] == 0:
             types[c] = "double"
-        elif r[f"b{i}"] == 0:
-            types[c] = "boolean"
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)
+        else:
+            types[c] = "string" if r[f"b{i}"] else "boolean"
+    return types
+
+
+def infer_types(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Cast text columns to the narrowest type every value fits
+    (:func:`narrowest_types`); one without a value becomes ``double``, as
+    pandas' all-NaN column."""
+    types = narrowest_types(df, columns)
+    return df.select(*[F.col(c).try_cast(types[c] or "double").alias(c) if c in types else F.col(c)
                        for c in df.columns])
 
 
+def wider(a: str | None, b: str | None) -> str | None:
+    """The narrower of the types that hold both; text holds all."""
+    if a == b or b is None:
+        return a
+    if a is None:
+        return b
+    return "double" if {a, b} == {"bigint", "double"} else "string"
+
+
+def header_groups(spark: SparkSession, paths: str | Sequence[str], sep: str, encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each different header line among ``paths``.
+
+    The first line of each file is found by one scan of the files' first
+    blocks. Names that repeat get ``.1``, ``.2``, … as in pandas.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").options(sep="\u0001", quote="", escape="", encoding=encoding)
+             .schema("value string").csv([literal(p) for p in _paths(paths)]))
+    first = (lines.select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"))
+             .filter("b = 0").withColumn("i", F.monotonically_increasing_id())     # ascends within a file's block
+             .groupBy("p").agg(F.min_by("value", "i").alias("h"))
+             .groupBy("h").agg(F.sort_array(F.collect_list("p")).alias("files")))
+    out = []
+    for r in sorted(first.collect(), key=lambda r: r.files[0]):
+        names: list[str] = []
+        for n in next(csv.reader([(r.h or "").removeprefix("﻿").rstrip("\r")], delimiter=sep)):
+            k, name = 0, n
+            while name in names:
+                k += 1
+                name = f"{n}.{k}"
+            names.append(name)
+        out.append((names, [unquoted(p) for p in r.files]))
+    return out
+
+
+def unquoted(path: str) -> str:
+    from urllib.parse import unquote
+    return unquote(path)
+
+
+def read_header_text(spark: SparkSession, paths: str | Sequence[str], sep: str, *, encoding: str = "UTF-8",
+                     na_values: Iterable[str] | None = PANDAS_NA_VALUES, file_col: str | None = None) -> DataFrame:
+    """Header-named read, every column as text.
+
+    Files are read by the header they have and put together by name, so
+    column order may differ from file to file and a column may be absent
+    (NULL). Quoted values may hold line breaks: each file is one task.
+    Missing-value strings become NULL (P7).
+    """
+    parts = []
+    for names, files in header_groups(spark, paths, sep, encoding):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = (spark.read.schema(schema).options(sep=sep, header="true", escape='"', encoding=encoding, multiLine="true")
+              .csv([literal(p) for p in files]))
+        parts.append(df.select("*", F.col("_metadata.file_path").alias(file_col)) if file_col else df)
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField(file_col, T.StringType())] if file_col else []))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for c in df.columns if c != file_col]
+    df = df.select(*cols, *([file_col] if file_col else []))
+    return null_out(df, na_values, cols) if na_values else df
+
+
+def header_records(spark: SparkSession, paths: str | Sequence[str], sep: str, encoding: str = "UTF-8") -> DataFrame:
+    """Every record of the files, header lines included, with its file path;
+    a quoted line break does not end a record. Only the first field is read."""
+    return (spark.read.schema("value string").options(sep=sep, escape='"', encoding=encoding, multiLine="true")
+            .option("recursiveFileLookup", "true").csv([literal(p) for p in _paths(paths)])
+            .select("value", F.col("_metadata.file_path").alias("_file")))
+
+
 def read_header_file(spark: SparkSession, paths: str | Sequence[str], sep: str, *,
                      schema: T.StructType | str | None = None,
                      na_values: Iterable[str] | None = PANDAS_NA_VALUES,
                      infer: bool = True, encoding: str = "UTF-8",
                      file_col: str | None = None) -> DataFrame:
-    """Header-named delimited read.
+    """Header-named delimited read (:func:`read_header_text`), typed.
 
-    Without ``schema``: every column is read as text, missing-value strings
-    become NULL (P7) and types are inferred (:func:`infer_types`). With a
-    declared ``schema`` the inference pass is skipped (preferred at scale).
-    Quotes follow common CSV (``""`` inside quotes), not Spark's ``\\``.
+    With a declared ``schema`` its columns are taken by name and cast (what
+    does not parse is NULL), and the inference pass is skipped (preferred
+    at scale); otherwise types are inferred (:func:`infer_types`). Quotes
+    follow common CSV (``""`` inside quotes), not Spark's ``\\``.
     ``file_col`` adds each row's file path under that name.
     """
-    r = (spark.read.options(sep=sep, header="true", escape='"', encoding=encoding)
-         .option("recursiveFileLookup", "true"))
-    df = (r.schema(schema) if schema is not None else r).csv(_paths(paths))  # text if no schema
-    data_cols = df.columns
-    if file_col:
-        df = df.select("*", F.col("_metadata.file_path").alias(file_col))
-    if na_values:
-        df = null_out(df, na_values, data_cols)
-    return infer_types(df, data_cols) if infer and schema is None else df
+    df = read_header_text(spark, paths, sep, encoding=encoding, na_values=na_values, file_col=file_col)
+    if schema is not None:
+        fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+        cols = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        return df.select(*cols, *([file_col] if file_col else []))
+    return infer_types(df, [c for c in df.columns if c != file_col]) if infer else df
 
 
 def read_snapshot(spark: SparkSession, paths, **kw) -> DataFrame:

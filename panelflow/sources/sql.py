@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Row, SparkSession
 
 
@@ -17,13 +19,10 @@ def query_df(spark: SparkSession, sql: str, args: dict | None = None,
 
 
 def query_rows(spark: SparkSession, sql: str, args: dict | None = None,
-               max_rows: int = 10_000, jdbc: dict | None = None) -> list[Row]:
-    """A small control result as rows on the driver.
+               jdbc: dict | None = None) -> Iterator[Row]:
+    """A control result as rows, one after another.
 
-    Refuses results over ``max_rows`` instead of pulling a large result
-    through the driver.
+    The caller iterates: one partition's rows are on the driver at a time,
+    whatever the size of the result.
     """
-    rows = query_df(spark, sql, args, jdbc).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"query returned more than {max_rows} rows; use query_df")
-    return rows
+    return query_df(spark, sql, args, jdbc).toLocalIterator()

@@ -4,59 +4,107 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelflow.functions.columns import add_ref_date
 from panelflow.functions.dates import day_from_path
 from panelflow.schemas import Feed, feed as _feed
+from panelflow.sources.files import literal
 
 FILE_COL = "_file"
 
+# A line the CSV reader passes over: nothing but characters up to the blank.
+_TEXT = r"[^\x00-\x20]"
+
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
 def reader_options(f: Feed) -> dict:
-    """CSV options for a feed.
+    """CSV options of a feed whose lines end in a line feed."""
+    return {"sep": f.sep, "header": str(f.header).lower(), "encoding": f.encoding, **f.options}
+
 
-    UTF-16 cannot use the default line splitter: ``encoding`` + ``lineSep``
-    keeps the read splittable (no ``multiLine``), so a large file is still
-    cut into many tasks.
+def _line_options(charset: str) -> dict:
+    """Options that read whole UTF-16 lines as one column.
+
+    The text source has no charset. ``encoding`` + ``lineSep`` keep the CSV
+    read splittable (no ``multiLine``), so a large file is still cut into
+    many tasks; no quote or separator is looked at.
     """
-    opts = {"sep": f.sep, "header": str(f.header).lower(), "encoding": f.encoding}
-    if f.is_utf16:
-        opts["lineSep"] = "\n"
-    opts.update(f.options)
-    return opts
+    return {"sep": "\u0001", "quote": "", "escape": "", "header": "false", "encoding": charset, "lineSep": "\n",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            "nullValue": "\u0000\u0000", "emptyValue": ""}
 
 
-def read_schema(f: Feed) -> T.StructType:
-    """The feed's schema as read: for UTF-16 the last column is text, so a
-    ``\r`` left by CRLF line ends can be stripped before it is typed."""
-    last = f.schema.fields[-1]
-    if f.is_utf16 and not isinstance(last.dataType, T.StringType):
-        return T.StructType(f.schema.fields[:-1] + [T.StructField(last.name, T.StringType())])
-    return f.schema
+def _heads(batches):
+    """Per file: does it begin with the big-endian byte-order mark?"""
+    import pandas as pd
+    from pyarrow import fs as pafs
 
+    from panelflow.sources.archive import _uri
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            fsys, p = pafs.FileSystem.from_uri(_uri(path))
+            with fsys.open_input_stream(p) as data:
+                out.append(data.read(2) == b"\xfe\xff")
+        yield pd.DataFrame({"path": pdf["path"], "big": out})
 
-def finish_read(df: DataFrame, f: Feed, ref_from_path: bool = True) -> DataFrame:
-    """File path, typed last column and reference date on a raw feed read."""
-    df = df.select("*", F.col("_metadata.file_path").alias(FILE_COL))
-    if f.is_utf16:
-        last = f.schema.fields[-1]
-        c = F.col(last.name)
-        # only a field that ended in \r is touched; a lone \r was an empty field
-        cleaned = F.when(c.endswith("\r"),
-                         F.nullif(F.regexp_replace(c, "\r$", ""), F.lit(""))).otherwise(c)
-        if not isinstance(last.dataType, T.StringType):
-            cleaned = cleaned.try_cast(last.dataType)
-        df = df.withColumn(last.name, cleaned)
-    if ref_from_path and f.ref_col:
-        df = add_ref_date(df, day_from_path(F.col(FILE_COL), f.file_day_format), f.ref_col)
-    return df
+
+def big_endian_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files under ``paths`` that begin with the UTF-16 big-endian mark;
+    two bytes of each file are read, on the executors."""
+    rel = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in _paths(paths)])
+           .select("path"))
+    rows = rel.mapInPandas(_heads, "path string, big boolean").filter("big").select("path").toLocalIterator()
+    return sorted(r.path for r in rows)
+
+
+def utf16_lines(df: DataFrame) -> DataFrame:
+    """One row per line of a one-column UTF-16 read: the leading byte-order
+    mark goes, and a carriage return ends a line, alone or before a feed."""
+    first = F.col("_metadata.file_block_start") == 0
+    value = F.when(first & F.col("value").startswith("﻿"), F.substring("value", 2, 1 << 30)).otherwise(F.col("value"))
+    return (df.select(value.alias("value"), F.col("_metadata.file_path").alias(FILE_COL))
+            .select(F.explode(F.split("value", "\r")).alias("value"), FILE_COL))
+
+
+def raw_lines(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str) -> DataFrame:
+    """Every physical line of the delivered files, with its file path.
+
+    UTF-8 uses the text source. UTF-16 files are decoded in the byte order
+    of their mark, little-endian without one, as Python's codec does;
+    big-endian files, which are rare, are read beside the others.
+    """
+    f = _feed(feed)
+    paths = _paths(paths)
+    if not f.is_utf16:
+        df = spark.read.option("recursiveFileLookup", "true").text([literal(p) for p in paths])
+        return df.select("value", F.col("_metadata.file_path").alias(FILE_COL))
+
+    def read(charset: str, these: list[str]) -> DataFrame:
+        return utf16_lines(spark.read.schema("value string").options(**_line_options(charset))
+                           .option("recursiveFileLookup", "true").csv([literal(p) for p in these]))
+    big = big_endian_files(spark, paths)
+    if not big:
+        return read("UTF-16LE", paths)
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in paths]).select("path")
+    rest = sorted({r.path for r in every.toLocalIterator()} - set(big))
+    out = read("UTF-16BE", big)
+    return out.unionByName(read("UTF-16LE", rest)) if rest else out
+
+
+def typed_lines(lines: DataFrame, f: Feed) -> DataFrame:
+    """Lines parsed with the feed's fixed schema, as the CSV reader would."""
+    row: Column = F.from_csv("value", f.schema.toDDL(), {"sep": f.sep, **f.options})
+    return lines.filter(F.col("value").rlike(_TEXT)).select(row.alias("r"), FILE_COL).select("r.*", FILE_COL)
+
+
+def with_ref_date(df: DataFrame, f: Feed) -> DataFrame:
+    return add_ref_date(df, day_from_path(F.col(FILE_COL), f.file_day_format), f.ref_col) if f.ref_col else df
 
 
 def read_usage(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str,
@@ -64,34 +112,27 @@ def read_usage(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str
     """S1 + S2: headerless, positional read with the feed's fixed schema.
 
     PERMISSIVE (Spark's default): a field that does not parse is NULL, a
-    short row is NULL-padded, extra fields are dropped. For UTF-16 the last
-    column is read as text, its ``\r`` (CRLF files) stripped and then cast,
-    so CRLF and LF deliveries give the same values. With ``ref_from_path``
-    the feed's reference-date column is taken from the file path, so one read
+    short row is NULL-padded, extra fields are dropped. UTF-16 is read as
+    lines (:func:`raw_lines`), which are then parsed, so byte order, CRLF and
+    lone carriage returns give the same rows. With ``ref_from_path`` the
+    feed's reference-date column is taken from the file path, so one read
     covers every delivered day at once.
     """
     f = _feed(feed)
-    df = (spark.read.schema(read_schema(f)).options(**reader_options(f))
-          .option("recursiveFileLookup", "true").csv(_paths(paths)))
-    return finish_read(df, f, ref_from_path)
-
+    if f.is_utf16:
+        df = typed_lines(raw_lines(spark, paths, f), f)
+    else:
+        df = (spark.read.schema(f.schema).options(**reader_options(f)).option("recursiveFileLookup", "true")
+              .csv([literal(p) for p in _paths(paths)]).select("*", F.col("_metadata.file_path").alias(FILE_COL)))
+    return with_ref_date(df, f) if ref_from_path else df
 
-def raw_lines(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str) -> DataFrame:
-    """Every physical line of the delivered files, with its file path.
 
-    UTF-8 uses the text source; UTF-16 a one-column CSV read with no quote
-    handling and the feed's encoding options (the text source has no
-    charset option). Independent of the typed read on purpose: the count
-    check compares two separate scans.
-    """
+def stream_usage(spark: SparkSession, landing: str, feed: Feed | str, options: dict) -> DataFrame:
+    """The same rows from a stream of new files (UTF-16 little-endian)."""
     f = _feed(feed)
+    r = spark.readStream.option("recursiveFileLookup", "true").options(**options)
     if f.is_utf16:
-        df = (spark.read.schema("value string")
-              .options(sep="\u0001", quote="", escape="", header="false",
-                       encoding=f.encoding, lineSep="\n",
-                       ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
-                       nullValue="\u0000\u0000", emptyValue="")
-              .option("recursiveFileLookup", "true").csv(_paths(paths)))
+        df = typed_lines(utf16_lines(r.schema("value string").options(**_line_options("UTF-16LE")).csv(landing)), f)
     else:
-        df = spark.read.option("recursiveFileLookup", "true").text(_paths(paths))
-    return df.select("value", F.col("_metadata.file_path").alias(FILE_COL))
+        df = r.schema(f.schema).options(**reader_options(f)).csv(landing).select("*", F.col("_metadata.file_path").alias(FILE_COL))
+    return with_ref_date(df, f)

@@ -4,72 +4,123 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelflow.functions.columns import add_import_date, place_columns
+from panelflow.functions.dates import day_from_path
 from panelflow.schemas import Feed, feed as _feed
-from panelflow.sinks.tables import append_table, load_dates
-from panelflow.sources.usage import FILE_COL, finish_read, read_schema, reader_options
+from panelflow.sinks.files import archive_files
+from panelflow.sinks.tables import append_table
+from panelflow.sources.files import run_day
+from panelflow.sources.header import read_header_file, read_header_text
+from panelflow.sources.usage import FILE_COL, read_usage, stream_usage
+
+SOURCE_FILE = "source_file"      # which file a row came from, in tables replaced by file
+
+# The file source forgets files a week older than the newest one it has seen;
+# a late delivery would be passed over for ever, without a message.
+_NEVER = "36500d"
+
+
+def _options(max_files_per_trigger: int | None, archive_dir: str | None = None) -> dict:
+    out = {"maxFileAge": _NEVER}
+    if max_files_per_trigger:
+        out["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if archive_dir:
+        out |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+    return out
 
 
 def new_files_stream(spark: SparkSession, landing: str, feed: Feed | str,
                      max_files_per_trigger: int | None = None,
                      archive_dir: str | None = None) -> DataFrame:
     """Streaming read of a landing folder: the feed's schema and options,
-    reference date from each file's path (as :func:`read_usage`). The file source's checkpoint
-    remembers which files were read, so each is loaded exactly once."""
-    f = _feed(feed)
-    r = (spark.readStream.schema(read_schema(f)).options(**reader_options(f))
-         .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return finish_read(r.csv(landing), f)
+    reference date from each file's path (as :func:`read_usage`). The file
+    source's checkpoint remembers which files were read, so each is loaded
+    exactly once, however late it comes."""
+    return stream_usage(spark, landing, _feed(feed), _options(max_files_per_trigger, archive_dir))
+
+
+def _stamped(df: DataFrame, f: Feed, import_day: _dt.date | None) -> DataFrame:
+    df = add_import_date(df, f.import_col, today=import_day or run_day())
+    return place_columns(df, [f.ref_col, f.import_col], 0)
+
+
+def read_files(spark: SparkSession, paths: list[str], f: Feed, types: str | None = None) -> DataFrame:
+    """Rows of delivered files with their reference date and source file.
+
+    Header feeds are read by name; without a declared schema (the feed's or
+    ``types``) their columns stay text, so that every file fits one table."""
+    if f.header:
+        schema = f.schema if f.schema is not None else types
+        df = (read_header_file(spark, paths, f.sep, schema=schema, encoding=f.encoding, file_col=FILE_COL) if schema is not None
+              else read_header_text(spark, paths, f.sep, encoding=f.encoding, file_col=FILE_COL))
+        df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
+    else:
+        df = read_usage(spark, paths, f)
+    name = F.regexp_extract(F.url_decode(F.replace(FILE_COL, F.lit("+"), F.lit("%2B"))), "([^/]*)$", 1)
+    return df.withColumn(SOURCE_FILE, name).drop(FILE_COL)
 
 
 def ingest_new_files(spark: SparkSession, landing: str, feed: Feed | str, target: str | None,
                      checkpoint: str, *, import_day: _dt.date | None = None,
                      archive_dir: str | None = None,
                      max_files_per_trigger: int | None = None,
-                     mode: str = "append", jdbc: Mapping | None = None) -> StreamingQuery:
+                     mode: str = "append", jdbc: Mapping | None = None,
+                     types: str | None = None) -> StreamingQuery:
     """Load every file not yet loaded and stop (``availableNow``).
 
     Replaces the daily loop, the date list and the file moves: run it on a
     schedule; a re-run adds nothing, a late file is picked up by the next
-    run. With ``archive_dir`` processed files are moved there by Spark
-    (``cleanSource``). The checkpoint belongs in the shared folder.
+    run, whatever its age. With ``archive_dir`` processed files are moved
+    there, below the folders they lay in; keep it outside ``landing``. The
+    checkpoint belongs in the shared folder.
 
     ``mode``:
 
-    * ``append``: parquet sink partitioned by the reference date; the
-      sink's own log makes each file's rows appear exactly once. Readers
-      of the target then see only files in that log, so do not also load
-      the same target with batch writes.
-    * ``replace_days``: each micro-batch replaces the days it carries (K4
-      through ``foreachBatch``), so a retried batch, or a day delivered
-      again under a new file, leaves one copy of that day. Use it when a
-      day is one file.
+    * ``append``: headerless feeds; parquet sink partitioned by the
+      reference date. The sink's own log makes each file's rows appear
+      exactly once. Readers of the target then see only files in that log,
+      so do not also load the same target with batch writes.
+    * ``replace_files``: any feed. The table is partitioned by reference
+      date and source file, and a file's rows replace those it had before:
+      a retried batch, or a file delivered again, leaves one copy, and a day
+      whose files come in different batches or runs keeps all of them.
     * ``jdbc`` given: each micro-batch is appended to the JDBC table (K1);
       a batch retried after a failure may be appended twice.
     """
     f = _feed(feed)
-    df = new_files_stream(spark, landing, f, max_files_per_trigger, archive_dir)
-    df = df.drop(FILE_COL)
-    df = add_import_date(df, f.import_col, today=import_day)
-    df = place_columns(df, [f.ref_col, f.import_col], 0)
-    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if jdbc is not None:
-        w = w.foreachBatch(lambda batch, _id: append_table(batch, jdbc=jdbc))
-    elif mode == "replace_days":
-        w = w.foreachBatch(lambda batch, _id: load_dates(batch, target, f.ref_col))
-    elif mode == "append":
-        w = (w.format("parquet").option("path", target).partitionBy(f.ref_col)
-             .outputMode("append"))
-    else:
+    if mode not in ("append", "replace_files"):
         raise ValueError(f"unknown mode {mode!r}")
-    q = w.start()
+    if mode == "append" and jdbc is None and not f.header:
+        df = _stamped(new_files_stream(spark, landing, f, max_files_per_trigger, archive_dir).drop(FILE_COL), f, import_day)
+        q = (df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .format("parquet").option("path", target).partitionBy(f.ref_col).outputMode("append").start())
+        q.awaitTermination()
+        return q
+    if mode == "append" and jdbc is None:
+        raise ValueError(f"{f.name} has a header: load it with mode='replace_files'")
+    # the stream brings the new files' names; each batch reads its files as a daily load does
+    names = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+             .option("recursiveFileLookup", "true").options(**_options(max_files_per_trigger)).load(landing).select("path"))
+
+    def load(batch: DataFrame, _id: int) -> None:
+        paths = [unquote(r.path) if "%" in r.path else r.path for r in batch.collect()]     # a micro-batch's files
+        if not paths:
+            return
+        df = _stamped(read_files(batch.sparkSession, paths, f, types), f, import_day)
+        if jdbc is not None:
+            append_table(df.drop(SOURCE_FILE), jdbc=jdbc)
+        else:
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(f.ref_col, SOURCE_FILE).parquet(target))
+        if archive_dir:
+            archive_files(batch.sparkSession, paths, archive_dir, root=landing).collect()
+
+    q = names.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(load).start()
     q.awaitTermination()
     return q

@@ -35,7 +35,7 @@ def test_latest_status_as_of_and_on_day(spark):
         (1, 10, 2, dt.datetime(2024, 1, 1, 9)), (1, 11, 1, dt.datetime(2024, 1, 2, 9)),
         (1, 12, 3, dt.datetime(2024, 1, 3, 9)), (2, 20, 2, dt.datetime(2023, 12, 31, 9))],
         "task_id int, log_id int, status int, log_time timestamp")
-    asof = {r.task_id: r.status for r in latest_status(log, "2024-01-02").collect()}
+    asof = {r.task_id: r.status for r in latest_status(log, "2024-01-02", as_of=True).collect()}
     assert asof == {1: 1, 2: 2}
     on_day = {r.task_id: r.status for r in latest_status(log, "2024-01-02", as_of=False).collect()}
     assert on_day == {1: 1}
