@@ -13,6 +13,9 @@ its first occurrence. Between classes the join follows the prefix filter:
   signatures in bits) drop pairs that cannot reach t;
 - the words of the few classes left are fetched and the Jaccard verified.
 
+Where only the removal is wanted, not the number of links, a group of n nearly
+equal lines is settled by n comparisons (``later_lines``).
+
 Words are compared by their 64-bit hashes (55 bits where they make a class),
 sets by 64 bits. Only the join of the prefix index with itself multiplies
 rows, and AQE splits its hot keys.
@@ -31,6 +34,7 @@ from panelflow.session import staging_path
 SIMILARITY = 0.8
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
+HOT = 16                         # sets under a word from which its earliest one is tried first
 MARK_BITS = 20                  # a bit set has 2**20 bytes
 
 _GAPS = r"[ \t\x0B\f\r]+"       # white space inside a line
@@ -106,32 +110,35 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Classes (key, doc_id, same, line) at their first places, and links (a, b), over ``docs(doc_id, same, text)``.
-
-    Each pair of different classes whose Jaccard is ``similarity`` or more is one link.
-    """
+def _fraction(similarity: float) -> Fraction:
     t = Fraction(str(similarity))
     if not 0 < t <= 1:
         raise ValueError("similarity must be in (0, 1]")
-    num, den = t.numerator, t.denominator
-    need = _ceil("x.n + y.n", num, num + den)
+    return t
+
+
+def line_classes(docs: DataFrame, t: Fraction) -> DataFrame:
+    """(key, doc_id, same, line, n, sig, sig2, sig3, prefix) of the different word sets, at their first places."""
     sets = _sets(_lines(docs), _rarity(docs))
     # parities of the set in 64 bits, three times over other bits of the hashes
     parity = [F.expr(f"aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(shiftrightunsigned(w, {k}) & 63 as int)))") for k in (20, 26, 14)]
-    prefix = F.expr(f"transform(slice(words, 1, n - {_ceil('n', num, den)} + 1), w -> cast(w & 2147483647 as int))")
-    classes = _stored(sets.select("key", F.struct("doc_id", "same", "line").alias("at"),
-                                  F.struct("n", *[p.alias(c) for p, c in zip(parity, ("sig", "sig2", "sig3"))], prefix.alias("prefix")).alias("body"))
-                      .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")).select("key", "at.*", "body.*"), "line-classes")
-    # a set of n words has no different partner if even n of n + 1 words fall short
-    index = classes.where(f"n * {den} >= (n + 1) * {num}").select("key", "sig", F.posexplode("prefix").alias("pos", "word"), "n")
-    x, y = index.alias("x"), index.alias("y")
-    # both sides read one exchange: no condition is on one side alone
-    pairs = _stored(x.join(y, F.expr(f"""x.word = y.word and (y.n < x.n or y.n = x.n and y.key < x.key)
-                 and y.n * {den} >= x.n * {num}
-                 and least(x.n - x.pos, y.n - y.pos) >= {need}
-                 and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""))
-                    .selectExpr("x.key as a", "y.key as b", f"{need} as need", "x.n + y.n as both").distinct(), "line-pairs")
+    prefix = F.expr(f"transform(slice(words, 1, n - {_ceil('n', t.numerator, t.denominator)} + 1), w -> cast(w & 2147483647 as int))")
+    return (sets.select("key", F.struct("doc_id", "same", "line").alias("at"),
+                        F.struct("n", *[p.alias(c) for p, c in zip(parity, ("sig", "sig2", "sig3"))], prefix.alias("prefix")).alias("body"))
+            .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")).select("key", "at.*", "body.*"))
+
+
+def _index(classes: DataFrame, t: Fraction) -> DataFrame:
+    """(key, sig, pos, word, n): the prefixes of the sets that can have a different partner.
+
+    A set of n words has none if even n of n + 1 words fall short.
+    """
+    return (classes.where(f"n * {t.denominator} >= (n + 1) * {t.numerator}")
+            .select("key", "sig", F.posexplode("prefix").alias("pos", "word"), "n"))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs(a, b, need, both)`` whose sets share ``need`` words or more, by the words themselves."""
     more = classes.select("key", "sig2", "sig3")
     far = " and ".join(f"bit_count(x.{c} ^ y.{c}) <= both - 2 * need" for c in ("sig2", "sig3"))
     pairs = _stored(pairs.join(more.alias("x"), F.col("a") == F.col("x.key")).join(more.alias("y"), F.col("b") == F.col("y.key"))
@@ -143,20 +150,80 @@ def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Data
     own = F.array_distinct(F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)))
     words = _stored(marked.join(places, ["doc_id", "same", "line"]).select("key", own.alias("words"))
                     .groupBy("key").agg(F.first("words").alias("words")), "line-words")
-    links = _stored(pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
-                    .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
-                    .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"), "line-links")
-    return classes.select("key", "doc_id", "same", "line"), links
+    return _stored(pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
+                   .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
+                   .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"), "line-links")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Classes (key, doc_id, same, line) at their first places, and links (a, b), over ``docs(doc_id, same, text)``.
+
+    Each pair of different classes whose Jaccard is ``similarity`` or more is one link.
+    """
+    t = _fraction(similarity)
+    num, den = t.numerator, t.denominator
+    need = _ceil("x.n + y.n", num, num + den)
+    classes = _stored(line_classes(docs, t), "line-classes")
+    index = _index(classes, t)
+    x, y = index.alias("x"), index.alias("y")
+    # both sides read one exchange: no condition is on one side alone
+    pairs = _stored(x.join(y, F.expr(f"""x.word = y.word and (y.n < x.n or y.n = x.n and y.key < x.key)
+                 and y.n * {den} >= x.n * {num}
+                 and least(x.n - x.pos, y.n - y.pos) >= {need}
+                 and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""))
+                    .selectExpr("x.key as a", "y.key as b", f"{need} as need", "x.n + y.n as both").distinct(), "line-pairs")
+    return classes.select("key", "doc_id", "same", "line"), _verified(docs, classes, pairs)
+
+
+def later_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """The same classes, and the keys (key) of those that match an earlier one, without listing all links.
+
+    First every set is compared with the earliest set under each of its
+    words that HOT sets or more share: of n copies of a line with small
+    changes nearly all are settled here, by n comparisons instead of n^2.
+    Only what is left is joined with the whole index, and only with earlier
+    sets.
+    """
+    t = _fraction(similarity)
+    num, den = t.numerator, t.denominator
+    # keys that ascend with the first place, so that earlier is smaller
+    ordered = line_classes(docs, t).orderBy("doc_id", "same", "line").withColumn("key", F.monotonically_increasing_id())
+    classes = _stored(ordered, "line-classes")
+    need = _ceil("x.n + y.n", num, num + den)
+    close = f"""y.n * {den} >= x.n * {num} and x.n * {den} >= y.n * {num} and y.key < x.key
+                and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""
+    out = ["x.key as a", "y.key as b", f"{need} as need", "x.n + y.n as both"]
+    index = _index(classes, t)
+    first = (index.groupBy("word").agg(F.count("*").alias("c"), F.min("key").alias("key"), F.min_by("sig", "key").alias("sig"), F.min_by("n", "key").alias("n"))
+             .where(F.col("c") >= HOT))
+    pairs = _stored(index.alias("x").join(first.alias("y"), F.expr("x.word = y.word and " + close)).selectExpr(*out).distinct(), "line-first-pairs")
+    settled = _stored(_verified(docs, classes, pairs).select(F.col("a").alias("key")).distinct(), "line-settled")
+    rest = _index(classes.join(settled, "key", "left_anti"), t)
+    pairs = _stored(rest.alias("x").join(index.alias("y"), F.expr(f"x.word = y.word and {close} and least(x.n - x.pos, y.n - y.pos) >= {need}"))
+                    .selectExpr(*out).distinct(), "line-pairs")
+    later = settled.union(_verified(docs, classes, pairs).select("a").distinct())
+    return classes.select("key", "doc_id", "same", "line"), later
+
+
+def _judged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, links, later) of the classes that have a link: how many, and whether one leads to an earlier class."""
+    place = F.struct("doc_id", "same", "line")
+    both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).union(links.select("b", "a"))
+    return (both.join(classes.select("key", place.alias("at")), "key").join(classes.select(F.col("key").alias("other"), place.alias("other_at")), "other")
+            .groupBy("key").agg(F.count("*").alias("links"), F.max(F.col("other_at") < F.col("at")).alias("later")))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+                links: bool = True) -> DataFrame:
     """(doc_id, same, n_lines, n_removed, n_links, text, rest): every row of ``docs`` once, without its later matches.
 
     A line goes if its words, as a set, have a Jaccard of ``similarity`` or
     more with those of a line that comes earlier: in a document of smaller
     id, or higher up in its own; lines are judged on the input, not on what
     is left. Lines without words stay and are not counted. ``n_links``
-    counts the links to other classes of the lines that occur here first.
+    counts the links to other classes of the lines that occur here first;
+    with ``links=False`` it is null, and lines are settled by their first
+    match instead of by all of them, which is the same text for less work.
 
     Null and empty texts come back as they are, with no lines. Rows that
     repeat an id are ordered by the hash (``same``) of their texts; equal
@@ -169,11 +236,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), same.alias("same"), docs[text_col].alias("text"))
     rest = F.struct(*[docs[c] for c in docs.columns if c not in (id_col, text_col)] or [F.lit(None).cast("int").alias("none")])
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), same.alias("same"), docs[text_col].alias("text"), rest.alias("rest"))
-    classes, links = similar_lines(slim, similarity)
-    place = F.struct("doc_id", "same", "line")
-    both = links.select(F.col("a").alias("key"), F.col("b").alias("other")).union(links.select("b", "a"))
-    linked = (both.join(classes.select("key", place.alias("at")), "key").join(classes.select(F.col("key").alias("other"), place.alias("other_at")), "other")
-              .groupBy("key").agg(F.count("*").alias("links"), F.max(F.col("other_at") < F.col("at")).alias("later")))
+    if links:
+        classes, found = similar_lines(slim, similarity)
+        linked = _judged(classes, found)
+    else:
+        classes, later = later_lines(slim, similarity)
+        linked = later.select("key", F.lit(None).cast("long").alias("links"), F.lit(True).alias("later"))
     kept = _stored(classes.join(linked, "key", "left").groupBy("doc_id", "same")
                    .agg(F.collect_list(F.when(~F.coalesce("later", F.lit(False)), F.col("line"))).alias("first"), F.sum("links").alias("links")), "line-kept")
     worded = F.filter(F.expr("sequence(0, size(all) - 1)"), lambda i: F.regexp_like(F.element_at("all", i + 1), F.lit(_A_WORD)))
@@ -186,11 +254,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     maybe = F.coalesce(F.col("doc_id").isNotNull() & _marked(here, marks), F.lit(False))
     none = F.lit(0).cast("long")
     lines = F.coalesce(F.size("worded"), F.lit(0)).cast("long").alias("n_lines")
-    whole = cut.where(~maybe).select("doc_id", "same", lines, none.alias("n_removed"), none.alias("n_links"), "text", "rest")
+    n_links = lambda c: (c if links else F.lit(None).cast("long")).alias("n_links")
+    whole = cut.where(~maybe).select("doc_id", "same", lines, none.alias("n_removed"), n_links(none), "text", "rest")
     parts = (rows.where(maybe).join(kept, ["doc_id", "same"], "left").withColumn("all", F.split("text", "\n")).withColumn("worded", worded)
              .withColumn("gone", F.array_except("worded", F.coalesce("first", F.expr("cast(array() as array<int>)"))))
              .withColumn("stay", F.array_except(F.expr("sequence(0, size(all) - 1)"), "gone"))
-             .select("doc_id", "same", lines, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+             .select("doc_id", "same", lines, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), n_links(F.coalesce("links", F.lit(0)).cast("long")),
                      F.when(F.size("gone") == 0, F.col("text")).otherwise(
                          F.array_join(F.transform("stay", lambda i: F.element_at("all", i + 1)), "\n")).alias("text"), "rest"))
     return whole.union(parts)
@@ -198,7 +267,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_later_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs``, all rows and columns, with later matches gone from the text and ``chars_col``, if there, counted anew."""
-    done = dedup_lines(docs, id_col, text_col)
+    done = dedup_lines(docs, id_col, text_col, links=False)
     new = {id_col: F.col("doc_id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}
     if chars_col in docs.columns:
         new[chars_col] = F.when(F.col("n_removed") == 0, F.col("rest")[chars_col]).otherwise(F.length("text")).cast(docs.schema[chars_col].dataType)

@@ -47,13 +47,16 @@ def test_line_dedup(docs, known, empty):
 
 
 @pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
-def test_line_dedup_at_other_similarities(spark, similarity):
+def test_line_dedup_at_other_similarities(spark, similarity, monkeypatch):
     rng = random.Random(int(similarity * 10))
     rows = [(i, "\n".join(" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(4))) for i in range(40)]
     got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), similarity=similarity))
     num, den = similarity.as_integer_ratio() if similarity != 0.8 else (4, 5)
     for k, e in brute.lines(rows, num, den).items():
         assert (got[k].n_lines, got[k].n_removed, got[k].n_links, got[k].text) == e
+    monkeypatch.setattr(lines, "HOT", 3)
+    less = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), similarity=similarity, links=False))
+    assert all(less[k].text == got[k].text and less[k].n_removed == got[k].n_removed for k in got)
 
 
 def test_line_dedup_orders_rows_that_repeat_an_id(spark):
