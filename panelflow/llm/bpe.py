@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelflow.llm.common import id_and_text, ragged, slices, worker_cache
+from panelflow.llm.common import id_and_text, ragged, slices, small_batches, worker_cache
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)       # rank of a pair that does not merge
@@ -210,6 +210,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     that ships it (default: the multilingual byte-level one).
     """
     path = path or public_tokenizers.path(VOCABULARY)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)

@@ -45,6 +45,18 @@ def in_fold(doc_id: Column, mod: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == remainder, F.lit(False))
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Let a Python worker get at most ``rows`` rows at once, unless the session asks for fewer.
+
+    The default of 10,000 rows would be a gigabyte of long texts in the
+    worker and again in its executor.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices holding at most ``most`` bytes of text each, or one row."""
     for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelflow.llm.common import fresh, slices, worker_cache
+from panelflow.llm.common import fresh, slices, small_batches, worker_cache
 from panelflow.session import shared_dir
 
 WINDOW = 10
@@ -113,6 +113,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     Repeated rows each come back; an empty table stays empty.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     taken = list(docs.columns)
     added = tuple(taken.append(fresh(c, taken)) or taken[-1] for c in ("n_words", "hits", "items"))
     for name, kind in zip(added, ("bigint", "array<int>", "array<string>")):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelflow.llm import hashstore
-from panelflow.llm.common import slices
+from panelflow.llm.common import slices, small_batches
 from panelflow.session import staging_path
 
 IMPORTANCE = 0.2                 # branches below it go
@@ -209,6 +209,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     is read as far as it goes; repeated rows each come back; an empty table
     gives no rows.
     """
+    small_batches(pages.sparkSession)
     slim = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
     size = slim.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     bits = hashstore.bits_for(size / 400, SHARD_KEYS)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelflow.llm import hashstore
-from panelflow.llm.common import id_and_text, in_fold, lower, mix, slices, text_bytes, word_hashes, word_spans
+from panelflow.llm.common import id_and_text, in_fold, lower, mix, slices, small_batches, text_bytes, word_hashes, word_spans
 from panelflow.session import staging_path
 
 FOLDS, HELD_OUT = 7, 2
@@ -253,6 +253,7 @@ def _write_followers(model: Model):
 def fit(docs: DataFrame) -> Model:
     """Counts the texts of ``docs(text)``; null texts are empty ones."""
     spark = docs.sparkSession
+    small_batches(spark)
     size, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     model = Model(staging_path(spark, "lm"), hashstore.bits_for((size or 0) / 120, WORDS_PER_SHARD), hashstore.bits_for((size or 0) / 9, PAIRS_PER_SHARD))
     model.n_docs, bits, words = n_docs, model.word_bits, f"{model.uri}/words"

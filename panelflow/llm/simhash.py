@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelflow.llm.common import fresh, id_and_text, lower, slices, text_bytes, word_spans
+from panelflow.llm.common import fresh, id_and_text, lower, slices, small_batches, text_bytes, word_spans
 from panelflow.llm.components import connected_components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
@@ -58,6 +58,7 @@ def _fingerprints(n: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long) for every row; a text without words has fingerprint 0."""
+    small_batches(docs.sparkSession)
     return id_and_text(docs, id_col, text_col).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelflow.llm import hashstore
-from panelflow.llm.common import WORDS, mix, ragged, slices, text_bytes, word_hashes, word_spans
+from panelflow.llm.common import WORDS, mix, ragged, slices, small_batches, text_bytes, word_hashes, word_spans
 from panelflow.session import staging_path
 
 WINDOW, GRAM = 20, 8
@@ -236,6 +236,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     if not 0 < gram < window:
         raise ValueError("gram must be shorter than window")
+    small_batches(docs.sparkSession)
     slim = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("same"), docs[text_col].alias("text"))
     placed = slim.where("doc_id is not null and text is not null")
     size = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0

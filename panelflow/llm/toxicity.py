@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelflow.llm.common import fresh, in_fold, lower, slices, text_bytes, word_hashes, word_spans
+from panelflow.llm.common import fresh, in_fold, lower, slices, small_batches, text_bytes, word_hashes, word_spans
 
 BITS = 20                        # weights are looked up by the low bits of a feature's hash
 SAMPLE, EPOCHS, POSITIVE = 24_000, 3, 2.0
@@ -86,6 +86,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Positions (ascending; the last may be the bias) and weights, learnt from rows out of the held-out fold."""
+    small_batches(docs.sparkSession)
     marks = (labels.select(labels["doc_id"].alias("id"), labels["toxic"].cast("int").alias("toxic"))
              .where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~in_fold(F.col("id"), FOLDS, 0))
              .groupBy("id").agg(F.max("toxic").alias("toxic"))
