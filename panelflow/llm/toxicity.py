@@ -74,11 +74,12 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.unique(where << 32 | f)
         cut = np.searchsorted(pairs >> 32, np.arange(b.num_rows + 1))
         f = (pairs & 0xFFFFFFFF).astype(np.int32)
-        rows += [(np.append(f[i:j], 1 << BITS), y) for i, j, y in zip(cut, cut[1:], b.column("toxic").to_pylist())]
+        # views of the slice's one array: small copies would stay in the worker's heap after the training
+        rows += [(f[i:j], y) for i, j, y in zip(cut, cut[1:], b.column("toxic").to_pylist())]
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(rows)):
-            model.learn(*rows[i])
+            model.learn(np.append(rows[i][0], np.int32(1 << BITS)), rows[i][1])
     w = model.weights(slice(None))
     at = np.flatnonzero(w)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "weight"])
