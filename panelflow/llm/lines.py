@@ -129,12 +129,12 @@ def line_classes(docs: DataFrame, t: Fraction) -> DataFrame:
 
 
 def _index(classes: DataFrame, t: Fraction) -> DataFrame:
-    """(key, sig, pos, word, n): the prefixes of the sets that can have a different partner.
+    """(key, sig, sig2, pos, word, n): the prefixes of the sets that can have a different partner.
 
     A set of n words has none if even n of n + 1 words fall short.
     """
     return (classes.where(f"n * {t.denominator} >= (n + 1) * {t.numerator}")
-            .select("key", "sig", F.posexplode("prefix").alias("pos", "word"), "n"))
+            .select("key", "sig", "sig2", F.posexplode("prefix").alias("pos", "word"), "n"))
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -191,10 +191,11 @@ def later_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     classes = _stored(ordered, "line-classes")
     need = _ceil("x.n + y.n", num, num + den)
     close = f"""y.n * {den} >= x.n * {num} and x.n * {den} >= y.n * {num} and y.key < x.key
-                and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need})"""
+                and bit_count(x.sig ^ y.sig) <= x.n + y.n - 2 * ({need}) and bit_count(x.sig2 ^ y.sig2) <= x.n + y.n - 2 * ({need})"""
     out = ["x.key as a", "y.key as b", f"{need} as need", "x.n + y.n as both"]
     index = _index(classes, t)
-    first = (index.groupBy("word").agg(F.count("*").alias("c"), F.min("key").alias("key"), F.min_by("sig", "key").alias("sig"), F.min_by("n", "key").alias("n"))
+    first = (index.groupBy("word").agg(F.count("*").alias("c"), F.min("key").alias("key"), F.min_by("sig", "key").alias("sig"),
+                                         F.min_by("sig2", "key").alias("sig2"), F.min_by("n", "key").alias("n"))
              .where(F.col("c") >= HOT))
     pairs = _stored(index.alias("x").join(first.alias("y"), F.expr("x.word = y.word and " + close)).selectExpr(*out).distinct(), "line-first-pairs")
     settled = _stored(_verified(docs, classes, pairs).select(F.col("a").alias("key")).distinct(), "line-settled")
