@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,15 +110,10 @@ def header_groups(spark: SparkSession, paths: str | Sequence[str], sep: str, enc
                 k += 1
                 name = f"{n}.{k}"
             names.append(name)
-        out.append((names, [unquoted(p) for p in r.files]))
+        out.append((names, [unquote(p) for p in r.files]))
     return out
 
 
-def unquoted(path: str) -> str:
-    from urllib.parse import unquote
-    return unquote(path)
-
-
 def read_header_text(spark: SparkSession, paths: str | Sequence[str], sep: str, *, encoding: str = "UTF-8",
                      na_values: Iterable[str] | None = PANDAS_NA_VALUES, file_col: str | None = None) -> DataFrame:
     """Header-named read, every column as text.
