@@ -10,8 +10,11 @@ The importances are stored as sorted hash arrays, which the second scan of
 the pages maps; there every branch of low importance is removed.
 
 Two things are known beforehand: elements that can never be main text (NOISE
-tags and names), and the elements that authors mark as main text, whose
-branches stay even where a site repeats an article on many pages.
+tags and names), and the elements that authors mark as main text (MAIN).
+A page with such an element has its text there and nowhere else. The prior of
+the marked element is that it stays; a branch inside it is measured against
+it: what a site repeats in articles that differ is template, what it repeats
+along with the whole article is not.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from panelflow.llm import hashstore
 from panelflow.llm.common import slices, small_batches
 from panelflow.session import staging_path
 
-IMPORTANCE = 0.2                 # branches below it go
+IMPORTANCE = 0.2                 # branches below it go; inside MAIN, below this part of the marked element's own
 DECAY = 0.9                      # weight of content against presentation
 LEAST_PAGES = 5                  # a tree of fewer pages tells nothing
 SHARD_KEYS = 1 << 20
@@ -57,13 +60,14 @@ class Page(HTMLParser):
     """Blocks of one page: text, the elements above it, and whether noise or main text surrounds it.
 
     elements: (key of the path, hash of what the path's last part looks like, number of the parent).
+    blocks: (text, element, noise, the outermost main element or -1).
     """
 
     def __init__(self, host: str, html: str):
         super().__init__(convert_charrefs=True)
         self.elements: list[tuple[int, int, int]] = []
-        self.blocks: list[tuple[str, int, bool, bool]] = []
-        self.stack: list[tuple[str, int, bool, bool]] = [("", -1, False, False)]
+        self.blocks: list[tuple[str, int, bool, int]] = []
+        self.stack: list[tuple[str, int, bool, int]] = [("", -1, False, -1)]
         self.root, self.parts = xxhash.xxh64_intdigest(host.encode(), 1), []
         self.feed(html)
         self.close()
@@ -91,12 +95,13 @@ class Page(HTMLParser):
         names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
         _, parent, noise, main = self.stack[-1]
         noise = noise or tag in NOISE or (bool(names) and tag not in ("html", "body") and not NOISE_NAMES.isdisjoint(_TOKEN.findall(names.lower())))
-        main = main or tag in MAIN
         if tag in BLOCK or tag in NOISE:
             look = xxhash.xxh64_intdigest(f"{tag} {names}".encode(), 2)
             above = self.elements[parent][0] if parent >= 0 else self.root
             self.elements.append((xxhash.xxh64_intdigest(b"%d %d" % (above, look)), look, parent))
             parent = len(self.elements) - 1
+            if main < 0 and tag in MAIN:
+                main = parent
         self.stack.append((tag, parent, noise, main))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -123,18 +128,17 @@ def host_of(url: str | None) -> str:
 
 
 def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(element, kind, value): the style of an element's children (0) or a text under it (1), once per page."""
+    """(element, kind, value): the style of an element's children (0), a text under it (1) or the element alone (2), once per page."""
     for b in slices(batches, "html"):
         seen: dict[tuple[int, int, int], int] = {}
         for url, html in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
             page = Page(host_of(url), html or "")
-            if any(main for *_, main in page.blocks):
-                continue                                    # its main text needs no tree
             looks: dict[int, list[int]] = {}
             for key, look, parent in page.elements:
                 looks.setdefault(parent, []).append(look)
             own = {(page.elements[e][0], 0, xxhash.xxh64_intdigest(np.array(v, np.uint64).tobytes())) for e, v in looks.items() if e >= 0}
             own |= {(page.elements[e][0], 1, xxhash.xxh64_intdigest(t.encode())) for t, e, noise, _ in page.blocks if e >= 0 and not noise}
+            own |= {(key, 2, 0) for key, _, _ in page.elements}
             for row in own:
                 seen[row] = seen.get(row, 0) + 1
         keys = np.array([k for k, _, _ in seen], np.uint64).view(np.int64)
@@ -147,9 +151,12 @@ def importances(pages: DataFrame) -> DataFrame:
     """(element, presentation, content): entropies of the merged trees; null where a kind was never seen."""
     counts = pages.mapInArrow(_observe, "element long, kind int, value long, n long").groupBy("element", "kind", "value").agg(F.sum("n").alias("n"))
     sums = counts.groupBy("element", "kind").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
-    # presentation: -sum p log_m p over styles; content: 1 - mean of log_m(pages that repeat a text)
-    value = F.when(F.col("m") < LEAST_PAGES, F.lit(1.0)).otherwise(1 - F.col("s") / F.col("m") / F.log("m"))
-    return sums.groupBy("element").agg(F.max(F.when(F.col("kind") == 0, value)).alias("presentation"), F.max(F.when(F.col("kind") == 1, value)).alias("content"))
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
+    sums = sums.groupBy("element").agg(of(0, "m").alias("looks"), of(0, "s").alias("s0"), of(1, "m").alias("texts"), of(1, "s").alias("s1"), of(2, "m").alias("pages"))
+    # presentation: -sum p log_m p over styles; content: 1 - mean of log_m(pages that repeat a text), m the pages with the element
+    presentation = F.when(F.col("looks") < LEAST_PAGES, F.lit(1.0)).otherwise(1 - F.col("s0") / F.col("looks") / F.log("looks"))
+    content = F.when(F.col("pages") < LEAST_PAGES, F.lit(1.0)).otherwise(1 - F.col("s1") / F.col("texts") / F.log("pages"))
+    return sums.select("element", presentation.alias("presentation"), F.when(F.col("texts").isNotNull(), content).alias("content"))
 
 
 def _write(uri: str):
@@ -163,10 +170,20 @@ def _write(uri: str):
     return run
 
 
+def _below(page: Page, top: int) -> list[int]:
+    """The elements below ``top``; they come after it, parents first."""
+    inside = {top}
+    for i in range(top + 1, len(page.elements)):
+        if page.elements[i][2] in inside:
+            inside.add(i)
+        elif page.elements[i][2] < top:
+            break
+    return sorted(inside - {top})
+
+
 def _main_text(page: Page, store: hashstore.Store) -> str:
-    if any(main for *_, main in page.blocks):
-        return "\n".join(t for t, _, noise, main in page.blocks if main and not noise)
-    left = [(t, e) for t, e, noise, _ in page.blocks if not noise]
+    marked = any(main >= 0 for *_, main in page.blocks)
+    left = [(t, e) for t, e, noise, main in page.blocks if not noise and (main >= 0 or not marked)]
     if not left or not page.elements:
         return "\n".join(t for t, _ in left)
     keys, back = np.unique(np.array([k for k, _, _ in page.elements], np.uint64), return_inverse=True)
@@ -182,7 +199,13 @@ def _main_text(page: Page, store: hashstore.Store) -> str:
             i = page.elements[i][2]
     content = np.divide(total, weight, out=np.ones(len(back)), where=weight > 0)
     branch = np.where(look >= 0, (1 - DECAY) * look + DECAY * content, content)
-    low = branch < IMPORTANCE
+    least = np.full(len(back), IMPORTANCE)
+    if marked:                                                  # prior: what holds a main element, and the element, stay
+        least[:] = 0
+        for main in {main for *_, main in page.blocks if main >= 0}:
+            inside = _below(page, main)
+            least[inside] = IMPORTANCE * branch[main]
+    low = branch < least
     for i, (_, _, parent) in enumerate(page.elements):          # parents come first
         low[i] |= parent >= 0 and low[parent]
     return "\n".join(t for t, e in left if e < 0 or not low[e])

@@ -290,6 +290,17 @@ def test_html_style_tree_drops_what_a_site_repeats(spark):
     assert got[99].startswith("My site\nAbout us")            # one page tells nothing about its site
 
 
+def test_html_style_tree_decides_inside_articles(spark):
+    page = '<html><body><div>Top of site</div><article><h1>Story {0}</h1><p>News number {1}</p><p class="by">Written by our staff</p></article>'
+    rows = [(i, f"http://one.example/{i}", page.format(i, i * 7)) for i in range(40)]
+    rows += [(100 + i, f"http://two.example/{i}", page.format(1, 2)) for i in range(40)]          # one article on every page
+    rows += [(200 + i, f"http://three.example/{i}", page.format(i // 20, i // 20)) for i in range(40)]     # two articles
+    got = {r.page_id: r.text for r in html.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3\nNews number 21"
+    assert got[103] == "Story 1\nNews number 2\nWritten by our staff"
+    assert got[203].startswith("Story 0\nNews number 0")
+
+
 def test_simhash(docs, known, empty):
     prints = {k: brute.fingerprint(t) for k, t in known.items()}
     roots = brute.components(prints)
