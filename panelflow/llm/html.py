@@ -11,7 +11,8 @@ the pages maps; there every branch of low importance is removed.
 
 Two things are known beforehand: elements that can never be main text (NOISE
 tags and names), and the elements that authors mark as main text (MAIN).
-A page with such an element has its text there and nowhere else. The prior of
+A page with a main, or with articles that hold MAIN_SHARE of its text, has its
+text there and nowhere else; noise counts for neither. The prior of
 the marked element is that it stays; a branch inside it is measured against
 it: what a site repeats in articles that differ is template, what it repeats
 along with the whole article is not.
@@ -44,7 +45,12 @@ NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs sidebar "
     "footer header masthead cookie cookies consent notice notices popup modal newsletter subscribe comment comments disqus "
     "social share sharing related recommended widget login signup search".split())
+# A name's words that say something about a noise word beside it ("has-sidebar"): the name is no noise.
+MODIFIERS = frozenset("has with without no non show hide enable enabled disable disabled".split())
+# Noise by these names may hold articles of its own; other names are no noise around an article.
+BOX_NAMES = frozenset("ad ads advert adverts advertisement sponsor sponsored promo comment comments disqus related recommended".split())
 MAIN = frozenset(["article", "main"])
+MAIN_SHARE = 0.5                 # articles with less of the page's text are teasers or comments
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -56,29 +62,46 @@ _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt
 _TOKEN = re.compile(r"[A-Za-z]+")
 
 
+def noise_words(names: str) -> set[str]:
+    """The noise words of a class, id and role."""
+    found = set()
+    if not NOISE_NAMES.isdisjoint(_TOKEN.findall(names)):
+        for name in names.split():
+            words = set(_TOKEN.findall(name))
+            if MODIFIERS.isdisjoint(words):
+                found |= words & NOISE_NAMES
+    return found
+
+
 class Page(HTMLParser):
     """Blocks of one page: text, the elements above it, and whether noise or main text surrounds it.
 
     elements: (key of the path, hash of what the path's last part looks like, number of the parent).
     blocks: (text, element, noise, the outermost main element or -1).
+    named: elements that are noise by name alone, as [the one around it, may hold articles, is no noise].
+    sure: outermost main elements that are or hold a main tag.
     """
 
     def __init__(self, host: str, html: str):
         super().__init__(convert_charrefs=True)
         self.elements: list[tuple[int, int, int]] = []
         self.blocks: list[tuple[str, int, bool, int]] = []
-        self.stack: list[tuple[str, int, bool, int]] = [("", -1, False, -1)]
+        self.named: list[list] = []
+        self.sure: set[int] = set()
+        self.stack: list[tuple[str, int, bool, int, int]] = [("", -1, False, -1, -1)]
         self.root, self.parts = xxhash.xxh64_intdigest(host.encode(), 1), []
         self.feed(html)
         self.close()
         self.flush()
+        for mark in self.named:                                     # those around it come first
+            mark[2] = mark[2] and (mark[0] < 0 or self.named[mark[0]][2])
+        self.blocks = [(t, e, noise or (mark >= 0 and not self.named[mark][2]), main) for t, e, noise, main, mark in self.blocks]
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         self.parts = []
         if text:
-            _, element, noise, main = self.stack[-1]
-            self.blocks.append((text, element, noise, main))
+            self.blocks.append((text, *self.stack[-1][1:]))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
@@ -93,8 +116,13 @@ class Page(HTMLParser):
         if tag in VOID:
             return
         names = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        _, parent, noise, main = self.stack[-1]
-        noise = noise or tag in NOISE or (bool(names) and tag not in ("html", "body") and not NOISE_NAMES.isdisjoint(_TOKEN.findall(names.lower())))
+        _, parent, noise, main, mark = self.stack[-1]
+        noise = noise or tag in NOISE
+        if tag in MAIN and not noise:
+            self.clear(mark, tag)
+        elif names and not noise and tag not in ("html", "body") and (words := noise_words(names.lower())):
+            self.named.append([mark, not BOX_NAMES.isdisjoint(words), False])
+            mark = len(self.named) - 1
         if tag in BLOCK or tag in NOISE:
             look = xxhash.xxh64_intdigest(f"{tag} {names}".encode(), 2)
             above = self.elements[parent][0] if parent >= 0 else self.root
@@ -102,7 +130,15 @@ class Page(HTMLParser):
             parent = len(self.elements) - 1
             if main < 0 and tag in MAIN:
                 main = parent
-        self.stack.append((tag, parent, noise, main))
+            if tag == "main":
+                self.sure.add(main)
+        self.stack.append((tag, parent, noise, main, mark))
+
+    def clear(self, mark: int, tag: str) -> None:
+        """What surrounds a main, or up to a box of its own an article, is no noise by its name."""
+        while mark >= 0 and (tag == "main" or not self.named[mark][1]):
+            self.named[mark][2] = True
+            mark = self.named[mark][0]
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
@@ -182,8 +218,11 @@ def _below(page: Page, top: int) -> list[int]:
 
 
 def _main_text(page: Page, store: hashstore.Store) -> str:
-    marked = any(main >= 0 for *_, main in page.blocks)
-    left = [(t, e) for t, e, noise, main in page.blocks if not noise and (main >= 0 or not marked)]
+    clean = [(t, e, main) for t, e, noise, main in page.blocks if not noise]
+    mains = {main for *_, main in clean if main >= 0}
+    marked = bool(mains & page.sure) or (
+        bool(mains) and sum(len(t) for t, _, main in clean if main >= 0) >= MAIN_SHARE * sum(len(t) for t, *_ in clean))
+    left = [(t, e) for t, e, main in clean if main >= 0 or not marked]
     if not left or not page.elements:
         return "\n".join(t for t, _ in left)
     keys, back = np.unique(np.array([k for k, _, _ in page.elements], np.uint64), return_inverse=True)
@@ -202,7 +241,7 @@ def _main_text(page: Page, store: hashstore.Store) -> str:
     least = np.full(len(back), IMPORTANCE)
     if marked:                                                  # prior: what holds a main element, and the element, stay
         least[:] = 0
-        for main in {main for *_, main in page.blocks if main >= 0}:
+        for main in mains:
             inside = _below(page, main)
             least[inside] = IMPORTANCE * branch[main]
     low = branch < least

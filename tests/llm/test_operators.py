@@ -301,6 +301,23 @@ def test_html_style_tree_decides_inside_articles(spark):
     assert got[203].startswith("Story 0\nNews number 0")
 
 
+@pytest.mark.parametrize("body, text", [
+    ('<div class="story"><p>The real story is told here</p></div><section id="comments"><article><p>Me too, and at greater length than the story itself</p></article></section>',
+     "The real story is told here"),
+    ('<div class="story"><p>The real story is told here</p></div><article class="card">Teaser</article>', "The real story is told here\nTeaser"),
+    ('<div>Top</div><main class="has-sidebar"><p>Story</p></main>', "Story"),
+    ('<div id="content" class="with-sidebar"><p>Story</p></div>', "Story"),
+    ('<div>Top</div><article class="post share-enabled"><p>Whole story</p></article>', "Whole story"),
+    ('<div class="sidebar layout"><article><p>Story</p></article></div><div class="sidebar">Side</div>', "Story"),
+    ('<div class="widget"><div class="related-posts"><article>Other</article></div></div><article class="comment"><p>Story</p></article>', "Story"),
+    ('<div class="comments"><main><p>Story</p><div class="social">Like</div></main></div>', "Story"),
+    ('<nav class="menu"><article>Card</article></nav><p>Story</p>', "Story")])
+def test_html_names_and_articles_in_noise(spark, body, text):
+    got = html.extract_main_text(spark.createDataFrame([(1, "http://one.example/", f"<html><body class='has-sidebar'>{body}</body></html>")],
+                                                       "page_id long, url string, html string"))
+    assert got.first().text == text
+
+
 def test_simhash(docs, known, empty):
     prints = {k: brute.fingerprint(t) for k, t in known.items()}
     roots = brute.components(prints)
