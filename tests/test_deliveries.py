@@ -291,3 +291,18 @@ def test_log_start_and_blank_ids(spark, tmp_path):
         log_status(spark, str(tmp_path / "log"), " ", 1, "x")
     compact_log(spark, str(tmp_path / "log"))
     assert current_runs(spark, str(tmp_path / "log")).first().log_id == i
+
+
+def test_header_feed_query_loads_every_event(spark, monkeypatch):
+    from panelflow import queries
+    from tests.conftest import SF_SMALL
+    targets = []
+
+    def spy(spark, landing, feed, target, *args, **more):
+        targets.append(target)
+        return ingest_new_files(spark, landing, feed, target, *args, **more)
+    monkeypatch.setattr(queries, "ingest_new_files", spy)
+    queries.q_ingest_header_files(spark, SF_SMALL)
+    got = spark.read.parquet(targets[0]).select("ref_date", "event_id", "event_type")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").selectExpr("CAST(ts AS DATE)", "event_id", "event_type")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, events.collect()))
