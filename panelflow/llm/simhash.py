@@ -52,7 +52,8 @@ def _fingerprints(n: int):
                 ones = np.add.reduceat(bits, cut, axis=0, dtype=np.int32)
                 major = (2 * ones > shingles[some][:, None]).astype(np.uint8)
                 out[some] = np.packbits(major, axis=1, bitorder="little").view(np.uint64).ravel()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            more = [c for c in b.schema.names if c not in ("doc_id", "text")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out.view(np.int64)), *map(b.column, more)], ["doc_id", "fp", *more])
     return run
 
 
@@ -91,32 +92,41 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gives no rows.
     """
     prints = fingerprints(docs, id_col, text_col, shingle).checkpoint()
+    # written, so that the join below reads two plain exchanges and AQE can split a fingerprint with many copies
+    named = _named(prints, distance).select("fp", "component_id").checkpoint()
+    return prints.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(prints: DataFrame, distance: int) -> DataFrame:
+    """(fp, component_id, root) for every fingerprint; only the root tells apart components that share an id."""
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
     roots = connected_components(links(least.select("fp"), distance))
     grouped = least.join(roots, least["fp"] == roots["node"]).select("fp", "first", "root")
     lowest = grouped.groupBy("root").agg(F.min("first").alias("low"))
-    moved = grouped.join(lowest, "root").select("fp", "low")
-    # written, so that the join below reads two plain exchanges and AQE can split a fingerprint with many copies
-    named = least.join(moved, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")).checkpoint()
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    moved = grouped.join(lowest, "root").select("fp", "low", "root")
+    return least.join(moved, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id"), F.coalesce("root", "fp").alias("root"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one document of each component: the one whose id names it.
 
-    All columns are kept, whatever their names. Of rows that repeat that id
-    one stays (the one whose text sorts first); rows with a null id stay,
-    as nothing tells them apart from documents still to be numbered.
+    All columns are kept, whatever their names. Rows that repeat an id are
+    told apart by the hash of their text; of those in one component that have
+    its id one stays (the one whose text sorts first). Rows with a null id
+    stay, as nothing tells them apart from documents still to be numbered.
     """
-    groups = simhash_components(docs, id_col, text_col, shingle, distance)
-    key = fresh("keep_id", docs.columns)
-    chosen = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(fresh("copies", docs.columns + [key])))
-    copies = chosen.columns[1]
-    kept = docs.join(chosen, docs[id_col].cast("long") == chosen[key], "inner")
-    single = kept.where(F.col(copies) == 1).drop(key, copies)
-    again = kept.where(F.col(copies) > 1)
-    order = fresh("nth", again.columns)
-    once = again.withColumn(order, F.row_number().over(Window.partitionBy(key).orderBy(F.col(text_col)))).where(F.col(order) == 1).drop(order, key, copies)
+    small_batches(docs.sparkSession)
+    prints = (id_and_text(docs, id_col, text_col).withColumn("same", F.xxhash64("text"))
+              .mapInArrow(_fingerprints(shingle), "doc_id long, fp long, same long").checkpoint())
+    named = _named(prints, distance).checkpoint()
+    key, text_key, root, copies, order = (fresh(c, docs.columns) for c in ("keep_id", "keep_text", "keep_root", "keep_copies", "keep_nth"))
+    chosen = (prints.join(named, "fp").where("doc_id = component_id")
+              .withColumn("copies", F.count("*").over(Window.partitionBy("doc_id")))
+              .groupBy(F.col("doc_id").alias(key), F.col("same").alias(text_key)).agg(F.min("root").alias(root), F.max("copies").alias(copies)))
+    kept = docs.join(chosen, (docs[id_col].cast("long") == chosen[key]) & (F.xxhash64(docs[text_col]) == chosen[text_key]), "inner")
+    single = kept.where(F.col(copies) == 1).drop(key, text_key, root, copies)
+    once = (kept.where(F.col(copies) > 1).withColumn(order, F.row_number().over(Window.partitionBy(root).orderBy(F.col(text_col))))
+            .where(F.col(order) == 1).drop(order, key, text_key, root, copies))
     return single.unionByName(once).unionByName(docs.where(docs[id_col].isNull()))

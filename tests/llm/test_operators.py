@@ -333,6 +333,17 @@ def test_simhash(docs, known, empty):
     assert simhash.simhash_components(empty).count() == 0 and simhash.keep_one_of_each(empty).count() == 0
 
 
+def test_simhash_judges_rows_of_one_id_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (1, a), (2, c), (3, c), (3, b + " z"), (4, c), (5, None), (5, a)]
+    prints = [brute.fingerprint(t) for _, t in rows]
+    near = {i for i in range(len(rows)) if any((prints[i] ^ prints[j]).bit_count() <= 2 for j in (0, 1, 3))}
+    assert {0, 1, 2, 3, 4, 6, 8} <= near and 7 not in near
+    kept = sorted(map(tuple, simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    expected = [(1, a), (1, b), (2, c), (5, None)] + ([] if 5 in near else [rows[5]])
+    assert kept == sorted(expected, key=str)
+
+
 @pytest.mark.parametrize("distance", [0, 1, 2])
 def test_simhash_links_and_components(spark, distance):
     rng = random.Random(distance)
