@@ -168,3 +168,39 @@ def area(score, label):
     score, label = np.array(score), np.array(label)
     a, b = score[label == 1], score[label == 0]
     return float((a[:, None] > b[None]).mean() + 0.5 * (a[:, None] == b[None]).mean())
+
+
+def alignment(texts, a_of, b_of, a_bytes, b_bytes):
+    """[text] -> [(n_a, n_b, n_groups, n_links, n_best, count_sum, groups)], token by token."""
+    from collections import Counter
+    rows, count = [], Counter()
+    for t in texts:
+        whole = (" " + (t or "")).encode()
+        a, b = (a_of(" " + t), b_of(t)) if t else ([], [])
+        if not t or b"".join(a_bytes[x] for x in a) != whole or b"".join(b_bytes[x] for x in b) != whole:
+            rows.append(([], [], []))
+            continue
+        ends = []
+        for ids, size in ((a, a_bytes), (b, b_bytes)):
+            at, own = 0, []
+            for x in ids:
+                at += len(size[x])
+                own.append(at)
+            ends.append(own)
+        both = sorted(set(ends[0]) & set(ends[1]))
+        groups, start = [], 0
+        for end in both:
+            groups.append(([x for x, e in zip(a, ends[0]) if start < e <= end], [x for x, e in zip(b, ends[1]) if start < e <= end]))
+            start = end
+        links = [(x, y) for x, e in zip(a, ends[0]) for y, f in zip(b, ends[1]) if e == f] if len(a) < 300 else [(g[-1], h[-1]) for g, h in groups]
+        count.update(links)
+        rows.append((a, b, groups, links))
+    most = Counter()
+    for (x, y), n in count.items():
+        most[y] = max(most[y], n)
+    out = []
+    for r in rows:
+        a, b, groups, links = (*r, [])[:4] if len(r) == 3 else r
+        out.append((len(a), len(b), len(groups), len(links), sum(count[p] == most[p[1]] for p in links), sum(count[p] for p in links),
+                    ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)))
+    return out

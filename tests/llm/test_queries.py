@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_entry_lists_them():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert sum(n.startswith("op") for n in QUERIES) == 10 and "pipeline" in QUERIES
+    assert sum(n.startswith("op") for n in QUERIES) == 13 and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", ["op1_line_dedup", "op5_quality", "op6_pii"])
