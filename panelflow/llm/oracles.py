@@ -86,9 +86,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM c"""
 
 
+_TERMS = (r"list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")
+
+SEARCH = rf"""
+WITH d AS (SELECT doc_id, {_TERMS.replace("list_distinct(", "(", 1)} AS words FROM documents),
+lengths AS (SELECT doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+items AS (SELECT item_id, unnest({_TERMS}) AS w FROM benchmark),
+postings AS (
+  SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS w FROM d) WHERE w IN (SELECT w FROM items) GROUP BY doc_id, w),
+weights AS (SELECT w, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, corpus GROUP BY w, docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM items JOIN postings USING (w) JOIN weights USING (w) JOIN lengths USING (doc_id), corpus GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op4_decontaminate": DECONTAMINATE,
     "op5_quality": quality(),
+    "op12_search": SEARCH,
 }

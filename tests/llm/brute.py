@@ -1,5 +1,6 @@
 """Plain definitions of the operators, for small inputs."""
 
+import bisect
 import hashlib
 import re
 from collections import Counter, defaultdict
@@ -188,11 +189,11 @@ def alignment(texts, a_of, b_of, a_bytes, b_bytes):
                 own.append(at)
             ends.append(own)
         both = sorted(set(ends[0]) & set(ends[1]))
-        groups, start = [], 0
-        for end in both:
-            groups.append(([x for x, e in zip(a, ends[0]) if start < e <= end], [x for x, e in zip(b, ends[1]) if start < e <= end]))
-            start = end
-        links = [(x, y) for x, e in zip(a, ends[0]) for y, f in zip(b, ends[1]) if e == f] if len(a) < 300 else [(g[-1], h[-1]) for g, h in groups]
+        groups = [([], []) for _ in both]
+        for side, ids in enumerate((a, b)):
+            for x, e in zip(ids, ends[side]):
+                groups[bisect.bisect_left(both, e)][side].append(x)
+        links = [(x, y) for x, e in zip(a, ends[0]) for y, f in zip(b, ends[1]) if e == f] if len(a) < 60 else [(g[-1], h[-1]) for g, h in groups]
         count.update(links)
         rows.append((a, b, groups, links))
     most = Counter()
@@ -204,3 +205,25 @@ def alignment(texts, a_of, b_of, a_bytes, b_bytes):
         out.append((len(a), len(b), len(groups), len(links), sum(count[p] == most[p[1]] for p in links), sum(count[p] for p in links),
                     ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)))
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(docs, items, best=10):
+    """docs [(id, text)], items [(id, text)] -> [(item, rank, id, score)], every document for every item."""
+    import math
+    bags = [(k, Counter(w.translate(LOWER) for w in TERM.findall(t or ""))) for k, t in docs]
+    bags = [(k, b) for k, b in bags if b]
+    n_docs, n_terms, df = len(bags), sum(sum(b.values()) for _, b in bags), Counter(w for _, b in bags for w in b)
+    out = []
+    for item, text in items:
+        scored = []
+        for k, b in bags:
+            m = 100 - 90 + (90 * sum(b.values()) * n_docs) // n_terms
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * ((1000000000 * b[w]) // (1000 * b[w] + 8 * m))
+                    for w in {w.translate(LOWER) for w in TERM.findall(text or "")} if b[w])
+            if s > 0:
+                scored.append((-s, k is None, k))
+        out += [(item, r + 1, k, -s) for r, (s, _, k) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:best])]
+    return out

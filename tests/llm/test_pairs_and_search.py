@@ -10,7 +10,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelflow.llm import align
+from panelflow.llm import align, search
 from panelflow.llm import queries as llm_queries
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -78,3 +78,32 @@ def test_alignment_query(spark):
     for d, e in zip(docs, expected):
         r = got[d.doc_id]
         assert (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) == (*e[:6], brute.sha(e[6]) if e[6] else "")
+
+
+def _ranked(spark, rows, items, **more):
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string").repartition(3)
+    asked = spark.createDataFrame([(*r, "x") for r in items], "item_id string, text string, rank string")
+    return sorted((tuple(r) for r in search.search(search.build(docs), asked, **more).collect()), key=str)
+
+
+@pytest.mark.parametrize("slice_terms, item_bytes", [(100_000, 1 << 20), (60, 200)])
+def test_search(spark, texts, monkeypatch, slice_terms, item_bytes):
+    monkeypatch.setattr(search, "SLICE_TERMS", slice_terms)
+    monkeypatch.setattr(search, "ITEM_BYTES", item_bytes)
+    rows = [(k, t) for k, t in enumerate([*texts, *AWKWARD, "Étage ÉTAGE w1 W1 w1"])] + [(None, "w1 w2"), (None, None), (3, "w5 w5"), (3, "w6")]
+    items = [("a", "w1 w2 w3"), ("b", texts[9]), ("c", None), ("d", " ?! "), ("e", "nowhere"), ("f", "W5 the THE of"), ("f", "w6"), (None, "w7-w8_w9"), ("g", texts[-1])]
+    assert _ranked(spark, rows, items) == sorted(brute.ranked(rows, items), key=str)
+    assert _ranked(spark, rows, items, best=3) == sorted(brute.ranked(rows, items, 3), key=str)
+
+
+def test_search_orders_ties_and_one_hot_length(spark, monkeypatch):
+    monkeypatch.setattr(search, "SLICE_TERMS", 500)
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(4))) for k in rng.sample(range(1000), 300)]
+    items = [(str(k), " ".join(rng.sample("abcdefghi", 3))) for k in range(12)]
+    assert _ranked(spark, rows, items) == sorted(brute.ranked(rows, items), key=str)
+
+
+def test_search_of_empty_tables(spark, empty):
+    items = spark.createDataFrame([("a", "w1")], "item_id string, text string")
+    assert search.report(empty, items).count() == 0 and search.report(empty.sparkSession.createDataFrame([(1, "w1")], "doc_id long, text string"), items.where("1 = 0")).count() == 0
