@@ -104,10 +104,33 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
 
 
+# distinct n-grams, all pairs that share one, and the smallest id reachable by repeated steps
+NGRAM_JOIN = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 3], ' ') for i in range(1, len(words) - 2)]) END AS grams FROM d),
+classes AS (SELECT list_sort(grams) AS grams, min(doc_id) AS c, len(any_value(grams)) AS n FROM sets WHERE len(grams) > 0 GROUP BY list_sort(grams)),
+tokens AS (SELECT c, n, unnest(grams) AS g FROM classes),
+counts AS (SELECT g, count(*) AS df FROM tokens GROUP BY g HAVING count(*) > 1),
+ranked AS (SELECT c, n, g, row_number() OVER (PARTITION BY c ORDER BY coalesce(df, 1), g) AS r, df FROM tokens LEFT JOIN counts USING (g)),
+prefix AS (SELECT * FROM ranked WHERE r <= n - (85 * n + 99) // 100 + 1 AND df > 1),
+pairs AS (SELECT DISTINCT x.c AS a, y.c AS b FROM prefix x JOIN prefix y ON x.g = y.g AND x.c < y.c AND 100 * x.n >= 85 * y.n AND 100 * y.n >= 85 * x.n),
+links AS (
+  SELECT a, b FROM pairs JOIN classes x ON x.c = a JOIN classes y ON y.c = b
+  WHERE 185 * len(list_intersect(x.grams, y.grams)) >= 85 * (x.n + y.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a AS c, a AS root FROM both_ways UNION SELECT b.b, r.root FROM reach r JOIN both_ways b ON b.a = r.c),
+roots AS (SELECT c, min(root) AS root FROM reach GROUP BY c)
+SELECT doc_id, len(s.grams) AS n_shingles, coalesce(root, c, doc_id) AS component_id
+FROM sets s LEFT JOIN classes k ON k.grams = list_sort(s.grams) AND len(s.grams) > 0 LEFT JOIN roots USING (c)"""
+
+
 ORACLE_SQL = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op4_decontaminate": DECONTAMINATE,
     "op5_quality": quality(),
+    "op11_ngram_join": NGRAM_JOIN,
     "op12_search": SEARCH,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelflow.llm import align, bpe, decontaminate, html, lines, lm, pii, quality, search, simhash, substring, toxicity
+from panelflow.llm import align, bpe, decontaminate, html, lines, lm, ngrams, pii, quality, search, simhash, substring, toxicity
 from panelflow.llm.common import table
 from panelflow.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -64,6 +64,11 @@ def op10_simhash(spark, d):
     return simhash.simhash_components(table(spark, d, "documents"))
 
 
+@query
+def op11_ngram_join(spark, d):
+    return ngrams.report(table(spark, d, "documents"))
+
+
 @query
 def op12_search(spark, d):
     return search.report(table(spark, d, "documents"), table(spark, d, "benchmark"))

@@ -227,3 +227,32 @@ def ranked(docs, items, best=10):
                 scored.append((-s, k is None, k))
         out += [(item, r + 1, k, -s) for r, (s, _, k) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:best])]
     return out
+
+
+def ngram_sets(texts, size=4):
+    out = []
+    for t in texts:
+        w = [x.translate(LOWER) for x in words(t)]
+        out.append({tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    return out
+
+
+def ngram_components(rows, num=85, den=100, size=4):
+    """[(doc_id or None, text)] -> [(doc_id, n, component)], all pairs compared."""
+    sets = ngram_sets([t for _, t in rows], size)
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if x and sets[j] and den * len(x & sets[j]) >= num * len(x | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            least[find(i)] = min(k, least.get(find(i), k))
+    return [(k, len(s), least.get(find(i)) if s else k) for i, ((k, _), s) in enumerate(zip(rows, sets))]

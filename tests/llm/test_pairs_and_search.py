@@ -1,6 +1,7 @@
 """Alignment, n-gram join and ranked search against their plain definitions."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelflow.llm import align, search
+from panelflow.llm import align, ngrams, search
 from panelflow.llm import queries as llm_queries
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -107,3 +108,56 @@ def test_search_orders_ties_and_one_hot_length(spark, monkeypatch):
 def test_search_of_empty_tables(spark, empty):
     items = spark.createDataFrame([("a", "w1")], "item_id string, text string")
     assert search.report(empty, items).count() == 0 and search.report(empty.sparkSession.createDataFrame([(1, "w1")], "doc_id long, text string"), items.where("1 = 0")).count() == 0
+
+
+def _joined(spark, rows, **more):
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, key string, n string").repartition(3)
+    return sorted((tuple(r) for r in ngrams.report(df, **more).collect()), key=str)
+
+
+def _near_copies(seed):
+    """Chains and clusters of near copies, short texts, shared passages, rows that repeat an id or have none."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(60)}"
+    passage = [word() for _ in range(30)]
+    rows = [(None, None), (None, "A b C d"), (7, "a B c d"), (7, "other text of five words"), (8, " "), (9, ""), (10, "a b"), (11, "A B"), (12, "a b c")]
+    k = 100
+    for _ in range(8):
+        base = [word() for _ in range(rng.choice([7, 9, 12, 60, 90]))]
+        for _ in range(rng.choice([2, 5, 14])):
+            if rng.random() < 0.5:                       # drifts away from the first
+                base = list(base)
+            w = base if rng.random() < 0.5 else list(base)
+            for _ in range(rng.randint(0, 2)):
+                w[rng.randrange(len(w))] = f"new{rng.randrange(400)}"
+            if rng.random() < 0.2:
+                w = w + passage
+            rows.append((k, " ".join(w)))
+            k += rng.choice([0, 1, 1, 1])
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join(spark, seed):
+    rows = _near_copies(seed)
+    assert _joined(spark, rows) == sorted(brute.ngram_components(rows), key=str)
+
+
+def test_ngram_join_at_another_size_and_similarity(spark):
+    rows = _near_copies(5)
+    assert _joined(spark, rows, size=2, similarity=Fraction(1, 2)) == sorted(brute.ngram_components(rows, 1, 2, 2), key=str)
+
+
+def test_ngram_join_of_awkward_texts(spark, texts, empty):
+    rows = [(k, t) for k, t in enumerate([*texts, *AWKWARD])]
+    assert _joined(spark, rows) == sorted(brute.ngram_components(rows), key=str)
+    assert ngrams.report(empty).count() == 0
+
+
+def test_fragments_divide_the_order():
+    ranks = np.random.default_rng(1).integers(0, 9, 1 << 12).astype(np.uint8)
+    cuts = ngrams._cuts(ranks, 16)
+    h = np.random.default_rng(2).integers(0, 1 << 63, 100_000, dtype=np.uint64) * np.uint64(2)
+    sizes = np.bincount(np.searchsorted(cuts, ngrams._ordered(h, ranks), "right"), minlength=16)
+    assert (np.diff(cuts.astype(np.float64)) > 0).all() and sizes.min() > 4000
