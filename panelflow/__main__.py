@@ -96,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--archive-dir")
     i.add_argument("--mode", default="append", choices=["append", "replace_files"])
+    i.add_argument("--log", help="run log (sinks.runlog) to open and close the run in")
+    i.add_argument("--task-id", type=int, default=0, help="the run's task in --log")
 
     a = p.parse_args(argv)
     from panelflow.plans.outcome import RunLog
@@ -143,16 +145,9 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.cmd == "ingest":
         from panelflow.streaming.ingest import ingest_new_files
-        from panelflow.sinks.paths import exists
-
-        def rows() -> int:   # counted in the target: a query's progress keeps its last batches only
-            return spark.read.parquet(a.target).count() if exists(spark, a.target) else 0
-        before = rows()
-        ingest_new_files(spark, a.landing, a.feed, a.target, a.checkpoint,
-                         archive_dir=a.archive_dir, mode=a.mode)
-        n = rows() - before
-        print(json.dumps({"feed": a.feed, "status": "OK", "rows": n}))
-        return 0
+        res = ingest_new_files(spark, a.landing, a.feed, a.target, a.checkpoint, archive_dir=a.archive_dir, mode=a.mode,
+                               log=RunLog(a.log, a.task_id) if a.log else None)
+        return _emit(a.feed, res.outcome.first())
     return 2
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from panelflow.functions.dates import day_from_path
+from panelflow.schemas import Feed
 from panelflow.sources.usage import FILE_COL
 
 # Python's str.strip() whitespace: Unicode White_Space plus the four
@@ -35,6 +38,50 @@ def raw_count(lines: DataFrame, day_format: str = "yyyy-MM-dd", ref_col: str = "
             .agg(F.count(F.lit(1)).alias(name)))
 
 
+_DAY_ZERO = _dt.date(1970, 1, 1)
+
+
+class DayCounts:
+    """A1 and A2 taken in the pass that loads the rows, without a scan of their own.
+
+    Each is one mergeable aggregate observed on the load's plan: a histogram
+    of day numbers. ``histogram_numeric`` is exact as long as it has a bin
+    for each different value, and the days of a load are known before it
+    runs; a day that two tasks both have may come twice, and is summed.
+    The counts are there after the action on the observed frame has ended.
+    """
+
+    def __init__(self, days: int):
+        self.bins = 2 * days + 64      # room for bins that come twice, so that few merges are needed
+        self._raw, self._parsed = Observation(), Observation()
+
+    def _histogram(self, day: Column, counted: Column | None = None) -> Column:
+        n = F.unix_date(day).cast("double")     # merged bins are averages, a hair beside the whole number
+        return F.histogram_numeric(F.when(counted, n) if counted is not None else n, F.lit(self.bins)).alias("days")
+
+    def raw(self, lines: DataFrame, f: Feed, col: str = "value") -> DataFrame:
+        """``lines``, their non-blank ones counted by the day in the file's path."""
+        return lines.observe(self._raw, self._histogram(day_from_path(F.col(FILE_COL), f.file_day_format), ~is_blank(F.col(col))))
+
+    def parsed(self, df: DataFrame, ref_col: str) -> DataFrame:
+        """``df``, its rows counted by reference date."""
+        return df.observe(self._parsed, self._histogram(F.col(ref_col)))
+
+    @staticmethod
+    def _by_day(seen: Observation) -> dict[_dt.date, int]:
+        out: dict[_dt.date, int] = {}
+        for b in seen.get["days"] or ():
+            d = _DAY_ZERO + _dt.timedelta(days=round(b["x"]))
+            out[d] = out.get(d, 0) + round(b["y"])
+        return out
+
+    def raw_days(self) -> dict[_dt.date, int]:
+        return self._by_day(self._raw)
+
+    def parsed_days(self) -> dict[_dt.date, int]:
+        return self._by_day(self._parsed)
+
+
 def reconcile(parsed: DataFrame, raw: DataFrame, ref_col: str = "ref_date") -> DataFrame:
     """Per date, parsed rows beside raw lines, and whether they agree.
 

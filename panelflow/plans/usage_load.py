@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from urllib.parse import unquote
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from panelflow.functions.columns import add_import_date, place_columns
 from panelflow.functions.dates import day_from_path, parse_path_day
 from panelflow.operators.gates import mark_only, run_outcome
-from panelflow.operators.reconcile import parsed_count, raw_count
+from panelflow.operators.reconcile import DayCounts
 from panelflow.plans.outcome import RunLog, logged
 from panelflow.schemas import Feed, feed as _feed
 from panelflow.session import staging_path
@@ -103,19 +103,16 @@ def deliveries(spark: SparkSession, landing: str, f: Feed, expected: dict[_dt.da
     key = F.regexp_extract("path", "([^/]*)$", 1) if match == "name" else day_from_path(F.col("path"), f.file_day_format)
     if below:
         rel = rel.filter(~path_key(F.col("path")).startswith(below))
-    rows = Counter(r.k for r in rel.select(key.alias("k")).collect())
+    rows = {r.k: r["count"] for r in rel.groupBy(key.alias("k")).count().collect()}      # one row a day
     short = [d for d, files in found.items() if rows.get(expected[d] if match == "name" else d, 0) < len(files)]
     if short:
         keys = [expected[d] for d in short] if match == "name" else short
         full = {norm(r.path) for r in rel.filter(key.isin(keys)).select("path").toLocalIterator()}
         for d in short:
             found[d] = {p: norm(p) not in full for p in found[d]}
-    tiny = rel.filter((F.col("length") <= 4) & mark_only(F.col("content"), f.encoding)).select("path")
-    for r in tiny.collect():
-        for files in found.values():
-            for p in files:
-                if norm(p) == norm(r.path):
-                    files[p] = True
+    tiny = {norm(r.path) for r in rel.filter((F.col("length") <= 4) & mark_only(F.col("content"), f.encoding)).select("path").toLocalIterator()}
+    for files in found.values() if tiny else ():
+        files.update((p, True) for p in files if norm(p) in tiny)
     return dict(found)
 
 
@@ -147,8 +144,12 @@ def conform(spark: SparkSession, df: DataFrame, target: str | None, cols: list[s
     return out
 
 
-def _read(spark: SparkSession, paths: list[str], f: Feed, target: str | None) -> tuple[DataFrame, DataFrame]:
-    """The files' typed rows, with their reference date, and their raw lines or records."""
+def _read(spark: SparkSession, paths: list[str], f: Feed, target: str | None, counts: DayCounts, check_raw: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The files' typed rows with their reference date, counted as they pass; the records of a header feed, to be counted beside them.
+
+    The lines of a headerless feed are counted and parsed in one read.
+    """
+    records = None
     if f.header:
         if f.schema is not None:
             df = read_header_file(spark, paths, f.sep, schema=f.schema, encoding=f.encoding, file_col=FILE_COL)
@@ -157,29 +158,18 @@ def _read(spark: SparkSession, paths: list[str], f: Feed, target: str | None) ->
             df = conform(spark, df, target, [c for c in df.columns if c not in (FILE_COL, f.ref_col, f.import_col)])
             df = df.drop(f.ref_col, f.import_col)
         df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
-        return df, header_records(spark, paths, f.sep, f.encoding)
-    lines = raw_lines(spark, paths, f)
-    if f.is_utf16:
-        return with_ref_date(typed_lines(lines, f), f), lines
-    return read_usage(spark, paths, f), lines
+        records = header_records(spark, paths, f.sep, f.encoding)
+    elif check_raw:
+        df = with_ref_date(typed_lines(counts.raw(raw_lines(spark, paths, f), f), f), f)
+    else:
+        df = read_usage(spark, paths, f)
+    return counts.parsed(df, f.ref_col), records
 
 
 def _counts(df: DataFrame, col: str, name: str) -> dict[_dt.date, int]:
     return {r[col]: r[name] for r in df.collect() if r[col] is not None}
 
 
-def _loaded(spark: SparkSession, target: str, ref_col: str, days: list[_dt.date], schema) -> dict[_dt.date, int]:
-    """Rows of the loaded days in a table partitioned by day; no other day's folder is opened."""
-    try:
-        folders = f"{literal(target.rstrip('/'))}/{ref_col}={{{','.join(map(str, days))}}}"
-        df = spark.read.schema(schema).option("basePath", target).parquet(folders)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return _counts(parsed_count(df.withColumn(ref_col, F.col(ref_col).cast("date")), ref_col), ref_col, "count_df")
-
-
 def _usage_load(spark: SparkSession, landing: str, f: Feed, days, target, mode, jdbc, import_day, today,
                 match, glob, layout, check_raw, archive_dir) -> LoadResult:
     today = today or run_day()
@@ -200,25 +190,24 @@ def _usage_load(spark: SparkSession, landing: str, f: Feed, days, target, mode,
     where = files
     if match == "day" and layout and not glob and all(not any(found[d].values()) for d in plan):
         where = sorted({f"{landing.rstrip('/')}/{layout.replace('{day}', _format_day(d, f.file_day_format))}" for d in plan})
-    df, lines = _read(spark, where, f, target if jdbc is None else None)
+    counts = DayCounts(len(expected))
+    df, records = _read(spark, where, f, target if jdbc is None else None, counts, check_raw)
     df = place_columns(add_import_date(df.drop(FILE_COL), f.import_col, today=import_day or today), [f.ref_col, f.import_col], 0)
     if jdbc is not None:
         append_table(df, jdbc=jdbc)
-        parsed = _counts(parsed_count(df, f.ref_col), f.ref_col, "count_df")
     elif mode == "replace":
         load_dates(df, target, f.ref_col, days=plan)
-        parsed = _loaded(spark, target, f.ref_col, plan, df.schema)
     elif mode == "append":
         append_table(df, target, partition_by=[f.ref_col])
-        parsed = _counts(parsed_count(df, f.ref_col), f.ref_col, "count_df")
     else:
         raise ValueError(f"unknown mode {mode!r}")
+    parsed = counts.parsed_days()
     if check_raw:
         if f.header:   # every delivered file starts with one header line
-            n = lines.groupBy(day_from_path(F.col(FILE_COL), f.file_day_format).alias("d")).agg(F.count("*").alias("n"))
+            n = records.groupBy(day_from_path(F.col(FILE_COL), f.file_day_format).alias("d")).agg(F.count("*").alias("n"))
             raw = {d: k - sum(not none for none in found[d].values()) for d, k in _counts(n, "d", "n").items()}
         else:
-            raw = _counts(raw_count(lines, f.file_day_format, "d"), "d", "count_raw")
+            raw = counts.raw_days()
         recon = [(d, parsed.get(d, 0), raw.get(d, 0), parsed.get(d, 0) == raw.get(d, 0)) for d in sorted({*parsed, *raw, *plan})]
     else:
         recon = [(d, parsed.get(d, 0), None, None) for d in plan]
@@ -238,9 +227,10 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
     feed's ``policy`` decides what an empty file does (Q3). A missing
     delivery ends the run as ``ERROR`` without loading anything, as in the
     reference; so does any exception, with its text. ``match``, ``glob`` and
-    ``layout``: see :func:`deliveries`. ``check_raw=False`` skips the
-    independent raw line scan (a second pass over every input byte, the
-    reference's check); ``count_raw`` and ``matched`` are then NULL. With
+    ``layout``: see :func:`deliveries`. Rows and raw lines are counted per
+    day in the pass that loads them; a header feed's records by a pass of
+    their own. With ``check_raw=False`` lines and records are not counted;
+    ``count_raw`` and ``matched`` are then NULL. With
     ``archive_dir`` the request's delivered files (loaded or empty) are
     moved there after a run that did not fail, below the folders they lay
     in. ``today`` is the run's day (UTC), for default days and for the

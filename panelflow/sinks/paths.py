@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as the files below it are listed."""
+    fs, p = _fs(spark, path)
+    return re.sub("^file:/+", "file:/", fs.makeQualified(p).toString())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

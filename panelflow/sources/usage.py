@@ -124,14 +124,3 @@ def read_usage(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str
         df = (spark.read.schema(f.schema).options(**reader_options(f)).option("recursiveFileLookup", "true")
               .csv([literal(p) for p in _paths(paths)]).select("*", F.col("_metadata.file_path").alias(FILE_COL)))
     return with_ref_date(df, f) if ref_from_path else df
-
-
-def stream_usage(spark: SparkSession, landing: str, feed: Feed | str, options: dict) -> DataFrame:
-    """The same rows from a stream of new files (UTF-16 little-endian)."""
-    f = _feed(feed)
-    r = spark.readStream.option("recursiveFileLookup", "true").options(**options)
-    if f.is_utf16:
-        df = typed_lines(utf16_lines(r.schema("value string").options(**_line_options("UTF-16LE")).csv(landing)), f)
-    else:
-        df = r.schema(f.schema).options(**reader_options(f)).csv(landing).select("*", F.col("_metadata.file_path").alias(FILE_COL))
-    return with_ref_date(df, f)

@@ -206,8 +206,93 @@ def test_ingest_of_a_header_feed(spark, tmp_path):
     ingest_new_files(spark, str(land), COMPLIANCE, t, ck, mode="replace_files")
     assert _rows(spark, t, "id", "grp") == [("1", "2"), ("ten", "20")]
     assert os.listdir(tmp_path / "arch") == ["compliance_2024_01_01.csv"]
-    with pytest.raises(ValueError):
+    t, ck = str(tmp_path / "t2"), str(tmp_path / "ck2")
+    for text in ("grp,id\n20,ten\n", "id,grp\n3,4\n"):                # every version is added
+        _write(land / "compliance_2024_01_02.csv", text)
         ingest_new_files(spark, str(land), COMPLIANCE, t, ck)
+    assert _rows(spark, t, "id", "grp") == [("3", "4"), ("ten", "20")]
+    with pytest.raises(ValueError):
+        ingest_new_files(spark, str(land), COMPLIANCE, t, ck, mode="replace")
+
+
+def _ingested(spark, land, t, ck, **more):
+    r = ingest_new_files(spark, str(land), S, str(t), str(ck), mode="replace_files", **more)
+    return r.outcome.first(), _rows(spark, str(t), "a", "source_file")
+
+
+def test_ingest_tells_files_of_one_name_in_two_folders_apart(spark, tmp_path):
+    land = tmp_path / "a plus+b" / "land"
+    for folder, text in (("a", "x\t1\ny\t2\n"), ("b c+%25", "z\t3\n")):
+        _write(land / folder / "s_2024-01-05.txt", text)
+    out, rows = _ingested(spark, land, tmp_path / "t", tmp_path / "ck", max_files_per_trigger=1)
+    assert rows == [("x", "a/s_2024-01-05.txt"), ("y", "a/s_2024-01-05.txt"), ("z", "b c+%25/s_2024-01-05.txt")]
+    assert (out.status, out.loaded_dates, out.n_rows, out.all_matched) == ("OK", "2024-01-05", 3, True)
+
+
+def test_ingest_replaces_versions_and_clears_those_without_rows(spark, tmp_path):
+    land, t, ck = tmp_path / "land", tmp_path / "t", tmp_path / "ck"
+    for n, text in (("s_2024-01-01.txt", "x\t1\n"), ("p/s_2024-01-01.txt", "other\t2\n"), ("s_2024-01-02.txt", "z\t3\n")):
+        _write(land / n, text)
+    _ingested(spark, land, t, ck)
+    _write(land / "s_2024-01-01.txt", "x2\t10\nx3\t11\n")             # again, with other rows
+    _write(land / "s_2024-01-02.txt", "")                               # again, without any
+    _write(land / "s_2024-01-03.txt", "late\t4\n")
+    out, rows = _ingested(spark, land, t, ck)
+    assert rows == [("late", "s_2024-01-03.txt"), ("other", "p/s_2024-01-01.txt"), ("x2", "s_2024-01-01.txt"), ("x3", "s_2024-01-01.txt")]
+    assert out.n_rows == 3 and out.loaded_dates == "2024-01-01,2024-01-03"
+    os.utime(land / "p" / "s_2024-01-01.txt", (1.5e9, 1.5e9))           # an older copy put back is a version too
+    assert _ingested(spark, land, t, ck)[0].n_rows == 1
+    assert _ingested(spark, land, t, ck) == (_ingested(spark, land, t, ck)[0], rows)
+    h = tmp_path / "headers"
+    for text in ("id,grp\n1,2\n", "id,grp\n"):                         # a header alone
+        _write(h / "compliance_2024_01_01.csv", text)
+        ingest_new_files(spark, str(h), COMPLIANCE, str(tmp_path / "t3"), str(tmp_path / "ck3"), mode="replace_files")
+    assert not [f for _, _, names in os.walk(tmp_path / "t3") for f in names if f.startswith("part-") and "ref_date=" in f]
+    assert not any("ref_date=" in d for d, _, names in os.walk(tmp_path / "t3") if any(n.startswith("part-") for n in names))
+
+
+def test_ingest_reads_both_byte_orders(spark, tmp_path):
+    f = S.with_(encoding="UTF-16LE")
+    for n, (mark, codec) in enumerate((("\ufeff", "utf-16-be"), ("\ufeff", "utf-16-le"), ("", "utf-16-le"))):
+        p = tmp_path / "land" / f"s_2024-01-0{n + 1}.txt"
+        p.parent.mkdir(exist_ok=True)
+        p.write_bytes((mark + f"é{n}\t{n}\r\nё\t7\n").encode(codec))
+    r = ingest_new_files(spark, str(tmp_path / "land"), f, str(tmp_path / "t"), str(tmp_path / "ck"))
+    assert _rows(spark, str(tmp_path / "t"), "a", "n") == sorted([("é0", 0), ("é1", 1), ("é2", 2)] + [("ё", 7)] * 3)
+    assert [tuple(x)[1:] for x in r.reconcile.orderBy("ref_date").collect()] == [(2, 2, True)] * 3
+
+
+def test_ingest_takes_up_a_failed_batch_and_logs_its_runs(spark, tmp_path, monkeypatch):
+    from panelflow.plans.outcome import RunLog
+    from panelflow.sinks.runlog import current_runs
+    from panelflow.streaming import ingest
+    land, t, ck, log = tmp_path / "land", tmp_path / "t", tmp_path / "ck", RunLog(str(tmp_path / "log"), 5)
+    _write(land / "s_2024-01-01.txt", "x\t1\n")
+    _ingested(spark, land, t, ck, log=log)
+    _write(land / "s_2024-01-01.txt", "x2\t1\n")
+    _write(land / "s_2024-01-02.txt", "y\t1\n")
+    forget = ingest._forget
+
+    def broken(*a):
+        forget(*a)
+        raise OSError("lost")
+    monkeypatch.setattr(ingest, "_forget", broken)                      # written, the old rows gone, then it fails
+    out = ingest_new_files(spark, str(land), S, str(t), str(ck), mode="replace_files", log=log).outcome.first()
+    assert out.status == "ERROR" and "lost" in out.error
+    monkeypatch.setattr(ingest, "_forget", forget)
+    _write(land / "s_2024-01-02.txt", "y2\t1\n")                        # changed before the batch is taken up
+    out, rows = _ingested(spark, land, t, ck, log=log)
+    assert rows == [("x2", "s_2024-01-01.txt"), ("y2", "s_2024-01-02.txt")] and out.status == "OK"
+    assert sorted(r.status for r in current_runs(spark, log.path).collect()) == [1, 1, 2]
+
+
+def test_ingest_archives_each_version(spark, tmp_path):
+    land, t, ck, arch = tmp_path / "land", tmp_path / "t", tmp_path / "ck", tmp_path / "land" / "archive"
+    for text in ("x\t1\n", "x2\t1\n", "x3\t1\n"):
+        _write(land / "in" / "s_2024-01-01.txt", text)
+        _, rows = _ingested(spark, land, t, ck, archive_dir=str(arch))
+        assert rows == [(text.split("\t")[0], "in/s_2024-01-01.txt")] and not (land / "in" / "s_2024-01-01.txt").exists()
+    assert sorted((arch / "in" / n).read_text() for n in os.listdir(arch / "in") if not n.startswith(".")) == ["x\t1\n", "x2\t1\n", "x3\t1\n"]
 
 
 def test_a_one_file_load_takes_at_most_ten_jobs(spark, tmp_path):

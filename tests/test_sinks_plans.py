@@ -265,8 +265,7 @@ def test_ingest_replaces_a_file_delivered_again(spark, tmp_path):
     (land / "a" / "s_2024-01-02.txt").write_text("z\t3\n")
     target, ck = str(tmp_path / "t"), str(tmp_path / "ck")
     ingest_new_files(spark, str(land), f, target, ck, mode="replace_files")
-    (land / "b").mkdir()
-    (land / "b" / "s_2024-01-01.txt").write_text("x2\t10\n")      # day 1 delivered again
+    (land / "a" / "s_2024-01-01.txt").write_text("x2\t10\n")      # day 1 delivered again
     ingest_new_files(spark, str(land), f, target, ck, mode="replace_files")
     got = sorted((r.ref_date.day, r.a) for r in spark.read.parquet(target).collect())
     assert got == [(1, "x2"), (2, "z")]
