@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from panelflow.functions.columns import PANDAS_NA_VALUES, null_out
 from panelflow.sources.files import literal
+from panelflow.sources.records import quoted_records
 
 
 def _paths(paths):
@@ -89,29 +91,65 @@ def wider(a: str | None, b: str | None) -> str | None:
     return "double" if {a, b} == {"bigint", "double"} else "string"
 
 
-def header_groups(spark: SparkSession, paths: str | Sequence[str], sep: str, encoding: str = "UTF-8") -> list[tuple[list[str], list[str]]]:
-    """(column names, files) for each different header line among ``paths``.
+def _column_names(header: str | None, sep: str) -> list[str]:
+    """Names of a header line; those that repeat get ``.1``, ``.2``, … as in pandas."""
+    names: list[str] = []
+    for n in next(csv.reader([(header or "").removeprefix("\ufeff")], delimiter=sep)):
+        k, name = 0, n
+        while name in names:
+            k += 1
+            name = f"{n}.{k}"
+        names.append(name)
+    return names
+
+
+class HeaderGroup(NamedTuple):
+    names: list[str]
+    files: list[str]        # read whole, a task each
+    large: list[str]        # read by many tasks each
+    crlf: bool              # lines end in a carriage return and a line feed
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The size beyond which a file is more than one task's input."""
+    return int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+
+
+def header_groups(spark: SparkSession, paths: str | Sequence[str], sep: str, encoding: str = "UTF-8") -> list[HeaderGroup]:
+    """Column names and files for each different header line among ``paths``.
 
     The first line of each file is found by one scan of the files' first
-    blocks. Names that repeat get ``.1``, ``.2``, … as in pandas.
+    blocks. Where all files have one header and none is large, ``paths``
+    stand as they were given, and no file passes through the driver. UTF-8
+    files of more than a task's input are listed apart.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").options(sep="\u0001", quote="", escape="", encoding=encoding)
-             .schema("value string").csv([literal(p) for p in _paths(paths)]))
-    first = (lines.select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"))
+    paths = _paths(paths)
+    lines = (spark.read.option("recursiveFileLookup", "true").options(sep="\u0001", quote="", escape="", encoding=encoding, lineSep="\n")
+             .schema("value string").csv([literal(p) for p in paths]))
+    heads = (lines.select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("b"), F.col("_metadata.file_size").alias("size"))
              .filter("b = 0").withColumn("i", F.monotonically_increasing_id())     # ascends within a file's block
-             .groupBy("p").agg(F.min_by("value", "i").alias("h"))
-             .groupBy("h").agg(F.sort_array(F.collect_list("p")).alias("files")))
-    out = []
-    for r in sorted(first.collect(), key=lambda r: r.files[0]):
-        names: list[str] = []
-        for n in next(csv.reader([(r.h or "").removeprefix("﻿").rstrip("\r")], delimiter=sep)):
-            k, name = 0, n
-            while name in names:
-                k += 1
-                name = f"{n}.{k}"
-            names.append(name)
-        out.append((names, [unquote(p) for p in r.files]))
-    return out
+             .groupBy("p").agg(F.min_by("value", "i").alias("h"), F.max("size").alias("size")))
+    many = split_bytes(spark) if encoding.upper() in ("UTF-8", "UTF8") else 1 << 62
+    heads = heads.select("p", "size", F.substring_index("h", "\r", 1).alias("h"), F.coalesce(F.rlike("h", F.lit("^[^\r]*\r$")), F.lit(False)).alias("crlf"))
+    kinds = heads.groupBy("h").agg(F.max("size").alias("size")).limit(2).collect()
+    if not kinds:
+        return []
+    if len(kinds) == 1 and kinds[0]["size"] <= many:
+        return [HeaderGroup(_column_names(kinds[0].h, sep), paths, [], False)]
+    found: dict[tuple, HeaderGroup] = {}
+    for r in heads.orderBy("p").toLocalIterator():
+        key = (r.h, r.crlf and r["size"] > many)
+        group = found.setdefault(key, HeaderGroup(_column_names(r.h, sep), [], [], key[1]))
+        (group.large if r["size"] > many else group.files).append(unquote(r.p))
+    return list(found.values())
+
+
+def _parsed_records(spark: SparkSession, group: HeaderGroup, sep: str) -> DataFrame:
+    """The rows of a group's large files as text, with their file path as ``_path``; each file's header line is left out."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in group.names])
+    rows = quoted_records(spark, group.large, sep, crlf=group.crlf).select(
+        "path", F.from_csv("record", schema.toDDL(), {"sep": sep, "escape": '"', "multiLine": "true"}).alias("r"))
+    return rows.select("r.*", F.col("path").alias("_path"))
 
 
 def read_header_text(spark: SparkSession, paths: str | Sequence[str], sep: str, *, encoding: str = "UTF-8",
@@ -120,15 +158,20 @@ def read_header_text(spark: SparkSession, paths: str | Sequence[str], sep: str,
 
     Files are read by the header they have and put together by name, so
     column order may differ from file to file and a column may be absent
-    (NULL). Quoted values may hold line breaks: each file is one task.
-    Missing-value strings become NULL (P7).
+    (NULL). Quoted values may hold line breaks: a file is one task, unless
+    it is larger than a task's input and UTF-8, when its records are cut by
+    many (:func:`quoted_records`). Missing-value strings become NULL (P7).
     """
     parts = []
-    for names, files in header_groups(spark, paths, sep, encoding):
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = (spark.read.schema(schema).options(sep=sep, header="true", escape='"', encoding=encoding, multiLine="true")
-              .csv([literal(p) for p in files]))
-        parts.append(df.select("*", F.col("_metadata.file_path").alias(file_col)) if file_col else df)
+    for group in header_groups(spark, paths, sep, encoding):
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in group.names])
+        if group.files:
+            df = (spark.read.schema(schema).options(sep=sep, header="true", escape='"', encoding=encoding, multiLine="true")
+                  .option("recursiveFileLookup", "true").csv([literal(p) for p in group.files]))
+            parts.append(df.select("*", F.col("_metadata.file_path").alias(file_col)) if file_col else df)
+        if group.large:
+            df = _parsed_records(spark, group, sep)
+            parts.append(df.withColumnRenamed("_path", file_col) if file_col else df.drop("_path"))
     if not parts:
         return spark.createDataFrame([], T.StructType([T.StructField(file_col, T.StringType())] if file_col else []))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
