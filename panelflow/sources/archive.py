@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,14 @@ OUT_SCHEMA = "archive string, member string, found boolean, out_path string, byt
 
 
 def _uri(path: str) -> str:
-    """A filesystem URI pyarrow understands: plain paths become file://,
-    Hadoop's s3a:// / s3n:// become s3:// (hdfs:// needs libhdfs)."""
+    """What pyarrow understands: local paths as they are; Hadoop's s3a:// / s3n:// become s3:// (hdfs:// needs
+    libhdfs), with the characters escaped that a URI may not hold."""
     if path.startswith("file:"):
-        return "file:///" + path[len("file:"):].lstrip("/")
-    for hadoop in ("s3a://", "s3n://"):
-        if path.startswith(hadoop):
-            return "s3://" + path[len(hadoop):]
-    return path if "://" in path else "file://" + path
+        return "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return path
+    scheme, rest = path.split("://", 1)
+    return ("s3" if scheme in ("s3a", "s3n") else scheme) + "://" + quote(rest, safe="/:@!$&'()*,;=~+")
 
 
 def _extract(wanted: list[tuple[str, str | None, str | None]], out_dir: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,26 +41,49 @@ def _line_options(charset: str) -> dict:
             "nullValue": "\u0000\u0000", "emptyValue": ""}
 
 
+FEW_FILES = 128          # so many files the driver looks into itself, without starting a job
+BIG_ENDIAN = b"\xfe\xff"
+
+
 def _heads(batches):
-    """Per file: does it begin with the big-endian byte-order mark?"""
-    import pandas as pd
+    """The files that begin with the big-endian byte-order mark."""
+    import pyarrow as pa
     from pyarrow import fs as pafs
-    for pdf in batches:
+    for b in batches:
         out = []
-        for path in pdf["path"]:
+        for path in b.column("path").to_pylist():
             fsys, p = pafs.FileSystem.from_uri(_uri(path))
             with fsys.open_input_stream(p) as data:
-                out.append(data.read(2) == b"\xfe\xff")
-        yield pd.DataFrame({"path": pdf["path"], "big": out})
+                if data.read(2) == BIG_ENDIAN:
+                    out.append(path)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["path"])
+
+
+def _marked_big(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    data = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return data.read() == BIG_ENDIAN[0] and data.read() == BIG_ENDIAN[1]
+    finally:
+        data.close()
 
 
-def big_endian_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """The files under ``paths`` that begin with the UTF-16 big-endian mark;
-    two bytes of each file are read, on the executors."""
-    rel = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in _paths(paths)])
-           .select("path"))
-    rows = rel.mapInPandas(_heads, "path string, big boolean").filter("big").select("path").toLocalIterator()
-    return sorted(r.path for r in rows)
+def byte_orders(spark: SparkSession, paths: str | Sequence[str]) -> tuple[list[str], list[str]]:
+    """(little-endian files, big-endian files) under ``paths``, by their byte-order mark; little-endian without one.
+
+    The folders are listed once and two bytes of each file are read: by the
+    driver for a few files, on the executors for more. Without a big-endian
+    file ``paths`` come back as they were given.
+    """
+    paths = _paths(paths)
+    files = [unquote(p) for p in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in paths]).inputFiles()]
+    if len(files) <= FEW_FILES:
+        big = {p for p in files if _marked_big(spark, p)}
+    else:
+        tasks = min(len(files) // FEW_FILES + 1, 4 * spark.sparkContext.defaultParallelism)
+        listed = spark.createDataFrame([(p,) for p in files], "path string").repartition(tasks)
+        big = {r.path for r in listed.mapInArrow(_heads, "path string").toLocalIterator()}
+    return (sorted(set(files) - big), sorted(big)) if big else (paths, [])
 
 
 def utf16_lines(df: DataFrame) -> DataFrame:
@@ -87,13 +111,11 @@ def raw_lines(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str)
     def read(charset: str, these: list[str]) -> DataFrame:
         return utf16_lines(spark.read.schema("value string").options(**_line_options(charset))
                            .option("recursiveFileLookup", "true").csv([literal(p) for p in these]))
-    big = big_endian_files(spark, paths)
+    little, big = byte_orders(spark, paths)
     if not big:
-        return read("UTF-16LE", paths)
-    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([literal(p) for p in paths]).select("path")
-    rest = sorted({r.path for r in every.toLocalIterator()} - set(big))
+        return read("UTF-16LE", little)
     out = read("UTF-16BE", big)
-    return out.unionByName(read("UTF-16LE", rest)) if rest else out
+    return out.unionByName(read("UTF-16LE", little)) if little else out
 
 
 def typed_lines(lines: DataFrame, f: Feed) -> DataFrame:

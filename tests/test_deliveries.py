@@ -391,3 +391,18 @@ def test_header_feed_query_loads_every_event(spark, monkeypatch):
     got = spark.read.parquet(targets[0]).select("ref_date", "event_id", "event_type")
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").selectExpr("CAST(ts AS DATE)", "event_id", "event_type")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, events.collect()))
+
+
+@pytest.mark.parametrize("few", [128, 1])
+def test_byte_orders_of_few_and_many_files(spark, tmp_path, monkeypatch, few):
+    from panelflow.sources import usage
+    monkeypatch.setattr(usage, "FEW_FILES", few)
+    land = tmp_path / "a b+c%20"
+    for k in range(6):
+        text = ("﻿" if k % 3 else "") + f"é{k}\t{k}\n"
+        _write(land / f"day {k}" / f"s_2024-01-0{k + 1}.txt", text.encode("utf-16-be" if k % 3 == 1 else "utf-16-le"))
+    _write(land / "s_2024-01-09.txt", b"")
+    _write(land / "s_2024-01-08.txt", b"\xfe")
+    little, big = usage.byte_orders(spark, str(land))
+    assert sorted(p.rsplit("/", 1)[1][10:12] for p in big) == ["02", "05"] and len(little) == 6
+    assert sorted((r.a, r.n) for r in usage.read_usage(spark, str(land), U).collect() if r.n is not None) == [(f"é{k}", k) for k in range(6)]
