@@ -27,12 +27,13 @@ from panelflow.operators.reconcile import parsed_count, raw_count, reconcile
 from panelflow.operators.gates import empty_feeds, load_plan, missing_feeds, with_day
 from panelflow.plans.run_control import run_control
 from panelflow.plans.snapshot import snapshot_refresh
+from panelflow.plans.backfill import backfill
 from panelflow.plans.usage_load import usage_load
 from panelflow.schemas import (
     COMPLIANCE, EVENTS, SNAPSHOT_LOADED, STAMP_DAY, STATUS_CODES, UNDERSCORE_DAY, Feed, _schema)
 from panelflow.session import staging_path
 from panelflow.sinks.paths import folders, rename
-from panelflow.sinks.runlog import append_events, current_runs
+from panelflow.sinks.runlog import append_events, compact_log, current_runs
 from panelflow.sinks.tables import (
     append_new, append_table, load_dates, replace_table, update_table)
 from panelflow.sources.archive import archive_members
@@ -404,6 +405,16 @@ def q_usage_load(spark, sf_dir):
     return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
 
 
+def q_resumed_backfill(spark, sf_dir):
+    """A backfill in steps of nine days whose first run ends after one step; the second takes up the days left."""
+    path = stage_events(spark, sf_dir)
+    target, commits = staging_path(spark, "events-backfilled"), staging_path(spark, "backfill-commits")
+    for steps in (1, None):
+        backfill(spark, path, EVENTS, _event_days(spark, sf_dir), target=target, commits=commits, days_a_step=9, steps=steps,
+                 import_day=IMPORT_DAY, match="day", layout="day={day}")
+    return spark.read.parquet(target).select("ref_date", "import_date", *EVENT_COLS)
+
+
 # --- K1 … K6, T1 ----------------------------------------------------------------
 
 def q_append_table(spark, sf_dir):
@@ -516,6 +527,7 @@ def q_current_runs(spark, sf_dir):
                    F.lit("it's done").alias("message"), F.lit(1).cast("bigint").alias("seq"))
     path = staging_path(spark, "run-log")
     append_events(start, path)
+    compact_log(spark, path)           # the starts are the base, the ends the tail
     append_events(end, path)
     return current_runs(spark, path).select("log_id", "task_id", "status", "message")
 
@@ -591,6 +603,7 @@ QUERIES = {
     "load_plan_all_or_nothing": q_load_plan_all_or_nothing,# Q3 all_or_nothing
     "run_outcome": q_run_outcome,                       # Q4 (D1)
     "usage_load": q_usage_load,                         # D1 K4, repeated
+    "resumed_backfill": q_resumed_backfill,             # D1, in steps, taken up again
     "backfill_load": q_backfill_load,                   # D1, 2,526 days
     "compliance_load": q_compliance_load,               # D3
     "append_table": q_append_table,                     # K1
@@ -686,6 +699,9 @@ ORACLE_SQL = {
     "usage_load":
         "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, ts, user_id, "
         "event_type, value, props FROM events",
+    "resumed_backfill":
+        "SELECT CAST(ts AS DATE) AS ref_date, DATE '2024-02-01' AS import_date, event_id, ts, user_id, "
+        "event_type, value, props FROM events",
     "backfill_load":
         "SELECT CAST(l_shipdate AS DATE) AS ref_date, l_orderkey, l_linenumber, l_quantity, l_returnflag, "
         "l_shipdate FROM lineitem",

@@ -44,6 +44,15 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly under ``path`` (none if it is absent); hidden ones are left out."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Columns a table is partitioned by, from its folder names (``col=value``)."""
     out = []

@@ -3,6 +3,8 @@
 ``log_start`` opens a run (status and message, new id); ``log_status``
 records a later status for that id. The current state of each run is its
 latest event, found by a partial aggregate (no window, no update in place).
+``compact_log`` folds the many one-event files into a base, while events go on
+being written.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelflow.sinks.tables import replace_table
+from panelflow.sinks.paths import delete, files, folders, rename
 
+_BASE = "_base"          # beside the event files; plain reads pass over such names
 _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 EVENT_SCHEMA = ("log_id string, task_id int, status int, log_time timestamp, "
                 "message string, seq bigint")
@@ -57,16 +60,67 @@ def append_events(events: DataFrame, path: str) -> None:
     events.select(*cols).write.mode("append").parquet(path)
 
 
-def compact_log(spark: SparkSession, path: str, files: int = 1) -> None:
-    """Rewrite the log's many one-event files as ``files`` larger ones (K2's
-    swap: the old log stays readable until the new one is whole). Run it
-    while no event is being written."""
-    replace_table(spark.read.schema(EVENT_SCHEMA).parquet(path).coalesce(files), path, spark=spark)
+def _bases(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the published bases, ascending."""
+    return sorted(int(n) for n in folders(spark, f"{path}/{_BASE}") if n.isdigit())
+
+
+def _folded(spark: SparkSession, path: str, base: int | None) -> set[str]:
+    """Names of the event files that ``base`` holds."""
+    return {r.name for r in spark.read.schema("name string").parquet(f"{path}/{_BASE}/{base}/files").collect()} if base is not None else set()
+
+
+def _level(spark: SparkSession, path: str, base: int | None, tail: list[str]) -> DataFrame:
+    events = spark.read.schema(EVENT_SCHEMA)
+    parts = [f"{path}/{_BASE}/{base}/events"] if base is not None else []
+    return events.parquet(*parts, *[f"{path}/{n}" for n in tail]) if parts or tail else spark.createDataFrame([], EVENT_SCHEMA)
+
+
+def log_events(spark: SparkSession, path: str) -> DataFrame:
+    """Every event of the log: the latest base and the event files written since."""
+    path = path.rstrip("/")
+    base = next(reversed(_bases(spark, path)), None)
+    if base is None:
+        return spark.read.schema(EVENT_SCHEMA).parquet(path)
+    held = _folded(spark, path, base)
+    return _level(spark, path, base, [n for n in files(spark, path) if n not in held])
+
+
+def compact_log(spark: SparkSession, path: str, parts: int = 1) -> None:
+    """Fold the event files there are now into a new base of ``parts`` files.
+
+    The log has two levels. A base holds the events of the files it names;
+    the tail is every other file. A new base is written aside and renamed
+    into its place, so a reader finds the old or the new one whole, and
+    events may be written meanwhile: their files are in no base yet. Files
+    go when a base that names them is the one before the latest, so that
+    who still reads that base finds all it needs. One compaction runs at a
+    time.
+    """
+    path = path.rstrip("/")
+    bases = _bases(spark, path)
+    last = bases[-1] if bases else None
+    there, held = files(spark, path), _folded(spark, path, last)
+    tail = [n for n in there if n not in held]
+    if not tail:
+        return
+    new = f"{path}/{_BASE}/.new-{uuid.uuid4().hex}"
+    try:
+        _level(spark, path, last, tail).coalesce(parts).write.parquet(f"{new}/events")
+        spark.createDataFrame([(n,) for n in there], "name string").coalesce(1).write.parquet(f"{new}/files")
+        rename(spark, new, f"{path}/{_BASE}/{(last or 0) + 1}")
+    except BaseException:
+        delete(spark, new)
+        raise
+    for n in held:                          # named by the base before, and by this one
+        delete(spark, f"{path}/{n}")
+    for old in bases[:-1]:
+        delete(spark, f"{path}/{_BASE}/{old}")
 
 
 def current_runs(spark: SparkSession, path: str) -> DataFrame:
     """Each run's latest status and message, its task and start time."""
-    ev = spark.read.parquet(path)
+    ev = log_events(spark, path)
     return (ev.groupBy("log_id").agg(
         F.max(F.struct("seq", "status", "message", "log_time")).alias("last"),
         F.min_by("task_id", "seq").alias("task_id"),
