@@ -33,3 +33,9 @@ def test_top_level_api_resolves():
     import panelflow
     assert all(callable(getattr(panelflow, name)) for name in panelflow._API)
     assert set(panelflow._API) <= set(dir(panelflow))
+
+
+def test_the_entry_survives_a_missing_library_of_the_training_data_layer():
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; q = e.queries(); assert 'reconcile' in q and not any(k.startswith('op') for k in q)"
+    r = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert r.returncode == 0, r.stderr[-800:]
