@@ -63,11 +63,11 @@ def backfill(spark: SparkSession, landing: str, feed: Feed | str, days, *, targe
         requested = expected_files(spark, days, f, today=today)
         left = requested.join(committed(spark, commits), "ref_date", "left_anti").select("ref_date", "file_name")
         names = {r.ref_date: r.file_name for r in left.collect()}      # one row a day
-        found = deliveries(spark, landing, f, names, match, glob, layout, archive_dir) if names else {}
+        found = deliveries(spark, landing, f, names, match, glob, layout, archive_dir).days if names else {}
         missing = sorted(set(names) - set(found))
         if missing:
             return result(requested, "missing delivery", missing)
-        empty = sorted(d for d, files in found.items() if all(files.values()))
+        empty = sorted(d for d, n in found.items() if n.files == n.empty)
         if empty and f.policy == "all_or_nothing":
             return result(requested, empty=empty)
         todo = sorted(names)

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from collections import defaultdict
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelflow.functions.columns import add_import_date, place_columns
-from panelflow.functions.dates import day_from_path, parse_path_day
+from panelflow.functions.dates import day_from_path
 from panelflow.operators.gates import mark_only, run_outcome
 from panelflow.operators.reconcile import DayCounts
 from panelflow.plans.outcome import RunLog, logged
@@ -42,13 +43,12 @@ RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolea
 class LoadResult:
     outcome: DataFrame      # one row: status, loaded/skipped/missing days, rows, matched
     reconcile: DataFrame    # per day: count_df, count_raw, matched
-    loaded_files: list[str]
-    delivered_files: list[str] = field(default_factory=list)   # loaded or empty
+    loaded_files: list[str]                # files, or day folders, that were read
+    delivered: DataFrame | None = None     # ref_date, path, empty: every file of the request, loaded or empty
 
 
-def _failed(spark: SparkSession, error: str, missing=(), delivered=()) -> LoadResult:
-    return LoadResult(run_outcome(spark, [], [], missing=missing, error=error),
-                      spark.createDataFrame([], RECON_SCHEMA), [], list(delivered))
+def _failed(spark: SparkSession, error: str, missing=()) -> LoadResult:
+    return LoadResult(run_outcome(spark, [], [], missing=missing, error=error), spark.createDataFrame([], RECON_SCHEMA), [])
 
 
 def _load(spark: SparkSession, patterns: list[str], glob: str | None) -> DataFrame | None:
@@ -61,59 +61,75 @@ def _load(spark: SparkSession, patterns: list[str], glob: str | None) -> DataFra
         return None
 
 
+class Delivered(NamedTuple):
+    """A day's delivery: how many files it has, and how many of them are empty (Q1)."""
+    files: int
+    empty: int
+
+
+class Deliveries(NamedTuple):
+    days: dict[_dt.date, Delivered]
+    files: DataFrame        # ref_date, path, empty: a row for each file of the request, computed when used
+
+
+def _listed(spark: SparkSession, rel: DataFrame) -> DataFrame:
+    """Every file of a ``binaryFile`` relation, zero-byte ones too, as ``path``; the list stays in Spark's JVM."""
+    names = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(rel._jdf.inputFiles())
+    paths = DataFrame(spark._jsparkSession.createDataset(names, spark._jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
+    return paths.select(F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B"))).alias("path"))
+
+
 def deliveries(spark: SparkSession, landing: str, f: Feed, expected: dict[_dt.date, str], match: str = "name",
-               glob: str | None = None, layout: str | None = None,
-               exclude: str | None = None) -> dict[_dt.date, dict[str, bool]]:
-    """By expected day, the delivered files and whether each is empty (Q1).
+               glob: str | None = None, layout: str | None = None, exclude: str | None = None) -> Deliveries:
+    """By expected day, how many files were delivered and how many are empty (Q1).
 
     ``match="name"``: a file belongs when it lies in ``landing`` itself under
     an expected name (several feeds may share one landing folder).
     ``match="day"``: any file below ``landing`` (narrowed by ``glob``) whose
     path carries an expected day; with ``layout``, such as ``day={day}``,
     only the expected days' folders are listed. What lies below ``exclude``,
-    the archive, never belongs. The files are listed once; their content is
-    read only where a file is so short that it may be a lone byte-order mark.
+    the archive, never belongs. The files are listed once and counted by one
+    aggregate, so the driver gets a row for each day; their content is read
+    only where a file is so short that it may be a lone byte-order mark.
     """
+    nothing = Deliveries({}, spark.createDataFrame([], "ref_date date, path string, empty boolean"))
     root = literal(landing.rstrip("/"))
     if match == "name":
-        names = {n: d for d, n in expected.items()}
+        names = sorted(expected.values())
     elif match == "day":
-        names = {layout.replace("{day}", _format_day(d, f.file_day_format)): d for d in expected} if layout else None
+        names = sorted(layout.replace("{day}", _format_day(d, f.file_day_format)) for d in expected) if layout else None
     else:
         raise ValueError(f"unknown match {match!r}")
     if names is not None and not names:
-        return {}
+        return nothing
     if names is None:
         patterns = [root]
     else:
-        some = [literal(n) for n in sorted(names)]
+        some = [literal(n) for n in names]
         patterns = [f"{root}/{some[0]}" if len(some) == 1 else f"{root}/{{{','.join(some)}}}"]
     rel = _load(spark, patterns, glob)
     if rel is None:
-        return {}
-    below = norm(exclude).rstrip("/") + "/" if exclude else None
-    found: dict[_dt.date, dict[str, bool]] = defaultdict(dict)
-    for p in map(unquote, rel.inputFiles()):
-        if below and norm(p).startswith(below):
-            continue
-        d = names.get(p.rsplit("/", 1)[-1]) if match == "name" else parse_path_day(p, f.file_day_format)
-        if d in expected:
-            found[d][p] = False
-    # a zero-byte file has a name but no row; only days that lack a row are looked at file by file
-    key = F.regexp_extract("path", "([^/]*)$", 1) if match == "name" else day_from_path(F.col("path"), f.file_day_format)
-    if below:
-        rel = rel.filter(~path_key(F.col("path")).startswith(below))
-    rows = {r.k: r["count"] for r in rel.groupBy(key.alias("k")).count().collect()}      # one row a day
-    short = [d for d, files in found.items() if rows.get(expected[d] if match == "name" else d, 0) < len(files)]
-    if short:
-        keys = [expected[d] for d in short] if match == "name" else short
-        full = {norm(r.path) for r in rel.filter(key.isin(keys)).select("path").toLocalIterator()}
-        for d in short:
-            found[d] = {p: norm(p) not in full for p in found[d]}
-    tiny = {norm(r.path) for r in rel.filter((F.col("length") <= 4) & mark_only(F.col("content"), f.encoding)).select("path").toLocalIterator()}
-    for files in found.values() if tiny else ():
-        files.update((p, True) for p in files if norm(p) in tiny)
-    return dict(found)
+        return nothing
+    # a zero-byte file has a name but no row
+    key, below = path_key(F.col("path")), norm(exclude).rstrip("/") + "/" if exclude else None
+    if match == "name":
+        ours = F.regexp_extract("path", "([^/]*)$", 1).isin(names)
+    else:
+        ours = day_from_path(F.col("path"), f.file_day_format).isin(sorted(expected))
+
+    def of_request(paths: DataFrame) -> DataFrame:
+        kept = paths.select(key.alias("k"), "path").where(ours)
+        kept = kept.where(~F.col("k").startswith(below)) if below else kept
+        return kept.select("k", "path", day_from_path(F.regexp_extract("path", "([^/]*)$", 1) if match == "name" else F.col("path"), f.file_day_format).alias("ref_date"))
+
+    listed, full = of_request(_listed(spark, rel)), of_request(rel)
+    tiny = of_request(rel.filter((F.col("length") <= 4) & mark_only(F.col("content"), f.encoding)))
+    kinds = [part.select("ref_date", F.lit(kind).alias("kind")) for kind, part in enumerate((listed, full, tiny))]
+    n = [F.count_if(F.col("kind") == kind) for kind in range(3)]
+    days = reduce(DataFrame.union, kinds).groupBy("ref_date").agg(n[0].alias("files"), (n[0] - n[1] + n[2]).alias("empty")).collect()      # a row a day
+    files = (listed.join(full.select("k", F.lit(True).alias("full")), "k", "left").join(tiny.select("k", F.lit(True).alias("tiny")), "k", "left")
+             .select("ref_date", "path", (F.col("full").isNull() | F.col("tiny").isNotNull()).alias("empty")))
+    return Deliveries({r.ref_date: Delivered(r.files, r.empty) for r in days if r.ref_date in expected}, files)
 
 
 def _format_day(d: _dt.date, fmt: str) -> str:
@@ -174,22 +190,20 @@ def _usage_load(spark: SparkSession, landing: str, f: Feed, days, target, mode,
                 match, glob, layout, check_raw, archive_dir) -> LoadResult:
     today = today or run_day()
     expected = {r.ref_date: r.file_name for r in expected_files(spark, days, f, today=today).collect()}
-    found = deliveries(spark, landing, f, expected, match, glob, layout, archive_dir)
-    delivered = sorted(p for files in found.values() for p in files)
-    missing = sorted(set(expected) - set(found))
+    got = deliveries(spark, landing, f, expected, match, glob, layout, archive_dir)
+    missing = sorted(set(expected) - set(got.days))
     if missing:
-        return _failed(spark, "missing delivery", missing, delivered)
-    empty = sorted(d for d, files in found.items() if all(files.values()))
+        return _failed(spark, "missing delivery", missing)
+    empty = sorted(d for d, n in got.days.items() if n.files == n.empty)
     plan = [] if empty and f.policy == "all_or_nothing" else sorted(set(expected) - set(empty))
-    files = sorted(p for d in plan for p, none in found[d].items() if not none)
-    if not files:
-        if target is not None and mode == "replace" and jdbc is None and plan:
-            raise AssertionError("a planned day has a file that is not empty")
-        return LoadResult(run_outcome(spark, plan, [], empty=empty), spark.createDataFrame([], RECON_SCHEMA), [], delivered)
-    # whole day folders are read by their names, whatever the number of their files
-    where = files
-    if match == "day" and layout and not glob and all(not any(found[d].values()) for d in plan):
-        where = sorted({f"{landing.rstrip('/')}/{layout.replace('{day}', _format_day(d, f.file_day_format))}" for d in plan})
+    if not plan:
+        return LoadResult(run_outcome(spark, plan, [], empty=empty), spark.createDataFrame([], RECON_SCHEMA), [], got.files)
+    if match == "day" and layout and not glob:      # day folders are read by their names, whatever the number of their files
+        where = [f"{landing.rstrip('/')}/{layout.replace('{day}', _format_day(d, f.file_day_format))}" for d in plan]
+    elif match == "name":
+        where = [f"{landing.rstrip('/')}/{expected[d]}" for d in plan]
+    else:
+        where = sorted(r.path for r in got.files.where(~F.col("empty") & F.col("ref_date").isin(plan)).select("path").toLocalIterator())
     counts = DayCounts(len(expected))
     df, records = _read(spark, where, f, target if jdbc is None else None, counts, check_raw)
     df = place_columns(add_import_date(df.drop(FILE_COL), f.import_col, today=import_day or today), [f.ref_col, f.import_col], 0)
@@ -205,13 +219,13 @@ def _usage_load(spark: SparkSession, landing: str, f: Feed, days, target, mode,
     if check_raw:
         if f.header:   # every delivered file starts with one header line
             n = records.groupBy(day_from_path(F.col(FILE_COL), f.file_day_format).alias("d")).agg(F.count("*").alias("n"))
-            raw = {d: k - sum(not none for none in found[d].values()) for d, k in _counts(n, "d", "n").items()}
+            raw = {d: k - got.days[d].files + got.days[d].empty for d, k in _counts(n, "d", "n").items() if d in got.days}
         else:
             raw = counts.raw_days()
         recon = [(d, parsed.get(d, 0), raw.get(d, 0), parsed.get(d, 0) == raw.get(d, 0)) for d in sorted({*parsed, *raw, *plan})]
     else:
         recon = [(d, parsed.get(d, 0), None, None) for d in plan]
-    return LoadResult(run_outcome(spark, plan, recon, empty=empty), spark.createDataFrame(recon, RECON_SCHEMA), files, delivered)
+    return LoadResult(run_outcome(spark, plan, recon, empty=empty), spark.createDataFrame(recon, RECON_SCHEMA), where, got.files)
 
 
 def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *,
@@ -240,8 +254,8 @@ def usage_load(spark: SparkSession, landing: str, feed: Feed | str, days=None, *
 
     def run() -> LoadResult:
         res = _usage_load(spark, landing, f, days, target, mode, jdbc, import_day, today, match, glob, layout, check_raw, archive_dir)
-        if archive_dir and res.delivered_files and res.outcome.first().status != "ERROR":
-            archive_files(spark, res.delivered_files, archive_dir, root=landing).collect()
+        if archive_dir and res.delivered is not None and res.outcome.first().status != "ERROR":
+            archive_files(spark, res.delivered.select("path"), archive_dir, root=landing).write.format("noop").mode("overwrite").save()
         return res
     return logged(spark, log, f"load of {f.name}", run, lambda error: _failed(spark, error))
 

@@ -101,3 +101,24 @@ def test_a_failed_compaction_leaves_the_log_as_it_was(spark, tmp_path, monkeypat
     except OSError:
         pass
     assert log_events(spark, p).count() == 1 and folders(spark, f"{p}/_base") == []
+
+
+def test_a_plan_of_many_part_files_is_one_row_a_day(spark, tmp_path, monkeypatch):
+    from panelflow.plans.usage_load import deliveries
+    land = tmp_path / "la nd+"
+    want = {dt.date(2024, 1, d): f"s_2024-01-0{d}.txt" for d in range(1, 8)}
+    for d in range(1, 8):
+        for k in range(60):
+            p = land / f"day=2024-01-0{d}" / f"part-{k:03d} +%.txt"
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_bytes(b"" if k % 3 == 0 or d == 4 else b"\xef\xbb\xbf" if k % 3 == 1 else f"x{k}\t{d}\n".encode())
+    taken = []
+    frame = type(spark.range(1))
+    real = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: taken.append(len(out := real(self))) or out)
+    got = deliveries(spark, str(land), S, want, "day", layout="day={day}")
+    assert max(taken) == 7 and {d.day: tuple(n) for d, n in got.days.items()} == {d: (60, 60 if d == 4 else 40) for d in range(1, 8)}
+    res = usage_load(spark, str(land), S, DAYS, target=str(tmp_path / "t"), match="day", layout="day={day}", archive_dir=str(tmp_path / "arch"))
+    out = res.outcome.first()
+    assert (out.status, out.skipped_dates, out.n_rows, out.all_matched) == ("WARNING", "2024-01-04", 120, True)
+    assert sum(1 for p in (tmp_path / "arch").rglob("part-*") if p.is_file()) == 420 and not list(land.rglob("part-*.txt"))
