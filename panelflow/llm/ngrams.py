@@ -13,9 +13,10 @@ up for what is missing in one is dropped there, and the partial overlaps are
 summed per pair.
 
 Components need no list of all links. First each set is compared with the
-smallest set under each n-gram it shares: of n near copies all are linked by
-about n comparisons. Then only sets of different components under one n-gram
-are compared, so every link between different components is still found.
+smallest set under each n-gram it shares, then with the greatest one that is
+in another component: of n near copies all are linked by about n comparisons.
+After that only sets of different components under one n-gram are compared,
+so every link between different components is still found.
 """
 
 from __future__ import annotations
@@ -33,12 +34,16 @@ from pyspark.sql import functions as F
 from panelflow.llm.common import WORDS, id_and_text, lower, slices, small_batches, text_bytes, word_hashes, word_spans
 from panelflow.llm.components import connected_components
 from panelflow.session import staging_path
+from panelflow.sinks.paths import delete
 
 SIZE, SIMILARITY = 4, Fraction(85, 100)
 BUCKET_BITS = 20                # 2**20 counts of four bytes in a counting task; one byte each in the order
 _PARTS = 1 << 8                 # the counts travel in so many parts
 TASKS_SUMMED = 512
 FRAGMENTS = 16
+SIGNATURE_BITS = 512
+_SIGNATURE = [f"s{k}" for k in range(SIGNATURE_BITS // 64)]
+SENT_ROWS = 1 << 20             # rows of two columns that are sent to every task rather than joined by a shuffle
 
 
 def _ngrams(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,13 +129,16 @@ def _prefixes(size: int, t: Fraction, ranks: np.ndarray):
             places = _ordered(h, ranks)
             text = np.repeat(np.arange(len(n)), n)
             places = places[np.lexsort((places, text))]
+            # the parity of the n-grams in each of SIGNATURE_BITS hash buckets
+            odd = np.bincount(text * SIGNATURE_BITS + (h & np.uint64(SIGNATURE_BITS - 1)).astype(np.int64), minlength=len(n) * SIGNATURE_BITS) & 1
+            signature = np.packbits(odd.astype(np.uint8).reshape(len(n), -1), axis=1).reshape(len(n), -1).view(np.int64)
             # a set of n has a different partner only if n of n + 1 n-grams are enough
             length = np.where(n * t.denominator >= (n + 1) * t.numerator, n + (-n * t.numerator) // t.denominator + 1, 0)
             at = np.concatenate([[0], np.cumsum(length)])
             own = np.repeat(first[:-1] - at[:-1], length) + np.arange(at[-1])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(_keys(h, first)), pa.array(n), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(places[own].view(np.int64)))],
-                ["doc_id", "key", "n", "prefix"])
+                [b.column("doc_id"), b.column("same"), pa.array(_keys(h, first)), pa.array(n), *(pa.array(np.ascontiguousarray(c)) for c in signature.T),
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(places[own].view(np.int64)))], ["doc_id", "same", "key", "n", *_SIGNATURE, "prefix"])
     return run
 
 
@@ -150,10 +158,9 @@ def _segments(size: int, ranks: np.ndarray, cuts: np.ndarray):
     return run
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again; what its shuffles left is freed with its plan."""
-    spark, path = df.sparkSession, staging_path(df.sparkSession, name)
-    schema = df.schema
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written below the shared folder and read again; what its shuffles left is freed with its plan."""
+    spark, schema = df.sparkSession, df.schema
     df.write.parquet(path)
     del df
     gc.collect()
@@ -161,6 +168,11 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a written table of two columns at most, to be sent to all tasks if it is counted to be small."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
 def _cuts(ranks: np.ndarray, fragments: int) -> np.ndarray:
     """The first place of each fragment but the first; a fragment has about as many buckets as any other.
 
@@ -177,17 +189,29 @@ class Join:
 
     def __init__(self, docs: DataFrame, size: int = SIZE, similarity: Fraction = SIMILARITY):
         small_batches(docs.sparkSession)
-        self.docs, self.size, self.t = docs, size, similarity
+        # same tells rows that repeat an id apart
+        self.docs, self.size, self.t = docs.withColumn("same", F.xxhash64("text")), size, similarity
         self.ranks = order_of(docs, size)
-        rows = _stored(docs.mapInArrow(_prefixes(size, similarity, self.ranks), "doc_id long, key long, n long, prefix array<long>"), "ngram-sets")
-        self.members = rows.select("doc_id", "key", "n")
-        classes = rows.where("size(prefix) > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        classes = _stored(classes, "ngram-classes")
+        # every table lies in a folder of its own, so that the large ones can go when nothing reads them any more
+        self.folder, spark = staging_path(docs.sparkSession, "ngram-join"), docs.sparkSession
+        rows = self._keep(self.docs.mapInArrow(_prefixes(size, similarity, self.ranks), 
+                                              f"doc_id long, same long, key long, n long, {', '.join(f'{c} long' for c in _SIGNATURE)}, prefix array<long>"), "sets")
+        self.members = self._keep(rows.select("doc_id", "key", "n"), "members")
+        classes = rows.where("size(prefix) > 0").groupBy("key").agg(F.min(F.struct("doc_id", "same")).alias("at"), *[F.first(c).alias(c) for c in ("n", *_SIGNATURE, "prefix")])
+        classes = self._keep(classes, "classes")
+        del rows
+        delete(spark, f"{self.folder}/sets")
+        self.places = self._keep(classes.select("key", "at.doc_id", "at.same", *_SIGNATURE), "places")
         index = classes.select("key", "n", F.posexplode("prefix").alias("pos", "gram"))
-        least = _stored(index.groupBy("gram").agg(F.count("*").alias("c"), F.min(F.struct("key", "n")).alias("least")).where("c > 1").drop("c"), "ngram-shared")
-        self.shared = _stored(index.join(least, "gram").select("gram", "key", "n", "pos", F.col("least.key").alias("low"), F.col("least.n").alias("low_n")), "ngram-index")
-        self.places = classes.select("key", "doc_id")
-        self._segments = None
+        repeated = self._keep(index.groupBy("gram").count().where("count > 1").select("gram"), "repeated")
+        index = self._keep(index.join(repeated, "gram"), "index")
+        del classes
+        delete(spark, f"{self.folder}/classes")
+        least = index.groupBy("gram").agg(F.min(F.struct("key", "n")).alias("least"))
+        self.shared = self._keep(index.join(least, "gram").select("gram", "key", "n", "pos", F.col("least.key").alias("low"), F.col("least.n").alias("low_n")), "shared")
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return _stored(df, f"{self.folder}/{name}")
 
     def _need(self, x: str, y: str) -> str:
         num, den = self.t.numerator, self.t.denominator
@@ -196,55 +220,84 @@ class Join:
     def _long_enough(self, x: str, y: str) -> str:
         return f"least({x}, {y}) * {self.t.denominator} >= greatest({x}, {y}) * {self.t.numerator}"
 
+    def _close(self, x: str, y: str, nx: str, ny: str) -> str:
+        """May the sets be similar? Two sets differ in at least as many n-grams as their signatures in bits."""
+        return f"{' + '.join(f'bit_count({x}.{c} ^ {y}.{c})' for c in _SIGNATURE)} <= {nx} + {ny} - 2 * {self._need(nx, ny)}"
+
     def first_pairs(self) -> DataFrame:
         """(a, b, na, nb): every set with the smallest set under each n-gram of its prefix that it shares."""
-        return (self.shared.where("key <> low and " + self._long_enough("n", "low_n"))
-                .select(F.col("key").alias("a"), F.col("low").alias("b"), F.col("n").alias("na"), F.col("low_n").alias("nb")).distinct())
+        pairs = (self.shared.where("key <> low and " + self._long_enough("n", "low_n"))
+                 .select(F.col("key").alias("a"), F.col("low").alias("b"), F.col("n").alias("na"), F.col("low_n").alias("nb")).distinct())
+        return self._by_signature(pairs)
 
-    def other_pairs(self, labels: DataFrame) -> DataFrame:
-        """(a, b, na, nb): sets under one n-gram whose labels differ, but for the first pairs."""
-        named = self.shared.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        named = _stored(named, "ngram-labelled")
+    def _mixed(self, labels: DataFrame, name: str) -> DataFrame:
+        """The index rows (gram, key, n, pos, low, label) of n-grams that sets of different labels share."""
+        named = self._keep(self.shared.select("gram", "key", "n", "pos", "low").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
         mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("gram")
-        rest = _stored(named.join(mixed, "gram"), "ngram-mixed")
+        return self._keep(named.join(mixed, "gram"), f"{name}-mixed")
+
+    def second_pairs(self, labels: DataFrame) -> DataFrame:
+        """(a, b, na, nb): every set with the greatest set under each n-gram it shares, where their labels differ."""
+        rest = self._mixed(labels, "second")
+        high = rest.groupBy("gram").agg(F.max(F.struct("key", "n", "label")).alias("high"))
+        pairs = (rest.join(high, "gram").where("key <> low and label <> high.label and " + self._long_enough("n", "high.n"))
+                 .select(F.col("high.key").alias("a"), F.col("key").alias("b"), F.col("high.n").alias("na"), F.col("n").alias("nb")).distinct())
+        return self._by_signature(pairs)
+
+    def _by_signature(self, pairs: DataFrame) -> DataFrame:
+        of = self.places.select("key", *_SIGNATURE)
+        return (pairs.join(of.alias("x"), F.col("a") == F.col("x.key")).join(of.alias("y"), F.col("b") == F.col("y.key"))
+                .where(self._close("x", "y", "na", "nb")).select("a", "b", "na", "nb"))
+
+    def other_pairs(self, labels: DataFrame) -> DataFrame:
+        """(a, b, na, nb): all sets under one n-gram whose labels differ, but for the first pairs."""
+        rest = self._keep(self._mixed(labels, "other").join(self.places.select("key", *_SIGNATURE), "key"), "other-signed")
         need = self._need("x.n", "y.n")
         return (rest.alias("x").join(rest.alias("y"), F.expr(f"""x.gram = y.gram and y.key < x.key and x.label <> y.label and y.key <> y.low
-                    and {self._long_enough('x.n', 'y.n')} and least(x.n - x.pos, y.n - y.pos) >= {need}"""))
+                    and {self._long_enough('x.n', 'y.n')} and least(x.n - x.pos, y.n - y.pos) >= {need} and {self._close('x', 'y', 'x.n', 'y.n')}"""))
                 .selectExpr("x.key as a", "y.key as b", "x.n as na", "y.n as nb").distinct())
 
-    def segments(self) -> DataFrame:
-        """(key, fragment, grams) of the sets that share an n-gram of their prefix; written once."""
-        if self._segments is None:
-            wanted = self.places.join(self.shared.select("key").distinct(), "key").select("doc_id").distinct()
-            texts = self.docs.join(wanted, "doc_id")
-            run = _segments(self.size, self.ranks, _cuts(self.ranks, FRAGMENTS))
-            self._segments = _stored(texts.select("text").mapInArrow(run, "key long, fragment int, grams array<long>").dropDuplicates(["key", "fragment"]), "ngram-segments")
-        return self._segments
+    def segments(self, pairs: DataFrame, name: str) -> DataFrame:
+        """(key, fragment, grams) of the sets in ``pairs``, each from the text at its first place."""
+        wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        places = self._keep(self.places.join(wanted, "key").select("doc_id", "same"), f"{name}-places")
+        at = [F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")), F.col("x.same") == F.col("y.same")]
+        texts = self.docs.alias("x").join(_small(places).alias("y"), at[0] & at[1], "left_semi").dropDuplicates(["doc_id", "same"])
+        run = _segments(self.size, self.ranks, _cuts(self.ranks, FRAGMENTS))
+        return self._keep(texts.select("text").mapInArrow(run, "key long, fragment int, grams array<long>"), f"{name}-segments")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
+    def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The (a, b) of ``pairs(a, b, na, nb)`` whose Jaccard is high enough: partial overlaps by fragment, summed per pair."""
-        pairs, s = _stored(pairs, "ngram-pairs"), self.segments()
+        pairs = self._keep(pairs, f"{name}-pairs")
+        s = self.segments(pairs, name)
         x, y = s.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("ga")), s.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("gb"))
-        met = pairs.join(x, "a").join(y, ["b", "fragment"]).withColumn("both", F.size(F.array_intersect("ga", "gb")))
+        met = _small(pairs).join(x, "a").join(y, ["b", "fragment"]).withColumn("both", F.size(F.array_intersect("ga", "gb")))
         need = self._need("na", "nb")
         # the other fragments hold na - |ga| and nb - |gb| n-grams; if they cannot make up the rest the pair falls short anyway
         met = met.where(f"both > 0 and both + least(na - size(ga), nb - size(gb)) >= {need}")
         summed = met.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both")).where(f"both >= {need}").select("a", "b")
-        return _stored(summed, "ngram-links")
+        links = self._keep(summed, f"{name}-links")
+        delete(pairs.sparkSession, f"{self.folder}/{name}-segments")
+        return links
 
 
-def components(join: Join) -> DataFrame:
-    """(key, root) of the classes that are linked to another one."""
-    first = connected_components(join.linked(join.first_pairs())).select(F.col("node").alias("key"), F.col("root").alias("label"))
-    labels = _stored(first, "ngram-labels")
-    links = join.linked(join.other_pairs(labels))
+def _merged(join: Join, labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(key, label) after ``links`` tie the components that ``labels`` names; a set without a label is its own."""
     named = lambda side: labels.select(F.col("key").alias(side), F.col("label").alias(f"{side}_label"))
     between = (links.join(named("a"), "a", "left").join(named("b"), "b", "left")
                .select(F.coalesce("a_label", "a").alias("a"), F.coalesce("b_label", "b").alias("b")))
-    merged = _stored(connected_components(between).select(F.col("node").alias("label"), "root"), "ngram-roots")
-    known = labels.join(merged, "label", "left").select("key", F.coalesce("root", "label").alias("root"))
-    alone = merged.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("key"), "root")
-    return known.union(alone)
+    roots = join._keep(connected_components(between).select(F.col("node").alias("label"), "root"), f"{name}-roots")
+    known = labels.join(roots, "label", "left").select("key", F.coalesce("root", "label").alias("label"))
+    alone = roots.join(labels.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("key"), F.col("root").alias("label"))
+    return join._keep(known.union(alone), f"{name}-labels")
+
+
+def components(join: Join) -> DataFrame:
+    """(key, label) of the classes that are linked to another one: the same label for all of a component."""
+    none = join.members.sparkSession.createDataFrame([], "key long, label long")
+    labels = _merged(join, none, join.linked(join.first_pairs(), "first"), "first")
+    labels = _merged(join, labels, join.linked(join.second_pairs(labels), "second"), "second")
+    return _merged(join, labels, join.linked(join.other_pairs(labels), "other"), "other")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, similarity: Fraction = SIMILARITY) -> DataFrame:
@@ -259,11 +312,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     no rows. N-grams and sets are compared by 64 bits of hash.
     """
     join = Join(id_and_text(docs, id_col, text_col), size, Fraction(similarity))
-    roots = _stored(components(join), "ngram-components")
+    roots = components(join).withColumnRenamed("label", "root")
     least = join.members.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
     # written, so that the last join reads two plain exchanges and a class with many copies can be split
-    names = _stored(named.join(lowest, "root").select("key", "component_id"), "ngram-names")
+    names = join._keep(named.join(lowest, "root").select("key", "component_id"), "names")
     some = join.members.where("n > 0").join(names, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return some.union(join.members.where("n = 0").select("doc_id", "n", "doc_id"))
