@@ -225,14 +225,16 @@ class Join:
         return f"{' + '.join(f'bit_count({x}.{c} ^ {y}.{c})' for c in _SIGNATURE)} <= {nx} + {ny} - 2 * {self._need(nx, ny)}"
 
     def first_pairs(self) -> DataFrame:
-        """(a, b, na, nb): every set with the smallest set under each n-gram of its prefix that it shares."""
-        pairs = (self.shared.where("key <> low and " + self._long_enough("n", "low_n"))
-                 .select(F.col("key").alias("a"), F.col("low").alias("b"), F.col("n").alias("na"), F.col("low_n").alias("nb")).distinct())
+        """(a, b, na, nb): every set with one other, of those that are smallest under an n-gram of its prefix the one it shares most with."""
+        shares = (self.shared.where("key <> low and " + self._long_enough("n", "low_n"))
+                  .groupBy("key", "n", "low", "low_n").agg(F.count("*").alias("both")))
+        pairs = (shares.groupBy(F.col("key").alias("a"), F.col("n").alias("na")).agg(F.max(F.struct("both", "low", "low_n")).alias("most"))
+                 .select("a", F.col("most.low").alias("b"), "na", F.col("most.low_n").alias("nb")))
         return self._by_signature(pairs)
 
     def _mixed(self, labels: DataFrame, name: str) -> DataFrame:
-        """The index rows (gram, key, n, pos, low, label) of n-grams that sets of different labels share."""
-        named = self._keep(self.shared.select("gram", "key", "n", "pos", "low").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
+        """The index rows (gram, key, n, pos, label) of n-grams that sets of different labels share."""
+        named = self._keep(self.shared.select("gram", "key", "n", "pos").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
         mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("gram")
         return self._keep(named.join(mixed, "gram"), f"{name}-mixed")
 
@@ -240,7 +242,7 @@ class Join:
         """(a, b, na, nb): every set with the greatest set under each n-gram it shares, where their labels differ."""
         rest = self._mixed(labels, "second")
         high = rest.groupBy("gram").agg(F.max(F.struct("key", "n", "label")).alias("high"))
-        pairs = (rest.join(high, "gram").where("key <> low and label <> high.label and " + self._long_enough("n", "high.n"))
+        pairs = (rest.join(high, "gram").where("label <> high.label and " + self._long_enough("n", "high.n"))
                  .select(F.col("high.key").alias("a"), F.col("key").alias("b"), F.col("high.n").alias("na"), F.col("n").alias("nb")).distinct())
         return self._by_signature(pairs)
 
@@ -250,10 +252,10 @@ class Join:
                 .where(self._close("x", "y", "na", "nb")).select("a", "b", "na", "nb"))
 
     def other_pairs(self, labels: DataFrame) -> DataFrame:
-        """(a, b, na, nb): all sets under one n-gram whose labels differ, but for the first pairs."""
+        """(a, b, na, nb): all sets under one n-gram whose labels differ."""
         rest = self._keep(self._mixed(labels, "other").join(self.places.select("key", *_SIGNATURE), "key"), "other-signed")
         need = self._need("x.n", "y.n")
-        return (rest.alias("x").join(rest.alias("y"), F.expr(f"""x.gram = y.gram and y.key < x.key and x.label <> y.label and y.key <> y.low
+        return (rest.alias("x").join(rest.alias("y"), F.expr(f"""x.gram = y.gram and y.key < x.key and x.label <> y.label
                     and {self._long_enough('x.n', 'y.n')} and least(x.n - x.pos, y.n - y.pos) >= {need} and {self._close('x', 'y', 'x.n', 'y.n')}"""))
                 .selectExpr("x.key as a", "y.key as b", "x.n as na", "y.n as nb").distinct())
 
@@ -271,6 +273,8 @@ class Join:
         pairs = self._keep(pairs, f"{name}-pairs")
         s = self.segments(pairs, name)
         x, y = s.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("ga")), s.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("gb"))
+        # of the segments on the second side only those of sets that stand there
+        y = y.join(_small(self._keep(pairs.select("b").distinct(), f"{name}-second")), "b", "left_semi")
         met = _small(pairs).join(x, "a").join(y, ["b", "fragment"]).withColumn("both", F.size(F.array_intersect("ga", "gb")))
         need = self._need("na", "nb")
         # the other fragments hold na - |ga| and nb - |gb| n-grams; if they cannot make up the rest the pair falls short anyway
