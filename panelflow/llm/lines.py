@@ -34,7 +34,7 @@ from panelflow.session import staging_path
 SIMILARITY = 0.8
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
-HOT = 16                         # sets under a word from which its earliest one is tried first
+HOT = 2                          # sets under a word from which its earliest one is tried first
 MARK_BITS = 17                  # a bit set has 2**17 bytes; constants of a plan stay in the driver with its text
 
 _GAPS = r"[ \t\x0B\f\r]+"       # white space inside a line
