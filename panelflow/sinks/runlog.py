@@ -2,7 +2,7 @@
 
 ``log_start`` opens a run (status and message, new id); ``log_status``
 records a later status for that id. The current state of each run is its
-latest event, found by a partial aggregate (no window, no update in place).
+latest event, found by an aggregate (no window, no update in place).
 ``compact_log`` folds the many one-event files into a base, while events go on
 being written.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from panelflow.sinks.paths import delete, files, folders, rename
 
 _BASE = "_base"          # beside the event files; plain reads pass over such names
+ROWS_A_FILE = 1 << 20    # events in a base file at most: a file is too well compressed to be cut by its bytes
 _EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 EVENT_SCHEMA = ("log_id string, task_id int, status int, log_time timestamp, "
                 "message string, seq bigint")
@@ -86,8 +87,11 @@ def log_events(spark: SparkSession, path: str) -> DataFrame:
     return _level(spark, path, base, [n for n in files(spark, path) if n not in held])
 
 
-def compact_log(spark: SparkSession, path: str, parts: int = 1) -> None:
-    """Fold the event files there are now into a new base of ``parts`` files.
+def compact_log(spark: SparkSession, path: str, parts: int | None = None) -> None:
+    """Fold the event files there are now into a new base of ``parts`` tasks' files (by default as the rows need).
+
+    No file holds more than ROWS_A_FILE events, so that a large base is
+    written and read by many tasks.
 
     The log has two levels. A base holds the events of the files it names;
     the tail is every other file. A new base is written aside and renamed
@@ -106,7 +110,9 @@ def compact_log(spark: SparkSession, path: str, parts: int = 1) -> None:
         return
     new = f"{path}/{_BASE}/.new-{uuid.uuid4().hex}"
     try:
-        _level(spark, path, last, tail).coalesce(parts).write.parquet(f"{new}/events")
+        events = _level(spark, path, last, tail)
+        parts = parts or max(1, -(-events.count() // ROWS_A_FILE))
+        events.coalesce(parts).write.option("maxRecordsPerFile", ROWS_A_FILE).parquet(f"{new}/events")
         spark.createDataFrame([(n,) for n in there], "name string").coalesce(1).write.parquet(f"{new}/files")
         rename(spark, new, f"{path}/{_BASE}/{(last or 0) + 1}")
     except BaseException:
@@ -119,8 +125,13 @@ def compact_log(spark: SparkSession, path: str, parts: int = 1) -> None:
 
 
 def current_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Each run's latest status and message, its task and start time."""
-    ev = log_events(spark, path)
+    """Each run's latest status and message, its task and start time.
+
+    A latest event holds text, so it is found by sorting; events are dealt
+    out by run first, so that a task sorts its share of the runs and not
+    whatever its files hold.
+    """
+    ev = log_events(spark, path).repartition("log_id")
     return (ev.groupBy("log_id").agg(
         F.max(F.struct("seq", "status", "message", "log_time")).alias("last"),
         F.min_by("task_id", "seq").alias("task_id"),

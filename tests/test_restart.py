@@ -89,6 +89,23 @@ def test_no_event_is_lost_in_a_compaction(spark, tmp_path, monkeypatch):
     assert len(folders(spark, f"{p}/_base")) <= 2 and n <= 3
 
 
+def test_a_large_base_is_many_files_and_no_task_sorts_a_file(spark, tmp_path, monkeypatch):
+    p = str(tmp_path / "log")
+    monkeypatch.setattr(runlog, "ROWS_A_FILE", 10)
+    runs = spark.range(0, 95, 1, 4).selectExpr("cast(id as string) log_id", "cast(id as int) task_id", "2 status",
+                                               "timestamp'2024-01-01 00:00:00' log_time", "'started' message", "0L seq")
+    runlog.append_events(runs, p)
+    compact_log(spark, p)
+    runlog.append_events(runs.selectExpr("log_id", "cast(null as int) task_id", "1 status", "log_time + interval 1 hour log_time", "'done' message", "1L seq"), p)
+    base = f"{p}/_base/1/events"
+    per_file = spark.read.parquet(base).groupBy("_metadata.file_name").count().collect()
+    assert sum(r["count"] for r in per_file) == 95 and max(r["count"] for r in per_file) <= 10 and len(per_file) >= 10
+    now = runlog.current_runs(spark, p)
+    plan = now._jdf.queryExecution().sparkPlan().toString()
+    assert "Repartition" in plan or "hashpartitioning(log_id" in plan
+    assert {(r.log_id, r.task_id, r.status, r.message) for r in now.collect()} == {(str(k), k, 1, "done") for k in range(95)}
+
+
 def test_a_failed_compaction_leaves_the_log_as_it_was(spark, tmp_path, monkeypatch):
     p = str(tmp_path / "log")
     log_start(spark, p, 1, 2, "started")
