@@ -373,3 +373,22 @@ def test_components_of_a_long_chain_and_a_star(spark):
     from panelflow.llm.components import connected_components
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 60)}}
+
+
+def test_long_unrelated_lines_are_told_apart_by_their_signatures(spark, monkeypatch):
+    import random
+
+    from panelflow.llm import lines
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randrange(2000)}" for _ in range(170)) for _ in range(40)]
+    texts.append(texts[3].rsplit(" ", 4)[0])
+    docs = spark.createDataFrame([(k, k, x) for k, x in enumerate(texts)], "doc_id long, same long, text string")
+    tried, real = [], lines._verified
+
+    def counted(docs, classes, pairs):
+        tried.append(pairs.count())
+        return real(docs, classes, pairs)
+    monkeypatch.setattr(lines, "_verified", counted)
+    assert lines.similar_lines(docs)[1].count() == 1
+    assert lines.later_lines(docs)[1].count() == 1
+    assert sum(tried) <= 10, tried
