@@ -17,7 +17,8 @@ _BLANK = r"(?U)^[\s\x{1c}-\x{1f}]*$"
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | c.rlike(_BLANK)
+    # a line that begins with a printable ASCII character needs no pattern
+    return c.isNull() | (~F.ascii(c).between(33, 126) & c.rlike(_BLANK))
 
 
 def non_blank_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -39,6 +40,7 @@ def raw_count(lines: DataFrame, day_format: str = "yyyy-MM-dd", ref_col: str = "
 
 
 _DAY_ZERO = _dt.date(1970, 1, 1)
+_NUMBER = "__day_number"
 
 
 class DayCounts:
@@ -55,17 +57,20 @@ class DayCounts:
         self.bins = 2 * days + 64      # room for bins that come twice, so that few merges are needed
         self._raw, self._parsed = Observation(), Observation()
 
-    def _histogram(self, day: Column, counted: Column | None = None) -> Column:
+    def _histogram(self, df: DataFrame, seen: Observation, day: Column, counted: Column | None = None) -> DataFrame:
         n = F.unix_date(day).cast("double")     # merged bins are averages, a hair beside the whole number
-        return F.histogram_numeric(F.when(counted, n) if counted is not None else n, F.lit(self.bins)).alias("days")
+        # in a projection, which is compiled: what an observation works out itself is interpreted for each row
+        df = df.withColumn(_NUMBER, F.when(counted, n) if counted is not None else n)
+        return df.observe(seen, F.histogram_numeric(_NUMBER, F.lit(self.bins)).alias("days")).drop(_NUMBER)
 
-    def raw(self, lines: DataFrame, f: Feed, col: str = "value") -> DataFrame:
-        """``lines``, their non-blank ones counted by the day in the file's path."""
-        return lines.observe(self._raw, self._histogram(day_from_path(F.col(FILE_COL), f.file_day_format), ~is_blank(F.col(col))))
+    def raw(self, lines: DataFrame, f: Feed, col: str = "value", day: Column | None = None) -> DataFrame:
+        """``lines``, their non-blank ones counted by ``day``, or by the day in the file's path."""
+        day = day_from_path(F.col(FILE_COL), f.file_day_format) if day is None else day
+        return self._histogram(lines, self._raw, day, ~is_blank(F.col(col)))
 
     def parsed(self, df: DataFrame, ref_col: str) -> DataFrame:
         """``df``, its rows counted by reference date."""
-        return df.observe(self._parsed, self._histogram(F.col(ref_col)))
+        return self._histogram(df, self._parsed, F.col(ref_col))
 
     @staticmethod
     def _by_day(seen: Observation) -> dict[_dt.date, int]:

@@ -34,7 +34,7 @@ from panelflow.sinks.tables import append_table, load_dates, replace_table
 from panelflow.sources.archive import OUT_SCHEMA, archive_members
 from panelflow.sources.files import expected_files, list_files, literal, norm, path_key, run_day
 from panelflow.sources.header import header_records, narrowest_types, read_header_file, read_header_text, wider
-from panelflow.sources.usage import FILE_COL, raw_lines, read_usage, typed_lines, with_ref_date
+from panelflow.sources.usage import DAY_COL, FILE_COL, raw_lines, read_usage, typed_lines, with_ref_date
 
 RECON_SCHEMA = "ref_date date, count_df bigint, count_raw bigint, matched boolean"
 
@@ -176,7 +176,9 @@ def _read(spark: SparkSession, paths: list[str], f: Feed, target: str | None, co
         df = df.withColumn(f.ref_col, day_from_path(F.col(FILE_COL), f.file_day_format))
         records = header_records(spark, paths, f.sep, f.encoding)
     elif check_raw:
-        df = with_ref_date(typed_lines(counts.raw(raw_lines(spark, paths, f), f), f), f)
+        lines = raw_lines(spark, paths, f).withColumn(DAY_COL, day_from_path(F.col(FILE_COL), f.file_day_format))
+        df = typed_lines(counts.raw(lines, f, day=F.col(DAY_COL)), f, DAY_COL)
+        df = with_ref_date(df, f, F.col(DAY_COL)).drop(DAY_COL)
     else:
         df = read_usage(spark, paths, f)
     return counts.parsed(df, f.ref_col), records

@@ -15,6 +15,7 @@ from panelflow.sources.archive import _uri
 from panelflow.sources.files import literal
 
 FILE_COL = "_file"
+DAY_COL = "__path_day"   # the day in the file's path, where it is worked out once for two uses
 
 # A line the CSV reader passes over: nothing but characters up to the blank.
 _TEXT = r"[^\x00-\x20]"
@@ -118,14 +119,16 @@ def raw_lines(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str)
     return out.unionByName(read("UTF-16LE", little)) if little else out
 
 
-def typed_lines(lines: DataFrame, f: Feed) -> DataFrame:
-    """Lines parsed with the feed's fixed schema, as the CSV reader would."""
+def typed_lines(lines: DataFrame, f: Feed, *more: str) -> DataFrame:
+    """Lines parsed with the feed's fixed schema, as the CSV reader would; columns ``more`` of ``lines`` stay."""
     row: Column = F.from_csv("value", f.schema.toDDL(), {"sep": f.sep, **f.options})
-    return lines.filter(F.col("value").rlike(_TEXT)).select(row.alias("r"), FILE_COL).select("r.*", FILE_COL)
+    text = (F.ascii("value") > 32) | F.col("value").rlike(_TEXT)      # the first character tells for nearly all lines
+    return lines.filter(text).select(row.alias("r"), FILE_COL, *more).select("r.*", FILE_COL, *more)
 
 
-def with_ref_date(df: DataFrame, f: Feed) -> DataFrame:
-    return add_ref_date(df, day_from_path(F.col(FILE_COL), f.file_day_format), f.ref_col) if f.ref_col else df
+def with_ref_date(df: DataFrame, f: Feed, day: Column | None = None) -> DataFrame:
+    """``df`` with its reference date: ``day``, or the one in the file's path."""
+    return add_ref_date(df, day_from_path(F.col(FILE_COL), f.file_day_format) if day is None else day, f.ref_col) if f.ref_col else df
 
 
 def read_usage(spark: SparkSession, paths: str | Sequence[str], feed: Feed | str,
