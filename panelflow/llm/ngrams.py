@@ -28,7 +28,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelflow.llm.common import WORDS, id_and_text, lower, slices, small_batches, text_bytes, word_hashes, word_spans
@@ -43,6 +43,7 @@ TASKS_SUMMED = 512
 FRAGMENTS = 16
 SIGNATURE_BITS = 512
 _SIGNATURE = [f"s{k}" for k in range(SIGNATURE_BITS // 64)]
+BEFORE = 16                     # n-grams before one of a prefix that its index row names
 SENT_ROWS = 1 << 20             # rows of two columns that are sent to every task rather than joined by a shuffle
 
 
@@ -253,11 +254,24 @@ class Join:
 
     def other_pairs(self, labels: DataFrame) -> DataFrame:
         """(a, b, na, nb): all sets under one n-gram whose labels differ."""
-        rest = self._keep(self._mixed(labels, "other").join(self.places.select("key", *_SIGNATURE), "key"), "other-signed")
+        return self.other_rows(labels).distinct()
+
+    def other_rows(self, labels: DataFrame) -> DataFrame:
+        """The pairs of :meth:`other_pairs`, some more than once.
+
+        Near copies share most of their prefixes. A pair is left out under an
+        n-gram if one of the last BEFORE shared n-grams of both is the same:
+        it meets there too, and nothing is left out under the first n-gram
+        that the two have in common.
+        """
+        before = F.collect_list("gram").over(Window.partitionBy("key").orderBy("pos").rowsBetween(-BEFORE, -1))
+        rest = self._mixed(labels, "other").withColumn("before", before)
+        rest = self._keep(rest.join(self.places.select("key", *_SIGNATURE), "key"), "other-signed")
         need = self._need("x.n", "y.n")
         return (rest.alias("x").join(rest.alias("y"), F.expr(f"""x.gram = y.gram and y.key < x.key and x.label <> y.label
-                    and {self._long_enough('x.n', 'y.n')} and least(x.n - x.pos, y.n - y.pos) >= {need} and {self._close('x', 'y', 'x.n', 'y.n')}"""))
-                .selectExpr("x.key as a", "y.key as b", "x.n as na", "y.n as nb").distinct())
+                    and {self._long_enough('x.n', 'y.n')} and least(x.n - x.pos, y.n - y.pos) >= {need} and {self._close('x', 'y', 'x.n', 'y.n')}
+                    and not arrays_overlap(x.before, y.before)"""))
+                .selectExpr("x.key as a", "y.key as b", "x.n as na", "y.n as nb"))
 
     def segments(self, pairs: DataFrame, name: str) -> DataFrame:
         """(key, fragment, grams) of the sets in ``pairs``, each from the text at its first place."""

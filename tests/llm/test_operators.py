@@ -392,3 +392,27 @@ def test_long_unrelated_lines_are_told_apart_by_their_signatures(spark, monkeypa
     assert lines.similar_lines(docs)[1].count() == 1
     assert lines.later_lines(docs)[1].count() == 1
     assert sum(tried) <= 10, tried
+
+
+def test_near_copies_meet_under_few_of_the_ngrams_they_share(spark):
+    import random
+
+    from panelflow.llm import ngrams
+    from panelflow.llm.common import id_and_text
+    rnd = random.Random(3)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(30):
+        words = list(base)
+        words[rnd.randrange(150)] = f"x{rnd.randrange(10 ** 6)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = ngrams.Join(id_and_text(docs, "doc_id", "text"))
+    none = spark.createDataFrame([], "key long, label long")
+    under: dict = {}
+    for r in join.shared.collect():
+        under.setdefault(r.gram, []).append((r.key, r.n, r.pos))
+    met = [(max(x, y)[0], min(x, y)[0]) for v in under.values() for i, x in enumerate(v) for y in v[:i]]
+    rows = [(r.a, r.b) for r in join.other_rows(none).select("a", "b").collect()]
+    assert set(rows) == set(met)                        # no pair is lost
+    assert len(rows) <= 1.2 * len(set(met)) < len(met) / 4
