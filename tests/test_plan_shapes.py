@@ -40,3 +40,19 @@ def test_hot_key_is_collapsed_before_shuffle(spark):
                                    F.lit(1).alias("status"), F.lit(dt.datetime(2024, 1, 1)).alias("log_time"))
     p = plan_text(latest_status(log))
     assert _before_exchange(p, "Aggregate")
+
+
+def test_a_load_counts_days_from_a_column_and_reads_a_path_once(spark, tmp_path):
+    from panelflow.operators.reconcile import DayCounts
+    from panelflow.plans.usage_load import _read
+    from panelflow.schemas import Feed, _schema
+    p = tmp_path / "s_2024-01-05.txt"
+    p.write_text("a\t1\n\n \nb\t2\n", encoding="utf-16-le")
+    counts = DayCounts(1)
+    df, _ = _read(spark, [str(p)], Feed("s", _schema("a string, n int"), file_prefix="s_", encoding="UTF-16LE"), None, counts, True)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    observed = [ln for ln in plan.splitlines() if "CollectMetrics" in ln]
+    assert len(observed) == 2 and not any("regexp_extract" in ln or "RLIKE" in ln for ln in observed)
+    assert len([ln for ln in plan.splitlines() if "regexp_extract" in ln]) == 1
+    assert sorted((r.a, r.n) for r in df.collect()) == [("a", 1), ("b", 2)]
+    assert counts.raw_days() == counts.parsed_days() == {dt.date(2024, 1, 5): 2}
