@@ -13,10 +13,12 @@ up for what is missing in one is dropped there, and the partial overlaps are
 summed per pair.
 
 Components need no list of all links. First each set is compared with the
-smallest set under each n-gram it shares, then with the greatest one that is
-in another component: of n near copies all are linked by about n comparisons.
-After that only sets of different components under one n-gram are compared,
-so every link between different components is still found.
+smallest set under each n-gram it shares, then with the greatest one and the
+next in a random order that are in another component, then with the next in
+another order: n near copies are linked by comparisons in proportion to n, also
+where they drift away from each other. After that only sets of different
+components under one n-gram are compared, so every link between different
+components is still found.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ FRAGMENTS = 16
 SIGNATURE_BITS = 512
 _SIGNATURE = [f"s{k}" for k in range(SIGNATURE_BITS // 64)]
 BEFORE = 16                     # n-grams before one of a prefix that its index row names
+ORDERED = 1 << 17               # index rows of an n-gram that are put into one order
 SENT_ROWS = 1 << 20             # rows of two columns that are sent to every task rather than joined by a shuffle
 
 
@@ -234,18 +237,36 @@ class Join:
         return self._by_signature(pairs)
 
     def _mixed(self, labels: DataFrame, name: str) -> DataFrame:
-        """The index rows (gram, key, n, pos, label) of n-grams that sets of different labels share."""
+        """The index rows (gram, key, n, pos, label) of n-grams that sets of different labels share, and how many (held) each has."""
         named = self._keep(self.shared.select("gram", "key", "n", "pos").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
-        mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("gram")
-        return self._keep(named.join(mixed, "gram"), f"{name}-mixed")
+        mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("held")).where("x <> y").select("gram", "held")
+        mixed = self._keep(named.join(mixed, "gram"), f"{name}-mixed")
+        delete(labels.sparkSession, f"{self.folder}/{name}-labelled")
+        return mixed
+
+    def _next(self, rest: DataFrame, order: int) -> DataFrame:
+        """(a, b, na, nb): every set of ``rest`` with the one after it under each n-gram, in a random order of its own, where their labels differ.
+
+        An n-gram of more than ORDERED sets has several such orders.
+        """
+        place = F.xxhash64("key", "gram", F.lit(order))
+        near = Window.partitionBy("gram", F.pmod(F.xxhash64(F.lit(order), "key"), F.expr(f"held div {ORDERED} + 1"))).orderBy(place, "key")
+        pairs = rest.withColumn("next", F.lead(F.struct("key", "n", "label")).over(near)).where("label <> next.label and " + self._long_enough("n", "next.n"))
+        x, y = F.struct("key", "n"), F.struct("next.key", "next.n")
+        return (pairs.select(F.greatest(x, y).alias("x"), F.least(x, y).alias("y"))
+                .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
 
     def second_pairs(self, labels: DataFrame) -> DataFrame:
-        """(a, b, na, nb): every set with the greatest set under each n-gram it shares, where their labels differ."""
+        """(a, b, na, nb): every set with the greatest set under each n-gram it shares and with the next one, where their labels differ."""
         rest = self._mixed(labels, "second")
         high = rest.groupBy("gram").agg(F.max(F.struct("key", "n", "label")).alias("high"))
         pairs = (rest.join(high, "gram").where("label <> high.label and " + self._long_enough("n", "high.n"))
-                 .select(F.col("high.key").alias("a"), F.col("key").alias("b"), F.col("high.n").alias("na"), F.col("n").alias("nb")).distinct())
-        return self._by_signature(pairs)
+                 .select(F.col("high.key").alias("a"), F.col("key").alias("b"), F.col("high.n").alias("na"), F.col("n").alias("nb")))
+        return self._by_signature(pairs.union(self._next(rest, 0)).distinct())
+
+    def third_pairs(self, labels: DataFrame) -> DataFrame:
+        """(a, b, na, nb): every set with the next set, in another order, under each n-gram it shares, where their labels differ."""
+        return self._by_signature(self._next(self._mixed(labels, "third"), 1).distinct())
 
     def _by_signature(self, pairs: DataFrame) -> DataFrame:
         of = self.places.select("key", *_SIGNATURE)
@@ -265,7 +286,7 @@ class Join:
         that the two have in common.
         """
         before = F.collect_list("gram").over(Window.partitionBy("key").orderBy("pos").rowsBetween(-BEFORE, -1))
-        rest = self._mixed(labels, "other").withColumn("before", before)
+        rest = self._mixed(labels, "other").drop("held").withColumn("before", before)
         rest = self._keep(rest.join(self.places.select("key", *_SIGNATURE), "key"), "other-signed")
         need = self._need("x.n", "y.n")
         return (rest.alias("x").join(rest.alias("y"), F.expr(f"""x.gram = y.gram and y.key < x.key and x.label <> y.label
@@ -285,6 +306,8 @@ class Join:
     def linked(self, pairs: DataFrame, name: str) -> DataFrame:
         """The (a, b) of ``pairs(a, b, na, nb)`` whose Jaccard is high enough: partial overlaps by fragment, summed per pair."""
         pairs = self._keep(pairs, f"{name}-pairs")
+        for done in ("mixed", "signed"):                # what the pairs were made from
+            delete(pairs.sparkSession, f"{self.folder}/{name}-{done}")
         s = self.segments(pairs, name)
         x, y = s.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("ga")), s.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("gb"))
         # of the segments on the second side only those of sets that stand there
@@ -315,6 +338,7 @@ def components(join: Join) -> DataFrame:
     none = join.members.sparkSession.createDataFrame([], "key long, label long")
     labels = _merged(join, none, join.linked(join.first_pairs(), "first"), "first")
     labels = _merged(join, labels, join.linked(join.second_pairs(labels), "second"), "second")
+    labels = _merged(join, labels, join.linked(join.third_pairs(labels), "third"), "third")
     return _merged(join, labels, join.linked(join.other_pairs(labels), "other"), "other")
 
 

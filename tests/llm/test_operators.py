@@ -416,3 +416,27 @@ def test_near_copies_meet_under_few_of_the_ngrams_they_share(spark):
     rows = [(r.a, r.b) for r in join.other_rows(none).select("a", "b").collect()]
     assert set(rows) == set(met)                        # no pair is lost
     assert len(rows) <= 1.2 * len(set(met)) < len(met) / 4
+
+
+def test_drifting_near_copies_are_linked_by_comparisons_in_proportion(spark, monkeypatch):
+    import random
+
+    from panelflow.llm import ngrams
+    rnd = random.Random(8)
+    texts = [[f"w{k}" for k in range(400)]]
+    for _ in range(499):                                # each a copy of one before it, so that many are not similar
+        words = list(rnd.choice(texts))
+        for _ in range(rnd.randint(1, 4)):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(10 ** 6)}"
+        texts.append(words)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    tried, real = [], ngrams.Join.linked
+
+    def counted(self, pairs, name):
+        pairs = self._keep(pairs, f"{name}-tried")
+        tried.append(pairs.count())
+        return real(self, pairs, name)
+    monkeypatch.setattr(ngrams.Join, "linked", counted)
+    got = sorted((tuple(r) for r in ngrams.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted(brute.ngram_components(rows), key=str)
+    assert sum(tried) <= 10 * len(rows) and tried[-1] <= len(rows) / 10, tried
