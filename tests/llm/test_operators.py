@@ -440,3 +440,27 @@ def test_drifting_near_copies_are_linked_by_comparisons_in_proportion(spark, mon
     got = sorted((tuple(r) for r in ngrams.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
     assert got == sorted(brute.ngram_components(rows), key=str)
     assert sum(tried) <= 10 * len(rows) and tried[-1] <= len(rows) / 10, tried
+
+
+def test_links_of_a_group_of_near_copies_are_counted_not_listed(spark, monkeypatch):
+    from panelflow.llm import lines
+    rnd = random.Random(6)
+    base = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rnd.choice([0, 1, 1, 2, 2, 3, 9])):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(10 ** 6)}"
+        rows.append((k, " ".join(words) + "\n" + " ".join(f"y{rnd.randrange(30)}" for _ in range(8))))
+    written, real = {}, lines._stored
+
+    def counted(df, name):
+        out = real(df, name)
+        written[name] = out.count()
+        return out
+    monkeypatch.setattr(lines, "_stored", counted)
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    expected = brute.lines(rows)
+    assert {k: (r.n_lines, r.n_removed, r.n_links, r.text) for k, r in got.items()} == expected
+    links = sum(e[2] for e in expected.values()) // 2
+    assert links > 5000 and written["line-links"] < links / 4, written
