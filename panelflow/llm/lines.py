@@ -17,9 +17,12 @@ its first occurrence. Between classes the join follows the prefix filter:
 - the words of the few classes left are fetched and the Jaccard verified.
 
 Where only the removal is wanted, not the number of links, a group of n nearly
-equal lines is settled by n comparisons (``later_lines``).
+equal lines is settled by n comparisons (``later_lines``). Where links are
+counted, most of such a group's are told from the distances between its lines
+and its centre (``judged_lines``).
 
-Words are compared by their 64-bit hashes (55 bits where they make a class),
+Words are compared by their 64-bit hashes (55 bits where they make a class or
+links are counted),
 sets by 64 bits. Only the join of the prefix index with itself multiplies
 rows, and AQE splits its hot keys.
 """
