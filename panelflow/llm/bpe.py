@@ -200,6 +200,26 @@ def codec(path: str, pattern: str) -> Codec:
     return kept[path, pattern]
 
 
+def _encoding(path: str, pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for b in slices(batches, "text"):
+            ids = own.encode([t or "" for t in b.column("text").to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
+                ["doc_id", "n_tokens", "ids"])
+    return run
+
+
+def _decoding(path: str, pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for b in slices(batches, "ids", 8 << 20):
+            out = [own.decode(np.frombuffer(x or b"", "<u4").astype(np.int64)) for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
+    return run
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """(doc_id, n_tokens long, ids binary: little-endian unsigned 32-bit) for every row.
@@ -211,32 +231,22 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     """
     path = path or public_tokenizers.path(VOCABULARY)
     small_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for b in slices(batches, "text"):
-            ids = own.encode([t or "" for t in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
-                ["doc_id", "n_tokens", "ids"])
-
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return id_and_text(docs, id_col, text_col).mapInArrow(_encoding(path, pattern), "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``encode``'s rows with ``decoded`` binary, the bytes the ids stand for (null ids: none)."""
     path = path or public_tokenizers.path(VOCABULARY)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for b in slices(batches, "ids", 8 << 20):
-            out = [own.decode(np.frombuffer(x or b"", "<u4").astype(np.int64)) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], [*b.schema.names, "decoded"])
-
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(_decoding(path, pattern), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Encoded and decoded again: doc_id, n_tokens, ids, and digests of the ids and of the decoded bytes."""
-    return decode(encode(docs, id_col, text_col, path), path).select(
-        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Encoded and decoded again: doc_id, n_tokens, ids, and digests of the ids and of the decoded bytes.
+
+    Both steps run in one Python worker, which holds the vocabulary once.
+    """
+    path = path or public_tokenizers.path(VOCABULARY)
+    small_batches(docs.sparkSession)
+    encoding, decoding = _encoding(path, public_tokenizers.PATTERN), _decoding(path, public_tokenizers.PATTERN)
+    both = id_and_text(docs, id_col, text_col).mapInArrow(lambda batches: decoding(encoding(batches)), "doc_id long, n_tokens long, ids binary, decoded binary")
+    return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -5,12 +5,14 @@ between them (skip-grams), each counted once per text. FTRL-proximal gives
 every coordinate its own learning rate and, by its L1 term, leaves most
 weights at exactly zero, so the model that is broadcast is a short sorted
 list. Training takes at most SAMPLE labelled rows (those whose hashed ids
-are smallest) in one task, whose size that bound fixes. Positive rows, the
-rarer ones, weigh POSITIVE times as much.
+are smallest) in one task, whose size that bound fixes; their features wait
+in a temporary file, so that the task holds one slice of texts and the model.
+Positive rows, the rarer ones, weigh POSITIVE times as much.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,7 @@ BITS = 20                        # weights are looked up by the low bits of a fe
 SAMPLE, EPOCHS, POSITIVE = 24_000, 3, 2.0
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 8.0, 1.0
 FOLDS = 5
+LEARN_BYTES = 1 << 18            # text bytes of a slice in the one training task
 
 _APART = np.zeros(256, bool)     # ASCII that is neither letter nor digit separates words
 _APART[[c for c in range(128) if not chr(c).isalnum()]] = True
@@ -68,18 +71,20 @@ class Ftrl:
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    model, rows = Ftrl(1 << BITS, ALPHA, BETA, L1, L2), []
-    for b in slices(batches, "text"):
-        f, where = features(b.column("text"))
-        pairs = np.unique(where << 32 | f)
-        cut = np.searchsorted(pairs >> 32, np.arange(b.num_rows + 1))
-        f = (pairs & 0xFFFFFFFF).astype(np.int32)
-        # views of the slice's one array: small copies would stay in the worker's heap after the training
-        rows += [(f[i:j], y) for i, j, y in zip(cut, cut[1:], b.column("toxic").to_pylist())]
-    rng = np.random.default_rng(7)
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
-            model.learn(np.append(rows[i][0], np.int32(1 << BITS)), rows[i][1])
+    model, labels, ends = Ftrl(1 << BITS, ALPHA, BETA, L1, L2), [], [0]
+    with tempfile.TemporaryFile() as kept:
+        for b in slices(batches, "text", LEARN_BYTES):
+            f, where = features(b.column("text"))
+            pairs = np.unique(where << 32 | f)
+            kept.write((pairs & 0xFFFFFFFF).astype(np.int32).tobytes())
+            ends += (ends[-1] + np.searchsorted(pairs >> 32, np.arange(1, b.num_rows + 1))).tolist()
+            labels += b.column("toxic").to_pylist()
+        kept.flush()
+        f = np.asarray(np.memmap(kept, np.int32, "r")) if ends[-1] else np.zeros(0, np.int32)
+        rng = np.random.default_rng(7)
+        for _ in range(EPOCHS):
+            for i in rng.permutation(len(labels)):
+                model.learn(np.append(f[ends[i]:ends[i + 1]], np.int32(1 << BITS)), labels[i])
     w = model.weights(slice(None))
     at = np.flatnonzero(w)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["at", "weight"])

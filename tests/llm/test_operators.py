@@ -464,3 +464,28 @@ def test_links_of_a_group_of_near_copies_are_counted_not_listed(spark, monkeypat
     assert {k: (r.n_lines, r.n_removed, r.n_links, r.text) for k, r in got.items()} == expected
     links = sum(e[2] for e in expected.values()) // 2
     assert links > 5000 and written["line-links"] < links / 4, written
+
+
+def test_training_holds_no_features_of_earlier_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+    rnd = random.Random(2)
+    held = []
+
+    def batches():
+        for _ in range(60):
+            texts = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(300)) for _ in range(50)]
+            held.append(tracemalloc.get_traced_memory()[0])
+            yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array([k % 2 for k in range(50)], pa.int32())], ["text", "toxic"])
+    tracemalloc.start()
+    try:
+        assert len(list(toxicity._train(batches()))) == 1
+    finally:
+        tracemalloc.stop()
+    assert held[-1] - held[5] < 3_000_000, held        # 2,750 texts have some 10 MB of features
+
+
+def test_round_trip_needs_one_worker_a_task(docs, capsys):
+    bpe.round_trip(docs).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
