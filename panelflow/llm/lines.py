@@ -43,7 +43,7 @@ BUCKETS = 1 << BUCKET_BITS
 HOT = 2                          # sets under a word from which its earliest one is tried first
 MARK_BITS = 17                  # a bit set has 2**17 bytes; constants of a plan stay in the driver with its text
 
-GROUP = 16                      # sets with a band in common from which they get a centre
+GROUP = 64                      # sets with a band in common from which they get a centre
 BAND = 3                        # words of a band
 _GAPS = "\t\x0B\f\r"            # white space inside a line, apart from spaces
 _A_WORD = r"[^ \t\x0B\f\r]"
@@ -142,12 +142,22 @@ def _prefix(t: Fraction) -> Column:
     return F.expr(f"transform(slice(words, 1, n - {_ceil('n', t.numerator, t.denominator)} + 1), w -> cast(w & 2147483647 as int))")
 
 
-def line_classes(docs: DataFrame, t: Fraction) -> DataFrame:
-    """(key, doc_id, same, line, n, sig, sig2, prefix) of the different word sets, at their first places."""
+def _bands() -> Column:
+    """Hashes of the BAND first, and last, of ``words`` in the order of their hashes: near copies mostly have one in common."""
+    low = F.expr("sort_array(transform(words, w -> w & 36028797018963967L))")
+    return F.transform(F.array(low), lambda w: F.array(F.xxhash64(F.slice(w, 1, BAND)), F.xxhash64(F.slice(w, -F.least(F.size(w), F.lit(BAND)), F.lit(BAND)))))[0]
+
+
+def line_classes(docs: DataFrame, t: Fraction, banded: bool = False) -> DataFrame:
+    """(key, doc_id, same, line, n, sig, sig2, prefix) of the different word sets, at their first places.
+
+    The words stay in the texts: of the few sets that need them they are
+    fetched from there. With ``banded`` the sets' bands come too.
+    """
     sets = _sets(_lines(docs), _rarity(docs))
-    parity, prefix = _parities(), _prefix(t)
+    parity, prefix, bands = _parities(), _prefix(t), [_bands().alias("bands")] if banded else []
     return (sets.select("key", F.struct("doc_id", "same", "line").alias("at"),
-                        F.struct("n", *[p.alias(c) for p, c in zip(parity, ("sig", "sig2"))], prefix.alias("prefix")).alias("body"))
+                        F.struct("n", *[p.alias(c) for p, c in zip(parity, ("sig", "sig2"))], prefix.alias("prefix"), *bands).alias("body"))
             .groupBy("key").agg(F.min("at").alias("at"), F.first("body").alias("body")).select("key", "at.*", "body.*"))
 
 
@@ -161,18 +171,22 @@ def _index(classes: DataFrame, t: Fraction, *more: str) -> DataFrame:
     return classes.where(_paired(t)).select("key", "sig", "sig2", F.posexplode("prefix").alias("pos", "word"), "n", *more)
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs(a, b, need)`` whose sets share ``need`` words or more, by the words themselves."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    places = _stored(classes.select("key", "doc_id", "same", "line").join(wanted, "key"), "line-places")
+def _words_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(key, at, words) of the classes ``wanted(key)``, from the texts at their first places."""
+    places = _stored(classes.select("key", "doc_id", "same", "line").join(wanted, "key"), f"{name}-places")
     here = F.xxhash64("doc_id", "same", "line")
     marked = _lines(docs).where(_marked(here, _marks(places.select(here.alias("h")))))
     own = F.array_distinct(F.transform(_words(F.col("t")), lambda w: F.xxhash64(w)))
-    words = _stored(marked.join(places, ["doc_id", "same", "line"]).select("key", own.alias("words"))
-                    .groupBy("key").agg(F.first("words").alias("words")), "line-words")
-    return _stored(pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("wa")), "a")
-                   .join(words.select(F.col("key").alias("b"), F.col("words").alias("wb")), "b")
-                   .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need")).select("a", "b"), "line-links")
+    return _stored(marked.join(places, ["doc_id", "same", "line"]).select("key", F.struct("doc_id", "same", "line").alias("at"), own.alias("words"))
+                   .groupBy("key").agg(F.first("at").alias("at"), F.first("words").alias("words")), f"{name}-words")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, later) of the ``pairs(a, b, need)`` whose sets share ``need`` words or more, by the words themselves; later: a is after b."""
+    words = _words_of(docs, classes, pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), "line")
+    x, y = (words.select(F.col("key").alias(k), F.col("words").alias(f"w{k}"), F.col("at").alias(f"at_{k}")) for k in "ab")
+    return _stored(pairs.join(x, "a").join(y, "b").where(F.size(F.array_intersect("wa", "wb")) >= F.col("need"))
+                   .select("a", "b", (F.col("at_b") < F.col("at_a")).alias("later")), "line-links")
 
 
 def _close(need: str) -> str:
@@ -197,7 +211,7 @@ def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Data
                  and least(x.n - x.pos, y.n - y.pos) >= {need}
                  and {_close(need)}"""))
                     .selectExpr("x.key as a", "y.key as b", f"{need} as need").distinct(), "line-pairs")
-    return classes.select("key", "doc_id", "same", "line"), _verified(docs, classes, pairs)
+    return classes.select("key", "doc_id", "same", "line"), _verified(docs, classes, pairs).select("a", "b")
 
 
 def later_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -230,20 +244,7 @@ def later_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFr
     return classes.select("key", "doc_id", "same", "line"), later
 
 
-def worded_classes(docs: DataFrame) -> DataFrame:
-    """(key, at, n, words, sig, sig2, bands) of the different word sets, at their first places.
-
-    A band is a hash of the BAND first, or last, words in the order of their
-    hashes: near copies mostly have one in common with each other.
-    """
-    low = F.expr("sort_array(transform(words, w -> w & 36028797018963967L))")
-    sets = (_sets(_lines(docs), _rarity(docs)).select("key", F.struct("doc_id", "same", "line").alias("at"), "words")
-            .groupBy("key").agg(F.min("at").alias("at"), F.first("words").alias("words")).withColumn("low", low))
-    bands = F.array(F.xxhash64(F.slice("low", 1, BAND)), F.xxhash64(F.slice("low", -F.least(F.size("low"), F.lit(BAND)), F.lit(BAND))))
-    return sets.select("key", "at", F.size("words").alias("n"), "words", *[p.alias(c) for p, c in zip(_parities(), ("sig", "sig2"))], bands.alias("bands"))
-
-
-def centred(classes: DataFrame, t: Fraction) -> DataFrame:
+def centred(docs: DataFrame, classes: DataFrame, t: Fraction) -> DataFrame:
     """(key, at, centre, d, slack) of the sets of groups of GROUP sets or more: the group's centre c and d = |x ^ c|.
 
     Groups are the sets with a band in common; a centre holds the words of
@@ -258,8 +259,8 @@ def centred(classes: DataFrame, t: Fraction) -> DataFrame:
     banded = classes.where(_paired(t)).select("key", F.explode(F.array_distinct("bands")).alias("band"))
     large = banded.groupBy("band").agg(F.count("*").alias("c")).where(F.col("c") >= GROUP)
     wanted = _stored(banded.join(large, "band"), "line-groups")
-    marked = classes.where(_marked(F.col("key"), _marks(wanted.select(F.col("key").alias("h")))))
-    members = _stored(marked.select("key", "at", "n", "words").join(wanted, "key"), "line-members")
+    words = _words_of(docs, classes, wanted.select("key").distinct(), "line-group")
+    members = _stored(words.withColumn("n", F.size("words")).join(wanted, "key"), "line-members")
     centres = (members.select("band", "c", F.explode("words").alias("w")).groupBy("band", "c", "w").agg(F.count("*").alias("held"))
                .where("2 * held > c").groupBy("band").agg(F.sort_array(F.collect_list("w")).alias("cw")))
     apart = F.expr("n + size(cw) - 2 * size(array_intersect(words, cw))")
@@ -296,10 +297,10 @@ def judged_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
     t = _fraction(similarity)
     num, den = t.numerator, t.denominator
     need = _ceil("x.n + y.n", num, num + den)
-    classes = _stored(worded_classes(docs), "line-classes")
-    placed = centred(classes, t)
+    classes = _stored(line_classes(docs, t, banded=True), "line-classes")
+    placed = centred(docs, classes, t)
     marks = _marks(placed.select(F.col("key").alias("h")))
-    plain = classes.select("key", "sig", "sig2", "n", _prefix(t).alias("prefix"))
+    plain = classes.select("key", "sig", "sig2", "n", "prefix")
     alone = plain.where(~_marked(F.col("key"), marks)).withColumns({"centre": F.lit(None).cast("long"), "d": F.lit(None).cast("int")})
     index = _index(alone.union(plain.where(_marked(F.col("key"), marks)).join(placed.select("key", "centre", "d"), "key", "left")), t, "centre", "d", "prefix")
     # near copies share most of their prefixes: a pair is left out where the words before are equal too, as it meets there
@@ -313,15 +314,10 @@ def judged_lines(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataF
                  and coalesce(x.centre <> y.centre or {den + num} * (x.d + y.d) > {most} and {den + num} * abs(x.d - y.d) <= {most}, true)
                  and {_close(need)}"""))
                     .selectExpr("x.key as a", "y.key as b", f"{need} as need").distinct(), "line-pairs")
-    wanted = _marks(pairs.select(F.col("a").alias("h")).union(pairs.select("b")))
-    of = classes.where(_marked(F.col("key"), wanted))
-    links = _stored(pairs.join(of.select(F.col("key").alias("a"), F.col("words").alias("wa"), F.col("at").alias("at_a")), "a")
-                    .join(of.select(F.col("key").alias("b"), F.col("words").alias("wb"), F.col("at").alias("at_b")), "b")
-                    .where(F.size(F.array_intersect("wa", "wb")) >= F.col("need"))
-                    .select("a", "b", (F.col("at_b") < F.col("at_a")).alias("later")), "line-links")
+    links = _verified(docs, classes, pairs)
     listed = links.select(F.col("a").alias("key"), F.lit(1).cast("long").alias("links"), "later").union(links.select("b", F.lit(1).cast("long"), ~F.col("later")))
     judged = listed.union(_sure(placed)).groupBy("key").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
-    return classes.select("key", "at.*"), judged
+    return classes.select("key", "doc_id", "same", "line"), judged
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,

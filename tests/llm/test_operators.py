@@ -489,3 +489,19 @@ def test_training_holds_no_features_of_earlier_texts():
 def test_round_trip_needs_one_worker_a_task(docs, capsys):
     bpe.round_trip(docs).explain()
     assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
+def test_classes_of_lines_are_stored_without_their_words(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(k, "\n".join(" ".join(f"w{rnd.randrange(5000)}" for _ in range(40)) for _ in range(3))) for k in range(30)]
+    width, real = {}, lines._stored
+
+    def counted(df, name):
+        out = real(df, name)
+        arrays = [c for c, kind in out.dtypes if kind.startswith("array")]
+        width[name] = sum(len(r[c]) for r in out.select(*arrays).collect() for c in arrays) if arrays else 0
+        return out
+    monkeypatch.setattr(lines, "_stored", counted)
+    got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {k: (r.n_lines, r.n_removed, r.n_links, r.text) for k, r in got.items()} == brute.lines(rows)
+    assert width["line-classes"] <= 90 * 12 and sum(width.values()) <= 90 * 12, width      # of 40 words a line
