@@ -238,9 +238,9 @@ class Join:
 
     def _mixed(self, labels: DataFrame, name: str) -> DataFrame:
         """The index rows (gram, key, n, pos, label) of n-grams that sets of different labels share, and how many (held) each has."""
-        named = self._keep(self.shared.select("gram", "key", "n", "pos").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
+        named = self._keep(self.shared.select("gram", "key", "n", "pos").join(_small(labels), "key", "left").withColumn("label", F.coalesce("label", "key")), f"{name}-labelled")
         mixed = named.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("held")).where("x <> y").select("gram", "held")
-        mixed = self._keep(named.join(mixed, "gram"), f"{name}-mixed")
+        mixed = self._keep(named.join(_small(self._keep(mixed, f"{name}-grams")), "gram"), f"{name}-mixed")
         delete(labels.sparkSession, f"{self.folder}/{name}-labelled")
         return mixed
 

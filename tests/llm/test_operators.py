@@ -505,3 +505,23 @@ def test_classes_of_lines_are_stored_without_their_words(spark, monkeypatch):
     got = by_id(lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     assert {k: (r.n_lines, r.n_removed, r.n_links, r.text) for k, r in got.items()} == brute.lines(rows)
     assert width["line-classes"] <= 90 * 12 and sum(width.values()) <= 90 * 12, width      # of 40 words a line
+
+
+def test_labels_and_shared_ngrams_are_sent_to_the_index_rows(spark, monkeypatch):
+    from panelflow.llm import ngrams
+    from panelflow.llm.common import id_and_text
+    docs = spark.createDataFrame([(k, f"a b c d e f g h i j k l m n o p q r s t u v w x y{k}") for k in range(5)], "doc_id long, text string")
+    join, plans, real = ngrams.Join(id_and_text(docs, "doc_id", "text")), {}, ngrams._stored
+
+    def seen(df, path):
+        plans[path.rpartition("/")[2]] = df._jdf.queryExecution().toString()
+        return real(df, path)
+    monkeypatch.setattr(ngrams, "_stored", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labels = join._keep(join.places.select("key", "key").toDF("key", "label"), "own")
+        assert join._mixed(labels, "second").count() == join.shared.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all("BroadcastHashJoin" in plans[f"second-{n}"] and "SortMergeJoin" not in plans[f"second-{n}"] for n in ("labelled", "mixed"))
